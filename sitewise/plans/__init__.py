@@ -2,3 +2,4 @@
 
 from sitewise.plans.registry import ORACLE, QUERIES  # noqa: F401
 from sitewise.plans import q_allocation  # noqa: F401
+from sitewise.plans import q_ranking  # noqa: F401

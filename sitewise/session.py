@@ -28,6 +28,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = (
         b.config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
