@@ -5,3 +5,4 @@ from sitewise.plans import q_allocation  # noqa: F401
 from sitewise.plans import q_ranking  # noqa: F401
 from sitewise.plans import q_shape  # noqa: F401
 from sitewise.plans import q_quality  # noqa: F401
+from sitewise.plans import q_history  # noqa: F401
