@@ -6,3 +6,5 @@ from sitewise.plans import q_ranking  # noqa: F401
 from sitewise.plans import q_shape  # noqa: F401
 from sitewise.plans import q_quality  # noqa: F401
 from sitewise.plans import q_history  # noqa: F401
+from sitewise.plans import q_decode  # noqa: F401
+from sitewise.plans import q_stream  # noqa: F401
