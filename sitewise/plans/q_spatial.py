@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from sitewise.operators.spatial import area_traffic, assign_points, line_midpoints
 from sitewise.plans.registry import query
-from sitewise.session import load
+from sitewise.session import load, materialize
 
 # Fixed geometry parameters (metres).
 TILE, HOLE_LO, HOLE_HI = 1000.0, 400.0, 600.0
@@ -74,10 +74,10 @@ def sections(spark, sf):
     o = load(spark, sf, "orders").select(F.col("o_orderkey").alias("line_id"),
                                          (F.col("o_orderstatus") == "F").alias("measured"),
                                          F.year("o_orderdate").cast("long").alias("year"))
-    return (mid.join(li, "line_id").join(o, "line_id")
-               .select("line_id", F.round("length", 3).cast("decimal(18,3)").alias("length_m"),
-                       F.round("mx", 3).alias("x"), F.round("my", 3).alias("y"),
-                       "adt", "adt_heavy", "measured", "year"))
+    return materialize(mid.join(li, "line_id").join(o, "line_id")
+                       .select("line_id", F.round("length", 3).cast("decimal(18,3)").alias("length_m"),
+                               F.round("mx", 3).alias("x"), F.round("my", 3).alias("y"),
+                               "adt", "adt_heavy", "measured", "year"))
 
 
 _GEOM_SQL = """

@@ -60,6 +60,15 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage (reliable checkpoint in the
+    shared folder).  For small intermediates that feed many branches of a
+    plan: without it every branch and scalar subquery re-runs the scans and
+    joins beneath it."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, tag: str) -> str:
     """A fresh sub-path of the shared folder for one job's files."""
     base = shared_dir(spark)
