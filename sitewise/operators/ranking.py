@@ -21,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sitewise.session import materialize
+
 N_BUCKETS = 32
 
 
@@ -30,8 +32,9 @@ def order_stats(df: DataFrame, group_cols: Sequence[str], value_col: str,
     with a smaller value in the group) and ``n_total`` (non-null rows)."""
     g = list(group_cols)
     v = F.col(value_col)
-    freq = (df.where(v.isNotNull())
-              .groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("_n")))
+    # the frequency table feeds the sketch and the prefix sums: compute it once
+    freq = materialize(df.where(v.isNotNull())
+                         .groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("_n")))
     probs = [i / n_buckets for i in range(1, n_buckets)]
     sketch = F.percentile_approx(value_col, probs, 10000).alias("_bounds")
     if g:

@@ -9,3 +9,4 @@ from sitewise.plans import q_history  # noqa: F401
 from sitewise.plans import q_decode  # noqa: F401
 from sitewise.plans import q_stream  # noqa: F401
 from sitewise.plans import q_spatial  # noqa: F401
+from sitewise.plans import q_analysis  # noqa: F401
