@@ -21,14 +21,14 @@ def tolerant_bool(c: Column) -> Column:
 def parse_position(c: Column) -> tuple[Column, Column]:
     """"(lat,lon)" → (lat, lon) as doubles; malformed parts are NULL."""
     parts = F.split(F.regexp_replace(c, r"[()\s]", ""), ",")
-    return (F.element_at(parts, 1).try_cast("double"), F.element_at(parts, 2).try_cast("double"))
+    return (F.try_element_at(parts, F.lit(1)).try_cast("double"), F.try_element_at(parts, F.lit(2)).try_cast("double"))
 
 
 def parse_wkt_point(c: Column) -> tuple[Column, Column]:
     """"POINT (x y)" → (x, y)."""
     inner = F.regexp_extract(c, r"POINT\s*\(\s*([^)]*)\)", 1)
     parts = F.split(F.trim(inner), r"\s+")
-    return (F.element_at(parts, 1).try_cast("double"), F.element_at(parts, 2).try_cast("double"))
+    return (F.try_element_at(parts, F.lit(1)).try_cast("double"), F.try_element_at(parts, F.lit(2)).try_cast("double"))
 
 
 def decode_codes(code: Column, mapping: Mapping[str, tuple]) -> Column:
