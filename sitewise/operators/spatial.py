@@ -127,6 +127,45 @@ def line_midpoints(segments: DataFrame, line_col: str = "line_id", order_col: st
         line_col, "length", F.col("_m.mx").alias("mx"), F.col("_m.my").alias("my"))
 
 
+def vertex_array(order_cols: list[str], x: str, y: str) -> Column:
+    """Aggregate: the line's vertices as an array of (x, y) sorted by
+    ``order_cols`` (use inside ``groupBy(line).agg``).  A line's vertex
+    count is bounded by its geometry, not by the data volume."""
+    pts = F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in order_cols],
+                                               F.col(x).alias("x"), F.col(y).alias("y"))))
+    return F.transform(pts, lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y")))
+
+
+def with_midpoint(df: DataFrame, pts_col: str) -> DataFrame:
+    """Adds ``length``, ``mx``, ``my`` for a polyline given as an ordered
+    vertex array, with array functions only: segments by ``zip_with``,
+    running lengths by ``aggregate``, the half-length point by ``filter``.
+    Each step is its own column so it is evaluated once per row.  A single
+    vertex (zero length) gives that vertex."""
+    pts = F.col(pts_col)
+    n = F.size(pts)
+    a = F.slice(pts, 1, F.greatest(n - 1, F.lit(1)))
+    b = F.when(n > 1, F.slice(pts, 2, n - 1)).otherwise(F.slice(pts, 1, 1))
+    segs = F.zip_with(a, b, lambda p, q: F.struct(
+        p["x"].alias("x1"), p["y"].alias("y1"), q["x"].alias("x2"), q["y"].alias("y2"),
+        F.sqrt((q["x"] - p["x"]) * (q["x"] - p["x"]) + (q["y"] - p["y"]) * (q["y"] - p["y"])).alias("len")))
+    run = F.aggregate(F.col("_segs"), F.struct(F.lit(0.0).alias("s"), F.array().cast("array<double>").alias("b")),
+                      lambda acc, s: F.struct((acc["s"] + s["len"]).alias("s"),
+                                              F.concat(acc["b"], F.array(acc["s"])).alias("b")))
+    half = F.col("length") / 2
+    out = (df.withColumn("_segs", segs).withColumn("_run", run)
+             .withColumn("length", F.col("_run.s"))
+             .withColumn("_hit", F.element_at(F.filter(
+                 F.zip_with("_segs", F.col("_run.b"), lambda s, bf: F.struct(s.alias("g"), bf.alias("bf"))),
+                 lambda e: (e["bf"] <= half) & (half <= e["bf"] + e["g"]["len"])), 1)))
+    g, bf = F.col("_hit.g"), F.col("_hit.bf")
+    t = F.when(g["len"] > 0, (half - bf) / g["len"]).otherwise(F.lit(0.0))
+    return (out.withColumn("_t", t)
+               .withColumn("mx", g["x1"] + F.col("_t") * (g["x2"] - g["x1"]))
+               .withColumn("my", g["y1"] + F.col("_t") * (g["y2"] - g["y1"]))
+               .drop("_segs", "_run", "_hit", "_t"))
+
+
 def area_traffic(sections: DataFrame, areas: DataFrame, area_col: str = "area") -> DataFrame:
     """Per area (all areas, 0 where no section): sections, road km,
     vehicle-km/day (all, heavy), max flow, measured share and flow-weighted

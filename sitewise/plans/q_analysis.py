@@ -6,8 +6,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sitewise.operators.ranking import rank_column, spearman, order_stats
-from sitewise.plans.q_ranking import (_METRICS_SQL, _PARAMS_SQL, nation_metrics, nation_units,
-                                      score_allocation_q)
+from sitewise.operators.allocate import allocate_seats
+from sitewise.plans.q_ranking import (_METRICS_SQL, _PARAMS_SQL, _score_chain, nation_metrics, nation_units,
+                                      score_votes)
 from sitewise.plans.registry import query
 from sitewise.session import load, materialize
 
@@ -188,8 +189,10 @@ FROM per GROUP BY scenario, variant
 def hypothesis_scorecard_q(spark, sf):
     """Per run: units with a seat, seats to the top-5 demand nations, and
     whether they take at least 40 % of the seats."""
-    seats = score_allocation_q(spark, sf)
-    m = nation_metrics(spark, sf).where(F.col("metric") == "demand").select("unit", "value")
+    _, sc, metrics = _score_chain(spark, sf)
+    seats = allocate_seats(score_votes(spark, sf, sc), ["scenario", "variant"], "unit", "votes",
+                           n_seats=50, cap=10)
+    m = metrics.where(F.col("metric") == "demand").select("unit", "value")
     top = rank_column(m, [], "value", descending=True, out_col="rk").where(F.col("rk") <= REPORT_TOP) \
         .select("unit", F.lit(True).alias("_top"))
     per = seats.groupBy("scenario", "variant", "unit").agg(F.count(F.lit(1)).alias("n")).join(top, "unit", "left")

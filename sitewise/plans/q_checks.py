@@ -14,7 +14,7 @@ from sitewise.plans.q_spatial import (_GEOM_SQL, _SECTIONS_SQL, _assign_sql, _tr
                                       tile_edges)
 from sitewise.plans.q_stream import EVENTS_SCHEMA  # noqa: F401
 from sitewise.plans.registry import query
-from sitewise.session import load, scratch_path
+from sitewise.session import load, materialize, scratch_path
 from sitewise.sources.files import missing_file_plan
 from sitewise.streaming.ingest import json_stream, land_files
 
@@ -217,7 +217,7 @@ def _traffic_metrics(spark, sf):
     u = nation_units(spark, sf).select(F.col("unit").alias("area"), "n_cust", "n_supp")
     areas = tile_edges(spark, sf).select("area").distinct()
     t = areas.join(per, "area", "left").join(u, "area", "left").fillna(0.0, ["road_km", "vkm"])
-    return t
+    return materialize(t)
 
 
 @query("traffic_metrics", "WITH " + _GEOM_SQL + "," + _SECTIONS_SQL + "," + _assign_sql(

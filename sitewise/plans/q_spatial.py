@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from sitewise.operators.spatial import area_traffic, assign_points, line_midpoints
+from sitewise.operators.spatial import area_traffic, assign_points, vertex_array, with_midpoint
 from sitewise.plans.registry import query
 from sitewise.session import load, materialize
 
@@ -50,31 +50,23 @@ def customer_points(spark, sf):
                     ((F.col("c_custkey") * PY) % SPREAD - OFFSET).cast("double").alias("y"))
 
 
-def order_segments(spark, sf):
-    li = load(spark, sf, "lineitem").select(
-        F.col("l_orderkey").alias("line_id"), "l_linenumber", "l_partkey",
-        ((F.col("l_partkey") * PX) % VSPREAD).cast("double").alias("vx"),
-        ((F.col("l_partkey") * PY) % VSPREAD).cast("double").alias("vy"))
-    w = Window.partitionBy("line_id").orderBy("l_linenumber", "l_partkey")
-    v = (li.withColumn("seg_no", F.row_number().over(w))
-           .withColumn("nv", F.count(F.lit(1)).over(Window.partitionBy("line_id")))
-           .withColumn("x2", F.coalesce(F.lead("vx").over(w), F.col("vx")))
-           .withColumn("y2", F.coalesce(F.lead("vy").over(w), F.col("vy"))))
-    return v.where((F.col("seg_no") < F.col("nv")) | (F.col("nv") == 1)).select(
-        "line_id", "seg_no", F.col("vx").alias("x1"), F.col("vy").alias("y1"), "x2", "y2")
-
-
 def sections(spark, sf):
     """One row per order polyline: length (mm precision), midpoint (mm),
     flow attributes from the order and its lines."""
-    mid = line_midpoints(order_segments(spark, sf))
-    li = load(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("line_id")).agg(
+    li = load(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("line_id"), "l_linenumber", "l_partkey", "l_quantity", "l_returnflag",
+        ((F.col("l_partkey") * PX) % VSPREAD).cast("double").alias("vx"),
+        ((F.col("l_partkey") * PY) % VSPREAD).cast("double").alias("vy"))
+    # one shuffle of the lines: vertices and flows per polyline together
+    per = li.groupBy("line_id").agg(
+        vertex_array(["l_linenumber", "l_partkey"], "vx", "vy").alias("pts"),
         F.sum("l_quantity").alias("adt"),
         F.sum(F.when(F.col("l_returnflag") == "R", F.col("l_quantity")).otherwise(0.0)).alias("adt_heavy"))
+    mid = with_midpoint(per, "pts").select("line_id", "length", "mx", "my", "adt", "adt_heavy")
     o = load(spark, sf, "orders").select(F.col("o_orderkey").alias("line_id"),
                                          (F.col("o_orderstatus") == "F").alias("measured"),
                                          F.year("o_orderdate").cast("long").alias("year"))
-    return materialize(mid.join(li, "line_id").join(o, "line_id")
+    return materialize(mid.join(o, "line_id")
                        .select("line_id", F.round("length", 3).cast("decimal(18,3)").alias("length_m"),
                                F.round("mx", 3).alias("x"), F.round("my", 3).alias("y"),
                                "adt", "adt_heavy", "measured", "year"))
@@ -179,7 +171,7 @@ def _traffic(spark, sf):
     sec = sections(spark, sf)
     a = assign_points(sec.select(F.col("line_id").alias("pid"), "x", "y"), tile_edges(spark, sf),
                       CELL, BAND, MAX_DIST)
-    return sec, sec.join(a.select(F.col("pid").alias("line_id"), "area"), "line_id")
+    return sec, materialize(sec.join(a.select(F.col("pid").alias("line_id"), "area"), "line_id"))
 
 
 @query("road_traffic", "WITH " + _GEOM_SQL + "," + _SECTIONS_SQL + "," + _assign_sql(
