@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from sitewise.operators.ranking import rank_column, spearman, order_stats
+from sitewise.functions.money import cents, cents_to_double
+from sitewise.operators.ranking import order_stats, rank_column, spearman
 from sitewise.operators.allocate import allocate_seats
 from sitewise.plans.q_ranking import (_METRICS_SQL, _PARAMS_SQL, _score_chain, nation_metrics, nation_units,
                                       score_votes)
@@ -24,12 +25,12 @@ def _versions(spark, sf):
     li = load(spark, sf, "lineitem").select("l_suppkey", "l_shipdate", "l_extendedprice")
     secs = F.unix_seconds(F.col("l_shipdate").cast("timestamp"))
     mid = li.agg((F.min(secs) / 2 + F.max(secs) / 2).alias("m")).scalar()
-    rev = F.col("l_extendedprice").cast("decimal(18,2)")
+    rev = cents(F.col("l_extendedprice"))
     per = li.groupBy("l_suppkey").agg(F.sum(F.when(secs < mid, rev)).alias("a"),
                                       F.sum(F.when(secs >= mid, rev)).alias("b"))
     per = materialize(per.select(F.col("l_suppkey").alias("unit"),
-                                 F.coalesce("a", F.lit(0)).cast("double").alias("rev_a"),
-                                 F.coalesce("b", F.lit(0)).cast("double").alias("rev_b")))
+                                 cents_to_double(F.coalesce("a", F.lit(0))).alias("rev_a"),
+                                 cents_to_double(F.coalesce("b", F.lit(0))).alias("rev_b")))
     per = rank_column(per, [], "rev_a", descending=True, out_col="rank_a")
     per = rank_column(per, [], "rev_b", descending=True, out_col="rank_b")
     d = F.col("rev_b") - F.col("rev_a")
@@ -311,13 +312,13 @@ def evse_impact_q(spark, sf):
     li = load(spark, sf, "lineitem")
     unit = F.when(F.col("l_returnflag") == "N",
                   F.concat(F.lit("line:"), F.col("l_linenumber").cast("string"))).otherwise(F.col("l_returnflag"))
-    p = F.col("l_extendedprice").cast("decimal(18,2)")
+    p = cents(F.col("l_extendedprice"))
     u = li.groupBy("l_orderkey", unit.alias("unit")).agg(F.max(p).alias("mx"), F.sum(p).alias("sm"))
     o = u.groupBy("l_orderkey").agg(F.sum("mx").alias("r"), F.sum("sm").alias("n"))
     return o.agg(F.count(F.lit(1)).alias("n_orders"), F.count_if(F.col("r") == F.col("n")).alias("n_equal"),
                  F.count_if(F.col("r") < F.col("n")).alias("n_rule_lower"),
                  F.count_if(F.col("r") > F.col("n")).alias("n_rule_higher"),
-                 F.sum("r").cast("double").alias("rule_total"), F.sum("n").cast("double").alias("naive_total"))
+                 cents_to_double(F.sum("r")).alias("rule_total"), cents_to_double(F.sum("n")).alias("naive_total"))
 
 
 def _unused():  # keep imports referenced for linters

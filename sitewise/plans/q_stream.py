@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sitewise.functions.money import cents, cents_to_double
 from sitewise.plans.q_history import SCD2_CHANGES_SQL
 from sitewise.plans.registry import query
 from sitewise.session import load, scratch_path
@@ -29,7 +30,7 @@ def _ingested_summary(df):
     return df.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_distinct("user_id").alias("n_users"),
-        F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("value_sum"))
+        cents_to_double(F.sum(cents(F.col("value")))).alias("value_sum"))
 
 
 _SUMMARY_SQL = """

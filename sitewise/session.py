@@ -61,12 +61,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and cut its lineage (reliable checkpoint in the
-    shared folder).  For small intermediates that feed many branches of a
-    plan: without it every branch and scalar subquery re-runs the scans and
-    joins beneath it."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute ``df`` once and cut its lineage: written as a Parquet table
+    in the shared checkpoint folder and read back.  For intermediates that
+    feed many branches of a plan — without it every branch and scalar
+    subquery re-runs the scans and joins beneath it.  (A reliable RDD
+    checkpoint would compute the plan twice: once for the action, once for
+    the checkpoint write.)"""
+    spark = df.sparkSession
+    path = scratch_path(spark, "mat")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def scratch_path(spark: SparkSession, tag: str) -> str:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from sitewise.functions.money import cents, cents_to_double
 from sitewise.operators.history import scd2_from_changes
 from sitewise.sources.files import TS_OPTIONS, with_lineage
 
@@ -48,7 +49,7 @@ def daily_partials(stream: DataFrame, target: str, checkpoint: str, ts_col: str,
     def write(batch: DataFrame, batch_id: int) -> None:
         (batch.groupBy(F.to_date(ts_col).alias("day"), *group_cols)
               .agg(F.count(F.lit(1)).alias("n"),
-                   F.sum(F.col(value_col).cast("decimal(18,2)")).alias("value_sum"))
+                   F.sum(cents(F.col(value_col))).alias("value_cents"))
               .write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}"))
 
     q = (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
@@ -58,7 +59,7 @@ def daily_partials(stream: DataFrame, target: str, checkpoint: str, ts_col: str,
 
 def read_daily(spark: SparkSession, target: str, group_cols: Sequence[str]) -> DataFrame:
     return (spark.read.parquet(target).groupBy("day", *group_cols)
-            .agg(F.sum("n").alias("n"), F.sum("value_sum").alias("value_sum")))
+            .agg(F.sum("n").alias("n"), cents_to_double(F.sum("value_cents")).alias("value_sum")))
 
 
 def scd2_stream(stream: DataFrame, bronze: str, silver: str, checkpoint: str,
