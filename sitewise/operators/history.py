@@ -24,6 +24,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 
 def _struct(cols: Sequence[str]) -> Column:
@@ -42,7 +43,12 @@ def scd2_from_changes(df: DataFrame, keys: Sequence[str], order_cols: Sequence[s
     """
     k, o, t, u = list(keys), list(order_cols), list(tracked), list(untracked)
     first = o[0]
-    b = bucket if bucket is not None else F.to_date(F.col(first))
+    if bucket is not None:
+        b = bucket
+    elif isinstance(df.schema[first].dataType, (DateType, TimestampType, TimestampNTZType)):
+        b = F.to_date(F.col(first))  # day slices of a temporal sequence
+    else:
+        b = F.lit(0)  # numeric sequence: pass a bucket (e.g. floor(seq / width)) to split hot keys
     # collapse exact replays of the same sequence position
     u_own = [c for c in u if c not in o]  # untracked columns that are not order columns
     rows = (df.groupBy(*k, *o).agg(F.max(_struct([*t, *u_own])).alias("_v"))

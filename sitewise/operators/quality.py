@@ -156,3 +156,21 @@ def column_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
                                 for c in cols]))
     return one.select(F.col("_rows").cast("long").alias("n_rows"), stack.alias("s")).select(
         "s.column_name", "n_rows", "s.n_null", "s.n_distinct")
+
+
+class DuplicateKeys(Exception):
+    """Raised by :func:`record_audit` when tables have duplicate keys."""
+
+
+def record_audit(audit: DataFrame, log_path: str, run_id: str, strict: bool = True) -> DataFrame:
+    """Append a duplicate audit (one row per table) to a run log in the
+    shared folder, stamped with the run id and time; with ``strict`` raise
+    naming every table that has duplicate keys.  Returns the logged rows."""
+    rows = audit.withColumn("run_id", F.lit(run_id)).withColumn("logged_at", F.current_timestamp())
+    rows.write.mode("append").parquet(log_path)
+    logged = rows.sparkSession.read.parquet(log_path).where(F.col("run_id") == run_id)
+    if strict:
+        bad = [r.table_name for r in logged.where(F.col("n_duplicate_rows") > 0).select("table_name").collect()]
+        if bad:
+            raise DuplicateKeys(f"duplicate keys in: {', '.join(sorted(bad))}")
+    return logged

@@ -12,10 +12,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 from pyspark.sql.types import StructType
 
 from sitewise.functions.money import cents, cents_to_double
 from sitewise.operators.history import scd2_from_changes
+from sitewise.session import materialize
 from sitewise.sources.files import TS_OPTIONS, with_lineage
 
 
@@ -64,15 +66,18 @@ def read_daily(spark: SparkSession, target: str, group_cols: Sequence[str]) -> D
 
 def scd2_stream(stream: DataFrame, bronze: str, silver: str, checkpoint: str,
                 keys: Sequence[str], order_cols: Sequence[str], tracked: Sequence[str],
-                untracked: Sequence[str], n_buckets: int = 16) -> None:
+                untracked: Sequence[str], n_buckets: int = 16, seq_bucket=None) -> None:
     """Keep an SCD 2 table current from a change stream.
 
     Each micro-batch appends its rows to ``bronze`` (partitioned by a hash
-    bucket of the key), then recomputes history only for the buckets the
-    batch touched and overwrites those silver partitions (dynamic partition
-    overwrite).  Out-of-order and replayed deliveries are handled because
-    the affected keys are recomputed from all their rows, with exact
-    replays collapsed by :func:`scd2_from_changes`.
+    bucket of the key), recomputes history only for the keys the batch
+    touched (from all their rows), keeps the other keys' versions of the
+    touched buckets as they are, and overwrites just those silver
+    partitions (dynamic partition overwrite, staged through the shared
+    folder).  Out-of-order and replayed deliveries are handled because a
+    touched key is recomputed from its whole feed, with exact replays
+    collapsed by :func:`scd2_from_changes`; a replayed batch id rewrites
+    the same partitions with the same content.
     """
     spark = stream.sparkSession
     bucket = (F.abs(F.xxhash64(*[F.col(k) for k in keys])) % n_buckets).cast("int")
@@ -81,12 +86,24 @@ def scd2_stream(stream: DataFrame, bronze: str, silver: str, checkpoint: str,
     def merge(batch: DataFrame, batch_id: int) -> None:
         b = batch.select(*cols).withColumn("_bucket", bucket)
         b.write.mode("append").partitionBy("_bucket").parquet(bronze)
-        touched = b.select("_bucket").distinct()
-        rows = spark.read.parquet(bronze).join(touched, "_bucket", "left_semi")
-        hist = scd2_from_changes(rows.drop("_bucket"), keys, order_cols, tracked, untracked)
-        (hist.withColumn("_bucket", bucket).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic")
-             .partitionBy("_bucket").parquet(silver))
+        touched_keys = b.select(*keys, "_bucket").distinct()
+        # history is recomputed for the touched keys only (their whole change feed)
+        rows = spark.read.parquet(bronze).join(touched_keys, [*keys, "_bucket"], "left_semi")
+        new_hist = (scd2_from_changes(rows.drop("_bucket"), keys, order_cols, tracked, untracked,
+                                      bucket=seq_bucket)
+                    .withColumn("_bucket", bucket))
+        try:
+            current = spark.read.parquet(silver)
+        except AnalysisException:  # first batch: no silver table yet
+            current = None
+        out = new_hist
+        if current is not None:
+            kept = (current.join(touched_keys.select("_bucket").distinct(), "_bucket", "left_semi")
+                           .join(touched_keys, [*keys, "_bucket"], "left_anti"))
+            out = kept.unionByName(new_hist)
+        # stage first: the job must not read the partitions it overwrites
+        (materialize(out).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                         .partitionBy("_bucket").parquet(silver))
 
     q = (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
