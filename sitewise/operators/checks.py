@@ -86,3 +86,13 @@ def set_difference(a: DataFrame, b: DataFrame, a_key: str, b_key: str, a_name: s
     only_b = kb.join(ka, "k", "left_anti").agg(F.count(F.lit(1)).alias("n_keys")).withColumn(
         "side", F.lit(f"only_in_{b_name}"))
     return only_a.unionByName(only_b).select("side", "n_keys")
+
+
+def level_filter(df: DataFrame, code_col: str, code_length: int, retired: Sequence[str] = ()) -> DataFrame:
+    """Keep one level of a code hierarchy by code length, without retired
+    codes (e.g. four-digit municipality codes, minus a merged one)."""
+    c = F.col(code_col)
+    keep = F.length(c) == code_length
+    if retired:
+        keep = keep & ~c.isin(*retired)
+    return df.where(keep)

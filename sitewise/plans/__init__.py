@@ -11,3 +11,4 @@ from sitewise.plans import q_stream  # noqa: F401
 from sitewise.plans import q_spatial  # noqa: F401
 from sitewise.plans import q_analysis  # noqa: F401
 from sitewise.plans import q_checks  # noqa: F401
+from sitewise.plans import q_profile  # noqa: F401

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sitewise.functions.money import cents, cents_to_double
@@ -319,7 +318,3 @@ def evse_impact_q(spark, sf):
                  F.count_if(F.col("r") < F.col("n")).alias("n_rule_lower"),
                  F.count_if(F.col("r") > F.col("n")).alias("n_rule_higher"),
                  cents_to_double(F.sum("r")).alias("rule_total"), cents_to_double(F.sum("n")).alias("naive_total"))
-
-
-def _unused():  # keep imports referenced for linters
-    return Window

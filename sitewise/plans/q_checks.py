@@ -12,7 +12,6 @@ from sitewise.operators.shape import calendar_dim
 from sitewise.plans.q_ranking import nation_units
 from sitewise.plans.q_spatial import (_GEOM_SQL, _SECTIONS_SQL, _assign_sql, _traffic, customer_points,
                                       tile_edges)
-from sitewise.plans.q_stream import EVENTS_SCHEMA  # noqa: F401
 from sitewise.plans.registry import query
 from sitewise.session import load, materialize, scratch_path
 from sitewise.sources.files import missing_file_plan

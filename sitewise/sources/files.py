@@ -106,3 +106,24 @@ def rescued_data(text: DataFrame, text_col: str, known: Sequence[str]) -> DataFr
     fields = F.from_json(F.col(text_col), "map<string,string>")
     extra = F.map_filter(fields, lambda k, v: ~F.array_contains(known_arr, k))
     return text.withColumn("_rescued_data", F.when(F.size(extra) > 0, F.to_json(extra)))
+
+
+def read_sheet_export(spark: SparkSession, path: str, key_col: str) -> DataFrame:
+    """One workbook sheet exported as CSV: all-string seed columns, footnote
+    and blank rows (no key) dropped."""
+    df = read_seed_csv(spark, path)
+    return df.where(F.col(key_col).isNotNull() & (F.trim(F.col(key_col)) != ""))
+
+
+def catalog_columns(spark: SparkSession, exclude_prefix: str = "_") -> DataFrame:
+    """Columns × tables of the current catalog (name, type, nullable),
+    internal names (``exclude_prefix``) left out.  Catalog metadata is small
+    and lives on the driver, so the listing is built there."""
+    rows = []
+    for t in spark.catalog.listTables():
+        if t.name.startswith(exclude_prefix):
+            continue
+        for c in spark.catalog.listColumns(t.name):
+            if not c.name.startswith(exclude_prefix):
+                rows.append((t.name, c.name, c.dataType, bool(c.nullable)))
+    return spark.createDataFrame(rows, "table_name string, column_name string, data_type string, nullable boolean")

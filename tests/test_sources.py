@@ -85,3 +85,23 @@ def test_scalar_parsers(spark):
                      x.alias("x"), y.alias("y")).collect()
     assert (rows[0].lat, rows[0].lon, rows[0].b, rows[0].x, rows[0].y) == (59.3, 18.1, True, 674000.0, 6580000.0)
     assert rows[1].lat is None and rows[1].b is None
+
+
+def test_sheet_export_and_catalog(spark):
+    d = tempfile.mkdtemp(prefix="sheet-")
+    p = os.path.join(d, "sheet.csv")
+    with open(p, "w", encoding="utf-8") as f:
+        f.write("gruppkod,kommun_kod\nA1,0114\nB3,0115\n,\n,Source: footnote\n")
+    from sitewise.sources.files import catalog_columns, read_sheet_export
+    assert [r.kommun_kod for r in read_sheet_export(spark, p, "gruppkod").collect()] == ["0114", "0115"]
+    spark.createDataFrame([(1, "x")], "id int, _hidden string").createOrReplaceTempView("cat_probe")
+    cols = {(r.table_name, r.column_name) for r in catalog_columns(spark).collect()}
+    assert ("cat_probe", "id") in cols and ("cat_probe", "_hidden") not in cols
+
+
+def test_level_filter_and_latest_snapshot(spark):
+    from sitewise.operators.checks import level_filter
+    from sitewise.operators.shape import latest_snapshot
+    df = spark.createDataFrame([("00", 1), ("01", 1), ("0114", 1), ("1917", 1), ("0331", 2)], "code string, snap int")
+    assert sorted(r.code for r in level_filter(df, "code", 4, ["1917"]).collect()) == ["0114", "0331"]
+    assert [r.code for r in latest_snapshot(df, "snap").collect()] == ["0331"]
