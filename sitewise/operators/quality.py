@@ -82,7 +82,7 @@ def local_day_quarters(day: Column, tz: str) -> Column:
     92 on the spring-forward day, 100 on the fall-back day, else 96."""
     start = F.convert_timezone(F.lit(tz), F.lit("UTC"), day.cast("timestamp_ntz"))
     end = F.convert_timezone(F.lit(tz), F.lit("UTC"), F.date_add(day, 1).cast("timestamp_ntz"))
-    secs = (F.unix_seconds(end.cast("timestamp")) - F.unix_seconds(start.cast("timestamp")))
+    secs = F.timestamp_diff("SECOND", start, end)  # NTZ difference: no session time zone involved
     return (secs / 900).cast("long")
 
 

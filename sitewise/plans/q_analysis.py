@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sitewise.functions.money import cents, cents_to_double
+from sitewise.functions.money import cents, cents_to_double, epoch_seconds
 from sitewise.operators.ranking import order_stats, rank_column, spearman
 from sitewise.operators.allocate import allocate_seats
 from sitewise.plans.q_ranking import (_METRICS_SQL, _PARAMS_SQL, _score_chain, nation_metrics, nation_units,
@@ -22,7 +22,7 @@ def _versions(spark, sf):
     """Revenue per supplier in two versions: lines shipped before / from the
     midpoint of the ship-date range."""
     li = load(spark, sf, "lineitem").select("l_suppkey", "l_shipdate", "l_extendedprice")
-    secs = F.unix_seconds(F.col("l_shipdate").cast("timestamp"))
+    secs = epoch_seconds(F.col("l_shipdate"))
     mid = li.agg((F.min(secs) / 2 + F.max(secs) / 2).alias("m")).scalar()
     rev = cents(F.col("l_extendedprice"))
     per = li.groupBy("l_suppkey").agg(F.sum(F.when(secs < mid, rev)).alias("a"),

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sitewise.functions.money import cents, cents_to_double
+from sitewise.functions.money import cents, cents_to_double, epoch_seconds
 from sitewise.plans.q_history import SCD2_CHANGES_SQL
 from sitewise.plans.registry import query
 from sitewise.session import load, scratch_path
@@ -63,9 +63,8 @@ def ledger_append_q(spark, sf):
     range) appended by the file ledger; a third run finds nothing new."""
     base = scratch_path(spark, "ledger")
     ev = load(spark, sf, "events")
-    mid = ev.agg((F.unix_seconds(F.min("ts").cast("timestamp")) / 2
-                  + F.unix_seconds(F.max("ts").cast("timestamp")) / 2).alias("m")).first()["m"]
-    secs = F.unix_seconds(F.col("ts").cast("timestamp"))
+    secs = epoch_seconds(F.col("ts"))
+    mid = ev.agg((F.min(secs) / 2 + F.max(secs) / 2).alias("m")).first()["m"]
     schema = spark.createDataFrame([], EVENTS_SCHEMA).schema
     land_files(ev.where(secs < mid), f"{base}/landing/delivery=1", N_FILES // 2)
     ledger_append(spark, f"{base}/landing", f"{base}/bronze", schema)
