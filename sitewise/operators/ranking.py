@@ -71,16 +71,32 @@ def signed_value(value: Column, better: Column) -> Column:
 
 def midrank_percentile(df: DataFrame, group_cols: Sequence[str], value_col: str,
                        better_col: str | None = None, out_col: str = "pct_rank",
-                       with_counts: bool = False) -> DataFrame:
+                       with_counts: bool = False, bounded: bool = False) -> DataFrame:
     """Percentile position 0 (worst) … 1 (best); ties share the midrank.
 
     ``(r_min + (ties - 1)/2 - 1) / (N - 1)`` with ``r_min`` the ascending
     rank of the direction-signed value.  N = 1 gives 0.5 (the one unit sits
     in the middle).  NULL values get NULL.
+
+    ``bounded=True`` is for inputs whose groups are bounded by a dimension
+    (units × metrics): plain window functions, fewer stages.  The default
+    path (:func:`order_stats`) never puts a whole group in one task.
     """
     g = list(group_cols)
     better = F.col(better_col) if better_col else F.lit("higher")
     keyed = df.withColumn("_s", signed_value(F.col(value_col).cast("double"), better))
+    if bounded:
+        # dimension-sized input (e.g. units × metrics): RANK and COUNT windows per group
+        w = Window.partitionBy(*g)
+        ranked = (keyed.withColumn("_r", F.when(F.col("_s").isNotNull(),
+                                                F.rank().over(w.orderBy(F.col("_s").asc_nulls_last()))))
+                       .withColumn("n_ties", F.count(F.lit(1)).over(Window.partitionBy(*g, "_s")))
+                       .withColumn("n_total", F.count("_s").over(w))
+                       .withColumn("n_before", F.col("_r") - 1))
+        pct = F.when(F.col("_s").isNull(), F.lit(None)).when(F.col("n_total") == 1, F.lit(0.5)).otherwise(
+            (F.col("n_before") + (F.col("n_ties") - 1) / 2.0) / (F.col("n_total") - 1))
+        out = ranked.withColumn(out_col, pct.cast("double")).drop("_r", "_s")
+        return out if with_counts else out.drop("n_ties", "n_before", "n_total")
     stats = order_stats(keyed.select(*g, "_s"), g, "_s")
     pct = F.when(F.col("n_total") == 1, F.lit(0.5)).otherwise(
         (F.col("n_before") + (F.col("n_ties") - 1) / 2.0) / (F.col("n_total") - 1))

@@ -252,7 +252,7 @@ def traffic_metrics_q(spark, sf):
         part = t.select(F.col("area").alias("unit"), F.lit(name).alias("metric"), F.lit(better).alias("better"),
                         F.round(v, 6).alias("value"))
         long = part if long is None else long.unionByName(part)
-    return midrank_percentile(long, ["metric"], "value", better_col="better")
+    return midrank_percentile(long, ["metric"], "value", better_col="better", bounded=True)  # tiles × metrics
 
 
 @query("intensity_top", "WITH " + _GEOM_SQL + "," + _SECTIONS_SQL + "," + _assign_sql(

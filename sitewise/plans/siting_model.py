@@ -108,7 +108,8 @@ def metrics(dim_kommun, fleet, registrations, price_days, stations, traffic, pop
     out = parts[0]
     for x in parts[1:]:
         out = out.unionByName(x)
-    return midrank_percentile(out, ["metric"], "value", better_col="better")
+    # kommuner × 12 metrics: bounded by the kommun dimension
+    return midrank_percentile(out, ["metric"], "value", better_col="better", bounded=True)
 
 
 def run_model(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
