@@ -27,13 +27,6 @@ def cents_to_double(c: Column) -> Column:
     return c.cast("double") / 100.0
 
 
-def epoch_seconds(ts: Column) -> Column:
-    """Seconds since 1970-01-01 of a wall-clock (``TIMESTAMP_NTZ``) value,
-    independent of the session time zone."""
-    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
-                            ts.cast("timestamp_ntz"))
-
-
 def percent_units(rate: Column) -> Column:
     """A two-decimal rate (e.g. a discount 0.05) as integer hundredths."""
     return F.round(rate.cast("double") * 100).cast("long")

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sitewise.functions.money import cents, cents_to_double, epoch_seconds
+from sitewise.functions.clock import epoch_seconds
+from sitewise.functions.money import cents, cents_to_double
 from sitewise.operators.ranking import order_stats, rank_column, spearman
 from sitewise.operators.allocate import allocate_seats
 from sitewise.plans.q_ranking import (_METRICS_SQL, _PARAMS_SQL, _score_chain, nation_metrics, nation_units,

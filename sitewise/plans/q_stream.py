@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sitewise.functions.money import cents, cents_to_double, epoch_seconds
+from sitewise.functions.clock import epoch_seconds
+from sitewise.functions.money import cents, cents_to_double
 from sitewise.plans.q_history import SCD2_CHANGES_SQL
 from sitewise.plans.registry import query
 from sitewise.session import load, scratch_path
 from sitewise.sources.files import ledger_append
 from sitewise.streaming.ingest import (daily_partials, ingest_available_now, json_stream, land_files,
-                                       read_daily, scd2_stream)
+                                       read_daily, read_windows, scd2_stream, windowed_counts)
 
 EVENTS_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
                  "value double, props string")
@@ -93,6 +94,27 @@ def streaming_daily_q(spark, sf):
                     F.col("value_sum").cast("double").alias("value_sum"))
 
 
+@query("streaming_window", """
+SELECT CAST(date_trunc('day', ts) AS VARCHAR) AS window_start, event_type, COUNT(*) AS n,
+       CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value_sum
+FROM events GROUP BY 1, 2
+""")
+def streaming_window_q(spark, sf):
+    """Daily tumbling event-time windows with a watermark over a file
+    stream (two files per micro-batch), stateful, update mode.  The landed
+    files are a replay of the whole period in arbitrary file order, so the
+    allowed lateness is the replay span (31 days)."""
+    base = scratch_path(spark, "stream-window")
+    land_files(load(spark, sf, "events"), f"{base}/landing", N_FILES)
+    schema = spark.createDataFrame([], EVENTS_SCHEMA).schema
+    windowed_counts(json_stream(spark, f"{base}/landing", schema, max_files_per_trigger=2),
+                    f"{base}/windows", f"{base}/_ckpt", "ts", ["event_type"], "value",
+                    window="1 day", watermark="31 days")
+    w = read_windows(spark, f"{base}/windows", ["event_type"])
+    return w.select(F.col("window_start").cast("string").alias("window_start"), "event_type",
+                    F.col("n").cast("long").alias("n"), "value_sum")
+
+
 @query("scd2_stream", SCD2_CHANGES_SQL)
 def scd2_stream_q(spark, sf):
     """The SCD 2 history of scd2_changes, maintained incrementally from a
