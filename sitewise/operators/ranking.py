@@ -23,18 +23,32 @@ from pyspark.sql import functions as F
 
 from sitewise.session import materialize
 
-N_BUCKETS = 32
+N_BUCKETS = 32          # at least this many value-range buckets per group
+MAX_BUCKETS = 4096      # at most (the sketch returns this many bounds per group)
+PER_BUCKET = 2_000_000  # target distinct values per bucket task
+
+
+def bucket_count(freq: DataFrame, group_cols: Sequence[str], per_bucket: int = PER_BUCKET,
+                 lo: int = N_BUCKETS, hi: int = MAX_BUCKETS) -> int:
+    """Buckets per group so that the largest group's distinct values fill
+    about ``per_bucket`` values per task (clamped to [lo, hi])."""
+    g = list(group_cols)
+    biggest = (freq.groupBy(*g).count().agg(F.max("count")).first()[0] if g else freq.count()) or 0
+    return int(min(hi, max(lo, -(-biggest // per_bucket))))
 
 
 def order_stats(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                n_buckets: int = N_BUCKETS) -> DataFrame:
+                n_buckets: int | None = None) -> DataFrame:
     """Per distinct non-null (group, value): ``n_ties``, ``n_before`` (rows
-    with a smaller value in the group) and ``n_total`` (non-null rows)."""
+    with a smaller value in the group) and ``n_total`` (non-null rows).
+    ``n_buckets`` defaults to :func:`bucket_count` of the frequency table."""
     g = list(group_cols)
     v = F.col(value_col)
-    # the frequency table feeds the sketch and the prefix sums: compute it once
+    # the frequency table feeds the sizing, the sketch and the prefix sums: compute it once
     freq = materialize(df.where(v.isNotNull())
                          .groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("_n")))
+    if n_buckets is None:
+        n_buckets = bucket_count(freq, g)
     probs = [i / n_buckets for i in range(1, n_buckets)]
     sketch = F.percentile_approx(value_col, probs, 10000).alias("_bounds")
     if g:

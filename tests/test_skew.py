@@ -27,6 +27,14 @@ def test_hot_group_is_split_and_exact(spark):
         assert got[v] == (sum(1 for x in vals if x < v), vals.count(v))
 
 
+def test_bucket_count_scales_with_the_largest_group(spark):
+    from sitewise.operators.ranking import bucket_count
+    freq = spark.createDataFrame([("hot", float(i)) for i in range(1000)] + [("cold", 1.0)], "g string, v double")
+    assert bucket_count(freq, ["g"], per_bucket=100, lo=4, hi=64) == 10
+    assert bucket_count(freq, ["g"], per_bucket=10, lo=4, hi=64) == 64
+    assert bucket_count(freq, [], per_bucket=1000, lo=4, hi=64) == 4
+
+
 def test_scd2_hot_key_many_days(spark):
     rnd = random.Random(5)
     base = 1_704_067_200  # 2024-01-01 UTC
