@@ -21,6 +21,7 @@ from sitewise.streaming.ingest import (daily_partials, ingest_available_now, jso
 EVENTS_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
                  "value double, props string")
 N_FILES = 8
+FILES_PER_BATCH = 4  # two micro-batches per run
 
 
 class NotIdempotent(Exception):
@@ -82,12 +83,12 @@ SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_type, COUNT(*) AS n,
 FROM events GROUP BY 1, 2
 """)
 def streaming_daily_q(spark, sf):
-    """Daily count and value per event type from a file stream, two files
-    per micro-batch, partial aggregates per batch summed on read."""
+    """Daily count and value per event type from a file stream (several
+    micro-batches), partial aggregates per batch summed on read."""
     base = scratch_path(spark, "stream-daily")
     land_files(load(spark, sf, "events"), f"{base}/landing", N_FILES)
     schema = spark.createDataFrame([], EVENTS_SCHEMA).schema
-    daily_partials(json_stream(spark, f"{base}/landing", schema, max_files_per_trigger=2),
+    daily_partials(json_stream(spark, f"{base}/landing", schema, max_files_per_trigger=FILES_PER_BATCH),
                    f"{base}/daily", f"{base}/_ckpt", "ts", ["event_type"], "value")
     d = read_daily(spark, f"{base}/daily", ["event_type"])
     return d.select(F.col("day").cast("string").alias("day"), "event_type", F.col("n").cast("long").alias("n"),
@@ -101,13 +102,13 @@ FROM events GROUP BY 1, 2
 """)
 def streaming_window_q(spark, sf):
     """Daily tumbling event-time windows with a watermark over a file
-    stream (two files per micro-batch), stateful, update mode.  The landed
+    stream (several micro-batches), stateful, update mode.  The landed
     files are a replay of the whole period in arbitrary file order, so the
     allowed lateness is the replay span (31 days)."""
     base = scratch_path(spark, "stream-window")
     land_files(load(spark, sf, "events"), f"{base}/landing", N_FILES)
     schema = spark.createDataFrame([], EVENTS_SCHEMA).schema
-    windowed_counts(json_stream(spark, f"{base}/landing", schema, max_files_per_trigger=2),
+    windowed_counts(json_stream(spark, f"{base}/landing", schema, max_files_per_trigger=FILES_PER_BATCH),
                     f"{base}/windows", f"{base}/_ckpt", "ts", ["event_type"], "value",
                     window="1 day", watermark="31 days")
     w = read_windows(spark, f"{base}/windows", ["event_type"])
@@ -118,11 +119,11 @@ def streaming_window_q(spark, sf):
 @query("scd2_stream", SCD2_CHANGES_SQL)
 def scd2_stream_q(spark, sf):
     """The SCD 2 history of scd2_changes, maintained incrementally from a
-    stream whose files arrive out of time order (three per micro-batch)."""
+    stream whose files arrive out of time order (several micro-batches)."""
     base = scratch_path(spark, "scd2-stream")
     land_files(load(spark, sf, "events"), f"{base}/landing", N_FILES, order="event_type")
     schema = spark.createDataFrame([], EVENTS_SCHEMA).schema
-    scd2_stream(json_stream(spark, f"{base}/landing", schema, max_files_per_trigger=3),
+    scd2_stream(json_stream(spark, f"{base}/landing", schema, max_files_per_trigger=FILES_PER_BATCH),
                 f"{base}/bronze", f"{base}/silver", f"{base}/_ckpt",
                 ["user_id"], ["ts", "event_id"], ["event_type"], ["value", "event_id"])
     return spark.read.parquet(f"{base}/silver").select(
