@@ -15,8 +15,9 @@ from sitewise.session import load, materialize
 
 TOP_MOVERS = 10
 REPORT_TOP = 5
-NEED_W_FIRST, NEED_W_SECOND, SUPPLY_PER_SUPPLIER = 1.3, 0.8, 10.0
-DEMAND_W = 0.6
+# Weights in tenths (1.3, 0.8 and 0.6) so weighted counts are exact: integer sums divided once.
+NEED_W_FIRST, NEED_W_SECOND, SUPPLY_PER_SUPPLIER = 13, 8, 10.0
+DEMAND_W = 6
 
 
 def _versions(spark, sf):
@@ -98,7 +99,7 @@ WITH c AS (SELECT c_nationkey AS unit, COUNT(*) FILTER (WHERE c_mktsegment = 'AU
                   COUNT(*) FILTER (WHERE c_mktsegment = 'MACHINERY') AS b FROM customer GROUP BY 1),
 s AS (SELECT s_nationkey AS unit, COUNT(*) AS ns FROM supplier GROUP BY 1),
 d AS (SELECT CAST(n.n_nationkey AS BIGINT) AS unit,
-             {NEED_W_FIRST} * COALESCE(a, 0) + {NEED_W_SECOND} * COALESCE(b, 0) AS need,
+             CAST({NEED_W_FIRST} * COALESCE(a, 0) + {NEED_W_SECOND} * COALESCE(b, 0) AS DOUBLE) / 10 AS need,
              CAST(COALESCE(ns, 0) AS DOUBLE) * {SUPPLY_PER_SUPPLIER} AS supply
       FROM nation n LEFT JOIN c ON c.unit = n.n_nationkey LEFT JOIN s ON s.unit = n.n_nationkey),
 r AS (SELECT *, need - supply AS gap, RANK() OVER (ORDER BY need - supply DESC) AS gap_rank,
@@ -115,8 +116,8 @@ def usage_gap_q(spark, sf):
         F.count_if(F.col("c_mktsegment") == "MACHINERY").alias("b"))
     u = nation_units(spark, sf).select("unit", "n_supp").join(c, "unit", "left")
     d = u.select("unit",
-                 (F.lit(NEED_W_FIRST) * F.coalesce("a", F.lit(0)) + F.lit(NEED_W_SECOND) * F.coalesce("b", F.lit(0)))
-                 .alias("need"),
+                 ((F.lit(NEED_W_FIRST) * F.coalesce("a", F.lit(0)) + F.lit(NEED_W_SECOND) * F.coalesce("b", F.lit(0)))
+                  .cast("double") / 10.0).alias("need"),
                  (F.col("n_supp").cast("double") * F.lit(SUPPLY_PER_SUPPLIER)).alias("supply"))
     d = materialize(d.withColumn("gap", F.col("need") - F.col("supply")))
     r = rank_column(d, [], "gap", descending=True, out_col="gap_rank")
@@ -217,7 +218,7 @@ e AS (SELECT unit,
       FROM o, fy GROUP BY unit)
 SELECT CAST(n.n_nationkey AS BIGINT) AS unit,
        CAST(COALESCE(first_y, 0) AS BIGINT) AS first_y, CAST(COALESCE(second_y, 0) AS BIGINT) AS second_y,
-       ROUND(COALESCE(first_y, 0) + {DEMAND_W} * COALESCE(second_y, 0), 6) AS demand,
+       ROUND(CAST(10 * COALESCE(first_y, 0) + {DEMAND_W} * COALESCE(second_y, 0) AS DOUBLE) / 10, 6) AS demand,
        ROUND(CASE WHEN tot_y > 0 THEN first_y / tot_y END - CASE WHEN tot_prev > 0 THEN first_prev / tot_prev END, 10)
          AS share_change
 FROM nation n LEFT JOIN e ON e.unit = n.n_nationkey
@@ -242,7 +243,8 @@ def ev_demand_q(spark, sf):
     share = (F.try_divide(F.col("f").cast("double"), F.col("t").cast("double"))
              - F.try_divide(F.col("fp").cast("double"), F.col("tp").cast("double")))
     return n.select("unit", f.cast("long").alias("first_y"), s.cast("long").alias("second_y"),
-                    F.round(f + F.lit(DEMAND_W) * s, 6).alias("demand"), F.round(share, 10).alias("share_change"))
+                    F.round((F.lit(10) * f + F.lit(DEMAND_W) * s).cast("double") / 10.0, 6).alias("demand"),
+                    F.round(share, 10).alias("share_change"))
 
 
 @query("user_day_avg", """
