@@ -33,6 +33,16 @@ def test_midrank_mean_is_half(spark):
     assert abs(sum(got) / len(got) - 0.5) < 1e-12
 
 
+def test_bounded_and_distributed_midrank_agree(spark):
+    rnd = random.Random(21)
+    vals = [None, math.inf, -math.inf] + [float(rnd.randint(0, 30)) for _ in range(400)]
+    rows = [(i, "m%d" % (i % 3), "lower" if i % 3 == 1 else "higher", v) for i, v in enumerate(vals)]
+    df = spark.createDataFrame(rows, "id int, metric string, better string, v double")
+    a = {r.id: r.pct_rank for r in midrank_percentile(df, ["metric"], "v", "better").collect()}
+    b = {r.id: r.pct_rank for r in midrank_percentile(df, ["metric"], "v", "better", bounded=True).collect()}
+    assert a == b
+
+
 def test_order_stats_matches_naive_rank_across_buckets(spark):
     rnd = random.Random(7)
     rows = [("hot" if i % 3 else "cold", float(rnd.randint(0, 500))) for i in range(3000)]
