@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sitewise.operators.shape import domain_array
+
 
 def normalise_weights(weights: DataFrame, group_col: str = "scenario",
                       raw_col: str = "weight_raw", out_col: str = "weight") -> DataFrame:
@@ -25,9 +27,10 @@ def expand_runs(weights: DataFrame, variants: DataFrame) -> DataFrame:
     """Component rows per run: (scenario, variant, component, metric_used,
     weight).  ``weights``: scenario, metric, weight; ``variants``: variant,
     swap_from, swap_to, only_scenario (NULL = all)."""
-    scen = weights.select("scenario").distinct()
-    runs = variants.join(
-        scen, (variants["only_scenario"].isNull()) | (variants["only_scenario"] == scen["scenario"]))
+    # each variant runs in its only_scenario, or in every scenario: a generator, then an equi-join
+    scenarios = domain_array(weights, "scenario")
+    runs = variants.withColumn("scenario", F.explode(
+        F.when(F.col("only_scenario").isNull(), scenarios).otherwise(F.array(F.col("only_scenario")))))
     comp = weights.join(runs, "scenario")
     return comp.select(
         "scenario", "variant", F.col("metric").alias("component"),
