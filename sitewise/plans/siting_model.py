@@ -127,6 +127,7 @@ def run_model(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
     alloc = allocation_summary(sc.select("scenario", "variant", "unit"), seats, ["scenario", "variant"], "unit", n)
     alloc = alloc.withColumn("kw_new", F.col("n_seats") * F.lit(p["station_kw"]))
 
+    # parameter tables (two strategies, a handful of variants) shape the plan: read on the driver
     order = {r.combine_order: r.scenario for r in t["param_strategy"].select("scenario", "combine_order").collect()}
     shared = variants.where(F.col("only_scenario").isNull()).select("variant")
     s1 = seats.where(F.col("scenario") == order[1]).join(shared, "variant")
