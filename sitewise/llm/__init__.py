@@ -6,6 +6,7 @@ from .mixing import ORACLE as _MIXING_SQL
 from .mixing import op5_mixing
 from .packing import op1_packing
 from .suffix_dedup import op2_suffix_dedup
+from .toxicity import op9_toxicity
 
-QUERIES = {"op1_packing": op1_packing, "op2_suffix_dedup": op2_suffix_dedup, "op5_mixing": op5_mixing}
+QUERIES = {"op1_packing": op1_packing, "op2_suffix_dedup": op2_suffix_dedup, "op5_mixing": op5_mixing, "op9_toxicity": op9_toxicity}
 ORACLE = {"op5_mixing": _MIXING_SQL}
