@@ -11,8 +11,10 @@ from .mixing import ORACLE as _MIXING_SQL
 from .mixing import op5_mixing
 from .packing import op1_packing
 from .quality_fm import op6_quality_fm
+from .quality_rules import op4_quality_rules
 from .suffix_dedup import op2_suffix_dedup
+from .token_counts import op3_token_counts
 from .toxicity import op9_toxicity
 
-QUERIES = {"op1_packing": op1_packing, "op2_suffix_dedup": op2_suffix_dedup, "op5_mixing": op5_mixing, "op6_quality_fm": op6_quality_fm, "op7_license_join": op7_license_join, "op8_jaccard_groups": op8_jaccard_groups, "op9_toxicity": op9_toxicity, "op10_cap_filters": op10_cap_filters}
+QUERIES = {"op1_packing": op1_packing, "op2_suffix_dedup": op2_suffix_dedup, "op3_token_counts": op3_token_counts, "op4_quality_rules": op4_quality_rules, "op5_mixing": op5_mixing, "op6_quality_fm": op6_quality_fm, "op7_license_join": op7_license_join, "op8_jaccard_groups": op8_jaccard_groups, "op9_toxicity": op9_toxicity, "op10_cap_filters": op10_cap_filters}
 ORACLE = {"op5_mixing": _MIXING_SQL, "op7_license_join": _LICENSE_SQL, "op8_jaccard_groups": _JACCARD_SQL}
