@@ -9,12 +9,36 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sitewise.session import load, materialize
+from sitewise.session import load, scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
 ROWS_PER_BUCKET = 20_000
 
 
+_scratch: list[str] = []
+
+
+def materialize(df: DataFrame, keep: bool = False) -> DataFrame:
+    """Computes ``df`` once into a Parquet table of the shared checkpoint
+    folder and reads it back: lineage is cut, and a lost executor costs the
+    tasks it ran, not the work before the table.  ``keep`` spares the table
+    from ``drop_scratch``."""
+    path = scratch_path(df.sparkSession, "llm")
+    df.write.parquet(path)
+    if not keep:
+        _scratch.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Deletes the tables that ``materialize`` has written in this process.
+    For callers whose results are written by now, such as a pipeline between
+    two stages."""
+    while _scratch:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "documents")
 
@@ -126,4 +150,4 @@ def utf8(texts: list[str]) -> pa.Array:
     return pa.array(texts, pa.large_string())
 
 
-__all__ = ["WORD", "components", "crc_remainder", "documents", "load", "materialize", "n_words", "np", "order_key", "running_sums", "tasks_for", "utf8"]
+__all__ = ["WORD", "components", "crc_remainder", "documents", "drop_scratch", "load", "materialize", "n_words", "np", "order_key", "running_sums", "tasks_for", "utf8"]

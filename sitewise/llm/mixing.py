@@ -69,7 +69,7 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     an empty table gives an empty result.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("text_md5"), n_words(text).alias("size"))
-    rows = materialize(rows.withColumn("row_key", order_key("doc_id", "text_md5")))
+    rows = materialize(rows.withColumn("row_key", order_key("doc_id", "source", "text_md5")))
     targets = source_targets(rows).withColumnRenamed("source", "t_source")
     stream = running_sums(rows, "source", ["row_key"], F.col("size"), rows.count())
     joined = stream.join(targets, stream["source"].eqNullSafe(targets["t_source"])).drop("t_source")
@@ -93,6 +93,21 @@ def training_order(mixed: DataFrame) -> DataFrame:
     return reads.orderBy("position", "row_key", "copy")
 
 
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """The documents, all columns, each as often as the mix reads it, in
+    training order over range partitions.  A reading that the target would cut
+    is kept whole.  Rows that agree in id, source and text come out together
+    as often as all of them are read, with the first of their other columns."""
+    reads = mix(docs).groupBy("row_key").agg(F.sum("copies").alias("copies"), F.min("before").alias("before"), F.min("size").alias("size"), F.first("source_size").alias("source_size"), F.first("target").alias("target"), F.first("ramp").alias("ramp"))
+    reads = reads.where("copies > 0").select(F.col("row_key").alias("__k"), F.struct("copies", "before", "size", "source_size", "target", "ramp").alias("__r"))
+    rows = docs.withColumn("__t", F.md5(F.coalesce(F.col("text"), F.lit("")))).withColumn("__key", order_key("doc_id", "source", "__t"))
+    rows = rows.dropDuplicates(["__key"]).join(reads, F.col("__key") == F.col("__k"))
+    rows = rows.withColumn("__c", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__r.copies") - 1)))
+    place = (F.col("__c") * F.col("__r.source_size") + F.col("__r.before") + F.col("__r.size") / 2) / F.col("__r.target")
+    rows = rows.withColumn("__p", progress(F.least(place, F.lit(1.0)), F.col("__r.ramp")))
+    return rows.orderBy("__p", "__key", "__c").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mix(documents(spark, sf_dir))
     return out.select("doc_id", "size", "source_size", "target", "taken", F.round("position", 6).alias("position"))
@@ -100,7 +115,7 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE = f"""
 WITH d AS (
-  SELECT doc_id, source, md5(concat(coalesce(CAST(doc_id AS VARCHAR), chr(0)), chr(31), md5(coalesce(text, '')))) AS k,
+  SELECT doc_id, source, md5(concat(coalesce(CAST(doc_id AS VARCHAR), chr(0)), chr(31), coalesce(source, chr(0)), chr(31), md5(coalesce(text, '')))) AS k,
     coalesce(len(regexp_extract_all(text, '[^ \\x09-\\x0D]+')), 0) AS size FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, CASE (row_number() OVER (ORDER BY source IS NULL, source COLLATE "binary") - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM s),

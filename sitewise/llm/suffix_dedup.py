@@ -420,11 +420,16 @@ def _cut_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # a range may begin or end inside a character; what is left of it goes too
         texts = [t if t is None or not s else cut(t.encode(), s)[0].decode("utf-8", "ignore") for t, s in zip(texts, spans, strict=True)]
         at = batch.schema.get_field_index("text")
-        yield batch.set_column(at, "text", pa.array(texts, batch.schema.field("text").type)).drop_columns(["spans"])
+        out = batch.set_column(at, "text", pa.array(texts, batch.schema.field("text").type))
+        if (at := batch.schema.get_field_index("n_chars")) >= 0:
+            sizes = [len(t) if s and t is not None else n for t, s, n in zip(texts, spans, batch.column(at).to_pylist(), strict=True)]
+            out = out.set_column(at, "n_chars", pa.array(sizes, batch.schema.field(at).type))
+        yield out.drop_columns(["spans"])
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
-    """The documents, all columns, with repeated byte ranges cut from ``text``."""
+    """The documents, all columns, with repeated byte ranges cut from ``text``
+    (and ``n_chars``, where there is one, brought up to date)."""
     base = keyed(docs)
     spans = merged_spans(repeated_spans(base))
     rows = docs.withColumn("__rk", F.xxhash64("text"))
