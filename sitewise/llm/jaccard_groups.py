@@ -247,13 +247,14 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents, all columns, one of each component; of repeated rows that
     agree in id and text one stays, with the first of their other columns."""
     keep = join(keyed(docs)).where("first").select(F.col("doc_id").alias("k_id"), F.col("rk").alias("k_rk")).distinct()
-    rows = docs.withColumn("__rk", F.xxhash64("text"))
-    rows = rows.join(keep, rows["doc_id"].cast("long").eqNullSafe(keep["k_id"]) & rows["__rk"].eqNullSafe(keep["k_rk"]), "left_semi")
-    twice = rows.groupBy("doc_id", "__rk").agg(F.count("*").alias("__c")).where("__c > 1").select(F.col("doc_id").alias("__i"), F.col("__rk").alias("__k"))
-    same = rows["doc_id"].eqNullSafe(twice["__i"]) & rows["__rk"].eqNullSafe(twice["__k"])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = rows.withColumn("id", F.col("row.doc_id").cast("long")).withColumn("rk", F.xxhash64("row.text"))
+    rows = rows.join(keep, F.col("id").eqNullSafe(F.col("k_id")) & F.col("rk").eqNullSafe(F.col("k_rk")), "left_semi")
+    twice = rows.groupBy("id", "rk").agg(F.count("*").alias("c")).where("c > 1").select(F.col("id").alias("t_id"), F.col("rk").alias("t_rk"))
+    same = F.col("id").eqNullSafe(F.col("t_id")) & F.col("rk").eqNullSafe(F.col("t_rk"))
     single = rows.join(twice, same, "left_anti")
-    repeated = rows.join(twice, same, "left_semi").dropDuplicates(["doc_id", "__rk"])
-    return single.unionByName(repeated).select(*[F.col(f"`{c}`") for c in docs.columns])
+    repeated = rows.join(twice, same, "left_semi").dropDuplicates(["id", "rk"])
+    return single.unionByName(repeated).select("row.*")
 
 
 ORACLE = r"""

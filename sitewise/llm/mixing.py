@@ -99,13 +99,14 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     is kept whole.  Rows that agree in id, source and text come out together
     as often as all of them are read, with the first of their other columns."""
     reads = mix(docs).groupBy("row_key").agg(F.sum("copies").alias("copies"), F.min("before").alias("before"), F.min("size").alias("size"), F.first("source_size").alias("source_size"), F.first("target").alias("target"), F.first("ramp").alias("ramp"))
-    reads = reads.where("copies > 0").select(F.col("row_key").alias("__k"), F.struct("copies", "before", "size", "source_size", "target", "ramp").alias("__r"))
-    rows = docs.withColumn("__t", F.md5(F.coalesce(F.col("text"), F.lit("")))).withColumn("__key", order_key("doc_id", "source", "__t"))
-    rows = rows.dropDuplicates(["__key"]).join(reads, F.col("__key") == F.col("__k"))
-    rows = rows.withColumn("__c", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__r.copies") - 1)))
-    place = (F.col("__c") * F.col("__r.source_size") + F.col("__r.before") + F.col("__r.size") / 2) / F.col("__r.target")
-    rows = rows.withColumn("__p", progress(F.least(place, F.lit(1.0)), F.col("__r.ramp")))
-    return rows.orderBy("__p", "__key", "__c").select(*[F.col(f"`{c}`") for c in docs.columns])
+    reads = reads.where("copies > 0")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = rows.select("row", F.col("row.doc_id").alias("doc_id"), F.col("row.source").alias("source"), F.md5(F.coalesce(F.col("row.text"), F.lit(""))).alias("text_md5"))
+    rows = rows.select("row", order_key("doc_id", "source", "text_md5").alias("key")).dropDuplicates(["key"]).join(reads, F.col("key") == F.col("row_key"))
+    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    place = (F.col("copy") * F.col("source_size") + F.col("before") + F.col("size") / 2) / F.col("target")
+    rows = rows.withColumn("position", progress(F.least(place, F.lit(1.0)), F.col("ramp")))
+    return rows.orderBy("position", "key", "copy").select("row.*")
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import documents, materialize
 from .textnp import CHUNK_BYTES, _BASE2, _powers, mix, prefix_hash, sliding_min, span_hash, text_chunks
@@ -416,25 +417,27 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _cut_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts, spans = batch.column("text").to_pylist(), batch.column("spans").to_pylist()
+        row, spans = batch.column(0), batch.column(1).to_pylist()
+        names = [f.name for f in row.type]
+        cols = dict(zip(names, row.flatten(), strict=True))
+        old = cols["text"].to_pylist()
         # a range may begin or end inside a character; what is left of it goes too
-        texts = [t if t is None or not s else cut(t.encode(), s)[0].decode("utf-8", "ignore") for t, s in zip(texts, spans, strict=True)]
-        at = batch.schema.get_field_index("text")
-        out = batch.set_column(at, "text", pa.array(texts, batch.schema.field("text").type))
-        if (at := batch.schema.get_field_index("n_chars")) >= 0:
-            sizes = [len(t) if s and t is not None else n for t, s, n in zip(texts, spans, batch.column(at).to_pylist(), strict=True)]
-            out = out.set_column(at, "n_chars", pa.array(sizes, batch.schema.field(at).type))
-        yield out.drop_columns(["spans"])
+        new = [t if t is None or not s else cut(t.encode(), s)[0].decode("utf-8", "ignore") for t, s in zip(old, spans, strict=True)]
+        cols["text"] = pa.array(new, row.type.field("text").type)
+        if "n_chars" in cols:
+            sizes = [len(t) if s and t is not None else n for t, s, n in zip(new, spans, cols["n_chars"].to_pylist(), strict=True)]
+            cols["n_chars"] = pa.array(sizes, row.type.field("n_chars").type)
+        yield pa.RecordBatch.from_arrays([pa.StructArray.from_arrays([cols[n] for n in names], fields=list(row.type))], names=["row"])
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """The documents, all columns, with repeated byte ranges cut from ``text``
     (and ``n_chars``, where there is one, brought up to date)."""
-    base = keyed(docs)
-    spans = merged_spans(repeated_spans(base))
-    rows = docs.withColumn("__rk", F.xxhash64("text"))
-    rows = rows.join(spans, rows["doc_id"].cast("long").eqNullSafe(spans["s_id"]) & rows["__rk"].eqNullSafe(spans["s_rk"]), "left").drop("s_id", "s_rk", "__rk")
-    return rows.mapInArrow(_cut_text, docs.schema)
+    spans = merged_spans(repeated_spans(keyed(docs)))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    same = F.col("row.doc_id").cast("long").eqNullSafe(F.col("s_id")) & F.xxhash64("row.text").eqNullSafe(F.col("s_rk"))
+    rows = rows.join(spans, same, "left").select("row", "spans")
+    return rows.mapInArrow(_cut_text, StructType([rows.schema["row"]])).select("row.*")
 
 
 __all__ = ["CHUNK_BYTES", "op2_suffix_dedup", "remove_repeats", "repeated_windows", "suffix_array", "with_spans"]
