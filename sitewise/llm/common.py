@@ -110,44 +110,57 @@ def _roots(parent, find):
     return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], names=["u", "v"])
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     """(node, component) for every node of ``edges`` (two long columns): the
-    smallest node reachable.  Each round joins every edge's ends to the least
-    neighbour (large-star, small-star); a join on a hub is split by AQE, no
-    neighbourhood is collected, and each round's edges are a written table.
+    smallest node reachable.
+
+    Union-find inside the partitions leaves each node with a few roots, one a
+    task.  A round gives a node the least of them, links its other roots to
+    that one, and follows the root's own root; it ends when no node has two
+    roots and no root has a root.  The join on a root with many nodes is split
+    by AQE, no neighbourhood is collected, each round is a written table.
     Repeated edges, loops and an empty table are fine; null ends are ignored."""
     a, b = edges.columns[:2]
     e = edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u <> v")
-    e = materialize(e.mapInArrow(_local_roots, "u long, v long").distinct())
-    before = None
+    e = materialize(e.mapInArrow(_local_roots, "u long, v long"))
     for _ in range(max_rounds):
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, F.col("u") == F.col("k")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
-        down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        low = down.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "k")
-        small = down.join(low, F.col("u") == F.col("k")).select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("s")).select("s.*")
-        e = materialize(small.where("u <> v").distinct())
-        now = e.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long")), F.countDistinct("u")).first()
-        if now[0] == (now[2] or 0) and (now[0] == 0 or now == before or _flat(e)):
+        own = e.groupBy("u").agg(F.collect_set("v").alias("roots"), F.min("v").alias("m"))
+        up = own.select(F.col("u").alias("k"), F.col("m").alias("above"))
+        others = F.transform(F.array_remove("roots", F.col("m")), lambda r: F.struct(r.alias("u"), F.col("m").alias("v"), F.lit(True).alias("moved")))
+        step = own.select(F.explode(F.concat(F.array(F.struct("u", F.col("m").alias("v"), F.lit(False).alias("moved"))), others)).alias("s")).select("s.*")
+        e = step.join(up, F.col("v") == F.col("k"), "left").select("u", F.coalesce("above", "v").alias("v"), (F.col("moved") | F.col("above").isNotNull()).alias("moved"))
+        e = materialize(e)
+        if e.where("moved").isEmpty():
             break
-        before = now
+    else:
+        raise RuntimeError("components did not settle")
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
-def _flat(e: DataFrame) -> bool:
-    """Every node points at a node that points nowhere: the stars are final."""
-    return e.select(F.col("v").alias("r")).distinct().join(e, F.col("r") == F.col("u"), "left_semi").isEmpty()
-
-
 def crc_remainder(col: str, mod: int) -> "F.Column":
     """crc32 of the column's text modulo ``mod``; null counts as empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")), F.lit(mod))
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, in_fold: "F.Column", per_class: int, max_chars: int):
+    """(texts, labels) of at most ``per_class`` labelled documents of each
+    class inside ``in_fold``, each text of at most ``max_chars`` once, in md5
+    order.  The choice is made on ids and digests; texts are read for the
+    chosen alone, through a join whose small side has 2 * per_class rows."""
+    lab = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).where(in_fold)
+    lab = lab.groupBy("doc_id").agg(F.min(label).alias("y")).select(F.col("doc_id").alias("l_id"), "y")
+    short = docs.where(F.length("text") <= max_chars).select(F.col("doc_id").alias("d"), F.md5("text").alias("m"), "text")
+    known = short.select("d", "m").join(lab, F.col("d") == F.col("l_id")).groupBy("m").agg(F.min("y").alias("y"), F.min("d").alias("id"))
+    known = materialize(known)
+    chosen = known.where("y = 0").orderBy("m").limit(per_class).unionByName(known.where("y = 1").orderBy("m").limit(per_class))
+    chosen = F.broadcast(chosen.select(F.col("m").alias("c_m"), "id", "y"))
+    found = short.join(chosen, (F.col("d") == F.col("id")) & (F.col("m") == F.col("c_m"))).groupBy("m").agg(F.first("text").alias("text"), F.first("y").alias("y"))
+    pdf = found.toPandas().sort_values("m", kind="stable")
+    return pdf["text"].tolist(), pdf["y"].to_numpy(float)
+
+
 def utf8(texts: list[str]) -> pa.Array:
     return pa.array(texts, pa.large_string())
 
 
-__all__ = ["WORD", "components", "crc_remainder", "documents", "drop_scratch", "load", "materialize", "n_words", "np", "order_key", "running_sums", "tasks_for", "utf8"]
+__all__ = ["WORD", "components", "crc_remainder", "documents", "drop_scratch", "labelled_sample", "load", "materialize", "n_words", "np", "order_key", "running_sums", "tasks_for", "utf8"]

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE2 = np.uint64(0xC2B2AE3D27D4EB4F | 1)
 _pow: dict[int, tuple[np.ndarray, np.ndarray]] = {}

@@ -21,9 +21,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from .common import crc_remainder, documents, load
+from .common import crc_remainder, documents, labelled_sample, load
 from .textnp import LOWER, SPACE, mix, prefix_hash, span_hash, text_chunks, words
 
 DECAY = 0.5
@@ -31,7 +30,7 @@ DECAY = 0.5
 PATTERNS = ((1, 1), (2, 1), (1, 2), (2, 2), (1, 1, 1), (2, 1, 1), (1, 2, 1), (1, 1, 2))
 TABLE_BITS = 18
 N_LANDMARKS = 128
-MAX_TRAIN = 2000  # labelled documents of each class the model is fitted on
+MAX_TRAIN = 1500  # labelled documents of each class the model is fitted on
 MAX_TRAIN_CHARS = 10_000  # longer documents are not taken into the sample
 MAX_WORD = 40
 MIN_BAGS = 3  # documents a word must be the witness of
@@ -179,27 +178,34 @@ def train(texts: list[str], toxic: np.ndarray, rounds: int = 4) -> dict:
     if not len(texts) or toxic.min() == toxic.max():
         return none
     col = pa.array(texts, pa.large_string())
-    parts = [instances(d, o) for _, _, d, o in text_chunks(col)]
-    letters = np.concatenate([p[0] for p in parts])
-    shift = np.cumsum([0] + [len(p[0]) for p in parts])
-    bounds = np.concatenate([p[1][:-1] + s for p, s in zip(parts, shift, strict=False)] + [[len(letters)]])
-    ishift = np.cumsum([0] + [len(p[1]) - 1 for p in parts])
-    first = np.concatenate([p[2][:-1] + s for p, s in zip(parts, ishift, strict=False)] + [[len(bounds) - 1]])
     # a third of the documents is kept from the words' statistics, for the document weights
     spare = np.arange(len(toxic)) % 3 == 2
-    # distinct words, and in how many toxic and clean documents each stands
-    h = span_hash(prefix_hash(letters), bounds[:-1], bounds[1:])
-    vocab, rep, word = np.unique(h, return_index=True, return_inverse=True)
-    row = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    pair = np.unique((row * np.int64(len(vocab)) + word)[~spare[row]])
-    prow, pword = pair // len(vocab), pair % len(vocab)
+    # distinct words with their letters, and (document, word) pairs, chunk by chunk
+    seen, some_letters, some_sizes, pairs = [], [], [], []
+    done = 0
+    for lo, hi, data, offs in text_chunks(col):
+        letters, bounds, first = instances(data, offs)
+        h = span_hash(prefix_hash(letters), bounds[:-1], bounds[1:])
+        uniq, rep, word = np.unique(h, return_index=True, return_inverse=True)
+        row = np.repeat(np.arange(lo, hi), np.diff(first))
+        pairs.append(np.unique((row * np.int64(1 << 31) + word)[~spare[row]]) + done)
+        size = np.diff(bounds)[rep]
+        to = np.cumsum(size) - size
+        some_letters.append(letters[np.repeat(bounds[:-1][rep] - to, size) + np.arange(size.sum())])
+        some_sizes.append(size)
+        seen.append(uniq)
+        done += len(uniq)
+    vocab, rep, merged = np.unique(np.concatenate(seen), return_index=True, return_inverse=True)
+    pair = np.concatenate(pairs)
+    prow, pword = pair >> 31, merged[pair & ((1 << 31) - 1)]
+    size = np.concatenate(some_sizes)
+    at = np.cumsum(size) - size
+    vb = np.concatenate([[0], np.cumsum(size[rep])])
+    vl = np.concatenate(some_letters)[np.repeat(at[rep] - vb[:-1], size[rep]) + np.arange(vb[-1])]
+    size = size[rep]
     in_tox = np.bincount(pword, toxic[prow], len(vocab))
     in_clean = np.bincount(pword, 1 - toxic[prow], len(vocab))
-    size = np.diff(bounds)[rep]
     usable = (size >= 4) & (size <= MAX_WORD)
-    # letters of the distinct words only
-    vb = np.concatenate([[0], np.cumsum(size)])
-    vl = letters[np.repeat(bounds[:-1][rep] - vb[:-1], size) + np.arange(vb[-1])]
     score = np.where(usable, np.log((in_tox + 0.05) / (in_clean + 0.5)), -9.0)
     tp = toxic[prow] == 1
     trow, tword = prow[tp], pword[tp]
@@ -227,14 +233,19 @@ def train(texts: list[str], toxic: np.ndarray, rounds: int = 4) -> dict:
         # landmarks: frequent witnesses and a spread of clean words
         marks = np.concatenate([top[:N_LANDMARKS // 2], np.setdiff1d(neg, top)[np.argsort(order[np.setdiff1d(neg, top)])][:N_LANDMARKS // 2]])
         mo, mi, mv = _explicit(vl, vb, marks)
-        land = np.zeros((len(marks), 1 << TABLE_BITS), np.float32)
+        used, mi = np.unique(mi, return_inverse=True)  # the landmarks' subsequences; no other enters a kernel
+        land = np.zeros((len(marks), len(used)))
         np.add.at(land, (mo, mi), mv)
         both = np.concatenate([top, neg])
         o, i, v = _explicit(vl, vb, both)
+        where = np.full(1 << TABLE_BITS, -1, np.int32)
+        where[used] = np.arange(len(used))
+        i = where[i]
+        o, i, v = o[i >= 0], i[i >= 0], v[i >= 0]
         kern = np.zeros((len(both), len(marks)))
         for j in range(len(marks)):
             kern[:, j] = np.bincount(o, land[j, i] * v, len(both))
-        inner = np.stack([np.bincount(mo, land[j, mi] * mv, len(marks)) for j in range(len(marks))])
+        inner = land @ land.T
         val, vec = np.linalg.eigh((inner + inner.T) / 2)
         ok = val > 1e-6 * val.max()
         half = vec[:, ok] / np.sqrt(val[ok])
@@ -243,12 +254,17 @@ def train(texts: list[str], toxic: np.ndarray, rounds: int = 4) -> dict:
         cost = np.concatenate([np.minimum(n_top, 20.0), np.minimum(in_clean[neg], 20.0)])
         cost[:len(top)] *= cost[len(top):].sum() / cost[:len(top)].sum()
         beta = _svm(z, y, cost)
-        table = (half @ beta[:-1]) @ land
+        table = np.zeros(1 << TABLE_BITS)
+        table[used] = (half @ beta[:-1]) @ land
         score = np.where(usable, word_scores(vl, vb, table, beta[-1]), -9.0)
         worst = clean[np.argsort(-score[clean], kind="stable")]
         hard = np.unique(np.concatenate([hard, worst[:2000]]))
         model = {"table": table.astype(np.float32), "bias": float(beta[-1])}
-    x = np.concatenate([bag_features(word_scores(a, b, model["table"], model["bias"]), f) for a, b, f in parts])
+    x = []
+    for _, _, data, offs in text_chunks(col):
+        letters, bounds, first = instances(data, offs)
+        x.append(bag_features(word_scores(letters, bounds, model["table"], model["bias"]), first))
+    x = np.concatenate(x)
     some = spare if toxic[spare].min(initial=1) < toxic[spare].max(initial=0) else ~spare
     share = toxic[some].mean()
     model["doc"] = logistic(x[some], toxic[some], np.where(toxic[some] == 1, 0.5 / share, 0.5 / (1 - share)))
@@ -258,13 +274,8 @@ def train(texts: list[str], toxic: np.ndarray, rounds: int = 4) -> dict:
 def fit(docs: DataFrame, labels: DataFrame) -> dict:
     """Trains on at most MAX_TRAIN documents of each class (in md5 order of
     their text, each text once) among labelled rows outside the hold-out fold."""
-    lab = labels.where("toxic is not null and doc_id is not null").where(crc_remainder("doc_id", 3) != 1)
-    lab = lab.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = docs.where("text is not null").select(F.col("doc_id").alias("d"), "text").join(lab, F.col("d") == F.col("doc_id"))
-    rows = rows.where(F.length("text") <= MAX_TRAIN_CHARS).select("text", "toxic", F.md5("text").alias("m"))
-    taken = [rows.where(F.col("toxic") == k).groupBy("m").agg(F.first("text").alias("text"), F.max("toxic").alias("toxic")).orderBy("m").limit(MAX_TRAIN) for k in (0, 1)]
-    pdf = taken[0].unionByName(taken[1]).toPandas().sort_values("m", kind="stable")
-    return train(pdf["text"].tolist(), pdf["toxic"].to_numpy(float))
+    fold = crc_remainder("doc_id", 3) != 1
+    return train(*labelled_sample(docs, labels, "toxic", fold, MAX_TRAIN, MAX_TRAIN_CHARS))
 
 
 def document_scores(col: pa.Array, model: dict) -> np.ndarray:
