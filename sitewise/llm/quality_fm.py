@@ -17,15 +17,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from .common import crc_remainder, documents, load
+from .common import crc_remainder, documents, labelled_sample, load
 from .textnp import LOWER, SPACE, mix, text_chunks, word_hashes, words
 
 HASH_BITS = 12
 RANK = 8
-MAX_TRAIN = 3000  # labelled documents of each class the model is fitted on
-MAX_TRAIN_CHARS = 20_000
+MAX_TRAIN = 2000  # labelled documents of each class the model is fitted on
+MAX_TRAIN_CHARS = 10_000
 THRESHOLD = 0.3
 N_STATS = 12
 
@@ -149,13 +148,8 @@ def train(texts: list[str], quality: np.ndarray, epochs: int = 12, batch: int =
 def fit(docs: DataFrame, labels: DataFrame) -> dict:
     """Trains on at most MAX_TRAIN documents of each class (each text once, in
     md5 order) among labelled rows outside the hold-out fold."""
-    lab = labels.where("quality is not null and doc_id is not null").where(crc_remainder("doc_id", 5) != 0)
-    lab = lab.groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    rows = docs.where("text is not null").select(F.col("doc_id").alias("d"), "text").join(lab, F.col("d") == F.col("doc_id"))
-    rows = rows.where(F.length("text") <= MAX_TRAIN_CHARS).select("text", "quality", F.md5("text").alias("m"))
-    taken = [rows.where(F.col("quality") == c).groupBy("m").agg(F.first("text").alias("text"), F.min("quality").alias("quality")).orderBy("m").limit(MAX_TRAIN) for c in (0, 1)]
-    pdf = taken[0].unionByName(taken[1]).toPandas().sort_values("m", kind="stable")
-    return train(pdf["text"].tolist(), pdf["quality"].to_numpy(float))
+    fold = crc_remainder("doc_id", 5) != 0
+    return train(*labelled_sample(docs, labels, "quality", fold, MAX_TRAIN, MAX_TRAIN_CHARS))
 
 
 def scorer(model: dict):
