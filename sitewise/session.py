@@ -44,22 +44,35 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+class NoSharedFolder(Exception):
+    """Raised where written intermediates would land on one machine's disk."""
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only where it is unset (local runs, tests) a
-    scratch folder is created and registered as the checkpoint dir.
+    Read from the session.  Only where it is unset and all tasks run in this
+    process (local runs, tests) a scratch folder is made and registered; on
+    a cluster that would be a folder of the driver alone, so it fails.
     """
-    d = spark.sparkContext.getCheckpointDir()
+    d = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="sitewise-ckpt-")
-        spark.sparkContext.setCheckpointDir(d)
-        d = spark.sparkContext.getCheckpointDir() or d
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise NoSharedFolder(f"set spark.checkpoint.dir to a folder that all of {master} shares")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sitewise-ckpt-"))
+        d = spark.sparkContext.getCheckpointDir()
     return d
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or a non-empty folder is at ``path``, in any store that
+    Spark reads.  Errors other than absence are raised."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(p) and (fs.getFileStatus(p).isFile() or len(fs.listStatus(p)) > 0)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and cut its lineage: written as a Parquet table
     in the shared checkpoint folder and read back.  For intermediates that
@@ -75,7 +88,10 @@ def materialize(df: DataFrame) -> DataFrame:
 
 def scratch_path(spark: SparkSession, tag: str) -> str:
     """A fresh sub-path of the shared folder for one job's files."""
-    base = shared_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, f"{tag}-{uuid.uuid4().hex[:12]}")
+    return f"{shared_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Deletes a scratch path of :func:`scratch_path` that no lazy frame reads any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from sitewise.session import materialize, path_exists
+
 
 class SchemaMismatch(Exception):
     pass
@@ -48,34 +50,48 @@ def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
             .select("path", "modificationTime", "length"))
 
 
-def new_files(listing: DataFrame, ledger: DataFrame | None, ledger_col: str = "_file") -> DataFrame:
-    """Files of ``listing`` not yet in the ledger (``left_anti``, no collect
-    of the ledger)."""
-    if ledger is None:
-        return listing
-    done = ledger.select(F.col(ledger_col).alias("path")).distinct()
-    return listing.join(done, "path", "left_anti")
+def plain_path(c: Column) -> Column:
+    """One spelling for a file's path: listings give it plain, ``_metadata``
+    percent-encoded, and the slashes after the scheme vary."""
+    decoded = F.url_decode(F.regexp_replace(c, r"\+", "%2B"))  # a plus is itself in a path
+    return F.regexp_replace(decoded, "^([a-z0-9]+):/+", "$1:/")
+
+
+def listed_path(c: Column) -> Column:
+    return F.regexp_replace(c, "^([a-z0-9]+):/+", "$1:/")
+
+
+def new_files(listing: DataFrame, ledger: DataFrame, ledger_col: str = "_file") -> DataFrame:
+    """Files of ``listing`` not yet in the ledger, a column of ``_metadata``
+    paths (``left_anti``, no collect of the ledger)."""
+    done = ledger.select(plain_path(F.col(ledger_col)).alias("_done")).distinct()
+    return listing.join(done, listed_path(F.col("path")) == F.col("_done"), "left_anti")
 
 
 def ledger_append(spark: SparkSession, source_dir: str, target: str, schema: StructType,
                   fmt: str = "json", glob: str = "*.json", options: dict | None = None) -> int:
     """Append the files of ``source_dir`` that the target has not seen.
 
-    The ledger is the target's own ``_file`` column; only the *new* file
-    names (bounded by one delivery) reach the driver, to build the read.
-    Re-running adds nothing.  Returns the number of files appended.
+    The ledger is the target's own ``_file`` column.  The first run reads the
+    folder whole; later ones read it filtered to the new files by a semi join
+    on the path, so no file name reaches the driver.  Re-running adds
+    nothing.  Returns the number of files appended.
     """
     listing = list_files(spark, source_dir, glob)
-    try:
-        ledger = spark.read.parquet(target).select("_file")
-    except Exception:  # noqa: BLE001 - first run: no target yet
-        ledger = None
-    todo = [r.path for r in new_files(listing, ledger).select("path").collect()]
-    if not todo:
-        return 0
-    reader = spark.read.schema(schema).options(**TS_OPTIONS).options(**(options or {})).format(fmt)
-    with_lineage(reader.load(todo)).write.mode("append").parquet(target)
-    return len(todo)
+    reader = (spark.read.schema(schema).options(**TS_OPTIONS).options(**(options or {})).format(fmt)
+              .option("recursiveFileLookup", "true").option("pathGlobFilter", glob))
+    rows = with_lineage(reader.load(source_dir))
+    if path_exists(spark, target):
+        todo = materialize(new_files(listing, spark.read.parquet(target).select("_file")).select("path"))
+        n = todo.count()
+        if n:
+            mine = todo.select(listed_path(F.col("path")).alias("_todo"))
+            rows = rows.join(mine, plain_path(F.col("_file")) == F.col("_todo"), "left_semi")
+    else:
+        n = listing.count()
+    if n:
+        rows.write.mode("append").parquet(target)
+    return n
 
 
 def read_seed_csv(spark: SparkSession, path: str) -> DataFrame:

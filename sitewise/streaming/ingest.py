@@ -12,13 +12,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 from pyspark.sql.types import StructType
 
 from sitewise.functions.clock import utc_instant, utc_wall_clock
 from sitewise.functions.money import cents, cents_to_double
 from sitewise.operators.history import scd2_from_changes
-from sitewise.session import materialize
+from sitewise.session import materialize, path_exists
 from sitewise.sources.files import TS_OPTIONS, with_lineage
 
 
@@ -61,37 +60,26 @@ def daily_partials(stream: DataFrame, target: str, checkpoint: str, ts_col: str,
 
 
 def windowed_counts(stream: DataFrame, target: str, checkpoint: str, ts_col: str,
-                    group_cols: Sequence[str], value_col: str, window: str = "1 day",
-                    watermark: str = "1 day") -> None:
-    """Event-time tumbling windows with a watermark: running count and value
-    (cents) per (window, group…) kept in the streaming state store; each
-    micro-batch emits the windows it updated (``update`` mode) into
-    ``batch_id=<id>`` (overwrite, so a replayed batch is idempotent).  Rows
-    later than the watermark are dropped by Spark; state of closed windows
-    is evicted.  Read with :func:`read_windows`."""
-    # watermarks need a TIMESTAMP instant; NTZ wall clock is read as UTC without the session zone
-    events = stream.withColumn("_event_time", utc_instant(F.col(ts_col)))
-    agg = (events.withWatermark("_event_time", watermark)
-                 .groupBy(F.window("_event_time", window).alias("w"), *group_cols)
-                 .agg(F.count(F.lit(1)).alias("n"), F.sum(cents(F.col(value_col))).alias("value_cents")))
-
+                    group_cols: Sequence[str], value_col: str, window: str = "1 day") -> None:
+    """Event-time tumbling windows: each micro-batch adds its own count and
+    value (cents) per (window, group...) under ``batch_id=<id>`` (overwrite, so
+    a replayed batch is idempotent).  No state and no watermark, so a row may
+    be as late as it likes; read with :func:`read_windows`, which adds up."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(batch_id))
+        # windows are cut on the UTC reading of the wall clock, free of the session zone
+        (batch.groupBy(F.window(utc_instant(F.col(ts_col)), window).alias("w"), *group_cols)
+              .agg(F.count(F.lit(1)).alias("n"), F.sum(cents(F.col(value_col))).alias("value_cents"))
               .write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}"))
 
-    q = (agg.writeStream.outputMode("update").foreachBatch(write)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q = (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
 def read_windows(spark: SparkSession, target: str, group_cols: Sequence[str]) -> DataFrame:
-    """Latest emitted version of every window (max by batch id): a partial
-    aggregate, no window function."""
-    v = spark.read.parquet(target)
-    last = F.max(F.struct("batch_id", "n", "value_cents")).alias("_l")
-    return (v.groupBy(utc_wall_clock(F.col("w.start")).alias("window_start"), *group_cols).agg(last)
-             .select("window_start", *group_cols, F.col("_l.n").alias("n"),
-                     cents_to_double(F.col("_l.value_cents")).alias("value_sum")))
+    """Windows summed over all micro-batches."""
+    return (spark.read.parquet(target).groupBy(utc_wall_clock(F.col("w.start")).alias("window_start"), *group_cols)
+            .agg(F.sum("n").alias("n"), cents_to_double(F.sum("value_cents")).alias("value_sum")))
 
 
 def read_daily(spark: SparkSession, target: str, group_cols: Sequence[str]) -> DataFrame:
@@ -127,13 +115,9 @@ def scd2_stream(stream: DataFrame, bronze: str, silver: str, checkpoint: str,
         new_hist = (scd2_from_changes(rows.drop("_bucket"), keys, order_cols, tracked, untracked,
                                       bucket=seq_bucket)
                     .withColumn("_bucket", bucket))
-        try:
-            current = spark.read.parquet(silver)
-        except AnalysisException:  # first batch: no silver table yet
-            current = None
         out = new_hist
-        if current is not None:
-            kept = (current.join(touched_keys.select("_bucket").distinct(), "_bucket", "left_semi")
+        if path_exists(spark, silver):
+            kept = (spark.read.parquet(silver).join(touched_keys.select("_bucket").distinct(), "_bucket", "left_semi")
                            .join(touched_keys, [*keys, "_bucket"], "left_anti"))
             out = kept.unionByName(new_hist)
         # stage first: the job must not read the partitions it overwrites
