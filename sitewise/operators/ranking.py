@@ -6,12 +6,12 @@ the whole job.  Here ranks come from a *frequency table* instead:
 
 1. ``groupBy(g, v).count()`` — map-side combined, so ties collapse before
    the shuffle;
-2. each group's distinct values are cut into value-range buckets from an
-   approximate quantile sketch (a mergeable aggregate);
-3. prefix sums run per (group, bucket) and over the small bucket table.
+2. the table is range-partitioned by (g, v), so a large group spans as many
+   partitions as it needs, in order of value;
+3. prefix sums run inside each (group, partition) and over the small table
+   of (group, partition) totals.
 
-The result is exact; only the bucket boundaries are approximate, and they
-only decide which task does the work.
+Values keep their type: nothing is cast, so longs beyond 2^53 do not tie.
 """
 
 from __future__ import annotations
@@ -23,113 +23,82 @@ from pyspark.sql import functions as F
 
 from sitewise.session import materialize
 
-N_BUCKETS = 32          # at least this many value-range buckets per group
-MAX_BUCKETS = 4096      # at most (the sketch returns this many bounds per group)
-PER_BUCKET = 2_000_000  # target distinct values per bucket task
 
-
-def bucket_count(freq: DataFrame, group_cols: Sequence[str], per_bucket: int = PER_BUCKET,
-                 lo: int = N_BUCKETS, hi: int = MAX_BUCKETS) -> int:
-    """Buckets per group so that the largest group's distinct values fill
-    about ``per_bucket`` values per task (clamped to [lo, hi])."""
-    g = list(group_cols)
-    biggest = (freq.groupBy(*g).count().agg(F.max("count")).first()[0] if g else freq.count()) or 0
-    return int(min(hi, max(lo, -(-biggest // per_bucket))))
-
-
-def order_stats(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                n_buckets: int | None = None) -> DataFrame:
+def order_stats(df: DataFrame, group_cols: Sequence[str], value_col: str) -> DataFrame:
     """Per distinct non-null (group, value): ``n_ties``, ``n_before`` (rows
-    with a smaller value in the group) and ``n_total`` (non-null rows).
-    ``n_buckets`` defaults to :func:`bucket_count` of the frequency table."""
+    with a smaller value in the group) and ``n_total`` (non-null rows)."""
     g = list(group_cols)
-    v = F.col(value_col)
-    # the frequency table feeds the sizing, the sketch and the prefix sums: compute it once
-    freq = materialize(df.where(v.isNotNull())
-                         .groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("_n")))
-    if n_buckets is None:
-        n_buckets = bucket_count(freq, g)
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    sketch = F.percentile_approx(value_col, probs, 10000).alias("_bounds")
-    if g:
-        bounds = freq.groupBy(*g).agg(sketch)
-        fb = freq.join(bounds, g)
-    else:  # one global row: attach as a scalar subquery, no join
-        fb = freq.withColumn("_bounds", freq.agg(sketch).scalar())
-    fb = (fb.withColumn("_b", F.size(F.filter("_bounds", lambda x: x < v)))
-            .drop("_bounds"))
-
-    wb = Window.partitionBy(*g, "_b").orderBy(value_col)
-    fb = fb.withColumn(
-        "_before_in",
-        F.coalesce(F.sum("_n").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-
-    bt = fb.groupBy(*g, "_b").agg(F.sum("_n").alias("_bn"))
-    wg = Window.partitionBy(*g).orderBy("_b")
-    bt = (bt.withColumn("_before_b",
-                        F.coalesce(F.sum("_bn").over(wg.rowsBetween(Window.unboundedPreceding, -1)),
-                                   F.lit(0)))
-            .withColumn("_total", F.sum("_bn").over(Window.partitionBy(*g))))
-    return (fb.join(bt, [*g, "_b"])
-              .select(*g, value_col,
-                      F.col("_n").cast("long").alias("n_ties"),
-                      (F.col("_before_b") + F.col("_before_in")).cast("long").alias("n_before"),
-                      F.col("_total").cast("long").alias("n_total")))
-
-
-def signed_value(value: Column, better: Column) -> Column:
-    """Value oriented so that larger is better: ``lower`` metrics are negated
-    (an ``+inf`` 'lower' value becomes ``-inf`` and ranks worst)."""
-    return F.when(better == F.lit("lower"), -value).otherwise(value)
+    freq = df.where(F.col(value_col).isNotNull()).groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("_n"))
+    # the partition number is written with its rows, so later reads agree on it
+    placed = materialize(freq.repartitionByRange(*g, value_col).withColumn("_part", F.spark_partition_id()))
+    ahead = (Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*g, "_part").orderBy(value_col).rowsBetween(*ahead)
+    totals = placed.groupBy(*g, "_part").agg(F.sum("_n").alias("_rows"))
+    across = Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))
+    totals = (totals.withColumn("_earlier", F.coalesce(F.sum("_rows").over(across.orderBy("_part").rowsBetween(*ahead)), F.lit(0)))
+                    .withColumn("n_total", F.sum("_rows").over(across).cast("long")).drop("_rows"))
+    placed = placed.withColumn("_here", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+    same = F.col("_part") == F.col("_t__part")
+    for c in g:  # a null group is a group
+        same = same & F.col(c).eqNullSafe(F.col(f"_t_{c}"))
+    out = placed.join(totals.select(*[F.col(c).alias(f"_t_{c}") for c in [*g, "_part"]], "_earlier", "n_total"), same)
+    return out.select(*g, value_col, F.col("_n").cast("long").alias("n_ties"),
+                      (F.col("_earlier") + F.col("_here")).cast("long").alias("n_before"), "n_total")
+
+
+def with_order_stats(df: DataFrame, group_cols: Sequence[str], value_col: str) -> DataFrame:
+    """``df`` with the order statistics of each row's value, null for a null value."""
+    g = list(group_cols)
+    st = order_stats(df, g, value_col)
+    names = {c: f"_s_{c}" for c in [*g, value_col]}
+    same = F.col(value_col) == F.col(names[value_col])
+    for c in g:
+        same = same & F.col(c).eqNullSafe(F.col(names[c]))
+    return df.join(st.withColumnsRenamed(names), same, "left").drop(*names.values())
 
 
 def midrank_percentile(df: DataFrame, group_cols: Sequence[str], value_col: str,
                        better_col: str | None = None, out_col: str = "pct_rank",
-                       with_counts: bool = False, bounded: bool = False) -> DataFrame:
+                       with_counts: bool = False) -> DataFrame:
     """Percentile position 0 (worst) … 1 (best); ties share the midrank.
 
-    ``(r_min + (ties - 1)/2 - 1) / (N - 1)`` with ``r_min`` the ascending
-    rank of the direction-signed value.  N = 1 gives 0.5 (the one unit sits
-    in the middle).  NULL values get NULL.
-
-    ``bounded=True`` is for inputs whose groups are bounded by a dimension
-    (units × metrics): plain window functions, fewer stages.  The default
-    path (:func:`order_stats`) never puts a whole group in one task.
+    Rows worse than this one, plus half of its ties, over all others; where
+    ``better_col`` says ``lower`` the worse rows are those with larger values
+    (an infinite one is worst).  N = 1 gives 0.5 (the one unit sits in the
+    middle).  NULL values get NULL.
     """
-    g = list(group_cols)
-    better = F.col(better_col) if better_col else F.lit("higher")
-    keyed = df.withColumn("_s", signed_value(F.col(value_col).cast("double"), better))
-    if bounded:
-        # dimension-sized input (e.g. units × metrics): RANK and COUNT windows per group
-        w = Window.partitionBy(*g)
-        ranked = (keyed.withColumn("_r", F.when(F.col("_s").isNotNull(),
-                                                F.rank().over(w.orderBy(F.col("_s").asc_nulls_last()))))
-                       .withColumn("n_ties", F.count(F.lit(1)).over(Window.partitionBy(*g, "_s")))
-                       .withColumn("n_total", F.count("_s").over(w))
-                       .withColumn("n_before", F.col("_r") - 1))
-        pct = F.when(F.col("_s").isNull(), F.lit(None)).when(F.col("n_total") == 1, F.lit(0.5)).otherwise(
-            (F.col("n_before") + (F.col("n_ties") - 1) / 2.0) / (F.col("n_total") - 1))
-        out = ranked.withColumn(out_col, pct.cast("double")).drop("_r", "_s")
-        return out if with_counts else out.drop("n_ties", "n_before", "n_total")
-    stats = order_stats(keyed.select(*g, "_s"), g, "_s")
+    out = with_order_stats(df, group_cols, value_col)
+    larger = F.col("n_total") - F.col("n_before") - F.col("n_ties")
+    worse = F.when(F.col(better_col) == "lower", larger).otherwise(F.col("n_before")) if better_col else F.col("n_before")
     pct = F.when(F.col("n_total") == 1, F.lit(0.5)).otherwise(
-        (F.col("n_before") + (F.col("n_ties") - 1) / 2.0) / (F.col("n_total") - 1))
-    stats = stats.withColumn(out_col, pct)
-    if not with_counts:
-        stats = stats.drop("n_ties", "n_before", "n_total")
-    return keyed.join(stats, [*g, "_s"], "left").drop("_s")
+        (worse + (F.col("n_ties") - 1) / 2.0) / (F.col("n_total") - 1))
+    out = out.withColumn(out_col, pct.cast("double"))
+    return out.withColumn("n_before", worse) if with_counts else out.drop("n_ties", "n_before", "n_total")
 
 
 def rank_column(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                descending: bool = False, out_col: str = "rnk") -> DataFrame:
+                descending: bool = False, out_col: str = "rnk", nulls: str | None = "last") -> DataFrame:
     """SQL ``RANK()`` (ties share the lowest rank) computed from
-    :func:`order_stats`; ``descending`` ranks the largest value 1."""
+    :func:`order_stats`; ``descending`` ranks the largest value 1.  NULL
+    values rank after all others (``nulls="last"``), before them
+    (``"first"``) or not at all (None)."""
     g = list(group_cols)
-    key = -F.col(value_col).cast("double") if descending else F.col(value_col).cast("double")
-    keyed = df.withColumn("_s", key)
-    stats = order_stats(keyed.select(*g, "_s"), g, "_s").select(
-        *g, "_s", (F.col("n_before") + 1).alias(out_col))
-    return keyed.join(stats, [*g, "_s"], "left").drop("_s")
+    out = with_order_stats(df, g, value_col)
+    ahead = F.col("n_total") - F.col("n_before") - F.col("n_ties") if descending else F.col("n_before")
+    rank = ahead + 1
+    if nulls is not None:
+        # one row a group: its rows with and without a value
+        sizes = df.groupBy(*g).agg(F.count(value_col).alias("_known"), F.count_if(F.col(value_col).isNull()).alias("_null"))
+        if g:
+            same = F.lit(True)
+            for c in g:
+                same = same & F.col(c).eqNullSafe(F.col(f"_z_{c}"))
+            out = out.join(sizes.withColumnsRenamed({c: f"_z_{c}" for c in g}), same).drop(*[f"_z_{c}" for c in g])
+        else:
+            out = out.withColumn("_known", sizes.select("_known").scalar()).withColumn("_null", sizes.select("_null").scalar())
+        rank = (F.coalesce(rank, F.col("_known") + 1) if nulls == "last"
+                else F.coalesce(rank + F.col("_null"), F.lit(1)))
+    return out.withColumn(out_col, rank.cast("long")).drop("n_ties", "n_before", "n_total", "_known", "_null")
 
 
 def percentile_cont(df: DataFrame, group_cols: Sequence[str], value_col: str,
@@ -154,7 +123,7 @@ def spearman(df: DataFrame, group_cols: Sequence[str], a_col: str, b_col: str,
     """Correlation of the RANKs of two columns (rank ties at the minimum,
     as ``corr(rank…)`` in SQL).  One row per group."""
     g = list(group_cols)
-    r = rank_column(df, g, a_col, out_col="_ra")
-    r = rank_column(r, g, b_col, out_col="_rb")
+    r = rank_column(df, g, a_col, out_col="_ra", nulls=None)
+    r = rank_column(r, g, b_col, out_col="_rb", nulls=None)
     agg = F.corr(F.col("_ra").cast("double"), F.col("_rb").cast("double")).alias(out_col)
     return r.groupBy(*g).agg(agg) if g else r.agg(agg)

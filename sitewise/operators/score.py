@@ -10,10 +10,11 @@ joins on their keys, never as a cartesian product of data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitewise.operators.shape import domain_array
+from sitewise.operators.ranking import rank_column
+from sitewise.operators.shape import expand_domain
 
 
 def normalise_weights(weights: DataFrame, group_col: str = "scenario",
@@ -27,10 +28,9 @@ def expand_runs(weights: DataFrame, variants: DataFrame) -> DataFrame:
     """Component rows per run: (scenario, variant, component, metric_used,
     weight).  ``weights``: scenario, metric, weight; ``variants``: variant,
     swap_from, swap_to, only_scenario (NULL = all)."""
-    # each variant runs in its only_scenario, or in every scenario: a generator, then an equi-join
-    scenarios = domain_array(weights, "scenario")
-    runs = variants.withColumn("scenario", F.explode(
-        F.when(F.col("only_scenario").isNull(), scenarios).otherwise(F.array(F.col("only_scenario")))))
+    # each variant runs in its only_scenario, or else in every scenario
+    everywhere = expand_domain(variants.where("only_scenario IS NULL"), weights, "scenario")
+    runs = everywhere.unionByName(variants.where("only_scenario IS NOT NULL").withColumn("scenario", F.col("only_scenario")))
     comp = weights.join(runs, "scenario")
     return comp.select(
         "scenario", "variant", F.col("metric").alias("component"),
@@ -47,8 +47,15 @@ def score_components(runs: DataFrame, metrics: DataFrame, unit_col: str) -> Data
 
 
 def score(components: DataFrame, strategies: DataFrame, variants: DataFrame,
-          quantities: DataFrame, costs: DataFrame, unit_col: str) -> DataFrame:
-    """Attractiveness Σ contribution, votes = quantity^α × a ÷ cost, ranks.
+          quantities: DataFrame, costs: DataFrame, unit_col: str,
+          digits: tuple[int, int] | None = None) -> DataFrame:
+    """Attractiveness Σ contribution and votes = quantity^α × a ÷ cost.
+
+    A unit with a missing component value has fewer ``n_components`` than
+    ``n_expected`` and no attractiveness, votes or meaning: callers reject it
+    (:func:`sitewise.operators.quality.expect`).  ``digits`` rounds
+    attractiveness and votes, so that ties in their ranks (:func:`with_ranks`)
+    do not hang on the order of summation.
 
     ``strategies``: scenario, alpha, quantity; ``variants``: variant, alpha,
     quantity, use_cost_factor, only_scenario; ``quantities``: unit, metric,
@@ -56,7 +63,10 @@ def score(components: DataFrame, strategies: DataFrame, variants: DataFrame,
     """
     s = components.groupBy("scenario", "variant", unit_col).agg(
         F.sum("contribution").alias("attractiveness"),
-        F.count(F.lit(1)).alias("n_components"))
+        F.count("contribution").alias("n_components"), F.count(F.lit(1)).alias("n_expected"))
+    s = s.withColumn("attractiveness", F.when(F.col("n_components") == F.col("n_expected"), F.col("attractiveness")))
+    if digits:
+        s = s.withColumn("attractiveness", F.round("attractiveness", digits[0]))
     st = strategies.select("scenario", F.col("alpha").alias("_sa"), F.col("quantity").alias("_sq"))
     va = variants.select("variant", F.col("alpha").alias("_va"), F.col("quantity").alias("_vq"),
                          "use_cost_factor")
@@ -71,7 +81,13 @@ def score(components: DataFrame, strategies: DataFrame, variants: DataFrame,
           .drop("use_cost_factor"))
     b = b.withColumn("votes", F.pow(F.col("quantity_value"), F.col("alpha")) * F.col("attractiveness")
                      / F.col("cost_factor"))
-    run = Window.partitionBy("scenario", "variant")
-    return (b.withColumn("attractiveness_rank",
-                         F.rank().over(run.orderBy(F.desc("attractiveness"))).cast("long"))
-             .withColumn("votes_rank", F.rank().over(run.orderBy(F.desc("votes"))).cast("long")))
+    if digits:
+        b = b.withColumn("votes", F.round("votes", digits[1]))
+    return b
+
+
+def with_ranks(scores: DataFrame) -> DataFrame:
+    """The two ranks of a unit in its run; seats need none, so they are apart."""
+    run = ["scenario", "variant"]
+    ranked = rank_column(scores, run, "attractiveness", descending=True, out_col="attractiveness_rank")
+    return rank_column(ranked, run, "votes", descending=True, out_col="votes_rank")

@@ -8,7 +8,8 @@ from sitewise.functions.clock import epoch_seconds
 from sitewise.functions.money import cents, cents_to_double
 from sitewise.operators.ranking import order_stats, rank_column, spearman
 from sitewise.operators.allocate import allocate_seats
-from sitewise.plans.q_ranking import (_METRICS_SQL, _PARAMS_SQL, _score_chain, nation_metrics, nation_units,
+from sitewise.operators.shrink import eb_shrink
+from sitewise.plans.q_ranking import (_METRICS_SQL, _PARAMS_SQL, _score_chain, customers_and_suppliers, finished_orders,
                                       score_votes)
 from sitewise.plans.registry import query
 from sitewise.session import load, materialize
@@ -114,7 +115,7 @@ def usage_gap_q(spark, sf):
     c = load(spark, sf, "customer").groupBy(F.col("c_nationkey").cast("long").alias("unit")).agg(
         F.count_if(F.col("c_mktsegment") == "AUTOMOBILE").alias("a"),
         F.count_if(F.col("c_mktsegment") == "MACHINERY").alias("b"))
-    u = nation_units(spark, sf).select("unit", "n_supp").join(c, "unit", "left")
+    u = customers_and_suppliers(spark, sf).select("unit", "n_supp").join(c, "unit", "left")
     d = u.select("unit",
                  ((F.lit(NEED_W_FIRST) * F.coalesce("a", F.lit(0)) + F.lit(NEED_W_SECOND) * F.coalesce("b", F.lit(0)))
                   .cast("double") / 10.0).alias("need"),
@@ -139,7 +140,7 @@ FROM r WHERE rk_cust <= {REPORT_TOP} OR rk_supp <= {REPORT_TOP}
 """)
 def rank_report_q(spark, sf):
     """Nations in the top 5 by customers or by suppliers, with percent_rank."""
-    u = nation_units(spark, sf).select("unit", "n_cust", "n_supp")
+    u = customers_and_suppliers(spark, sf).select("unit", "n_cust", "n_supp")
     r = rank_column(u, [], "n_cust", descending=True, out_col="rk_cust")
     r = rank_column(r, [], "n_supp", descending=True, out_col="rk_supp")
     st = order_stats(u.select(F.col("n_cust").cast("double").alias("v")), [], "v")
@@ -160,11 +161,10 @@ FROM r a JOIN r b ON a.unit = b.unit AND a.metric = 'growth' AND b.metric = 'gro
 """)
 def rank_robustness_q(spark, sf):
     """How far ranks move between the shrunk and the raw growth share."""
-    m = nation_metrics(spark, sf)
-    g = rank_column(m.where(F.col("metric") == "growth").select("unit", "value"), [], "value",
-                    descending=True, out_col="rk_a")
-    r = rank_column(m.where(F.col("metric") == "growth_raw").select("unit", "value"), [], "value",
-                    descending=True, out_col="rk_b")
+    m = materialize(eb_shrink(materialize(finished_orders(spark, sf)), "region", "x", "n")
+                    .select("unit", F.round("value", 10).alias("value"), F.round("raw", 10).alias("raw")))
+    g = rank_column(m.select("unit", "value"), [], "value", descending=True, out_col="rk_a")
+    r = rank_column(m.select("unit", "raw"), [], "raw", descending=True, out_col="rk_b")
     j = g.select("unit", "rk_a").join(r.select("unit", "rk_b"), "unit")
     s = F.abs(F.col("rk_a") - F.col("rk_b"))
     return j.agg(F.count(F.lit(1)).alias("n_units"), F.round(F.avg(s), 10).alias("mean_shift"),

@@ -9,7 +9,7 @@ from sitewise.operators.checks import (decode_codes, hierarchy_gap, in_box, reti
                                        set_difference)
 from sitewise.operators.ranking import midrank_percentile
 from sitewise.operators.shape import calendar_dim
-from sitewise.plans.q_ranking import nation_units
+from sitewise.plans.q_ranking import customers_and_suppliers
 from sitewise.plans.q_spatial import (_GEOM_SQL, _SECTIONS_SQL, _assign_sql, _traffic, customer_points,
                                       tile_edges)
 from sitewise.plans.registry import query
@@ -213,7 +213,7 @@ def _traffic_metrics(spark, sf):
     _, j = _traffic(spark, sf)
     km = F.col("length_m").cast("double") / 1000
     per = j.groupBy("area").agg(F.sum(km).alias("road_km"), F.sum(km * F.col("adt")).alias("vkm"))
-    u = nation_units(spark, sf).select(F.col("unit").alias("area"), "n_cust", "n_supp")
+    u = customers_and_suppliers(spark, sf).select(F.col("unit").alias("area"), "n_cust", "n_supp")
     areas = tile_edges(spark, sf).select("area").distinct()
     t = areas.join(per, "area", "left").join(u, "area", "left").fillna(0.0, ["road_km", "vkm"])
     return materialize(t)
@@ -252,7 +252,7 @@ def traffic_metrics_q(spark, sf):
         part = t.select(F.col("area").alias("unit"), F.lit(name).alias("metric"), F.lit(better).alias("better"),
                         F.round(v, 6).alias("value"))
         long = part if long is None else long.unionByName(part)
-    return midrank_percentile(long, ["metric"], "value", better_col="better", bounded=True)  # tiles × metrics
+    return midrank_percentile(long, ["metric"], "value", better_col="better")
 
 
 @query("intensity_top", "WITH " + _GEOM_SQL + "," + _SECTIONS_SQL + "," + _assign_sql(

@@ -33,21 +33,35 @@ def test_midrank_mean_is_half(spark):
     assert abs(sum(got) / len(got) - 0.5) < 1e-12
 
 
-def test_bounded_and_distributed_midrank_agree(spark):
+def test_midrank_by_direction_matches_naive(spark):
     rnd = random.Random(21)
     vals = [None, math.inf, -math.inf] + [float(rnd.randint(0, 30)) for _ in range(400)]
     rows = [(i, "m%d" % (i % 3), "lower" if i % 3 == 1 else "higher", v) for i, v in enumerate(vals)]
     df = spark.createDataFrame(rows, "id int, metric string, better string, v double")
-    a = {r.id: r.pct_rank for r in midrank_percentile(df, ["metric"], "v", "better").collect()}
-    b = {r.id: r.pct_rank for r in midrank_percentile(df, ["metric"], "v", "better", bounded=True).collect()}
-    assert a == b
+    got = {r.id: r.pct_rank for r in midrank_percentile(df, ["metric"], "v", "better").collect()}
+    for i, m, better, v in rows:
+        if v is None:
+            assert got[i] is None
+            continue
+        own = [x if better == "higher" else -x for _, mm, _, x in rows if mm == m and x is not None]
+        s = v if better == "higher" else -v
+        assert got[i] == (sum(x < s for x in own) + (own.count(s) - 1) / 2) / (len(own) - 1)
+
+
+def test_ranks_keep_longs_apart_and_place_nulls(spark):
+    big = 2 ** 53
+    df = spark.createDataFrame([(1, big), (2, big + 1), (3, None), (4, 5), (5, 6)], "id int, v long")
+    rank = lambda **k: {r.id: r.rnk for r in rank_column(df, [], "v", **k).collect()}
+    assert rank() == {4: 1, 5: 2, 1: 3, 2: 4, 3: 5}
+    assert rank(descending=True, nulls="first") == {3: 1, 2: 2, 1: 3, 5: 4, 4: 5}
+    assert rank(nulls=None)[3] is None
 
 
 def test_order_stats_matches_naive_rank_across_buckets(spark):
     rnd = random.Random(7)
     rows = [("hot" if i % 3 else "cold", float(rnd.randint(0, 500))) for i in range(3000)]
     df = spark.createDataFrame(rows, "g string, v double")
-    st = {(r.g, r.v): (r.n_before, r.n_ties, r.n_total) for r in order_stats(df, ["g"], "v", n_buckets=8).collect()}
+    st = {(r.g, r.v): (r.n_before, r.n_ties, r.n_total) for r in order_stats(df, ["g"], "v").collect()}
     for g in ("hot", "cold"):
         vals = sorted(v for gg, v in rows if gg == g)
         for v in set(vals):
