@@ -11,11 +11,12 @@ TRUE_WORDS = ("true", "t", "1", "yes", "y", "ja", "j")
 FALSE_WORDS = ("false", "f", "0", "no", "n", "nej")
 
 
-def tolerant_bool(c: Column) -> Column:
-    """Lenient boolean parse; anything unknown is NULL (and then fails a
-    NOT NULL expectation)."""
+def tolerant_bool(c: Column, blank: bool | None = False) -> Column:
+    """Lenient boolean parse; a blank text is ``blank`` (seeds leave a flag
+    empty for no), anything unknown is NULL (and then fails a NOT NULL
+    expectation)."""
     s = F.lower(F.trim(c))
-    return F.when(s.isin(*TRUE_WORDS), F.lit(True)).when(s.isin(*FALSE_WORDS), F.lit(False))
+    return F.when(s == "", F.lit(blank).cast("boolean")).when(s.isin(*TRUE_WORDS), F.lit(True)).when(s.isin(*FALSE_WORDS), F.lit(False))
 
 
 def parse_position(c: Column) -> tuple[Column, Column]:

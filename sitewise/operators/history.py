@@ -99,15 +99,20 @@ def scd2_from_changes(df: DataFrame, keys: Sequence[str], order_cols: Sequence[s
 
 
 def scd2_from_snapshots(snap_rows: DataFrame, keys: Sequence[str], snap_col: str,
-                        tracked: Sequence[str], snapshots: DataFrame | None = None) -> DataFrame:
+                        tracked: Sequence[str], snapshots: DataFrame | None = None,
+                        untracked: Sequence[str] = ()) -> DataFrame:
     """Versions from full snapshots: keys, tracked…, ``start_at`` (first
     snapshot of the version), ``end_at`` (first snapshot where the key is
     absent or changed; NULL = current), ``n_snapshots``.
 
     ``snapshots`` lists every snapshot taken (default: those present in
-    ``snap_rows``); it is small — one row per snapshot.
+    ``snap_rows``); it is small — one row per snapshot.  Rows that repeat a
+    key in a snapshot collapse to the largest by value.  ``untracked``
+    columns open no version; a version carries their newest values.
     """
-    k, t = list(keys), list(tracked)
+    k, t, u = list(keys), list(tracked), list(untracked)
+    snap_rows = (snap_rows.groupBy(*k, snap_col).agg(F.max(_struct([*t, *u])).alias("_v"))
+                 .select(*k, snap_col, *[F.col(f"_v.{c}").alias(c) for c in [*t, *u]]))
     snaps = snapshots if snapshots is not None else snap_rows.select(snap_col).distinct()
     snaps = snaps.select(snap_col).distinct().withColumn(
         "_idx", F.row_number().over(Window.orderBy(snap_col)))
@@ -118,10 +123,12 @@ def scd2_from_snapshots(snap_rows: DataFrame, keys: Sequence[str], snap_col: str
     chg = F.col("_pidx").isNull() | (F.col("_pidx") != F.col("_idx") - 1) | ~F.col("_pt").eqNullSafe(F.col("_t"))
     r = r.withColumn("_vid", F.sum(chg.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     v = r.groupBy(*k, "_vid").agg(F.first("_t").alias("_t"), F.min("_idx").alias("_i0"),
+                                  F.max(F.struct("_idx", *u)).alias("_new"),
                                   F.max("_idx").alias("_i1"), F.count(F.lit(1)).alias("n_snapshots"))
     s0 = snaps.select(F.col("_idx").alias("_i0"), F.col(snap_col).alias("start_at"))
     s1 = snaps.select((F.col("_idx") - 1).alias("_i1"), F.col(snap_col).alias("end_at"))
     out = v.join(s0, "_i0").join(s1, "_i1", "left")
-    return out.select(*k, *[F.col(f"_t.{c}").alias(c) for c in t], "start_at", "end_at",
+    return out.select(*k, *[F.col(f"_t.{c}").alias(c) for c in t], *[F.col(f"_new.{c}").alias(c) for c in u],
+                      "start_at", "end_at",
                       F.col("end_at").isNull().alias("is_current"),
                       F.col("n_snapshots").cast("long").alias("n_snapshots"))

@@ -92,11 +92,11 @@ def local_date(ts: Column, tz: str) -> Column:
 
 
 def reconcile(children: DataFrame, parents: DataFrame, keys: Sequence[str], child_col: str,
-              parent_col: str, rule_col: str) -> DataFrame:
+              parent_col: str, rule_col: str, rounding_unit: float = 0.01) -> DataFrame:
     """Σ children vs the published parent total per key, judged by ``rule``.
 
     ``rule_col`` names the rule of each child row (constant per key): exact (diff = 0), rounding
-    (|diff| <= 0.5 · n_children for integer rounding), suppressed (diff <= 0),
+    (|diff| <= half a ``rounding_unit`` per child: the unit is that of the published figures), suppressed (diff <= 0),
     unallocated (diff <= 0 and |diff| <= 1 % of the parent), noise
     (|diff| <= 0.001 % of the parent); a missing parent fails.
     """
@@ -109,7 +109,7 @@ def reconcile(children: DataFrame, parents: DataFrame, keys: Sequence[str], chil
     d, p, n = F.col("diff"), F.col("parent"), F.col("n_children")
     within = (F.when(F.col("parent").isNull(), F.lit(False))
                .when(F.col("rule") == "exact", d == 0)
-               .when(F.col("rule") == "rounding", F.abs(d) <= F.lit(0.5) * n)
+               .when(F.col("rule") == "rounding", F.abs(d) <= F.lit(rounding_unit / 2) * n)
                .when(F.col("rule") == "suppressed", d <= 0)
                .when(F.col("rule") == "unallocated", (d <= 0) & (F.abs(d) <= F.lit(0.01) * F.abs(p)))
                .when(F.col("rule") == "noise", F.abs(d) <= F.lit(0.00001) * F.abs(p)))

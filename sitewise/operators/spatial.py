@@ -19,6 +19,8 @@ and every join is on an equality key, so skewed cells only widen a task.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,7 +76,7 @@ def segment_distance(px: Column, py: Column) -> Column:
 
 def nearest_border(points: DataFrame, edges: DataFrame, max_dist: float,
                    pid: str = "pid", area_col: str = "area") -> DataFrame:
-    """(pid, area, dist) of the nearest border segment within ``max_dist``;
+    """(pid, area, dist) of the nearest border segment nearer than ``max_dist``;
     ties to the lowest area code; points farther away are absent."""
     e = (edges.withColumn("cx", F.explode(_cells(F.least("x1", "x2") - max_dist,
                                                  F.greatest("x1", "x2") + max_dist, max_dist)))
@@ -83,7 +85,7 @@ def nearest_border(points: DataFrame, edges: DataFrame, max_dist: float,
     p = points.select(pid, "x", "y", F.floor(F.col("x") / max_dist).cast("long").alias("cx"),
                       F.floor(F.col("y") / max_dist).cast("long").alias("cy"))
     d = p.join(e, ["cx", "cy"]).withColumn("dist", segment_distance(F.col("x"), F.col("y")))
-    d = d.where(F.col("dist") <= max_dist)
+    d = d.where(F.col("dist") < max_dist)
     best = F.min(F.struct("dist", F.col(area_col).alias("a"))).alias("_b")
     return d.groupBy(pid).agg(best).select(pid, F.col("_b.a").alias(area_col), F.col("_b.dist").alias("dist"))
 
@@ -108,21 +110,24 @@ def line_lengths(segments: DataFrame, line_col: str = "line_id") -> DataFrame:
     return segments.withColumn("seg_len", seg_len)
 
 
-def line_midpoints(segments: DataFrame, line_col: str = "line_id", order_col: str = "seg_no") -> DataFrame:
+def line_midpoints(segments: DataFrame, line_col: str = "line_id",
+                   order_col: str | Sequence[str] = "seg_no") -> DataFrame:
     """(line, length, mx, my): the point at half the total length walking the
-    segments in order; a zero-length line gives its first point."""
+    segments in order (of several columns for multi-part lines, such as part
+    and number in the part); a zero-length line gives its first point."""
+    order = [order_col] if isinstance(order_col, str) else list(order_col)
     s = line_lengths(segments, line_col)
-    w = Window.partitionBy(line_col).orderBy(order_col)
+    w = Window.partitionBy(line_col).orderBy(*order)
     s = (s.withColumn("_before", F.coalesce(F.sum("seg_len").over(w.rowsBetween(Window.unboundedPreceding, -1)),
                                             F.lit(0.0)))
           .withColumn("length", F.sum("seg_len").over(Window.partitionBy(line_col))))
     half = F.col("length") / 2
     on_seg = (F.col("_before") <= half) & (half <= F.col("_before") + F.col("seg_len"))
     t = F.when(F.col("seg_len") > 0, (half - F.col("_before")) / F.col("seg_len")).otherwise(F.lit(0.0))
-    cand = s.where(on_seg).select(line_col, "length", order_col,
+    cand = s.where(on_seg).select(line_col, "length", F.struct(*order).alias("_at"),
                                   (F.col("x1") + t * (F.col("x2") - F.col("x1"))).alias("mx"),
                                   (F.col("y1") + t * (F.col("y2") - F.col("y1"))).alias("my"))
-    first = F.min(F.struct(order_col, "mx", "my")).alias("_m")
+    first = F.min(F.struct("_at", "mx", "my")).alias("_m")
     return cand.groupBy(line_col).agg(F.first("length").alias("length"), first).select(
         line_col, "length", F.col("_m.mx").alias("mx"), F.col("_m.my").alias("my"))
 
@@ -169,7 +174,7 @@ def with_midpoint(df: DataFrame, pts_col: str) -> DataFrame:
 def area_traffic(sections: DataFrame, areas: DataFrame, area_col: str = "area") -> DataFrame:
     """Per area (all areas, 0 where no section): sections, road km,
     vehicle-km/day (all, heavy), max flow, measured share and flow-weighted
-    measurement year, sections without flow.  ``sections``: area, length_m,
+    measurement year (over the sections whose year is known), sections without flow.  ``sections``: area, length_m,
     adt, adt_heavy, measured (bool), year."""
     km = F.col("length_m") / 1000
     vkm = km * F.col("adt")
@@ -178,6 +183,7 @@ def area_traffic(sections: DataFrame, areas: DataFrame, area_col: str = "area")
         F.sum(km * F.col("adt_heavy")).alias("vkm_heavy"), F.max("adt").alias("max_adt"),
         F.sum(F.when(F.col("measured"), vkm)).alias("_vkm_measured"),
         F.sum(vkm * F.col("year")).alias("_vkm_year"),
+        F.sum(F.when(F.col("year").isNotNull(), vkm)).alias("_vkm_dated"),
         F.count_if(F.col("adt").isNull()).alias("n_no_adt"))
     out = areas.select(area_col).join(agg, area_col, "left")
     tot = F.coalesce(F.col("vkm"), F.lit(0.0))
@@ -189,5 +195,5 @@ def area_traffic(sections: DataFrame, areas: DataFrame, area_col: str = "area")
         F.coalesce("vkm_heavy", F.lit(0.0)).alias("vkm_heavy"),
         F.coalesce("max_adt", F.lit(0.0)).alias("max_adt"),
         F.when(tot > 0, F.coalesce("_vkm_measured", F.lit(0.0)) / tot).otherwise(F.lit(0.0)).alias("measured_share"),
-        F.when(tot > 0, F.col("_vkm_year") / tot).otherwise(F.lit(0.0)).alias("weighted_year"),
+        F.when(F.col("_vkm_dated") > 0, F.col("_vkm_year") / F.col("_vkm_dated")).otherwise(F.lit(0.0)).alias("weighted_year"),
         F.coalesce("n_no_adt", F.lit(0)).cast("long").alias("n_no_adt"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sitewise.operators.allocate import (allocate_combined, allocate_seats, allocation_summary,
+from sitewise.operators.allocate import (allocate_combined, allocate_seats,
                                          combined_summary, robustness)
 from sitewise.plans.registry import query
 from sitewise.session import load
@@ -78,51 +78,33 @@ def _combined(spark, sf):
                              n_target=N_SEATS, step=STEP, cap=CAP, first_divisor="first_divisor")
 
 
+# Seat by seat: the recursion carries, per slider setting and variant, how many seats every
+# nation holds, and gives the next seat to the nation with the largest quotient at that moment.
 _COMBINED_CTE = """
-variants AS (SELECT variant, CAST(fd AS DOUBLE) AS first_divisor
-             FROM (VALUES ('base', 1.0), ('first14', 1.4)) t(variant, fd)),
-v1 AS (SELECT CAST(c_nationkey AS BIGINT) AS unit, COUNT(*) AS votes FROM customer GROUP BY 1),
-v2 AS (SELECT CAST(s_nationkey AS BIGINT) AS unit, COUNT(*) AS votes FROM supplier GROUP BY 1),
-js AS (SELECT * FROM generate_series(1, 10) t(j)),
-settings AS (SELECT * FROM generate_series(0, 50, 5) t(n_p1)),
-s1 AS (
-  SELECT va.variant, v.unit, v.votes, js.j,
-         CASE WHEN js.j = 1 THEN va.first_divisor ELSE CAST(2 * js.j - 1 AS DOUBLE) END AS divisor
-  FROM v1 v CROSS JOIN variants va CROSS JOIN js WHERE v.votes > 0
-),
-s1r AS (
-  SELECT *, votes / divisor AS quotient,
-         ROW_NUMBER() OVER (PARTITION BY variant ORDER BY votes / divisor DESC, votes DESC, unit, j) AS seat_no
-  FROM s1
-),
-part1 AS (
-  SELECT st.n_p1, a.variant, a.seat_no, 'first' AS part, a.unit, a.j, a.divisor, a.quotient
-  FROM settings st JOIN s1r a ON a.seat_no <= st.n_p1
-),
-k1 AS (SELECT n_p1, variant, unit, COUNT(*) AS k FROM part1 GROUP BY n_p1, variant, unit),
-pool2 AS (
-  SELECT st.n_p1, va.variant, v.unit, v.votes, js.j,
-         CASE WHEN js.j = 1 THEN va.first_divisor ELSE CAST(2 * js.j - 1 AS DOUBLE) END AS divisor
-  FROM settings st CROSS JOIN variants va CROSS JOIN js CROSS JOIN v2 v
-  LEFT JOIN k1 ON k1.n_p1 = st.n_p1 AND k1.variant = va.variant AND k1.unit = v.unit
-  WHERE v.votes > 0 AND js.j > COALESCE(k1.k, 0)
-),
-part2 AS (
-  SELECT *, votes / divisor AS quotient,
-         ROW_NUMBER() OVER (PARTITION BY n_p1, variant ORDER BY votes / divisor DESC, votes DESC, unit, j) AS rn
-  FROM pool2
-),
-combined AS (
-  SELECT CAST(n_p1 AS BIGINT) AS n_p1, variant, CAST(seat_no AS BIGINT) AS seat_no, part, unit,
-         CAST(j AS BIGINT) AS j, divisor, quotient FROM part1
+nat AS (SELECT list(k ORDER BY k) AS units, list(c ORDER BY k) AS cust, list(s ORDER BY k) AS supp FROM (
+  SELECT CAST(n_nationkey AS BIGINT) AS k, (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey) AS c,
+         (SELECT count(*) FROM supplier WHERE s_nationkey = n_nationkey) AS s FROM nation)),
+seat AS (
+  SELECT CAST(n1 AS BIGINT) AS n_p1, variant, d1, CAST(0 AS BIGINT) AS seat_no, [CAST(0 AS BIGINT) FOR u IN units] AS held,
+         {'q': 0.0::DOUBLE, 'v': 0::BIGINT, 'neg': 0::BIGINT, 'd': 0.0::DOUBLE} AS won
+  FROM nat, range(0, 51, 5) r(n1), (VALUES ('base', 1.0::DOUBLE), ('first14', 1.4::DOUBLE)) x(variant, d1)
   UNION ALL
-  SELECT CAST(n_p1 AS BIGINT), variant, CAST(n_p1 + rn AS BIGINT), 'second', unit,
-         CAST(j AS BIGINT), divisor, quotient FROM part2 WHERE rn <= 50 - n_p1
-)
+  SELECT n_p1, variant, d1, seat_no + 1, [held[i] + CASE WHEN i = -best.neg THEN 1 ELSE 0 END FOR i IN range(1, len(held) + 1)], best
+  FROM (
+    SELECT t.*, list_max([
+        {'q': CASE WHEN held[i] >= 10 THEN -1.0::DOUBLE ELSE CAST(votes[i] AS DOUBLE) / CASE held[i] WHEN 0 THEN d1 ELSE 2 * held[i] + 1 END END,
+         'v': votes[i], 'neg': -i, 'd': CAST(CASE held[i] WHEN 0 THEN d1 ELSE 2 * held[i] + 1 END AS DOUBLE)}
+        FOR i IN range(1, len(held) + 1)]) AS best
+    FROM (SELECT seat.*, CASE WHEN seat_no < n_p1 THEN cust ELSE supp END AS votes FROM seat, nat) t WHERE seat_no < 50)
+  WHERE best.q > 0),
+combined AS (
+  SELECT n_p1, variant, seat_no, CASE WHEN seat_no <= n_p1 THEN 'first' ELSE 'second' END AS part, units[-won.neg] AS unit,
+         held[-won.neg] AS j, won.d AS divisor, won.q AS quotient
+  FROM seat, nat WHERE seat_no > 0)
 """
 
 
-@query("allocate_combined_station", "WITH " + _COMBINED_CTE + "SELECT * FROM combined")
+@query("allocate_combined_station", "WITH RECURSIVE " + _COMBINED_CTE + "SELECT * FROM combined")
 def allocate_combined_station_q(spark, sf):
     """Two-stage allocation: first strategy = customers per nation, second =
     suppliers per nation; cap 10, settings 0, 5, …, 50; two variants."""
@@ -130,20 +112,13 @@ def allocate_combined_station_q(spark, sf):
                                        F.col("j").cast("long").alias("j"), "divisor", "quotient")
 
 
-@query("allocate_combined", "WITH " + _COMBINED_CTE + """,
-grid AS (SELECT CAST(s.n_p1 AS BIGINT) AS n_p1, va.variant, CAST(n.n_nationkey AS BIGINT) AS unit
-         FROM settings s CROSS JOIN variants va CROSS JOIN nation n),
-a AS (SELECT n_p1, variant, unit, COUNT(*) FILTER (WHERE seat_no <= n_p1) AS n_part1,
-             COUNT(*) FILTER (WHERE seat_no > n_p1) AS n_part2, MIN(seat_no) AS first_seat
-      FROM combined GROUP BY n_p1, variant, unit),
-b AS (SELECT g.n_p1, g.variant, g.unit, CAST(COALESCE(a.n_part1, 0) AS BIGINT) AS n_part1,
-             CAST(COALESCE(a.n_part2, 0) AS BIGINT) AS n_part2, a.first_seat
-      FROM grid g LEFT JOIN a ON a.n_p1 = g.n_p1 AND a.variant = g.variant AND a.unit = g.unit)
-SELECT b.*, n_part1 + n_part2 AS n_seats,
-       CAST(SUM(n_part1 + n_part2) OVER (PARTITION BY n_p1, variant) AS BIGINT) AS run_seats,
-       n_p1 = 35 AS is_default,
-       CAST((n_part1 + n_part2) * 600.0 AS DOUBLE) AS kw_new
-FROM b
+@query("allocate_combined", "WITH RECURSIVE " + _COMBINED_CTE + """
+SELECT n_p1, variant, unit, count(*) FILTER (WHERE part = 'first') AS n_part1, count(*) FILTER (WHERE part = 'second') AS n_part2,
+       min(seat_no) AS first_seat, count(seat_no) AS n_seats,
+       (SELECT count(*) FROM combined c WHERE c.n_p1 = g.n_p1 AND c.variant = g.variant) AS run_seats,
+       n_p1 = 35 AS is_default, CAST(600.0 * count(seat_no) AS DOUBLE) AS kw_new
+FROM (SELECT DISTINCT n_p1, variant, unnest(units) AS unit FROM seat, nat) g LEFT JOIN combined USING (n_p1, variant, unit)
+GROUP BY n_p1, variant, unit
 """)
 def allocate_combined_q(spark, sf):
     """Combined summary on the full grid setting × variant × nation."""
@@ -154,29 +129,22 @@ def allocate_combined_q(spark, sf):
                       "run_seats", "is_default", "kw_new")
 
 
-@query("combined_consistency", "WITH " + _COMBINED_CTE + """,
-own1 AS (SELECT variant, unit, COUNT(*) AS n FROM s1r WHERE seat_no <= 50 GROUP BY ALL),
-s2 AS (
-  SELECT va.variant, v.unit, v.votes, js.j,
-         CASE WHEN js.j = 1 THEN va.first_divisor ELSE CAST(2 * js.j - 1 AS DOUBLE) END AS divisor
-  FROM v2 v CROSS JOIN variants va CROSS JOIN js WHERE v.votes > 0
-),
-own2 AS (SELECT variant, unit, COUNT(*) AS n FROM (
-           SELECT *, ROW_NUMBER() OVER (PARTITION BY variant ORDER BY votes / divisor DESC, votes DESC, unit, j) AS seat_no
-           FROM s2) WHERE seat_no <= 50 GROUP BY ALL),
-c50 AS (SELECT variant, unit, COUNT(*) AS n FROM combined WHERE n_p1 = 50 GROUP BY ALL),
-c0 AS (SELECT variant, unit, COUNT(*) AS n FROM combined WHERE n_p1 = 0 GROUP BY ALL),
-d AS (
-  SELECT 'all_first' AS endpoint, COALESCE(a.variant, b.variant) AS variant,
-         COALESCE(a.n, 0) AS n_combined, COALESCE(b.n, 0) AS n_own
-  FROM c50 a FULL OUTER JOIN own1 b ON a.variant = b.variant AND a.unit = b.unit
-  UNION ALL
-  SELECT 'all_second', COALESCE(a.variant, b.variant), COALESCE(a.n, 0), COALESCE(b.n, 0)
-  FROM c0 a FULL OUTER JOIN own2 b ON a.variant = b.variant AND a.unit = b.unit
-)
-SELECT endpoint, variant, CAST(COUNT(*) FILTER (WHERE n_combined <> n_own) AS BIGINT) AS n_units_differ,
-       CAST(SUM(n_combined) AS BIGINT) AS n_seats_combined, CAST(SUM(n_own) AS BIGINT) AS n_seats_own
-FROM d GROUP BY endpoint, variant
+@query("combined_consistency", "WITH RECURSIVE " + _COMBINED_CTE + """,
+-- either strategy alone: the largest quotients of one pool
+alone AS (
+  SELECT who, variant, unit, count(*) AS n FROM (
+    SELECT who, variant, units[i] AS unit, row_number() OVER (
+        PARTITION BY who, variant ORDER BY votes[i] / CASE j WHEN 1 THEN d1 ELSE 2 * j - 1 END DESC, votes[i] DESC, i, j) AS nth
+    FROM (SELECT 'all_first' AS who, units, cust AS votes FROM nat UNION ALL SELECT 'all_second', units, supp FROM nat),
+         (VALUES ('base', 1.0::DOUBLE), ('first14', 1.4::DOUBLE)) x(variant, d1), range(1, 26) a(i), range(1, 11) b(j)
+    WHERE votes[i] > 0)
+  WHERE nth <= 50 GROUP BY ALL),
+ends AS (SELECT CASE n_p1 WHEN 50 THEN 'all_first' ELSE 'all_second' END AS who, variant, unit, count(*) AS n FROM combined WHERE n_p1 IN (0, 50) GROUP BY ALL)
+SELECT coalesce(e.who, o.who) AS endpoint, coalesce(e.variant, o.variant) AS variant,
+       count(*) FILTER (WHERE e.n IS DISTINCT FROM o.n) AS n_units_differ,
+       CAST(coalesce(sum(e.n), 0) AS BIGINT) AS n_seats_combined, CAST(coalesce(sum(o.n), 0) AS BIGINT) AS n_seats_own
+FROM ends e FULL JOIN alone o ON e.who = o.who AND e.variant = o.variant AND e.unit = o.unit
+GROUP BY 1, 2
 """)
 def combined_consistency_q(spark, sf):
     """n1 = n must equal the first strategy alone, n1 = 0 the second alone."""
@@ -242,10 +210,3 @@ def allocation_robustness_q(spark, sf):
     units = load(spark, sf, "nation").select(F.col("n_nationkey").cast("long").alias("unit"))
     return robustness(seats, units, "variant", "unit", len(variants))
 
-
-def seat_summary(spark, sf):
-    """Helper used by tests: every nation × run with seats (0 where none)."""
-    seats = allocate_seats_q(spark, sf)
-    units = (load(spark, sf, "nation").select(F.col("n_nationkey").cast("long").alias("unit"))
-             .withColumn("run", F.explode(F.array(F.lit("customers"), F.lit("suppliers")))))
-    return allocation_summary(units, seats, ["run"], "unit", N_SEATS)

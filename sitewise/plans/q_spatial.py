@@ -104,7 +104,7 @@ d1 AS (SELECT *, CASE WHEN dx * dx + dy * dy = 0 THEN 0.0
        FROM d0),
 d AS (SELECT pid, area, sqrt((x - (x1 + tt * dx)) * (x - (x1 + tt * dx)) + (y - (y1 + tt * dy)) * (y - (y1 + tt * dy)))
              AS dist FROM d1),
-near AS (SELECT pid, area, dist FROM d WHERE dist <= 2000
+near AS (SELECT pid, area, dist FROM d WHERE dist < 2000
          QUALIFY ROW_NUMBER() OVER (PARTITION BY pid ORDER BY dist, area) = 1),
 assigned AS (
   SELECT pid, area, 'contains' AS method, CAST(NULL AS DOUBLE) AS dist, n_hits FROM inside

@@ -24,18 +24,18 @@ seat counts).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitewise.operators.allocate import (allocate_combined, allocate_seats, allocation_summary,
                                          combined_summary)
 from sitewise.operators.ranking import midrank_percentile
-from sitewise.operators.score import expand_runs, normalise_weights, score, score_components
+from sitewise.operators.score import expand_runs, normalise_weights, score, score_components, with_ranks
+from sitewise.operators.shape import latest_snapshot, trailing_window
 from sitewise.operators.shrink import eb_shrink
-
-METRICS = ("ev_demand", "growth", "growth_raw", "growth_stock", "price", "price_zone_alt", "supply",
-           "supply_county", "supply_traffic", "through_traffic", "traffic", "traffic_intensity")
-
+from sitewise.session import materialize
 
 def model_params(param_model: DataFrame) -> dict:
     """Key/value parameter table → one typed row (read once; a handful of rows)."""
@@ -46,84 +46,171 @@ def model_params(param_model: DataFrame) -> dict:
     return {k: (int(v) if k in ints else float(v)) for k, v in p.items()}
 
 
-def _m(df: DataFrame, name: str, better: str, value) -> DataFrame:
-    return df.select("kommun_kod", F.lit(name).alias("metric"), F.lit(better).alias("better"),
-                     value.cast("double").alias("value"))
+@dataclass(frozen=True)
+class Metric:
+    """One metric: the source whose columns it is made of, its direction, its
+    formula, and the columns that document it (``numerator``/``denominator``
+    of a ratio, the ``prior`` and weight ``k`` it is shrunk with)."""
+
+    name: str
+    source: str
+    better: str
+    value: Column
+    numerator: str | None = None
+    denominator: str | None = None
+    prior: str | None = None
+    k: str | None = None
+    as_of: str | None = None
+
+
+def _share(a: str, b: str) -> Column:
+    return F.try_divide(F.col(a), F.col(b))
+
+
+def metric_specs() -> tuple[Metric, ...]:
+    served, idle = F.lit(float("inf")), F.lit(0.0)  # no traffic: fully served; no road: no intensity
+    return (
+        Metric("ev_demand", "fleet", "higher", F.col("chargeable"), as_of="fleet_year"),
+        Metric("growth_stock", "fleet", "higher", _share("electric", "cars") - _share("electric_then", "cars_then"), "electric", "cars", as_of="fleet_year"),
+        Metric("growth", "sales", "higher", F.col("value"), "x", "n", "p_c", "k", "last_month"),
+        Metric("growth_raw", "sales", "higher", F.col("raw"), "x", "n", as_of="last_month"),
+        Metric("price", "power", "lower", F.col("zone_price"), as_of="last_day"),
+        Metric("price_zone_alt", "power", "lower", F.col("second_zone_price"), as_of="last_day"),
+        Metric("supply", "chargers", "lower", _share("kw", "chargeable"), "kw", "chargeable", as_of="fleet_year"),
+        Metric("supply_county", "chargers", "lower", _share("county_kw", "county_chargeable"), "county_kw", "county_chargeable", as_of="fleet_year"),
+        Metric("supply_traffic", "roads", "lower", F.when(F.col("vkm") > 0, F.col("kw") / (F.col("vkm") / 1000)).otherwise(served), "kw", "vkm"),
+        Metric("through_traffic", "roads", "higher", _share("vkm", "people"), "vkm", "people", as_of="census_year"),
+        Metric("traffic", "roads", "higher", F.col("vkm")),
+        Metric("traffic_intensity", "roads", "higher", F.when(F.col("road_km") > 0, F.col("vkm") / F.col("road_km")).otherwise(idle), "vkm", "road_km"),
+    )
+
+
+def _fleet(fleet: DataFrame, phev_weight: float) -> DataFrame:
+    """Cars per municipality in the newest year and two years before, by fuel."""
+    newest = fleet.agg(F.max("ar")).scalar()
+    age = newest - F.col("ar")
+
+    def cars(years_ago: int, fuel: str | None = None) -> Column:
+        here = age == years_ago
+        return F.sum(F.when(here & (F.col("drivmedel") == fuel) if fuel else here, F.col("antal")))
+
+    per = fleet.groupBy("kommun_kod").agg(
+        cars(0).alias("cars"), cars(0, "BEV").alias("electric"), cars(0, "PHEV").alias("hybrid"),
+        cars(2).alias("cars_then"), cars(2, "BEV").alias("electric_then"), F.first(newest).cast("string").alias("fleet_year"))
+    return per.withColumn("chargeable", (F.col("electric") + F.lit(phev_weight) * F.col("hybrid")).cast("double"))
+
+
+def _sales(registrations: DataFrame, counties: DataFrame, months: int) -> DataFrame:
+    """Electric share of the window's new cars, shrunk towards the county."""
+    recent = trailing_window(registrations, "manad_start", months)
+    per = recent.groupBy("kommun_kod").agg(
+        F.sum(F.when(F.col("drivmedel") == "BEV", F.col("antal")).otherwise(0)).cast("double").alias("x"),
+        F.sum("antal").cast("double").alias("n"))
+    last = registrations.agg(F.max("manad_start")).scalar()
+    return eb_shrink(per.join(counties, "kommun_kod"), "lan_kod", "x", "n").withColumn("last_month", last.cast("string"))
+
+
+def _power(price_days: DataFrame, places: DataFrame, days: int) -> DataFrame:
+    """Mean price of the window per quarter-hour, of a place's zone and of its
+    second zone (its own zone again where it has none)."""
+    zone = trailing_window(price_days, "datum", days, unit="days").groupBy("elomrade").agg(
+        F.sum(F.col("sek_medel") * F.col("n_kvartar")).alias("paid"), F.sum("n_kvartar").alias("quarters"))
+    zone = zone.select("elomrade", _share("paid", "quarters").cast("double").alias("mean_price"))
+    both = places.select("kommun_kod", F.explode(F.array(
+        F.struct(F.lit("zone_price").alias("which"), F.col("elomrade")),
+        F.struct(F.lit("second_zone_price").alias("which"), F.coalesce("elomrade_secondary", "elomrade").alias("elomrade")))).alias("z"))
+    per = both.select("kommun_kod", "z.*").join(zone, "elomrade").groupBy("kommun_kod").pivot("which", ["zone_price", "second_zone_price"]).agg(F.first("mean_price"))
+    return per.withColumn("last_day", price_days.agg(F.max("datum")).scalar().cast("string"))
+
+
+def _chargers(places: DataFrame, fleet: DataFrame, stations: DataFrame) -> DataFrame:
+    """Fast-charging power of each place with a fleet, and of its county."""
+    power = stations.groupBy("kommun_kod").agg(F.sum("kw_dc").cast("double").alias("kw"))
+    per = places.select("kommun_kod", "lan_kod").join(fleet.select("kommun_kod", "chargeable", "fleet_year"), "kommun_kod")
+    per = per.join(power, "kommun_kod", "left").fillna(0.0, ["kw"])
+    county = per.groupBy("lan_kod").agg(F.sum("kw").alias("county_kw"), F.sum("chargeable").alias("county_chargeable"))
+    return per.join(county, "lan_kod")
+
+
+def _roads(chargers: DataFrame, traffic: DataFrame, population: DataFrame) -> DataFrame:
+    counted = population.where(F.col("folkmangd").isNotNull())
+    people = latest_snapshot(counted, "ar").select("kommun_kod", F.col("folkmangd").cast("double").alias("people"), F.col("ar").cast("string").alias("census_year"))
+    flows = traffic.select("kommun_kod", F.col("vkm_per_day").cast("double").alias("vkm"), F.col("road_km").cast("double").alias("road_km"))
+    return chargers.select("kommun_kod", "kw").join(flows, "kommun_kod").join(people, "kommun_kod")
 
 
 def metrics(dim_kommun, fleet, registrations, price_days, stations, traffic, population, p) -> DataFrame:
-    km = dim_kommun.select("kommun_kod", "lan_kod", "elomrade",
-                           F.coalesce("elomrade_secondary", "elomrade").alias("elomrade_alt"))
-    fy = fleet.agg(F.max("ar")).scalar()
-    f = fleet
-    bev, phev = (F.col("drivmedel") == "BEV"), (F.col("drivmedel") == "PHEV")
-    ev = f.groupBy("kommun_kod").agg(
-        F.sum(F.when((F.col("ar") == fy) & bev, F.col("antal"))).alias("bev"),
-        F.sum(F.when((F.col("ar") == fy) & phev, F.col("antal"))).alias("phev"),
-        F.sum(F.when(F.col("ar") == fy, F.col("antal"))).alias("tot"),
-        F.sum(F.when((F.col("ar") == fy - 2) & bev, F.col("antal"))).alias("bev_prev"),
-        F.sum(F.when(F.col("ar") == fy - 2, F.col("antal"))).alias("tot_prev"))
-    ev = ev.withColumn("ev", F.col("bev") + F.lit(p["phev_weight"]) * F.col("phev"))
-
-    m1 = registrations.agg(F.max("manad_start")).scalar()
-    reg = (registrations.where(F.col("manad_start") > F.add_months(m1, -p["growth_window_months"]))
-           .groupBy("kommun_kod")
-           .agg(F.sum(F.when(bev, F.col("antal")).otherwise(0)).cast("double").alias("x"),
-                F.sum("antal").cast("double").alias("n")))
-    g = eb_shrink(reg.join(km.select("kommun_kod", "lan_kod"), "kommun_kod"), "lan_kod", "x", "n")
-
-    d1 = price_days.agg(F.max("datum")).scalar()
-    price = (price_days.where(F.col("datum") > F.date_sub(d1, p["price_window_days"]))
-             .groupBy("elomrade")
-             .agg((F.sum(F.col("sek_medel") * F.col("n_kvartar")) / F.sum("n_kvartar")).cast("double").alias("sek")))
-
-    kw = stations.groupBy("kommun_kod").agg(F.sum("kw_dc").alias("kw_dc"))
-    sup = (km.join(ev.select("kommun_kod", "ev"), "kommun_kod").join(kw, "kommun_kod", "left")
-             .select("kommun_kod", "lan_kod", F.coalesce("kw_dc", F.lit(0)).cast("double").alias("kw_dc"),
-                     F.col("ev").cast("double").alias("ev")))
-    county = sup.groupBy("lan_kod").agg(F.sum("kw_dc").alias("ckw"), F.sum("ev").alias("cev"))
-    py = population.where(F.col("folkmangd").isNotNull()).agg(F.max("ar")).scalar()
-    tr = (sup.join(traffic.select("kommun_kod", F.col("vkm_per_day").cast("double").alias("vkm"),
-                                  F.col("road_km").cast("double").alias("road_km")), "kommun_kod")
-             .join(population.where(F.col("ar") == py)
-                   .select("kommun_kod", F.col("folkmangd").cast("double").alias("pop")), "kommun_kod"))
-    vkm, road = F.col("vkm"), F.col("road_km")
-    parts = [
-        _m(ev, "ev_demand", "higher", F.col("ev")),
-        _m(g, "growth", "higher", F.col("value")),
-        _m(g, "growth_raw", "higher", F.col("raw")),
-        _m(ev, "growth_stock", "higher", F.try_divide(F.col("bev"), F.col("tot"))
-           - F.try_divide(F.col("bev_prev"), F.col("tot_prev"))),
-        _m(km.join(price, "elomrade"), "price", "lower", F.col("sek")),
-        _m(km.join(price.withColumnRenamed("elomrade", "elomrade_alt"), "elomrade_alt"), "price_zone_alt",
-           "lower", F.col("sek")),
-        _m(sup, "supply", "lower", F.try_divide(F.col("kw_dc"), F.col("ev"))),
-        _m(sup.join(county, "lan_kod"), "supply_county", "lower", F.try_divide(F.col("ckw"), F.col("cev"))),
-        _m(tr, "supply_traffic", "lower",
-           F.when(vkm > 0, F.col("kw_dc") / (vkm / 1000)).otherwise(F.lit(float("inf")))),
-        _m(tr, "through_traffic", "higher", F.try_divide(vkm, F.col("pop"))),
-        _m(tr, "traffic", "higher", vkm),
-        _m(tr, "traffic_intensity", "higher", F.when(road > 0, vkm / road).otherwise(F.lit(0.0))),
-    ]
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
-    # kommuner × 12 metrics: bounded by the kommun dimension
-    return midrank_percentile(out, ["metric"], "value", better_col="better", bounded=True)
+    """Long metric table: kommun_kod, metric, better, value, the documenting
+    columns numerator, denominator, prior, k and as_of, and pct_rank.  Each
+    source is read once; its metrics are rows of a generator."""
+    cars = _fleet(fleet, p["phev_weight"])
+    chargers = _chargers(dim_kommun, cars, stations)
+    sources = {
+        "fleet": cars,
+        "sales": _sales(registrations, dim_kommun.select("kommun_kod", "lan_kod"), p["growth_window_months"]),
+        "power": _power(price_days, dim_kommun, p["price_window_days"]),
+        "chargers": chargers,
+        "roads": _roads(chargers, traffic, population),
+    }
+    long = None
+    for name, df in sources.items():
+        rows = [F.struct(F.lit(m.name).alias("metric"), F.lit(m.better).alias("better"), m.value.cast("double").alias("value"),
+                         *[(F.col(c) if (c := getattr(m, f)) else F.lit(None)).cast("string" if f == "as_of" else "double").alias(f)
+                           for f in ("numerator", "denominator", "prior", "k", "as_of")])
+                for m in metric_specs() if m.source == name]
+        part = df.select("kommun_kod", F.inline(F.array(*rows)))
+        long = part if long is None else long.unionByName(part)
+    return midrank_percentile(long, ["metric"], "value", better_col="better")
+
+
+class ModelRuleFailed(Exception):
+    """A rule of the siting model does not hold; nothing is published."""
+
+
+def check_model(out: dict[str, DataFrame], params: dict) -> None:
+    """The model's own rules, each named in the error: every component has a
+    value, no unit lacks a component, each run hands out exactly its seats,
+    every slider setting is complete and the default setting is there."""
+    def any_row(df: DataFrame) -> bool:
+        return not df.isEmpty()
+
+    n = params["n_stations"]
+    broken = {
+        "value_present": any_row(out["component"].where(F.col("value").isNull() | F.isnan("value"))),
+        "n_components": any_row(out["score"].where(F.col("n_components") != F.col("n_expected"))),
+        "one_row_per_pair": any_row(out["metric"].groupBy("unit", "metric").count().where("count > 1")),
+        "run_total": any_row(out["allocation"].where(F.col("run_seats") != n)),
+        "combined_total": any_row(out["combined"].where(F.col("run_seats") != n)),
+        "default_present": not any_row(out["combined"].where("is_default")),
+    }
+    if any(broken.values()):
+        raise ModelRuleFailed(", ".join(sorted(k for k, bad in broken.items() if bad)))
+
+
+def publish_model(t: dict[str, DataFrame], target: str) -> dict[str, DataFrame]:
+    """Runs the model, stages every output, checks the staged tables and only
+    then publishes them below ``target``."""
+    spark = t["param_model"].sparkSession
+    staged = {name: materialize(df) for name, df in run_model(t).items()}
+    check_model(staged, model_params(t["param_model"]))
+    for name, df in staged.items():
+        df.write.mode("overwrite").parquet(f"{target}/{name}")
+    return {name: spark.read.parquet(f"{target}/{name}") for name in staged}
 
 
 def run_model(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
     p = model_params(t["param_model"])
-    met = metrics(t["dim_kommun"], t["fleet"], t["registrations"], t["price_days"], t["stations"],
-                  t["traffic"], t["population"], p).withColumnRenamed("kommun_kod", "unit")
+    # what several outputs read is written once
+    met = materialize(metrics(t["dim_kommun"], t["fleet"], t["registrations"], t["price_days"], t["stations"],
+                              t["traffic"], t["population"], p).withColumnRenamed("kommun_kod", "unit"))
     weights = normalise_weights(t["param_weights"])
     variants = t["param_variant"]
     comps = score_components(expand_runs(weights, variants), met, "unit")
     costs = (t["dim_kommun"].join(t["param_cost"], "gruppkod")
              .select(F.col("kommun_kod").alias("unit"), F.col("cost_factor").cast("double").alias("cost_factor")))
-    sc = score(comps, t["param_strategy"], variants, met.select("unit", "metric", "value"), costs, "unit")
+    sc = materialize(score(comps, t["param_strategy"], variants, met.select("unit", "metric", "value"), costs, "unit"))
     n, cap, fd = p["n_stations"], p["max_per_kommun"], p["first_divisor"]
-    seats = allocate_seats(sc, ["scenario", "variant"], "unit", "votes", n_seats=n, cap=cap, first_divisor=fd)
+    seats = materialize(allocate_seats(sc, ["scenario", "variant"], "unit", "votes", n_seats=n, cap=cap, first_divisor=fd))
     alloc = allocation_summary(sc.select("scenario", "variant", "unit"), seats, ["scenario", "variant"], "unit", n)
     alloc = alloc.withColumn("kw_new", F.col("n_seats") * F.lit(p["station_kw"]))
 
@@ -132,12 +219,12 @@ def run_model(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
     shared = variants.where(F.col("only_scenario").isNull()).select("variant")
     s1 = seats.where(F.col("scenario") == order[1]).join(shared, "variant")
     v2 = sc.where(F.col("scenario") == order[2]).join(shared, "variant").select("variant", "unit", "votes")
-    comb = allocate_combined(s1.select("variant", "seat_no", "unit", "j", "divisor", "quotient"), v2, ["variant"],
+    comb = materialize(allocate_combined(s1.select("variant", "seat_no", "unit", "j", "divisor", "quotient"), v2, ["variant"],
                              "unit", "votes", n_target=n, step=p["combined_step"], cap=cap, first_divisor=fd,
-                             first_label=order[1], second_label=order[2])
+                             first_label=order[1], second_label=order[2]))
     names = [r.variant for r in shared.collect()]
     units = t["dim_kommun"].select(F.col("kommun_kod").alias("unit"))
     combined = combined_summary(units, comb, names, "variant", "unit", n, p["combined_step"],
                                 p["n_stations_p1_default"], unit_kw=p["station_kw"])
-    return {"metric": met, "component": comps, "score": sc, "seat": seats, "allocation": alloc,
+    return {"metric": met, "component": comps, "score": with_ranks(sc), "seat": seats, "allocation": alloc,
             "combined_seat": comb, "combined": combined}

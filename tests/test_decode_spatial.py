@@ -73,3 +73,28 @@ def test_line_midpoint_zero_length(spark):
     r = line_midpoints(seg).collect()[0]
     assert (r.mx, r.my) == (5.0, 6.0)
     assert F is not None
+
+
+def test_multi_part_line_walks_part_by_part(spark):
+    # two parts along x, 0..40 and 100..140: half of 80 is where the first part ends
+    seg = spark.createDataFrame([("a", 1, 0, 0.0, 0.0, 20.0, 0.0), ("a", 1, 1, 20.0, 0.0, 40.0, 0.0),
+                                 ("a", 2, 0, 100.0, 0.0, 130.0, 0.0), ("a", 2, 1, 130.0, 0.0, 140.0, 0.0)],
+                                "line_id string, part int, seg_no int, x1 double, y1 double, x2 double, y2 double")
+    r = line_midpoints(seg, order_col=["part", "seg_no"]).collect()[0]
+    assert (r.length, r.mx) == (80.0, 40.0)
+
+
+def test_weighted_year_counts_dated_sections_only(spark):
+    from sitewise.operators.spatial import area_traffic
+    s = spark.createDataFrame([("a", 1000.0, 10.0, 1.0, True, 2020), ("a", 1000.0, 10.0, 1.0, False, None),
+                               ("b", 1000.0, None, None, False, None)],
+                              "area string, length_m double, adt double, adt_heavy double, measured boolean, year int")
+    got = {r.area: (r.weighted_year, r.vkm, r.n_no_adt) for r in area_traffic(s, s.select("area").distinct()).collect()}
+    assert got == {"a": (2020.0, 20.0, 0), "b": (0.0, 0.0, 1)}
+
+
+def test_a_point_at_exactly_the_radius_is_not_assigned(spark):
+    from sitewise.operators.spatial import nearest_border
+    e = spark.createDataFrame([("a", 0.0, 0.0, 10.0, 0.0)], "area string, x1 double, y1 double, x2 double, y2 double")
+    p = spark.createDataFrame([(1, 5.0, 2000.0), (2, 5.0, 1999.0)], "pid int, x double, y double")
+    assert [r.pid for r in nearest_border(p, e, 2000.0).collect()] == [2]

@@ -91,5 +91,29 @@ def test_reconcile_rules(spark):
         ("exact", "e", 1.0),
     ], "rule string, k string, v double")
     parents = spark.createDataFrame([("a", 3.0), ("b", 3.9), ("c", 95.5), ("d", 1000005.0)], "k string, p double")
-    r = {x.k: x.within_rule for x in reconcile(kids, parents, ["k"], "v", "p", "rule").collect()}
+    r = {x.k: x.within_rule for x in reconcile(kids, parents, ["k"], "v", "p", "rule", rounding_unit=1.0).collect()}
     assert r == {"a": True, "b": True, "c": True, "d": True, "e": False}
+
+
+def test_snapshot_history_collapses_repeats_and_carries_untracked(spark):
+    from sitewise.operators.history import scd2_from_snapshots
+    rows = [("k", 1, "a", 10), ("k", 1, "a", 10), ("k", 2, "a", 11), ("k", 3, "b", 12)]
+    df = spark.createDataFrame(rows, "id string, snap int, t string, u int")
+    got = [tuple(r) for r in scd2_from_snapshots(df, ["id"], "snap", ["t"], untracked=["u"]).orderBy("start_at").collect()]
+    assert got == [("k", "a", 11, 1, 3, False, 2), ("k", "b", 12, 3, None, True, 1)]
+
+
+def test_grid_over_an_empty_and_a_wide_domain(spark):
+    from sitewise.operators.shape import expand_domain
+    base = spark.range(3)
+    wide = spark.range(1000).select(F.concat(F.lit("v"), "id").alias("d"))
+    assert expand_domain(base, wide, "d").distinct().count() == 3000
+    assert expand_domain(base, wide.limit(0), "d").count() == 0
+
+
+def test_rounding_rule_follows_the_unit(spark):
+    from sitewise.operators.quality import reconcile
+    kids = spark.createDataFrame([(1, 10.0, "rounding"), (1, 10.0, "rounding")], "k int, v double, rule string")
+    parent = spark.createDataFrame([(1, 20.8)], "k int, p double")
+    fits = lambda unit: reconcile(kids, parent, ["k"], "v", "p", "rule", unit).first().within_rule
+    assert fits(1.0) and not fits(0.01)

@@ -8,11 +8,10 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from sitewise.plans.siting_model import METRICS, run_model
+from sitewise.plans.siting_model import ModelRuleFailed, metric_specs, publish_model, run_model
 
-# Model parameters, strategies, variants and weights of the
-# reference's seed tables; seat count, cap, step and default scaled down
-# for six kommuner.
+# Model parameters, strategies, variants and weights as published;
+# seat count, cap, step and default scaled down for six kommuner.
 PARAM_MODEL = [("n_stations", "10"), ("station_kw", "600"), ("max_per_kommun", "3"), ("first_divisor", "1.0"),
                ("phev_weight", "0.6"), ("growth_window_months", "12"), ("price_window_days", "365"),
                ("n_stations_p1_default", "5"), ("combined_step", "5")]
@@ -37,7 +36,7 @@ KOMMUN = [("0114", "01", "SE3", None, "A1"), ("0115", "01", "SE3", None, "B3"),
 
 
 @pytest.fixture(scope="module")
-def model(spark):
+def tables(spark):
     ks = [k[0] for k in KOMMUN]
     fleet = [(k, y, f, (i + 1) * {"BEV": 100 + 40 * (y - 2022), "PHEV": 80, "PETROL": 900}[f])
              for i, k in enumerate(ks) for y in (2022, 2023, 2024) for f in ("BEV", "PHEV", "PETROL")]
@@ -70,13 +69,21 @@ def model(spark):
         "param_cost": spark.createDataFrame([("A1", 1.0), ("B3", 1.1), ("C8", 1.3)],
                                             "gruppkod string, cost_factor double"),
     }
-    return {k: v.cache() for k, v in run_model(t).items()}
+    return t
+
+
+@pytest.fixture(scope="module")
+def model(tables):
+    return {k: v.cache() for k, v in run_model(tables).items()}
 
 
 def test_metrics_complete(model):
     m = model["metric"].collect()
     assert len(m) == 12 * 6
-    assert {r.metric for r in m} == set(METRICS)
+    assert {r.metric for r in m} == {x.name for x in metric_specs()}
+    ratio = [r for r in m if r.metric == "supply"]
+    assert all(r.value == r.numerator / r.denominator and r.as_of for r in ratio)
+    assert all(r.prior is not None and r.k is not None or r.k is None for r in m if r.metric == "growth")
     assert all(r.value is not None and 0.0 <= r.pct_rank <= 1.0 for r in m)
     inf = [r for r in m if r.metric == "supply_traffic" and r.unit == "0117"][0]
     assert math.isinf(inf.value) and inf.pct_rank == 0.0
@@ -107,3 +114,18 @@ def test_combined_grid_and_endpoints(model):
         assert r.n_seats == own[("P1", r.variant, r.unit)]
     for r in c.where("n_p1 = 0").collect():
         assert r.n_seats == own[("P2", r.variant, r.unit)]
+
+
+def test_publish_stages_checks_and_writes(tables, tmp_path):
+    out = publish_model(tables, str(tmp_path / "gold"))
+    assert out["allocation"].where("run_seats <> 10").count() == 0
+    assert out["combined"].where("is_default").count() > 0
+
+
+def test_a_missing_metric_value_fails_the_model_and_publishes_nothing(spark, tables, tmp_path):
+    broken = dict(tables)
+    broken["stations"] = tables["stations"]
+    broken["fleet"] = tables["fleet"].withColumn("antal", F.when(F.col("kommun_kod") == "0117", 0 * F.col("antal")).otherwise(F.col("antal")))
+    with pytest.raises(ModelRuleFailed, match="n_components, value_present|n_components.*value_present"):
+        publish_model(broken, str(tmp_path / "gold"))
+    assert not (tmp_path / "gold").exists()
