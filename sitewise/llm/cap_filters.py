@@ -24,7 +24,7 @@ from .common import components, load, materialize
 
 THRESHOLD = 0.9
 BLOCKS = 2
-FILTERS_EACH = 24  # filters a vector exceeds on average
+FILTERS_EACH = 28  # filters a vector exceeds on average
 PER_FILTER = 64  # points a filter holds on average
 BLOCK_ROWS = 1024  # a filter with more points is compared block against block
 SEED = 20_011
@@ -123,56 +123,74 @@ def _filters(n_points: int):
     return run
 
 
+def _column(batches: list[pa.RecordBatch], name: str):
+    arr = pa.chunked_array([b.column(name) for b in batches]).combine_chunks()
+    return arr if isinstance(arr, pa.Array) else arr.chunk(0)
+
+
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (filter, dimension, pair of blocks); each group holds at
-    most two blocks.  A pair counts at the first filter its points share."""
-    held: list[dict] = []
-    last = None
+    most two blocks.  Whole groups are taken from the batches as arrays."""
+    rest: list[pa.RecordBatch] = []
     for batch in batches:
-        for r in batch.to_pylist():
-            k = (r["flt"], r["dim"], r["lo"], r["hi"])
-            if k != last and held:
-                yield from _compare(held)
-                held = []
-            last = k
-            held.append(r)
-    if held:
-        yield from _compare(held)
-
-
-def _compare(rows: list[dict]) -> Iterator[pa.RecordBatch]:
-    lo, hi, flt = rows[0]["lo"], rows[0]["hi"], rows[0]["flt"]
-    left = [r for r in rows if r["part"] == lo]
-    right = left if lo == hi else [r for r in rows if r["part"] == hi]
-    if len(left) + len(right) < 3 - (lo != hi) or not left or not right:
+        rest.append(batch)
+        keys = [c.to_numpy() for c in (batch.column(k) for k in ("flt", "dim", "lo", "hi"))]
+        ends = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) if batch.num_rows else []
+        if len(ends):
+            cut = int(ends[-1]) + 1
+            rest[-1] = batch.slice(0, cut)
+            yield from _groups(rest)
+            rest = [batch.slice(cut)]
+    if rest:
+        yield from _groups(rest)
+
+
+def _groups(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    flt, dim, lo, hi, part, pid, copies = (_column(batches, k).to_numpy() for k in ("flt", "dim", "lo", "hi", "part", "pid", "copies"))
+    if not len(flt):
         return
-    x = np.stack([unit(np.frombuffer(r["point"])) for r in left])
-    y = x if lo == hi else np.stack([unit(np.frombuffer(r["point"])) for r in right])
-    close = x @ y.T >= THRESHOLD - 1e-9
+    points, earlier = _column(batches, "point").cast(pa.large_binary()), _column(batches, "earlier")
+    p_at = np.frombuffer(points.buffers()[1], np.int64)[points.offset:points.offset + len(points) + 1]
+    raw = points.buffers()[2]
+    e_at, e_all = earlier.offsets.to_numpy(), earlier.values.to_numpy()
+    cut = np.flatnonzero((flt[1:] != flt[:-1]) | (dim[1:] != dim[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])) + 1
+    found = []
+    for i, j in zip(np.append(0, cut), np.append(cut, len(flt)), strict=True):
+        if j - i > 1:
+            x = np.frombuffer(raw, np.float64, (p_at[j] - p_at[i]) // 8, p_at[i]).reshape(j - i, -1)
+            found.append(_compare(x, part[i:j], int(lo[i]), int(hi[i]), pid[i:j], copies[i:j], e_at[i:j + 1], e_all))
+    cols = [np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in range(3)]
+    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["a", "b", "n"])
+
+
+def _compare(x, part, lo, hi, pid, copies, e_at, e_all):
+    """(point, -1, links) and (root, point, 0) rows of one group.  A pair
+    counts where its points share no earlier filter."""
+    left, right = np.flatnonzero(part == lo), np.flatnonzero(part == hi)
+    x = x / np.abs(x).max(1, keepdims=True)
+    x = x / np.sqrt((x * x).sum(1, keepdims=True))
+    close = x[left] @ x[right].T >= THRESHOLD
     if lo == hi:
-        close &= np.tri(len(x), k=-1, dtype=bool).T
+        close = np.triu(close, 1)
+    if not close.any():
+        return (np.zeros(0, np.int64),) * 3
+    # points by the earlier filters they hold; a shared one owns the pair
+    size = np.diff(e_at)
+    flat = e_all[e_at[0]:e_at[-1]]
+    if len(flat):
+        names, col = np.unique(flat, return_inverse=True)
+        row = np.repeat(np.arange(len(size)), size)
+        for some in np.array_split(np.arange(len(names)), max(1, len(names) * len(size) // 4_000_000)):
+            inside = (col >= some[0]) & (col <= some[-1])
+            held = np.zeros((len(size), len(some)), np.float32)
+            held[row[inside], col[inside] - some[0]] = 1
+            close &= held[left] @ held[right].T == 0
     i, j = np.nonzero(close)
-    if not len(i):
-        return
-    exact = np.array([math.fsum(x[a] * y[b]) for a, b in zip(i, j, strict=True)]) >= THRESHOLD
-    i, j = i[exact], j[exact]
-    # the pair is another filter's if the points share an earlier one
-    fl, fr = [np.array(r["filters"]) for r in left], [np.array(r["filters"]) for r in right]
-    fl, fr = [f[f < flt] for f in fl], [f[f < flt] for f in fr]
-    own = np.array([not np.isin(fl[a], fr[b], assume_unique=True).any() for a, b in zip(i, j, strict=True)], bool)
-    i, j = i[own], j[own]
-    if not len(i):
-        return
-    pl, pr = np.array([r["pid"] for r in left]), np.array([r["pid"] for r in right])
-    cl, cr = np.array([r["copies"] for r in left]), np.array([r["copies"] for r in right])
-    # links of each point, and enough pairs to connect what is linked here
-    who = np.concatenate([pl[i], pr[j]])
-    many = np.concatenate([cr[j], cl[i]])
-    uniq, at = np.unique(who, return_inverse=True)
-    total = np.bincount(at, many, len(uniq)).astype(np.int64)
-    a, b = _forest(np.minimum(pl[i], pr[j]), np.maximum(pl[i], pr[j]))
-    yield pa.RecordBatch.from_arrays([
-        pa.array(np.concatenate([uniq, a])), pa.array(np.concatenate([np.full(len(uniq), -1), b])), pa.array(np.concatenate([total, np.zeros(len(a), np.int64)]))], names=["a", "b", "n"])
+    i, j = left[i], right[j]
+    uniq, at = np.unique(np.concatenate([pid[i], pid[j]]), return_inverse=True)
+    total = np.bincount(at, np.concatenate([copies[j], copies[i]]), len(uniq)).astype(np.int64)
+    a, b = _forest(np.minimum(pid[i], pid[j]), np.maximum(pid[i], pid[j]))
+    return np.concatenate([uniq, a]), np.concatenate([np.full(len(uniq), -1), b]), np.concatenate([total, np.zeros(len(a), np.int64)])
 
 
 def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -214,7 +232,7 @@ def link(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding
     member = member.join(held, (F.col("flt") == F.col("f")) & (F.col("dim") == F.col("d"))).drop("f", "d")
     member = member.withColumn("part", F.pmod(F.xxhash64("pid"), "k").cast("int"))
     member = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-    member = member.select("flt", "dim", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", "pid", "point", "copies", "filters")
+    member = member.select("flt", "dim", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", "pid", "point", "copies", F.filter("filters", lambda f: f < F.col("flt")).alias("earlier"))
     found = member.repartition("flt", "dim", "lo", "hi").sortWithinPartitions("flt", "dim", "lo", "hi", "pid").mapInArrow(_pairs, "a long, b long, n long")
     found = materialize(found)
     links = found.where("b < 0").groupBy("a").agg(F.sum("n").alias("n")).withColumnRenamed("a", "l_pid")
