@@ -53,14 +53,18 @@ def retired_code_check(df: DataFrame, code_col: str, codes: Sequence[str], value
                        status_col: str | None = None, suppressed: str = "..") -> DataFrame:
     """Retired codes must hold nothing: no positive value and every NULL
     marked as suppressed.  One row per retired code present."""
-    status = F.col(status_col) if status_col else F.lit(None).cast("string")
     v = F.col(value_col)
-    r = df.where(F.col(code_col).isin(*codes)).groupBy(code_col).agg(
-        F.count(F.lit(1)).alias("n_cells"), F.count_if(v == 0).alias("n_zero"),
-        F.count_if(v.isNull()).alias("n_null"), F.count_if(v > 0).alias("n_positive"),
-        F.count_if(v.isNull() & (F.coalesce(status, F.lit("")) != suppressed)).alias("n_null_unmarked"))
-    return r.withColumn("holds_nothing", (F.col("n_cells") > 0) & (F.col("n_positive") == 0)
-                        & (F.col("n_null_unmarked") == 0))
+    marked = F.col(status_col).eqNullSafe(suppressed) if status_col else F.lit(False)
+    # one label a cell, then a count of each
+    kind = (F.when(v.isNull() & marked, "marked").when(v.isNull(), "unmarked")
+             .when(v == 0, "zero").when(v > 0, "positive").otherwise("negative"))
+    names = ["marked", "unmarked", "zero", "positive", "negative"]
+    cells = df.where(F.col(code_col).isin(*codes)).withColumn("_kind", kind)
+    per = cells.groupBy(code_col).pivot("_kind", names).count().fillna(0)
+    return per.select(
+        code_col, sum((F.col(k) for k in names), F.lit(0)).cast("long").alias("n_cells"), F.col("zero").alias("n_zero"),
+        (F.col("marked") + F.col("unmarked")).alias("n_null"), F.col("positive").alias("n_positive"),
+        F.col("unmarked").alias("n_null_unmarked"), ((F.col("positive") == 0) & (F.col("unmarked") == 0)).alias("holds_nothing"))
 
 
 def hierarchy_gap(df: DataFrame, value: Column, levels: Mapping[str, Sequence[str]]) -> DataFrame:

@@ -30,12 +30,13 @@ SPOT_UNITS = [0, 24]
 
 
 @query("retired_code_check", """
-SELECT event_type, COUNT(*) AS n_cells, COUNT(*) FILTER (WHERE value = 0) AS n_zero,
-       COUNT(*) FILTER (WHERE value IS NULL) AS n_null, COUNT(*) FILTER (WHERE value > 0) AS n_positive,
-       COUNT(*) FILTER (WHERE value IS NULL) AS n_null_unmarked,
-       COUNT(*) > 0 AND COUNT(*) FILTER (WHERE value > 0) = 0 AND COUNT(*) FILTER (WHERE value IS NULL) = 0
-         AS holds_nothing
-FROM events WHERE event_type IN ('error', 'signup') GROUP BY 1
+WITH cell AS (SELECT event_type, CASE WHEN value IS NULL THEN 'null' WHEN value = 0 THEN 'zero' WHEN value > 0 THEN 'positive' ELSE 'negative' END AS kind
+              FROM events WHERE event_type = ANY(['error', 'signup'])),
+wide AS (SELECT event_type, histogram(kind) AS h, count(*) AS n FROM cell GROUP BY event_type)
+SELECT event_type, n AS n_cells, CAST(coalesce(h['zero'], 0) AS BIGINT) AS n_zero, CAST(coalesce(h['null'], 0) AS BIGINT) AS n_null,
+       CAST(coalesce(h['positive'], 0) AS BIGINT) AS n_positive, CAST(coalesce(h['null'], 0) AS BIGINT) AS n_null_unmarked,
+       h['positive'] IS NULL AND h['null'] IS NULL AS holds_nothing
+FROM wide
 """)
 def retired_code_check_q(spark, sf):
     """Event types treated as retired codes must hold nothing."""

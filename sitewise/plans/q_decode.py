@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sitewise.sources.decode import (cube_complete, decode_cells, decode_dense, document_attributes,
+from sitewise.operators.checks import parse_position
+from sitewise.sources.decode import (cube_complete, decode_cells, decode_cube, decode_dense, document_attributes,
                                      variant_fields)
+from sitewise.sources.files import rescued_data
 from sitewise.plans.registry import query
 from sitewise.session import load
 
@@ -104,3 +106,62 @@ def attribute_inventory_q(spark, sf):
     a = document_attributes(spark, load(spark, sf, "part"), ["p_partkey"])
     return a.groupBy("attribute").agg(F.count("value_text").alias("n_filled"),
                                       F.count_distinct("value_text").alias("n_distinct"))
+
+
+@query("decode_cube_json", """
+SELECT y AS year, s AS status, p AS priority, count(o_orderkey) AS n_orders
+FROM (SELECT DISTINCT CAST(year(o_orderdate) AS BIGINT) AS y FROM orders) CROSS JOIN unnest(['F', 'O', 'P']) a(s)
+  CROSS JOIN unnest(['1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW']) b(p)
+  LEFT JOIN orders ON year(o_orderdate) = y AND o_orderstatus = s AND o_orderpriority = p
+GROUP BY 1, 2, 3
+""")
+def decode_cube_json_q(spark, sf):
+    """Orders per status and priority landed as one json-stat2 document a
+    year (status categories as an object, priorities as a list) and decoded
+    back, zero cells included."""
+    status, priority = ["F", "O", "P"], ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+    at = (F.array_position(F.array(*map(F.lit, status)), F.col("o_orderstatus")) - 1) * len(priority) + F.array_position(
+        F.array(*map(F.lit, priority)), F.col("o_orderpriority"))
+    cells = load(spark, sf, "orders").groupBy(F.year("o_orderdate").alias("year"), at.alias("at")).agg(F.count(F.lit(1)).alias("n"))
+    per = cells.groupBy("year").agg(F.map_from_entries(F.collect_list(F.struct("at", "n"))).alias("m"))
+    values = F.transform(F.sequence(F.lit(1).cast("long"), F.lit(len(status) * len(priority)).cast("long")), lambda i: F.coalesce(F.col("m")[i], F.lit(0)))
+    dims = F.struct(
+        F.struct(F.lit("status").alias("label"), F.struct(F.struct(*[F.lit(i).alias(c) for i, c in enumerate(status)]).alias("index")).alias("category")).alias("status"),
+        F.struct(F.lit("priority").alias("label"), F.struct(F.array(*map(F.lit, priority)).alias("index")).alias("category")).alias("priority"))
+    landed = per.select("year", F.to_json(F.struct(F.array(F.lit("status"), F.lit("priority")).alias("id"), dims.alias("dimension"), values.alias("value"))).alias("value"))
+    c = decode_cube(landed, keep=["year"])
+    return c.select(F.col("year").cast("long").alias("year"), F.col("cell")["status"].alias("status"), F.col("cell")["priority"].alias("priority"),
+                    F.col("value").cast("long").alias("n_orders"))
+
+
+@query("position_parse", """
+SELECT c_custkey, CASE WHEN c_custkey % 7 <> 0 THEN c_acctbal / 128 END AS lat,
+       CASE WHEN c_custkey % 7 <> 0 AND c_custkey % 5 <> 0 THEN c_acctbal / 64 END AS lon
+FROM customer
+""")
+def position_parse_q(spark, sf):
+    """Positions written as "(lat, lon)" and parsed back; some have no
+    longitude, some are no positions."""
+    c = load(spark, sf, "customer")
+    lat, lon = (F.col("c_acctbal") / n for n in (128, 64))
+    text = (F.when(F.col("c_custkey") % 7 == 0, F.lit("unknown"))
+             .when(F.col("c_custkey") % 5 == 0, F.concat(F.lit("("), lat.cast("string"), F.lit(")")))
+             .otherwise(F.concat(F.lit("("), lat.cast("string"), F.lit(", "), lon.cast("string"), F.lit(")"))))
+    a, b = parse_position(F.col("position"))
+    return c.select("c_custkey", text.alias("position")).select("c_custkey", a.alias("lat"), b.alias("lon"))
+
+
+@query("rescued_fields", """
+SELECT event_type, count(*) AS n_rows, count(CASE WHEN value > 50 THEN 1 END) AS n_rescued,
+       CAST(sum(CASE WHEN value > 50 THEN user_id END) AS BIGINT) AS rescued_users
+FROM events GROUP BY event_type
+""")
+def rescued_fields_q(spark, sf):
+    """Events landed as JSON, those of a high value with a field that the
+    schema does not declare; it is kept as rescued data."""
+    e = load(spark, sf, "events")
+    doc = F.to_json(F.struct("event_id", "event_type", F.when(F.col("value") > 50, F.col("user_id")).alias("watched_by")))
+    r = rescued_data(e.select("event_type", doc.alias("doc")), "doc", ["event_id", "event_type"])
+    return r.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("_rescued_data").alias("n_rescued"),
+        F.sum(F.get_json_object("_rescued_data", "$.watched_by").cast("long")).alias("rescued_users"))

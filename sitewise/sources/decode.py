@@ -53,9 +53,13 @@ def decode_dense(df: DataFrame, value_col: str, codes_col: str, keep: Sequence[s
     ``codes_col`` is ``array<array<string>>`` (categories per dimension in
     dimension order); the output carries ``pos``, ``value``, ``codes``
     (the cell's category per dimension) and, if given, the cell status
-    (``status`` is a map keyed by position text, or a list).
+    (``status`` is a map keyed by position text, or a list).  A cube whose
+    value count is not the product of its dimension sizes fails the job:
+    its values would land in wrong cells.
     """
-    base = df.select(*keep, F.col(codes_col).alias("_codes"), F.col(value_col).alias("_vals"),
+    whole = F.when(cube_complete(F.col(value_col), F.col(codes_col)), F.col(value_col)).otherwise(F.raise_error(
+        F.concat(F.lit("cube has "), F.size(value_col).cast("string"), F.lit(" values for its categories"))))
+    base = df.select(*keep, F.col(codes_col).alias("_codes"), whole.alias("_vals"),
                      *([status.alias("_status")] if status is not None else []))
     base = base.withColumn("_sizes", F.transform("_codes", lambda c: F.size(c)))
     base = base.withColumn("_strides", strides(F.col("_sizes")))
