@@ -5,17 +5,27 @@ similarity of THRESHOLD percent or more.  Identical sets are one class from
 the start.  Tokens have one global order, the frequent ones last, and a class
 is known by its first tokens: two similar sets share NEED of them at least.
 
-1. Each token's posting list, in order of set size, links classes to the
-   first one of fitting size and to their neighbour; verified links partition
-   the classes into groups of similar ones.  No list is paired with itself.
-2. The token-group matrix holds each group's token union.  A class queries
-   the groups it is not connected with: shared tokens bound the overlap with
-   every member, only groups that reach the bound are opened and verified.
-   Between connected classes a further link changes nothing.
+1. Classes are partitioned into groups of at most GROUP_SIZE similar ones:
+   each token's posting list, in order of set size, offers its classes the
+   first of fitting size as a pivot, a class joins the pivot it shares most
+   tokens with, and the classes of a pivot are dealt out to groups.
+2. Each group is opened against itself and its pivot's group, which connects
+   what is alike.
+3. The token-group matrix holds each group's token union.  Two groups are
+   opened to each other only if their unions share as many tokens as a link
+   needs, their sizes fit, and not all of their classes are connected yet;
+   for two groups of one class each, the places of the last shared token
+   also say how far the sets differ up to there.
+   a further link inside a component would change nothing.
+
+To open a pair of groups is to bring its texts together once; there a class
+is compared with a group's members only if its overlap with their token union
+reaches what any link needs.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, documents, materialize
+from .common import components, documents, in_small_batches, materialize
 from .textnp import LOWER, mix, shingles, text_chunks, word_hashes, words
 
 SHINGLE = 4
@@ -33,7 +43,9 @@ GROUP_SIZE = 64
 MAX_FREQUENT = 1 << 16  # tokens whose place in the order is by count; any order is exact, this one is short
 LOCAL_FREQUENT = 4  # documents of a chunk that make a token a candidate for it
 
-_SETS = "doc_id long, rk long, n int, d1 long, d2 long, tokens array<long>"
+_SETS = "doc_id long, rk long, n int, d1 long, d2 long"
+_TOKENS = "n int, d1 long, d2 long, tokens array<long>"
+BITMAP_BITS = 1 << 26  # of fixed size: it only rules texts out, whatever number is asked for
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray) -> Iterator[np.ndarray]:
@@ -84,56 +96,61 @@ def prefix(tokens: np.ndarray, frequent: np.ndarray, place: np.ndarray) -> np.nd
         at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
         hot = frequent[at] == tokens
         rank[hot] = np.uint64(1 << 63) + place[at[hot]].astype(np.uint64)
-    return tokens[np.argpartition(rank, keep - 1)[:keep]] if keep < n else tokens
+    return tokens[np.argsort(rank)[:keep]]
 
 
-def _sets(frequent: np.ndarray, place: np.ndarray):
+def _digests(sets: list[np.ndarray]) -> list[pa.Array]:
+    """Size and two digests of each set, alike for equal sets only."""
+    d1 = [np.add.reduce(mix(s + np.uint64(0x51ED270B))) for s in sets]
+    d2 = [np.bitwise_xor.reduce(mix(s ^ np.uint64(0xB5297A4D3F84D5A7))) if len(s) else np.uint64(0) for s in sets]
+    return [pa.array([len(s) for s in sets], pa.int32()), *(pa.array(np.array(d, np.uint64).view(np.int64)) for d in (d1, d2))]
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for lo, hi, data, offs in text_chunks(batch.column(1)):
+            own = [batch.column(k).slice(lo, hi - lo) for k in (0, 2)]
+            yield pa.RecordBatch.from_arrays([*own, *_digests(list(shingle_sets(data, offs)))], names=["doc_id", "rk", "n", "d1", "d2"])
+
+
+def _prefixes(frequent: np.ndarray, place: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, offs in text_chunks(batch.column(1)):
-                n, d1, d2, parts = [], [], [], []
-                for s in shingle_sets(data, offs):
-                    n.append(len(s))
-                    d1.append(np.add.reduce(mix(s + np.uint64(0x51ED270B))))
-                    d2.append(np.bitwise_xor.reduce(mix(s ^ np.uint64(0xB5297A4D3F84D5A7))) if len(s) else np.uint64(0))
-                    parts.append(prefix(s, frequent, place) if len(s) else s)
-                size = np.cumsum([0] + [len(p) for p in parts])
-                tokens = pa.ListArray.from_arrays(pa.array(size, pa.int32()), pa.array(np.concatenate(parts).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), pa.array(n, pa.int32()),
-                    pa.array(np.array(d1, np.uint64).view(np.int64)), pa.array(np.array(d2, np.uint64).view(np.int64)), tokens],
-                    names=["doc_id", "rk", "n", "d1", "d2", "tokens"])
+            for _, _, data, offs in text_chunks(batch.column(0)):
+                sets = [s for s in shingle_sets(data, offs) if len(s)]
+                if not sets:
+                    continue
+                parts = [prefix(s, frequent, place) for s in sets]
+                tokens = pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(p) for p in parts]), pa.int32()), pa.array(np.concatenate(parts).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([*_digests(sets), tokens], names=["n", "d1", "d2", "tokens"])
     return run
 
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (token, n, cid), a stream of posting lists.  Lists of one
-    class are dropped.  Kind 0: (first of fitting size or neighbour, class,
-    tokens needed); kind 1: (class, n, token)."""
-    token = base = last = None
-    lone = None
-    out: list[tuple[int, int, int, int]] = []
+    """Rows sorted by (token, n, cid) with the token's place in the class's
+    order, a stream of posting lists.  Lists of one class are dropped.  Kind
+    0: (pivot, class, their places); kind 1: (class, n, token, place)."""
+    token = base = lone = None
+    out: list[tuple] = []
     for batch in batches:
-        cols = [batch.column(k).to_numpy() for k in range(3)]
+        cols = [batch.column(k).to_numpy() for k in range(4)]
         t = cols[0]
         # only rows that share their token with a neighbour need a look; batch ends always do
         near = np.ones(len(t), bool)
         if len(t) > 2:
             near[1:-1] = (t[1:-1] == t[:-2]) | (t[1:-1] == t[2:])
-        for tok, n, c in zip(*(x[near].tolist() for x in cols), strict=True):
+        for tok, n, c, at in zip(*(x[near].tolist() for x in cols), strict=True):
             if tok != token:
-                token, base, last, lone = tok, (n, c), (n, c), (c, n, tok)
+                token, base, lone = tok, (n, c, at), (1, c, n, tok, at)
                 continue
             if lone:
-                out.append((1, *lone))
+                out.append(lone)
                 lone = None
-            out.append((1, c, n, tok))
+            out.append((1, c, n, tok, at))
             if n * THRESHOLD > 100 * base[0]:
-                base = (n, c)
-            for m, other in {base, last}:
-                if other != c and n * THRESHOLD <= 100 * m:
-                    out.append((0, other, c, min(NEED, int(least_overlap(m)))))
-            last = (n, c)
+                base = (n, c, at)
+            else:
+                out.append((0, base[1], c, base[2], at))
         if len(out) > 100_000:
             yield _rows(out)
             out = []
@@ -143,39 +160,111 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _rows(out):
     a = np.array(out, np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(a[:, k]) for k in range(4)], names=["kind", "x", "y", "t"])
+    return pa.RecordBatch.from_arrays([pa.array(a[:, k]) for k in range(5)], names=["kind", "x", "y", "t", "u"])
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> Iterator[tuple[int, int, int]]:
+    """(i, j, shared tokens) of the pairs that link.  The right sets' token
+    union bounds each left set's overlap; only those that can reach what a
+    link needs are counted member by member."""
+    tokens, owner = np.concatenate(right), np.repeat(np.arange(len(right)), [len(r) for r in right])
+    order = np.argsort(tokens, kind="stable")
+    tokens, owner = tokens[order], owner[order]
+    size = np.array([len(r) for r in right])
+    for i, x in enumerate(left):
+        lo, hi = np.searchsorted(tokens, x, "left"), np.searchsorted(tokens, x, "right")
+        held = hi > lo
+        if np.count_nonzero(held) < least_overlap(len(x)):
+            continue
+        lo, n = lo[held], (hi - lo)[held]
+        at = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        both = np.bincount(owner[at], minlength=len(right))
+        for j in np.flatnonzero(100 * both >= THRESHOLD * (len(x) + size - both)):
+            yield i, int(j), int(both[j])
+
+
+def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by pair of groups (a, b), with the group that a row's class
+    is of: at most two groups at a time, their links as a spanning forest."""
+    held: dict[int, list[tuple[int, bytes]]] = {}
+    last = None
+    for batch in batches:
+        out: list[tuple[int, int]] = []
+        for a, b, g, cid, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (a, b) != last:
+                out += _links(held)
+                held, last = {}, (a, b)
+            held.setdefault(g, []).append((cid, packed))
+        pa.default_memory_pool().release_unused()
+        yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+    out = _links(held)
+    yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+
+def _links(held: dict[int, list[tuple[int, bytes]]]) -> list[tuple[int, int]]:
+    groups = []
+    for members in held.values():
+        sets: list[np.ndarray] = []
+        for _, _, data, offs in text_chunks(pa.array([zlib.decompress(p) for _, p in members], pa.large_binary())):
+            sets += shingle_sets(data, offs)
+        groups.append(([c for c, _ in members], sets))
+    if not groups:
+        return []
+    (ca, sa), (cb, sb) = groups[0], groups[-1]
+    root = {c: c for c in ca + cb}
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for i, j, _ in overlaps(sa, sb):
+        p, q = find(ca[i]), find(cb[j])
+        if p != q:
+            root[max(p, q)] = min(p, q)
+    return [(c, find(c)) for c in root if find(c) != c]
+
+
+def _bitmap(keys: DataFrame) -> np.ndarray:
+    """Bits of the long keys modulo BITMAP_BITS, gathered as 64-bit words."""
+    bit = keys.select(F.pmod(keys[0], F.lit(BITMAP_BITS)).alias("b"))
+    word = bit.groupBy(F.shiftright("b", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b & 63 AS int))")).alias("bits"))
+    got = word.toPandas()
+    out = np.zeros(BITMAP_BITS >> 6, np.uint64)
+    out[got["w"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64).view(np.uint64)
+    return out
+
+
+def _pack(bitmap: np.ndarray):
+    """Texts whose key the bitmap holds, compressed for the way."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column("rk").to_numpy() % BITMAP_BITS
+            batch = batch.filter(pa.array((bitmap[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1))
+            zipped = [zlib.compress((t.as_py() or "").encode(), 1) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("rk"), pa.array(zipped, pa.binary())], names=["doc_id", "rk", "packed"])
+            pa.default_memory_pool().release_unused()
+    return run
 
 
-def _set_of(text: str | None) -> np.ndarray:
-    data = np.frombuffer((text or "").encode(), np.uint8)
-    return next(shingle_sets(data, np.array([0, len(data)])))
+def opened(pairs: DataFrame, groups: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of each pair of groups (ga, gb), from
+    the whole texts of the classes' first documents."""
+    each = pairs.select("ga", "gb", F.explode(F.array_distinct(F.array("ga", "gb"))).alias("g"))
+    asked = each.join(groups.select("cid", "gid"), F.col("g") == F.col("gid")).join(classes.select("cid", "rep"), "cid")
+    asked = materialize(asked.select("ga", "gb", "g", "cid", F.col("rep.doc_id").alias("r_id"), F.col("rep.rk").alias("r_rk")))
+    texts = docs.select("doc_id", "rk", "text").mapInArrow(_pack(_bitmap(asked.select("r_rk"))), "doc_id long, rk long, packed binary")
+    texts = texts.groupBy("doc_id", "rk").agg(F.first("packed").alias("packed"))  # repeated rows travel once
+    rows = texts.join(asked, F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("rk") == F.col("r_rk"))).select("ga", "gb", "g", "cid", "packed")
+    return rows.repartition("ga", "gb").sortWithinPartitions("ga", "gb", "g").mapInArrow(_open, "a long, b long")
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs with both texts, those of one b together: the exact test."""
-    last, sb = None, None
-    for batch in batches:
-        a_out, b_out = [], []
-        for a, b, ta, tb in zip(*(batch.column(k) for k in ("a", "b", "ta", "tb")), strict=True):
-            if b.as_py() != last:
-                last, sb = b.as_py(), _set_of(tb.as_py())
-            sa = _set_of(ta.as_py())
-            both = len(np.intersect1d(sa, sb, assume_unique=True))
-            if 100 * both >= THRESHOLD * (len(sa) + len(sb) - both):
-                a_out.append(a.as_py())
-                b_out.append(last)
-        yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], names=["a", "b"])
-
-
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of class ids whose sets link, from the whole texts of
-    the classes' first documents."""
-    asked = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
-    asked = asked.join(classes.select("cid", "rep"), "cid").select("cid", F.col("rep.doc_id").alias("r_id"), F.col("rep.rk").alias("r_rk"))
-    texts = docs.join(asked, F.col("doc_id").eqNullSafe(F.col("r_id")) & F.col("rk").eqNullSafe(F.col("r_rk"))).select("cid", "text").dropDuplicates(["cid"])
-    left = pairs.join(texts.select(F.col("cid").alias("a"), F.col("text").alias("ta")), "a")
-    both = left.join(texts.select(F.col("cid").alias("b"), F.col("text").alias("tb")), "b")
-    return both.select("a", "b", "ta", "tb").mapInArrow(_verify, "a long, b long")
+def may_link(shared: "F.Column", n: "F.Column", m: "F.Column", place: "F.Column", o_place: "F.Column") -> "F.Column":
+    """Whether sets of n and m that share so many prefix tokens, the last at
+    these places, can link: up to it they differ by all else."""
+    least = F.ceil((n + m) * THRESHOLD / (100 + THRESHOLD))
+    return (place + o_place + 2 - 2 * shared <= n + m - 2 * least) & (shared >= F.least(F.lit(NEED), least))
 
 
 def join(docs: DataFrame) -> DataFrame:
@@ -189,37 +278,49 @@ def join(docs: DataFrame) -> DataFrame:
     empty result.
     """
     frequent, place = frequent_tokens(docs.select("text"))
-    sets = materialize(docs.select("doc_id", "text", "rk").mapInArrow(_sets(frequent, place), _SETS))
+    sets = materialize(docs.select("doc_id", "text", "rk").mapInArrow(_sets, _SETS))
     key = ["n", "d1", "d2"]
-    classes = sets.where("n > 0").groupBy(*key).agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "rk")).alias("rep"), F.first("tokens").alias("tokens"))
+    classes = sets.where("n > 0").groupBy(*key).agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "rk")).alias("rep"))
     classes = materialize(classes.withColumn("cid", F.monotonically_increasing_id()))
-    lists = classes.select(F.explode("tokens").alias("token"), F.col("n").cast("long").alias("n"), "cid")
-    lists = lists.repartition("token").sortWithinPartitions("token", "n", "cid")
-    scan = materialize(lists.mapInArrow(_postings, "kind long, x long, y long, t long"))
+    lists = docs.select("text").mapInArrow(_prefixes(frequent, place), _TOKENS).groupBy(*key).agg(F.first("tokens").alias("tokens"))
+    lists = lists.join(classes.select(*key, "cid"), key).select(F.posexplode("tokens").alias("place", "token"), F.col("n").cast("long").alias("n"), "cid")
+    lists = lists.select("token", "n", "cid", F.col("place").cast("long").alias("place")).repartition("token").sortWithinPartitions("token", "n", "cid")
+    scan = materialize(lists.mapInArrow(_postings, "kind long, x long, y long, t long, u long"))
 
     # 1. groups
-    near = scan.where("kind = 0").groupBy("x", "y").agg(F.count("*").alias("c"), F.min("t").alias("t")).where("c >= t")
-    links = materialize(verified(near.select(F.col("y").alias("a"), F.col("x").alias("b")), classes, docs))
+    shared = scan.where("kind = 1").select(F.col("x").alias("cid"), F.col("y").alias("n"), F.col("t").alias("token"), F.col("u").alias("place"))
+    near = scan.where("kind = 0").groupBy("x", "y").agg(F.count("*").alias("c"), F.max("t").alias("px"), F.max("u").alias("py"))
+    # only lists that offered this very pivot are counted, so a third of the places is taken as alike;
+    # groups of any make-up are exact, those of similar classes are few
+    near = near.where(3 * F.col("c") >= F.greatest("px", "py") + 1)
+    best = near.groupBy("y").agg(F.max(F.struct("c", (-F.col("x")).alias("p"))).alias("best"))
+    best = materialize(best.select(F.col("y").alias("cid"), (-F.col("best.p")).alias("pivot")))
+    pivots = best.select(F.col("pivot").alias("cid")).distinct()
+    pivoted = best.join(pivots, "cid", "left_anti").unionByName(pivots.withColumn("pivot", F.col("cid")))
+    pivoted = shared.select("cid").distinct().join(pivoted, "cid", "left").select("cid", F.coalesce("pivot", "cid").alias("pivot"))
+    dealt = pivoted.groupBy("pivot").agg(F.ceil(F.count("*") / GROUP_SIZE).alias("k"), F.count("*").alias("members")).withColumnRenamed("pivot", "p")
+    of = (lambda c: F.xxhash64("pivot", F.pmod(F.xxhash64(c), "k")))
+    groups = materialize(pivoted.join(dealt, F.col("pivot") == F.col("p")).select("cid", of("cid").alias("gid"), of("pivot").alias("home"), (F.col("members") == 1).alias("single")))
+    # 2. each group with itself and with its pivot's
+    own = groups.where("not single").select(F.explode(F.array(F.struct(F.col("gid").alias("ga"), F.col("gid").alias("gb")), F.struct(F.least("gid", "home").alias("ga"), F.greatest("gid", "home").alias("gb")))).alias("s")).select("s.*").distinct()
+    links = materialize(opened(own, groups, classes, docs))
     comp = materialize(components(links))
-
-    # 2. token-group matrix
-    shared = scan.where("kind = 1").select(F.col("x").alias("cid"), F.col("y").alias("n"), F.col("t").alias("token"))
-    chunks = comp.groupBy("component").agg(F.ceil(F.count("*") / GROUP_SIZE).alias("k")).withColumnRenamed("component", "root")
-    member = comp.join(chunks, F.col("component") == F.col("root")).select("node", "component", F.pmod(F.xxhash64("node"), "k").alias("chunk"))
-    shared = shared.join(member, F.col("cid") == F.col("node"), "left").select("token", "cid", "n", F.coalesce("component", "cid").alias("component"), F.coalesce("chunk", F.lit(0)).alias("chunk"))
-    matrix = shared.groupBy("token", "component", "chunk").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    open_tokens = matrix.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select(F.col("token").alias("tk"))
-    shared = materialize(shared.join(open_tokens, F.col("token") == F.col("tk"), "left_semi"))
-    matrix = shared.groupBy("token", "component", "chunk").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    matrix = matrix.select(F.col("token").alias("tk"), F.col("component").alias("g_comp"), F.col("chunk").alias("g_chunk"), "least", "most")
-    query = shared.join(matrix, (F.col("token") == F.col("tk")) & (F.col("component") < F.col("g_comp")))
-    query = query.where(f"least * {THRESHOLD} <= 100 * n and n * {THRESHOLD} <= 100 * most")
-    bound = F.least(F.lit(NEED), F.ceil(F.least("n", "least") * THRESHOLD / 100))
-    opened = query.groupBy("cid", "n", "g_comp", "g_chunk").agg(F.count("*").alias("c"), F.min(bound).alias("t")).where("c >= t")
-    inside = shared.select(F.col("component").alias("g_comp"), F.col("chunk").alias("g_chunk"), F.col("cid").alias("b"), F.col("n").alias("nb")).distinct()
-    pairs = opened.join(inside, ["g_comp", "g_chunk"]).where(f"nb * {THRESHOLD} <= 100 * n and n * {THRESHOLD} <= 100 * nb")
-    pairs = materialize(pairs.select(F.col("cid").alias("a"), "b").distinct())
-    more = verified(pairs, classes, docs)
+    # 3. token-group matrix
+    member = groups.join(comp, F.col("cid") == F.col("node"), "left").select(F.col("cid").alias("m"), "gid", "single", F.coalesce("component", "cid").alias("component"))
+    matrix = shared.join(member, F.col("cid") == F.col("m")).groupBy("token", "gid").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("place").alias("place"), F.min("single").alias("single"))
+    matrix = materialize(matrix)
+    useful = matrix.groupBy("token").agg(F.min("gid").alias("g1"), F.max("gid").alias("g2"), F.min("lo").alias("c1"), F.max("hi").alias("c2")).where("g1 < g2 and c1 < c2").select(F.col("token").alias("tk"))
+    matrix = matrix.join(useful, F.col("token") == F.col("tk"), "left_semi")
+    other = matrix.select(*[F.col(c).alias(f"o_{c}") for c in matrix.columns])
+    fits = f"gid < o_gid and least * {THRESHOLD} <= 100 * o_most and o_least * {THRESHOLD} <= 100 * most and not (lo = hi and o_lo = o_hi and lo = o_lo)"
+    pairs = matrix.join(other, F.col("token") == F.col("o_token")).where(fits)
+    needed = F.least(F.lit(NEED), F.ceil(F.least("least", "o_least") * THRESHOLD / 100))
+    pairs = pairs.groupBy(F.col("gid").alias("ga"), F.col("o_gid").alias("gb")).agg(
+        F.count("*").alias("c"), F.min(needed).alias("t"), F.min(F.col("single") & F.col("o_single")).alias("both"),
+        F.max("place").alias("px"), F.max("o_place").alias("py"), F.max("most").alias("n"), F.max("o_most").alias("m"))
+    # of two single classes the places are known as well
+    pairs = pairs.where("c >= t").where(~F.col("both") | may_link(F.col("c"), F.col("n"), F.col("m"), F.col("px"), F.col("py"))).select("ga", "gb")
+    more = opened(materialize(pairs), groups, classes, docs)
     comp = components(links.unionByName(more))
 
     # components named by their least document
@@ -236,7 +337,7 @@ def join(docs: DataFrame) -> DataFrame:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("rk"))
+    return in_small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("rk"))
 
 
 def op8_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
