@@ -39,6 +39,16 @@ def drop_scratch(spark: SparkSession) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def in_small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """``df``, with the session told to hand Python at most ``rows`` rows at a
+    time: whole texts are long, and the default number of them fills a
+    worker.  A smaller setting of the user's stays."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name, "10000")) <= rows:
+        conf.set(name, str(rows))
+    return df
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "documents")
 
@@ -163,4 +173,4 @@ def utf8(texts: list[str]) -> pa.Array:
     return pa.array(texts, pa.large_string())
 
 
-__all__ = ["WORD", "components", "crc_remainder", "documents", "drop_scratch", "labelled_sample", "load", "materialize", "n_words", "np", "order_key", "running_sums", "tasks_for", "utf8"]
+__all__ = ["WORD", "components", "crc_remainder", "documents", "drop_scratch", "in_small_batches", "labelled_sample", "load", "materialize", "n_words", "np", "order_key", "running_sums", "tasks_for", "utf8"]

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import crc_remainder, documents, labelled_sample, load
+from .common import crc_remainder, documents, in_small_batches, labelled_sample, load
 from .textnp import LOWER, SPACE, mix, text_chunks, word_hashes, words
 
 HASH_BITS = 12
@@ -168,5 +168,5 @@ def op6_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     alone; repeated rows score alike; labels that disagree count as 0."""
     docs = documents(spark, sf_dir)
     model = fit(docs, load(spark, sf_dir, "labels"))
-    rows = docs.select("doc_id", "text", (crc_remainder("doc_id", 5) == 0).alias("held_out"))
+    rows = in_small_batches(docs).select("doc_id", "text", (crc_remainder("doc_id", 5) == 0).alias("held_out"))
     return rows.mapInArrow(scorer(model), "doc_id long, held_out boolean, score double, predicted int")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_remainder, documents, load, materialize
+from .common import crc_remainder, documents, in_small_batches, load, materialize
 from .textnp import SPACE, mix, prefix_hash, shingles, span_hash, text_chunks, words
 
 RISK = 0.01
@@ -149,7 +149,7 @@ def rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFram
     that repeat an id are judged each by its own text.  There are as many
     strata on the driver as languages.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("rk"), F.col(stratum).cast("string").alias("stratum"))
+    rows = in_small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("rk"), F.col(stratum).cast("string").alias("stratum"))
     stats = materialize(rows.mapInArrow(_statistics, _STATS))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     stats = stats.withColumn("base_failed", failed).withColumn("stratum", F.concat(F.lit("="), "stratum")).fillna({"stratum": "null"})

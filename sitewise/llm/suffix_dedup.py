@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import documents, materialize
+from .common import documents, in_small_batches, materialize
 from .textnp import CHUNK_BYTES, _BASE2, _powers, mix, prefix_hash, sliding_min, span_hash, text_chunks
 
 MIN_MATCH = 400
@@ -335,7 +335,7 @@ def _merge_key(packed: list[bytes]) -> Iterator[pa.RecordBatch]:
 
 def keyed(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, text, rk): rows with one id and one text are the same document twice."""
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), F.xxhash64(text).alias("rk"))
+    return in_small_batches(docs).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), F.xxhash64(text).alias("rk"))
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:

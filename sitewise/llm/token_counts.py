@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, in_small_batches
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # fixed value: the published split pattern that the vocabulary was made with
@@ -118,7 +118,7 @@ def section_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, rule: str = "m
         raise ValueError(f"rule must be one of {RULES}")
     with open(vocabulary, "rb") as f:
         raw = f.read()
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(_sections(raw, rule), _SCHEMA)
+    return in_small_batches(docs).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(_sections(raw, rule), _SCHEMA)
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import crc_remainder, documents, labelled_sample, load
+from .common import crc_remainder, documents, in_small_batches, labelled_sample, load
 from .textnp import LOWER, SPACE, mix, prefix_hash, span_hash, text_chunks, words
 
 DECAY = 0.5
@@ -302,7 +302,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     words; repeated rows score alike; a very long text is one chunk of its own."""
     docs = documents(spark, sf_dir)
     model = fit(docs, load(spark, sf_dir, "labels"))
-    rows = docs.select("doc_id", "text", (crc_remainder("doc_id", 3) == 1).alias("held_out"))
+    rows = in_small_batches(docs).select("doc_id", "text", (crc_remainder("doc_id", 3) == 1).alias("held_out"))
     return rows.mapInArrow(scorer(model), "doc_id long, held_out boolean, score double, predicted int")
 
 
@@ -314,4 +314,4 @@ def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
         for b in batches:
             yield b.filter(pa.array(document_scores(b.column("text"), model) < THRESHOLD))
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_small_batches(docs).mapInArrow(run, docs.schema)
