@@ -347,15 +347,14 @@ def op8_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents, all columns, one of each component; of repeated rows that
     agree in id and text one stays, with the first of their other columns."""
-    keep = join(keyed(docs)).where("first").select(F.col("doc_id").alias("k_id"), F.col("rk").alias("k_rk")).distinct()
+    def key(i: str, rk: "F.Column") -> list:  # a null id is an id; no null in the join's keys
+        return [F.coalesce(F.col(i).cast("long"), F.lit(0)).alias("k1"), F.col(i).isNull().alias("k2"), rk.alias("k3")]
+
+    keep = join(keyed(docs)).where("first").select(*key("doc_id", F.col("rk"))).distinct()
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    rows = rows.withColumn("id", F.col("row.doc_id").cast("long")).withColumn("rk", F.xxhash64("row.text"))
-    rows = rows.join(keep, F.col("id").eqNullSafe(F.col("k_id")) & F.col("rk").eqNullSafe(F.col("k_rk")), "left_semi")
-    twice = rows.groupBy("id", "rk").agg(F.count("*").alias("c")).where("c > 1").select(F.col("id").alias("t_id"), F.col("rk").alias("t_rk"))
-    same = F.col("id").eqNullSafe(F.col("t_id")) & F.col("rk").eqNullSafe(F.col("t_rk"))
-    single = rows.join(twice, same, "left_anti")
-    repeated = rows.join(twice, same, "left_semi").dropDuplicates(["id", "rk"])
-    return single.unionByName(repeated).select("row.*")
+    # texts move once: repeated rows collapse and the join finds them dealt out by its keys
+    rows = rows.select("row", *key("row.doc_id", F.xxhash64("row.text"))).groupBy("k1", "k2", "k3").agg(F.first("row").alias("row"))
+    return rows.join(keep, ["k1", "k2", "k3"], "left_semi").select("row.*")
 
 
 ORACLE = r"""
