@@ -13,9 +13,11 @@ the corpus, and three filters leave few pairs to verify:
 
 Before it, the plain phrases of PHRASES are located.  DataFrame expressions only.
 
-That is the rule of the query's SQL.  It misses notices wrapped over lines, so
-``notices`` finds a notice anywhere in the running words: a window little
-longer than the template must hold the share of its words.  The same join, on overlapping blocks of words, gives the candidates.
+That is the rule of the query's SQL.  It misses notices wrapped over lines and
+takes near relatives for each other, so ``notices`` finds a notice anywhere in
+the running words: a window little longer than the template must hold the
+share of its words and, together, the words of MARKS that tell it from its
+relatives.  The same join, on overlapping blocks of words, gives the candidates.
 """
 
 from __future__ import annotations
@@ -50,6 +52,14 @@ TEMPLATES = [
     ("cc-by-sa", "Licensed under CC BY-SA 4.0."),
 ]
 
+# what a template's window must hold besides, in words joined by a blank; one a template
+MARKS = [
+    "gnu general public license", "gnu general public license", "gnu lesser general public license",
+    "apache license", "except in compliance with the license", "mit", "associated documentation files",
+    "source and binary forms", "with or without fee", "mozilla public license",
+    "creative commons attribution (?:[0-9]+|international|license)", "cc by nc", "cc by (?:nc )?sa",
+]
+
 _SEP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 _IN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -124,11 +134,13 @@ def template_matches(docs: DataFrame) -> DataFrame:
 
 def notice_matches(docs: DataFrame) -> DataFrame:
     """As ``template_matches``, of the notices that stand in some window of
-    ``window_words`` running words, whatever lines they are on.
+    ``window_words`` running words with their mark, whatever lines they are on.
 
     Blocks of twice the longest window begin every such length, so each
     window lies in one; the candidate step runs on blocks, the windows of
-    their few candidates are verified one by one."""
+    their few candidates are verified one by one.  Texts without any mark
+    are left out first; they cannot match."""
+    docs = docs.where(F.col("text").rlike(_any_of(MARKS)))
     stride = max(window_words(t) for _, t in TEMPLATES)
 
     def blocks(rows: DataFrame) -> DataFrame:
@@ -138,11 +150,17 @@ def notice_matches(docs: DataFrame) -> DataFrame:
 
     pairs = _candidates(docs, blocks)
     size = F.element_at(F.array(*[F.lit(window_words(t)) for _, t in TEMPLATES]), F.col("template") + 1)
-    pairs = pairs.withColumn("size", size)
+    mark = F.element_at(F.array(*[F.lit(f" (?:{m}) ") for m in MARKS]), F.col("template") + 1)
+    pairs = pairs.withColumn("size", size).withColumn("mark", mark)
+
+    def marked(words: "F.Column") -> "F.Column":
+        return F.regexp_like(F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" ")), F.col("mark"))
 
     def held(begin: "F.Column") -> "F.Column":
-        return F.size(F.array_intersect("words", F.slice("block", begin, F.col("size"))))
+        window = F.slice("block", begin, F.col("size"))
+        return F.when(marked(window), F.size(F.array_intersect("words", window)))
 
+    pairs = pairs.where(marked(F.col("block")))
     begins = F.sequence(F.lit(1), F.greatest(F.size("block") - F.col("size") + 1, F.lit(1)))
     pairs = pairs.withColumn("share", F.array_max(F.transform(begins, held)))
     return _found(pairs.where(F.col("share") >= F.col("need")))
@@ -200,7 +218,7 @@ def op7_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def notices(docs: DataFrame) -> DataFrame:
-    """``scan`` with notices found over line ends."""
+    """``scan`` with notices found over line ends, told apart by their marks."""
     return scan(docs, notice_matches)
 
 

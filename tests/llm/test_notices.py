@@ -1,8 +1,9 @@
-"""Licence notices over line ends."""
+"""Licence notices over line ends and next to their relatives."""
 import random
+import re
 
 from sitewise.llm import license_join
-from sitewise.llm.license_join import CONTAINMENT, TEMPLATES, _words
+from sitewise.llm.license_join import CONTAINMENT, MARKS, TEMPLATES, _words
 
 
 def _wrap(text, width, lead=""):
@@ -28,6 +29,20 @@ def test_wrapped_notices_of_each_template(docs_of):
     assert "bsd" in _labels(docs_of([far + _wrap(TEMPLATES[7][1], 40) + far]))[0]
 
 
+def test_relatives_are_told_apart(docs_of):
+    text = dict(enumerate(t for _, t in TEMPLATES))
+    scattered = "It was released last May " + "and then " * 30 + "under a bridge " + "of stone " * 30 + "the licence and license of MIT"
+    boost = "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"
+    agpl = text[1].replace("GNU General", "GNU Affero General")
+    cases = [
+        ("Licensed under CC BY-NC 4.0.", {"cc-by", "cc-by-nc"}), ("Licensed under CC BY-SA 4.0.", {"cc-by", "cc-by-sa"}),
+        ("Licensed under CC BY 4.0", {"cc-by"}), (text[1], {"gpl"}), (text[2], {"lgpl"}), (text[2] + " as published by the Free Software Foundation", {"lgpl"}),
+        (text[10].replace("Attribution", "Attribution-NonCommercial"), set()), (text[10].replace("Attribution", "Attribution-ShareAlike"), set()),
+        (scattered, set()), (boost, set()), (agpl, set()), (None, set())]
+    got = _labels(docs_of([t for t, _ in cases]))
+    assert [got[i] for i in range(len(cases))] == [want for _, want in cases]
+
+
 def test_every_window_by_brute_force(docs_of):
     rng = random.Random(5)
     texts = []
@@ -42,11 +57,12 @@ def test_every_window_by_brute_force(docs_of):
     for r in license_join.notices(docs_of(texts)).collect():
         words = _words(texts[r["doc_id"]])
         labels, best = set(r["base_labels"].split(",")) - {""}, 0.0
-        for label, t in TEMPLATES:
+        for (label, t), mark in zip(TEMPLATES, MARKS, strict=True):
             size, need = -(-len(_words(t)) * 100 // CONTAINMENT), set(_words(t))
             for i in range(max(1, len(words) - size + 1)):
                 share = len(need & set(words[i:i + size]))
-                if 100 * share >= CONTAINMENT * len(need):
+                seen = re.search(f" (?:{mark}) ", f" {' '.join(words[i:i + size])} ")
+                if 100 * share >= CONTAINMENT * len(need) and seen:
                     labels.add(label)
                     best = max(best, share / len(need))
         assert set(r["labels"].split(",")) - {""} == labels, texts[r["doc_id"]]
