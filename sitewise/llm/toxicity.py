@@ -16,6 +16,7 @@ document's probability.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -171,9 +172,21 @@ def _explicit(letters, bounds, pick):
     return np.concatenate(o), np.concatenate(i), np.concatenate(v) / norms(bounds)[pick][np.concatenate(o)]
 
 
+def witnesses(in_tox: np.ndarray, in_clean: np.ndarray, n_tox: float, n_clean: float) -> tuple[np.ndarray, np.ndarray]:
+    """Whether words speak for a toxic bag, and their weight, from the bags of
+    each class that hold them.  A word all but absent from clean bags does; so
+    does one met in some of them (quoted, or by a wrong label) if its odds are
+    two to one at least, by two standard errors.  The weight is the odds' share."""
+    odds = np.log((in_tox + 0.5) / (n_tox + 1)) - np.log((in_clean + 0.5) / (n_clean + 1))
+    error = np.sqrt(1 / (in_tox + 0.5) + 1 / (in_clean + 0.5))
+    tox, clean = in_tox / max(n_tox, 1), in_clean / max(n_clean, 1)
+    return (in_clean <= 0.02 * in_tox) | (odds - 2 * error >= np.log(2)), tox / np.maximum(tox + clean, 1e-300)
+
+
 def train(texts: list[str], toxic: np.ndarray, rounds: int = 4) -> dict:
     """Fits table, bias and document weights; deterministic for given rows.
-    Without both classes the model scores every document 0."""
+    Without both classes the model scores every document 0; so it does, with a
+    warning, where no word is a witness (see ``witnesses``)."""
     none = {"table": np.zeros(1 << TABLE_BITS), "bias": -2.0, "doc": np.zeros(5), "floor": True}
     if not len(texts) or toxic.min() == toxic.max():
         return none
@@ -205,6 +218,7 @@ def train(texts: list[str], toxic: np.ndarray, rounds: int = 4) -> dict:
     size = size[rep]
     in_tox = np.bincount(pword, toxic[prow], len(vocab))
     in_clean = np.bincount(pword, 1 - toxic[prow], len(vocab))
+    speaks, weight = witnesses(in_tox, in_clean, toxic[~spare].sum(), (1 - toxic[~spare]).sum())
     usable = (size >= 4) & (size <= MAX_WORD)
     score = np.where(usable, np.log((in_tox + 0.05) / (in_clean + 0.5)), -9.0)
     tp = toxic[prow] == 1
@@ -222,16 +236,17 @@ def train(texts: list[str], toxic: np.ndarray, rounds: int = 4) -> dict:
         head[1:] = r[1:] != r[:-1]
         nth = np.arange(len(r)) - np.flatnonzero(head)[np.cumsum(head) - 1]
         chosen = (nth < 1) | ((nth < 2 if k == 0 else (nth < 6) & (score[w] > 0.3)))
-        pos, n_pos = np.unique(w[chosen & (score[w] > -9) & (in_clean[w] <= 0.02 * in_tox[w])], return_counts=True)
+        pos, n_pos = np.unique(w[chosen & (score[w] > -9) & speaks[w]], return_counts=True)
         firm = n_pos >= min(MIN_BAGS, n_pos.max(initial=0))
         pos, n_pos = pos[firm], n_pos[firm]
         if not len(pos):
+            warnings.warn("no word tells toxic training documents from clean ones: every document scores 0", RuntimeWarning, stacklevel=2)
             return none
         top = pos[np.argsort(-n_pos, kind="stable")][:4000]
         n_top = np.sort(n_pos)[::-1][:4000]
-        neg = np.unique(np.concatenate([hard, clean[:8000]]))
+        neg = np.setdiff1d(np.concatenate([hard, clean[:8000]]), top)
         # landmarks: frequent witnesses and a spread of clean words
-        marks = np.concatenate([top[:N_LANDMARKS // 2], np.setdiff1d(neg, top)[np.argsort(order[np.setdiff1d(neg, top)])][:N_LANDMARKS // 2]])
+        marks = np.concatenate([top[:N_LANDMARKS // 2], neg[np.argsort(order[neg])][:N_LANDMARKS // 2]])
         mo, mi, mv = _explicit(vl, vb, marks)
         used, mi = np.unique(mi, return_inverse=True)  # the landmarks' subsequences; no other enters a kernel
         land = np.zeros((len(marks), len(used)))
@@ -251,7 +266,7 @@ def train(texts: list[str], toxic: np.ndarray, rounds: int = 4) -> dict:
         half = vec[:, ok] / np.sqrt(val[ok])
         z = kern @ half
         y = np.concatenate([np.ones(len(top)), -np.ones(len(neg))])
-        cost = np.concatenate([np.minimum(n_top, 20.0), np.minimum(in_clean[neg], 20.0)])
+        cost = np.concatenate([np.minimum(n_top, 20.0) * weight[top], np.minimum(in_clean[neg], 20.0)])
         cost[:len(top)] *= cost[len(top):].sum() / cost[:len(top)].sum()
         beta = _svm(z, y, cost)
         table = np.zeros(1 << TABLE_BITS)
