@@ -1,8 +1,9 @@
 """Packing into length buckets whose boundaries minimise padding.
 
 Batches pad every document to its bucket's boundary, so the boundaries are
-chosen by dynamic programming over the histogram of all lengths; inside a
-bucket a batch holds as many documents as the token budget has room for.
+chosen by dynamic programming over the histogram of all lengths, one row for
+each length that occurs; inside a bucket a batch holds as many documents as the
+token budget has room for.
 """
 
 from __future__ import annotations
@@ -15,36 +16,40 @@ from .common import documents, materialize, n_words, order_key, running_sums
 
 N_BUCKETS = 16
 TOKEN_BUDGET = 16_384
-EXACT_UP_TO = 512
-PER_OCTAVE = 128
-
-
-def length_bin(length: "F.Column") -> "F.Column":
-    """Lengths up to EXACT_UP_TO are their own bins; above, PER_OCTAVE bins to
-    each doubling.  So the histogram has a few thousand rows at any corpus size."""
-    log = F.floor(F.log2(length.cast("double") / F.lit(float(EXACT_UP_TO))) * F.lit(PER_OCTAVE))
-    return F.when(length <= EXACT_UP_TO, length).otherwise(F.lit(EXACT_UP_TO + 1) + log).cast("long")
 
 
 def best_boundaries(longest: np.ndarray, count: np.ndarray, words: np.ndarray, n_buckets: int) -> list[int]:
     """Boundaries (ascending, the last the longest length) of at most
-    ``n_buckets`` buckets with the least padding: bins i..j in one bucket cost
-    longest[j] * documents - words.  O(buckets * bins**2) in numpy rows."""
+    ``n_buckets`` buckets with the least padding: rows i..j in one bucket cost
+    longest[j] * documents - words.  As a function of longest[j] that is a line
+    for each i, ever steeper, so the least of them is kept as a lower hull and
+    read along it: O(buckets * rows), in whole numbers."""
     order = np.argsort(longest)
-    top, docs, toks = longest[order].astype(float), np.cumsum(count[order]).astype(float), np.cumsum(words[order]).astype(float)
+    top = longest[order].tolist()
+    docs, toks = np.cumsum(count[order]).tolist(), np.cumsum(words[order]).tolist()
     n = len(top)
     if not n:
         return []
-    docs0, toks0 = np.concatenate([[0.0], docs]), np.concatenate([[0.0], toks])
-    cost = top * docs - toks
+    cost = [x * d - t for x, d, t in zip(top, docs, toks, strict=True)]
     cuts = []
     for _ in range(min(n_buckets, n) - 1):
-        best, cut = cost.copy(), np.full(n, -1)
+        best, cut = list(cost), np.full(n, -1)
+        hull: list[tuple[int, int, int]] = []  # fall, height at 0, last row of the bucket before
+        at = 0
         for j in range(1, n):
-            via = cost[:j] + top[j] * (docs[j] - docs0[1:j + 1]) - (toks[j] - toks0[1:j + 1])
-            i = int(np.argmin(via))
-            if via[i] < best[j]:
-                best[j], cut[j] = via[i], i
+            fall, height = docs[j - 1], cost[j - 1] + toks[j - 1]
+            while len(hull) > 1:
+                (f1, h1, _), (f2, h2, _) = hull[-2:]
+                if (height - h1) * (f2 - f1) > (h2 - h1) * (fall - f1):
+                    break
+                hull.pop()
+            hull.append((fall, height, j - 1))
+            x, at = top[j], min(at, len(hull) - 1)
+            while at + 1 < len(hull) and hull[at + 1][1] - hull[at + 1][0] * x <= hull[at][1] - hull[at][0] * x:
+                at += 1
+            via = hull[at][1] - hull[at][0] * x + x * docs[j] - toks[j]
+            if via < best[j]:
+                best[j], cut[j] = via, hull[at][2]
         cost = best
         cuts.append(cut)
     bounds, j = [], n - 1
@@ -68,8 +73,9 @@ def pack(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n_buckets:
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), n_words(text).alias("length"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("text_md5"))
     rows = materialize(rows.withColumn("row_key", order_key("doc_id", "text_md5")).drop("text_md5"))
-    hist = rows.where("length > 0").groupBy(length_bin(F.col("length")).alias("bin")).agg(F.max("length").alias("longest"), F.count("*").alias("n"), F.sum("length").alias("words"))
-    hist = hist.orderBy("longest").toPandas()  # bounded: see length_bin
+    hist = rows.where("length > 0").groupBy(F.col("length").alias("longest")).agg(F.count("*").alias("n"), F.sum("length").alias("words"))
+    # no more rows than the longest document has words; r of them need r * r / 2 words in the corpus
+    hist = hist.orderBy("longest").toPandas()
     bounds = best_boundaries(hist["longest"].to_numpy(), hist["n"].to_numpy(), hist["words"].to_numpy(), n_buckets)
     bucket = F.lit(None).cast("int")
     for k in reversed(range(len(bounds))):
