@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import math
 
 import numpy as np
@@ -9,34 +10,63 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sitewise.session import load, scratch_path
+from sitewise.session import drop_path, load, scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
 ROWS_PER_BUCKET = 20_000
+BATCH_BYTES = 32 << 20
 
 
-_scratch: list[str] = []
+class Scratch:
+    """The tables that operators write while this owner is entered, so that
+    their caller can delete its own and no others."""
 
+    _entered: list[Scratch] = []
 
-def materialize(df: DataFrame, keep: bool = False) -> DataFrame:
-    """Computes ``df`` once into a Parquet table of the shared checkpoint
-    folder and reads it back: lineage is cut, and a lost executor costs the
-    tasks it ran, not the work before the table.  ``keep`` spares the table
-    from ``drop_scratch``."""
-    path = scratch_path(df.sparkSession, "llm")
-    df.write.parquet(path)
-    if not keep:
-        _scratch.append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    def __init__(self):
+        self.paths: list[str] = []
+
+    def __enter__(self) -> Scratch:
+        Scratch._entered.append(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        Scratch._entered.remove(self)
+
+    def drop(self, spark: SparkSession) -> None:
+        """Deletes the tables; what was derived from them is written by now."""
+        while self.paths:
+            drop_path(spark, self.paths.pop())
 
 
-def drop_scratch(spark: SparkSession) -> None:
-    """Deletes the tables that ``materialize`` has written in this process.
-    For callers whose results are written by now, such as a pipeline between
-    two stages."""
-    while _scratch:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+@contextlib.contextmanager
+def batches_of(spark: SparkSession, rows: int | None):
+    """Inside, Python gets at most ``rows`` rows and 32 MB at a time; the
+    caller's own settings are back afterwards.  None changes nothing."""
+    want = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES} if rows else {}
+    was = {name: spark.conf.get(name, None) for name in want}
+    try:
+        for name, value in want.items():
+            spark.conf.set(name, str(value))
+        yield
+    finally:
+        for name, value in was.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def materialize(df: DataFrame, keep: bool = False, batch_rows: int | None = None) -> DataFrame:
+    """Computes ``df`` once into a Parquet table of the shared checkpoint
+    folder and reads it back: lineage is cut, and a lost executor costs the
+    tasks it ran, not the work before the table.  ``keep`` withholds the table
+    from the entered ``Scratch``; ``batch_rows`` bounds the batches that
+    Python functions get, for whole texts."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "llm")
+    with batches_of(spark, batch_rows):
+        df.write.parquet(path)
+    if Scratch._entered and not keep:
+        Scratch._entered[-1].paths.append(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def in_small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
@@ -173,4 +203,4 @@ def utf8(texts: list[str]) -> pa.Array:
     return pa.array(texts, pa.large_string())
 
 
-__all__ = ["WORD", "components", "crc_remainder", "documents", "drop_scratch", "in_small_batches", "labelled_sample", "load", "materialize", "n_words", "np", "order_key", "running_sums", "tasks_for", "utf8"]
+__all__ = ["Scratch", "WORD", "batches_of", "components", "crc_remainder", "documents", "in_small_batches", "labelled_sample", "load", "materialize", "n_words", "np", "order_key", "running_sums", "tasks_for", "utf8"]
