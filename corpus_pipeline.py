@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sitewise.llm import jaccard_groups, mixing, packing, suffix_dedup, toxicity
-from sitewise.llm.common import documents, drop_scratch, load, materialize
+from sitewise.llm.common import Scratch, documents, load, materialize
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,31 +21,38 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of the n-gram Jaccard join stays."""
-    drop_scratch(spark)
     return jaccard_groups.one_of_each(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that stand anywhere else are cut from the texts."""
-    drop_scratch(spark)
     return suffix_dedup.remove_repeats(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are dropped or repeated to meet the target weights, in training order."""
-    drop_scratch(spark)
     return mixing.mixed_documents(docs)
 
 
 def pack_batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document's length bucket, batch and slot."""
-    drop_scratch(spark)
     return packing.pack(docs)
 
 
-#: A stage begins by deleting the scratch tables of the one before, whose
-#: output has been written by then.
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+_between = Scratch()
+
+
+def _cleaned(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """``stage`` for a caller that writes each result before it asks for the
+    next stage: the scratch tables of the stage before go first."""
+    def call(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        _between.drop(spark)
+        with _between:
+            return stage(spark, docs, sf_dir)
+    return call
+
+
+_STEPS = [
     ("toxicity", drop_toxic),
     ("ngram_jaccard_join", one_of_near_copies),
     ("suffix_array_dedup", cut_repeats),
@@ -53,13 +60,17 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", pack_batches),
 ]
 
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [(name, _cleaned(stage)) for name, stage in _STEPS]
+
 #: SQL cannot express the classifier; tests/llm holds the run against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages applied to ``documents``, each written and reread."""
-    docs = documents(spark, sf_dir)
-    for _, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), keep=True)
+    docs, own = documents(spark, sf_dir), Scratch()
+    for _, stage in _STEPS:
+        with own:
+            docs = materialize(stage(spark, docs, sf_dir), keep=True)
+        own.drop(spark)
     return docs
