@@ -30,3 +30,13 @@ def utc_instant(ts: Column) -> Column:
 def utc_wall_clock(instant: Column) -> Column:
     """``TIMESTAMP`` instant → UTC wall clock ``TIMESTAMP_NTZ``."""
     return F.timestamp_add("MICROSECOND", F.unix_micros(instant), _epoch_ntz())
+
+
+def local_instant(day: Column, clock: str, tz: str, days_before: int = 0) -> Column:
+    """UTC wall clock (``TIMESTAMP_NTZ``) of a local time of day in zone
+    ``tz``, ``days_before`` days before ``day``.  A time that the spring
+    switch skips counts as late as the switch is long; one that the autumn
+    switch repeats is its first occurrence."""
+    hours, minutes = (int(x) for x in clock.split(":"))
+    local = F.timestamp_add("MINUTE", F.lit(60 * hours + minutes), F.date_sub(day, days_before).cast("timestamp_ntz"))
+    return F.convert_timezone(F.lit(tz), F.lit("UTC"), local)

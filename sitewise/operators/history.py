@@ -33,13 +33,15 @@ def _struct(cols: Sequence[str]) -> Column:
 
 def scd2_from_changes(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
                       tracked: Sequence[str], untracked: Sequence[str] = (),
-                      bucket: Column | None = None) -> DataFrame:
+                      bucket: Column | None = None, count_col: str | None = None) -> DataFrame:
     """Versions: keys, tracked…, untracked… (newest in the version),
     ``start_at``/``end_at`` (first order column of the version's first row /
     of the next version's first row), ``is_current``, ``n_rows``.
 
     Rows with the same key and order values are collapsed to one (the
-    largest by value), so a replayed delivery adds nothing.
+    largest by value), so a replayed delivery adds nothing.  ``count_col``
+    holds the number of rows that a row stands for (default 1 each); a
+    ``bucket`` may name a column that is not among the others.
     """
     k, o, t, u = list(keys), list(order_cols), list(tracked), list(untracked)
     first = o[0]
@@ -51,9 +53,9 @@ def scd2_from_changes(df: DataFrame, keys: Sequence[str], order_cols: Sequence[s
         b = F.lit(0)  # numeric sequence: pass a bucket (e.g. floor(seq / width)) to split hot keys
     # collapse exact replays of the same sequence position
     u_own = [c for c in u if c not in o]  # untracked columns that are not order columns
-    rows = (df.groupBy(*k, *o).agg(F.max(_struct([*t, *u_own])).alias("_v"))
-              .select(*k, *o, *[F.col(f"_v.{c}").alias(c) for c in [*t, *u_own]])
-              .withColumn("_b", b)
+    n_each = F.col(count_col) if count_col else F.lit(1)
+    rows = (df.withColumn("_b", b).groupBy(*k, *o).agg(F.max(_struct([*t, *u_own])).alias("_v"), F.max("_b").alias("_b"), F.max(n_each).alias("_n"))
+              .select(*k, *o, "_b", "_n", *[F.col(f"_v.{c}").alias(c) for c in [*t, *u_own]])
               .withColumn("_o", _struct(o))
               .withColumn("_t", _struct(t)))
 
@@ -79,7 +81,7 @@ def scd2_from_changes(df: DataFrame, keys: Sequence[str], order_cols: Sequence[s
     ver = rows.groupBy(*k, "_vs").agg(
         F.max(F.struct("_o", "_t", _struct(u_own).alias("_u") if u_own else F.lit(None).alias("_u")))
          .alias("_lastrow"),
-        F.count(F.lit(1)).alias("n_rows"),
+        F.sum("_n").alias("n_rows"),
         F.min(F.when(F.col("_chg"), F.col("_b"))).alias("_b"))  # bucket of the version's first row
 
     # end = next version's start: lead inside the bucket, else the next bucket's first

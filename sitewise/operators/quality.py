@@ -21,7 +21,7 @@ class Rule:
     on_null: str = "fail"  # how a NULL predicate counts: fail | pass
 
 
-def _passes(rule: Rule) -> Column:
+def passes(rule: Rule) -> Column:
     return F.coalesce(rule.predicate, F.lit(rule.on_null == "pass"))
 
 
@@ -35,11 +35,11 @@ def expect(df: DataFrame, rules: Sequence[Rule], name: str = "expectations"):
     """
     obs = Observation(name)
     metrics = [F.count(F.lit(1)).alias("n_rows")]
-    metrics += [F.count_if(~_passes(r)).alias(f"fail_{r.name}") for r in rules]
+    metrics += [F.count_if(~passes(r)).alias(f"fail_{r.name}") for r in rules]
     out = df.observe(obs, *metrics)
     for r in rules:
         if r.on_violation == "drop":
-            out = out.where(_passes(r))
+            out = out.where(passes(r))
     return out, obs
 
 
@@ -60,7 +60,7 @@ def expectation_report(df: DataFrame, rules: Sequence[Rule],
     combine; no join back to the rows).
     """
     aggs = [F.count(F.lit(1)).alias("n_rows")]
-    aggs += [F.count_if(~_passes(r)).alias(r.name) for r in rules]
+    aggs += [F.count_if(~passes(r)).alias(r.name) for r in rules]
     one = df.agg(*aggs)
     stack = F.explode(F.array(*[
         F.struct(F.lit(r.name).alias("rule"), F.lit(r.on_violation).alias("severity"),

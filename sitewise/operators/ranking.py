@@ -16,6 +16,7 @@ Values keep their type: nothing is cast, so longs beyond 2^53 do not tie.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -24,13 +25,25 @@ from pyspark.sql import functions as F
 from sitewise.session import materialize
 
 
-def order_stats(df: DataFrame, group_cols: Sequence[str], value_col: str) -> DataFrame:
+ROWS_PER_PART = 200_000
+
+
+def placed_by_range(df: DataFrame, order_cols: Sequence[str], rows_per_part: int = ROWS_PER_PART) -> DataFrame:
+    """``df`` with ``_part``, the number of its range of ``order_cols``; as
+    many ranges as its measured rows need.  The rows are written before, so
+    the sampling for the ranges does not compute them again, and the numbers
+    are written with them, so later reads agree on them."""
+    df = materialize(df)
+    parts = max(1, math.ceil(df.count() / rows_per_part))
+    return materialize(df.repartitionByRange(parts, *order_cols).withColumn("_part", F.spark_partition_id()))
+
+
+def order_stats(df: DataFrame, group_cols: Sequence[str], value_col: str, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
     """Per distinct non-null (group, value): ``n_ties``, ``n_before`` (rows
     with a smaller value in the group) and ``n_total`` (non-null rows)."""
     g = list(group_cols)
     freq = df.where(F.col(value_col).isNotNull()).groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("_n"))
-    # the partition number is written with its rows, so later reads agree on it
-    placed = materialize(freq.repartitionByRange(*g, value_col).withColumn("_part", F.spark_partition_id()))
+    placed = placed_by_range(freq, [*g, value_col], rows_per_part)
     ahead = (Window.unboundedPreceding, -1)
     inside = Window.partitionBy(*g, "_part").orderBy(value_col).rowsBetween(*ahead)
     totals = placed.groupBy(*g, "_part").agg(F.sum("_n").alias("_rows"))

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitewise.operators.ranking import rank_column
-from sitewise.operators.shape import expand_domain
 
 
 def normalise_weights(weights: DataFrame, group_col: str = "scenario",
@@ -27,10 +26,11 @@ def normalise_weights(weights: DataFrame, group_col: str = "scenario",
 def expand_runs(weights: DataFrame, variants: DataFrame) -> DataFrame:
     """Component rows per run: (scenario, variant, component, metric_used,
     weight).  ``weights``: scenario, metric, weight; ``variants``: variant,
-    swap_from, swap_to, only_scenario (NULL = all)."""
-    # each variant runs in its only_scenario, or else in every scenario
-    everywhere = expand_domain(variants.where("only_scenario IS NULL"), weights, "scenario")
-    runs = everywhere.unionByName(variants.where("only_scenario IS NOT NULL").withColumn("scenario", F.col("only_scenario")))
+    swap_from, swap_to, only_scenario (NULL = all).  Both are parameter
+    tables, so the scenarios' names ride along as one array."""
+    names = weights.agg(F.array_sort(F.collect_set("scenario"))).scalar()
+    runs = variants.withColumn("scenario", F.explode(names))
+    runs = runs.where(F.col("only_scenario").isNull() | (F.col("only_scenario") == F.col("scenario")))
     comp = weights.join(runs, "scenario")
     return comp.select(
         "scenario", "variant", F.col("metric").alias("component"),
@@ -39,10 +39,18 @@ def expand_runs(weights: DataFrame, variants: DataFrame) -> DataFrame:
         "weight")
 
 
-def score_components(runs: DataFrame, metrics: DataFrame, unit_col: str) -> DataFrame:
-    """contribution = weight × percentile position of the metric used."""
+def score_components(runs: DataFrame, metrics: DataFrame, unit_col: str, units: DataFrame | None = None) -> DataFrame:
+    """contribution = weight × percentile position of the metric used.
+
+    One row for every unit and component of a run, whether or not the unit
+    has the metric: a missing one leaves value and contribution NULL.
+    ``units`` lists the units (default: those with any metric)."""
     m = metrics.select(unit_col, F.col("metric").alias("metric_used"), "value", "pct_rank")
-    return (runs.join(m, "metric_used")
+    units = metrics if units is None else units
+    # the runs are a parameter table (strategies × variants × weights): one array
+    every = runs.agg(F.collect_list(F.struct(*runs.columns))).scalar()
+    rows = units.select(unit_col).distinct().withColumn("_run", F.explode(every)).select(unit_col, "_run.*")
+    return (rows.join(m, [unit_col, "metric_used"], "left")
                 .withColumn("contribution", F.col("weight") * F.col("pct_rank")))
 
 
@@ -51,8 +59,10 @@ def score(components: DataFrame, strategies: DataFrame, variants: DataFrame,
           digits: tuple[int, int] | None = None) -> DataFrame:
     """Attractiveness Σ contribution and votes = quantity^α × a ÷ cost.
 
-    A unit with a missing component value has fewer ``n_components`` than
-    ``n_expected`` and no attractiveness, votes or meaning: callers reject it
+    ``n_expected`` counts the components that the run's weights ask for.  A
+    unit that lacks a metric, by a NULL or by a missing row, has fewer
+    ``n_components`` and neither attractiveness nor votes; one without the
+    quantity or a cost has no votes.  Callers reject them
     (:func:`sitewise.operators.quality.expect`).  ``digits`` rounds
     attractiveness and votes, so that ties in their ranks (:func:`with_ranks`)
     do not hang on the order of summation.
@@ -75,7 +85,7 @@ def score(components: DataFrame, strategies: DataFrame, variants: DataFrame,
           .withColumn("quantity", F.coalesce("_vq", "_sq"))
           .drop("_va", "_sa", "_vq", "_sq"))
     q = quantities.select(unit_col, F.col("metric").alias("quantity"), F.col("value").alias("quantity_value"))
-    b = (b.join(q, [unit_col, "quantity"]).join(costs, unit_col)
+    b = (b.join(q, [unit_col, "quantity"], "left").join(costs, unit_col, "left")
           .withColumn("cost_factor", F.when(F.col("use_cost_factor"), F.col("cost_factor"))
                                       .otherwise(F.lit(1.0)).cast("double"))
           .drop("use_cost_factor"))

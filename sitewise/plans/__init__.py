@@ -12,3 +12,5 @@ from sitewise.plans import q_spatial  # noqa: F401
 from sitewise.plans import q_analysis  # noqa: F401
 from sitewise.plans import q_checks  # noqa: F401
 from sitewise.plans import q_profile  # noqa: F401
+from sitewise.plans import q_ingest  # noqa: F401
+from sitewise.plans import q_layers  # noqa: F401

@@ -35,25 +35,25 @@ def _seat_cols():
     return ["seat_no", "unit", F.col("j").cast("long").alias("j"), "divisor", "quotient", "votes"]
 
 
-@query("allocate_seats", """
-WITH votes AS (
-  SELECT 'customers' AS run, CAST(c_nationkey AS BIGINT) AS unit, COUNT(*) AS votes, 10 AS cap
-  FROM customer GROUP BY c_nationkey
+_ALONE_SQL = """
+hand AS (
+  SELECT run, most, d1, 0::BIGINT AS seat_no, [0::BIGINT FOR x IN units] AS held, {'q': 0.0::DOUBLE, 'v': 0.0::DOUBLE, 'neg': 0::BIGINT, 'd': 0.0::DOUBLE} AS won FROM ballot
   UNION ALL
-  SELECT 'suppliers', CAST(s_nationkey AS BIGINT), COUNT(*), 3 FROM supplier GROUP BY s_nationkey
-),
-pool AS (
-  SELECT run, unit, votes, j,
-         CASE WHEN j = 1 THEN CAST(1.0 AS DOUBLE) ELSE CAST(2 * j - 1 AS DOUBLE) END AS divisor
-  FROM (SELECT *, unnest(generate_series(1, cap)) AS j FROM votes WHERE votes > 0)
-),
-ranked AS (
-  SELECT *, votes / divisor AS quotient,
-         ROW_NUMBER() OVER (PARTITION BY run ORDER BY votes / divisor DESC, votes DESC, unit, j) AS seat_no
-  FROM pool
-)
-SELECT run, seat_no, unit, CAST(j AS BIGINT) AS j, divisor, quotient, votes
-FROM ranked WHERE seat_no <= 50
+  SELECT run, most, d1, seat_no + 1, [held[i] + if(i = -best.neg, 1, 0) FOR i IN range(1, len(held) + 1)], best
+  FROM (SELECT h.run, h.most, h.d1, seat_no, held, list_max([{'q': if(held[i] < h.most, v[i] / if(held[i] = 0, h.d1, 2 * held[i] + 1), -1.0)::DOUBLE, 'v': v[i]::DOUBLE, 'neg': -i,
+          'd': if(held[i] = 0, h.d1, 2 * held[i] + 1)::DOUBLE} FOR i IN range(1, len(held) + 1)]) AS best
+        FROM hand h JOIN ballot b ON b.run = h.run WHERE seat_no < 50)
+  WHERE best.q > 0),
+seats AS (SELECT h.run, seat_no, units[-won.neg] AS unit, held[-won.neg] AS j, won.d AS divisor, won.q AS quotient, won.v AS votes FROM hand h JOIN ballot b ON b.run = h.run WHERE seat_no > 0)
+"""
+
+
+@query("allocate_seats", """
+WITH RECURSIVE n AS (SELECT CAST(n_nationkey AS BIGINT) AS unit, (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey) AS c, (SELECT count(*) FROM supplier WHERE s_nationkey = n_nationkey) AS s FROM nation),
+ballot AS (SELECT 'customers' AS run, 10 AS most, 1.0::DOUBLE AS d1, list(unit ORDER BY unit) AS units, list(c ORDER BY unit) AS v FROM n
+  UNION ALL SELECT 'suppliers', 3, 1.0, list(unit ORDER BY unit), list(s ORDER BY unit) FROM n),
+""" + _ALONE_SQL + """
+SELECT run, seat_no, unit, j, divisor, quotient, CAST(votes AS BIGINT) AS votes FROM seats
 """)
 def allocate_seats_q(spark, sf):
     """Customers per nation (cap 10) and suppliers per nation (cap 3, the
@@ -172,28 +172,12 @@ def combined_consistency_q(spark, sf):
 
 
 @query("allocation_robustness", """
-WITH variants AS (SELECT variant, CAST(alpha AS DOUBLE) AS alpha, CAST(fd AS DOUBLE) AS first_divisor
-                  FROM (VALUES ('a05_d10', 0.5, 1.0), ('a05_d14', 0.5, 1.4),
-                               ('a10_d10', 1.0, 1.0), ('a10_d14', 1.0, 1.4)) t(variant, alpha, fd)),
-v AS (SELECT CAST(c_nationkey AS BIGINT) AS unit, COUNT(*) AS n FROM customer GROUP BY 1),
-pool AS (
-  SELECT va.variant, v.unit, POWER(CAST(v.n AS DOUBLE), va.alpha) AS votes, js.j,
-         CASE WHEN js.j = 1 THEN va.first_divisor ELSE CAST(2 * js.j - 1 AS DOUBLE) END AS divisor
-  FROM v CROSS JOIN variants va CROSS JOIN generate_series(1, 10) js(j) WHERE v.n > 0
-),
-seats AS (
-  SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY variant ORDER BY votes / divisor DESC, votes DESC, unit, j) AS seat_no
-                 FROM pool) WHERE seat_no <= 50
-),
-per AS (SELECT variant, unit, COUNT(*) AS n FROM seats GROUP BY ALL),
-agg AS (SELECT unit, COUNT(*) AS nv, MAX(n) AS mx, MIN(n) AS mn, SUM(n) AS tot FROM per GROUP BY unit)
-SELECT CAST(n.n_nationkey AS BIGINT) AS unit,
-       CAST(COALESCE(nv, 0) AS BIGINT) AS n_variants_with_seat,
-       CAST(CASE WHEN COALESCE(nv, 0) < 4 THEN 0 ELSE mn END AS BIGINT) AS min_seats,
-       CAST(COALESCE(mx, 0) AS BIGINT) AS max_seats,
-       CAST(COALESCE(tot, 0) AS BIGINT) AS total_seats,
-       COALESCE(nv, 0) = 4 AS robust_all
-FROM nation n LEFT JOIN agg ON agg.unit = n.n_nationkey
+WITH RECURSIVE n AS (SELECT CAST(n_nationkey AS BIGINT) AS unit, (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey) AS c FROM nation),
+ballot AS (SELECT concat('a', a, 'd', d) AS run, 10 AS most, d AS d1, list(unit ORDER BY unit) AS units, list(c::DOUBLE ** a ORDER BY unit) AS v
+  FROM n, (SELECT unnest([0.5::DOUBLE, 1.0]) AS a), (SELECT unnest([1.0::DOUBLE, 1.4]) AS d) GROUP BY a, d),
+""" + _ALONE_SQL + """,
+per AS (SELECT n.unit, (SELECT count(*) FROM seats s WHERE s.run = b.run AND s.unit = n.unit) AS got FROM n, ballot b)
+SELECT unit, count(*) FILTER (WHERE got > 0) AS n_variants_with_seat, min(got) AS min_seats, max(got) AS max_seats, CAST(sum(got) AS BIGINT) AS total_seats, min(got) > 0 AS robust_all FROM per GROUP BY unit
 """)
 def allocation_robustness_q(spark, sf):
     """Seats per nation across variants α ∈ {0.5, 1} × first divisor

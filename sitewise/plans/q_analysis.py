@@ -9,7 +9,7 @@ from sitewise.functions.money import cents, cents_to_double
 from sitewise.operators.ranking import order_stats, rank_column, spearman
 from sitewise.operators.allocate import allocate_seats
 from sitewise.operators.shrink import eb_shrink
-from sitewise.plans.q_ranking import (_METRICS_SQL, _PARAMS_SQL, _score_chain, customers_and_suppliers, finished_orders,
+from sitewise.plans.q_ranking import (_METRICS_SQL, _PARAMS_SQL, _SEATS_SQL, _score_chain, customers_and_suppliers, finished_orders,
                                       score_votes)
 from sitewise.plans.registry import query
 from sitewise.session import load, materialize
@@ -171,22 +171,13 @@ def rank_robustness_q(spark, sf):
                  F.max(s).cast("long").alias("max_shift"))
 
 
-@query("hypothesis_scorecard", "WITH " + _METRICS_SQL + "," + _PARAMS_SQL + """,
-pool AS (
-  SELECT scenario, variant, unit, ROUND(votes, 6) AS votes, j,
-         CASE WHEN j = 1 THEN 1.0 ELSE 2 * j - 1 END::DOUBLE AS divisor
-  FROM scores CROSS JOIN generate_series(1, 10) js(j) WHERE ROUND(votes, 6) > 0
-),
-seats AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY scenario, variant
-                                  ORDER BY votes / divisor DESC, votes DESC, unit, j) AS seat_no FROM pool)
-          WHERE seat_no <= 50),
-top AS (SELECT unit FROM metrics WHERE metric = 'demand' QUALIFY RANK() OVER (ORDER BY value DESC) <= 5),
-per AS (SELECT scenario, variant, unit, COUNT(*) AS n FROM seats GROUP BY ALL)
-SELECT scenario, variant, COUNT(*) AS n_units_with_seat, CAST(SUM(n) AS BIGINT) AS n_seats,
-       CAST(COALESCE(SUM(n) FILTER (WHERE unit IN (SELECT unit FROM top)), 0) AS BIGINT) AS seats_top_demand,
-       CAST(MAX(n) AS BIGINT) AS max_seats_one_unit,
-       COALESCE(SUM(n) FILTER (WHERE unit IN (SELECT unit FROM top)), 0) >= 0.4 * SUM(n) AS h_top_demand_40pct
-FROM per GROUP BY scenario, variant
+@query("hypothesis_scorecard", "WITH RECURSIVE " + _METRICS_SQL + "," + _PARAMS_SQL + "," + _SEATS_SQL + """,
+want AS (SELECT list(value) AS vs FROM metrics WHERE metric = 'demand'),
+top AS (SELECT list(unit) AS units FROM metrics, want WHERE metric = 'demand' AND len(list_filter(vs, lambda v: v > value)) < 5),
+held AS (SELECT scenario, variant, list(seats.unit) AS got FROM seats GROUP BY ALL)
+SELECT scenario, variant, len(list_distinct(got)) AS n_units_with_seat, len(got) AS n_seats, len(list_filter(got, lambda x: list_contains(units, x))) AS seats_top_demand,
+  CAST(list_max(map_values(list_aggregate(got, 'histogram'))) AS BIGINT) AS max_seats_one_unit, len(list_filter(got, lambda x: list_contains(units, x))) >= 0.4 * len(got) AS h_top_demand_40pct
+FROM held, top
 """)
 def hypothesis_scorecard_q(spark, sf):
     """Per run: units with a seat, seats to the top-5 demand nations, and

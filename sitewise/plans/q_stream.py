@@ -16,7 +16,8 @@ from sitewise.plans.registry import query
 from sitewise.session import load, scratch_path
 from sitewise.sources.files import ledger_append
 from sitewise.streaming.ingest import (daily_partials, ingest_available_now, json_stream, land_files,
-                                       read_daily, read_windows, scd2_stream, windowed_counts)
+                                       read_daily, read_windows, windowed_counts)
+from sitewise.streaming.scd2_state import read_scd2, scd2_stream
 
 EVENTS_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
                  "value double, props string")
@@ -117,13 +118,14 @@ def streaming_window_q(spark, sf):
 
 @query("scd2_stream", SCD2_CHANGES_SQL)
 def scd2_stream_q(spark, sf):
-    """The SCD 2 history of scd2_changes, maintained incrementally from a
-    stream whose files arrive out of time order (several micro-batches)."""
+    """The SCD 2 history of scd2_changes, kept by a stateful processor from a
+    stream whose files arrive out of time order (several micro-batches); the
+    state is cut by month."""
     base = scratch_path(spark, "scd2-stream")
     land_files(load(spark, sf, "events"), f"{base}/landing", N_FILES, order="event_type")
     schema = spark.createDataFrame([], EVENTS_SCHEMA).schema
+    what = (["user_id"], ["ts", "event_id"], ["event_type"], ["value", "event_id"])
     scd2_stream(json_stream(spark, f"{base}/landing", schema, max_files_per_trigger=FILES_PER_BATCH),
-                f"{base}/bronze", f"{base}/silver", f"{base}/_ckpt",
-                ["user_id"], ["ts", "event_id"], ["event_type"], ["value", "event_id"])
-    return spark.read.parquet(f"{base}/silver").select(
+                f"{base}/silver", f"{base}/_ckpt", *what, slice_by=F.date_format("ts", "yyyy-MM"))
+    return read_scd2(spark, f"{base}/silver", schema, *what).select(
         "user_id", "event_type", "value", "event_id", "start_at", "end_at", "is_current", "n_rows")

@@ -36,6 +36,7 @@ from sitewise.operators.score import expand_runs, normalise_weights, score, scor
 from sitewise.operators.shape import latest_snapshot, trailing_window
 from sitewise.operators.shrink import eb_shrink
 from sitewise.session import materialize
+from sitewise.sources.publish import publish
 
 def model_params(param_model: DataFrame) -> dict:
     """Key/value parameter table → one typed row (read once; a handful of rows)."""
@@ -167,15 +168,24 @@ class ModelRuleFailed(Exception):
     """A rule of the siting model does not hold; nothing is published."""
 
 
-def check_model(out: dict[str, DataFrame], params: dict) -> None:
-    """The model's own rules, each named in the error: every component has a
-    value, no unit lacks a component, each run hands out exactly its seats,
-    every slider setting is complete and the default setting is there."""
+def check_model(out: dict[str, DataFrame], params: dict, places: DataFrame) -> None:
+    """The model's own rules, each named in the error: every place is in
+    every metric and in every run, has one row and one county, every component
+    has a value and no unit lacks one, a metric's values are as of one date,
+    each run hands out exactly its seats, every slider setting is complete
+    and the default setting is there."""
     def any_row(df: DataFrame) -> bool:
         return not df.isEmpty()
 
     n = params["n_stations"]
+    n_places = F.lit(places.count())
+    labels = places.groupBy("kommun_kod").agg(F.count_distinct("lan_kod").alias("counties"), F.count(F.lit(1)).alias("rows"))
     broken = {
+        "all_units_in_metric": any_row(out["metric"].groupBy("metric").agg(F.count_distinct("unit").alias("n")).where(F.col("n") != n_places)),
+        "all_units_in_run": any_row(out["score"].groupBy("scenario", "variant").agg(F.count_distinct("unit").alias("n")).where(F.col("n") != n_places)),
+        "one_label": any_row(labels.where("counties <> 1 OR rows <> 1")),
+        "same_date": any_row(out["metric"].groupBy("metric").agg(F.count_distinct("as_of").alias("n")).where("n > 1")),
+        "votes_present": any_row(out["score"].where(F.col("votes").isNull())),
         "value_present": any_row(out["component"].where(F.col("value").isNull() | F.isnan("value"))),
         "n_components": any_row(out["score"].where(F.col("n_components") != F.col("n_expected"))),
         "one_row_per_pair": any_row(out["metric"].groupBy("unit", "metric").count().where("count > 1")),
@@ -188,14 +198,11 @@ def check_model(out: dict[str, DataFrame], params: dict) -> None:
 
 
 def publish_model(t: dict[str, DataFrame], target: str) -> dict[str, DataFrame]:
-    """Runs the model, stages every output, checks the staged tables and only
-    then publishes them below ``target``."""
-    spark = t["param_model"].sparkSession
-    staged = {name: materialize(df) for name, df in run_model(t).items()}
-    check_model(staged, model_params(t["param_model"]))
-    for name, df in staged.items():
-        df.write.mode("overwrite").parquet(f"{target}/{name}")
-    return {name: spark.read.parquet(f"{target}/{name}") for name in staged}
+    """Runs the model and publishes its outputs as one version below
+    ``target``, unless a rule of the written tables is broken."""
+    params = model_params(t["param_model"])
+    out = publish(t["param_model"].sparkSession, target, run_model(t), lambda staged: check_model(staged, params, t["dim_kommun"]))
+    return {name: out.table(name) for name in out.tables}
 
 
 def run_model(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -205,7 +212,8 @@ def run_model(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
                               t["traffic"], t["population"], p).withColumnRenamed("kommun_kod", "unit"))
     weights = normalise_weights(t["param_weights"])
     variants = t["param_variant"]
-    comps = score_components(expand_runs(weights, variants), met, "unit")
+    units = t["dim_kommun"].select(F.col("kommun_kod").alias("unit"))
+    comps = score_components(expand_runs(weights, variants), met, "unit", units)
     costs = (t["dim_kommun"].join(t["param_cost"], "gruppkod")
              .select(F.col("kommun_kod").alias("unit"), F.col("cost_factor").cast("double").alias("cost_factor")))
     sc = materialize(score(comps, t["param_strategy"], variants, met.select("unit", "metric", "value"), costs, "unit"))
@@ -223,7 +231,6 @@ def run_model(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
                              "unit", "votes", n_target=n, step=p["combined_step"], cap=cap, first_divisor=fd,
                              first_label=order[1], second_label=order[2]))
     names = [r.variant for r in shared.collect()]
-    units = t["dim_kommun"].select(F.col("kommun_kod").alias("unit"))
     combined = combined_summary(units, comb, names, "variant", "unit", n, p["combined_step"],
                                 p["n_stations_p1_default"], unit_kw=p["station_kw"])
     return {"metric": met, "component": comps, "score": with_ranks(sc), "seat": seats, "allocation": alloc,

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from sitewise.functions.clock import local_instant
 from sitewise.session import materialize, path_exists
 
 
@@ -115,6 +116,20 @@ def missing_file_plan(expected: DataFrame, present: DataFrame, keys: Sequence[st
     return miss.withColumn("severity", F.when(F.col(day_col) < today, "warning").otherwise("normal"))
 
 
+def overdue_files(expected: DataFrame, present: DataFrame, keys: Sequence[str], day_col: str, now: Column,
+                  tz: str, publish_at: str = "13:00", days_before: int = 1) -> DataFrame:
+    """Every expected (day, key…) without a landed file, with ``due_at``, the
+    UTC wall clock at which it is published at the earliest, and severity:
+    ``warning`` once ``now`` (UTC wall clock) has reached it, else ``normal``.
+
+    A day's file is due at ``publish_at`` local time of ``tz``, ``days_before``
+    days earlier, so the deadline moves by an hour in UTC with the clock
+    changes and never falls on another local hour."""
+    miss = expected.join(present.select(*keys, day_col).distinct(), [*keys, day_col], "left_anti")
+    miss = miss.withColumn("due_at", local_instant(F.col(day_col), publish_at, tz, days_before))
+    return miss.withColumn("severity", F.when(now >= F.col("due_at"), "warning").otherwise("normal"))
+
+
 def rescued_data(text: DataFrame, text_col: str, known: Sequence[str]) -> DataFrame:
     """Top-level JSON fields outside the declared columns, kept as a JSON
     object in ``_rescued_data`` (NULL when there are none)."""

@@ -1,112 +1,30 @@
 """WKB geometry → segments table, decoded in Arrow batches on executors.
 
-Parsing bytes has no built-in Spark expression, so this is the one
-``mapInPandas`` step: each task decodes its partition's blobs into flat
-segment rows ``(id, part, seq, x1, y1, x2, y2)``; everything downstream
-(containment, nearest border, lengths, midpoints) is plain Spark on that
-table.  Handles ISO and EWKB Z/M flags, an optional GeoPackage header
-(with envelope), multi-geometries and collections; empty geometries give
-no rows; Z/M ordinates are skipped.
+Parsing bytes has no built-in Spark expression, so this is the one Python
+step: each task decodes its batches of blobs into flat segment rows
+(:mod:`sitewise.sources.wkb`); everything downstream (containment, nearest
+border, lengths, areas, midpoints) is plain Spark on that table.
 """
 
 from __future__ import annotations
 
-import struct
-from collections.abc import Iterator
-
 from pyspark.sql import DataFrame
 
-SEGMENT_SCHEMA = "id long, part int, seq int, x1 double, y1 double, x2 double, y2 double"
-
-# GeoPackage envelope sizes by the envelope indicator (bits 1-3 of the flags byte).
-_GPKG_ENVELOPE_BYTES = {0: 0, 1: 32, 2: 48, 3: 48, 4: 64}
-
-
-def _strip_gpkg(buf: bytes) -> bytes:
-    if len(buf) >= 8 and buf[:2] == b"GP":
-        flags = buf[3]
-        env = _GPKG_ENVELOPE_BYTES.get((flags >> 1) & 0x07, 0)
-        return buf[8 + env:]
-    return buf
-
+from sitewise.sources import wkb
 
-def _read_geom(buf: bytes, off: int, parts: list) -> int:
-    """Append coordinate sequences (lists of (x, y)) of the geometry at
-    ``off`` to ``parts``; return the offset after it."""
-    order = "<" if buf[off] == 1 else ">"
-    off += 1
-    (code,) = struct.unpack_from(order + "I", buf, off)
-    off += 4
-    has_z = bool(code & 0x80000000)
-    has_m = bool(code & 0x40000000)
-    if code & 0x20000000:  # EWKB SRID
-        off += 4
-    code &= 0x0FFFFFFF
-    base = code % 1000
-    iso = code // 1000
-    if iso in (1, 3):
-        has_z = True
-    if iso in (2, 3):
-        has_m = True
-    dims = 2 + has_z + has_m
-    step = 8 * dims
 
-    def read_points(o: int):
-        (n,) = struct.unpack_from(order + "I", buf, o)
-        o += 4
-        pts = [struct.unpack_from(order + "dd", buf, o + i * step) for i in range(n)]
-        return pts, o + n * step
+def wkb_parts(blob: bytes | None) -> list[list[tuple[float, float]]]:
+    """Coordinate sequences of one WKB/EWKB/GeoPackage blob (empty → [])."""
+    import numpy as np
 
-    if base == 1:  # point: a one-point sequence
-        x, y = struct.unpack_from(order + "dd", buf, off)
-        if x == x and y == y:  # NaN coordinates = empty point
-            parts.append([(x, y)])
-        return off + step
-    if base == 2:
-        pts, off = read_points(off)
-        if pts:
-            parts.append(pts)
-        return off
-    if base == 3:
-        (rings,) = struct.unpack_from(order + "I", buf, off)
-        off += 4
-        for _ in range(rings):
-            pts, off = read_points(off)
-            if pts:
-                parts.append(pts)
-        return off
-    if base in (4, 5, 6, 7):
-        (n,) = struct.unpack_from(order + "I", buf, off)
-        off += 4
-        for _ in range(n):
-            off = _read_geom(buf, off, parts)
-        return off
-    raise ValueError(f"unsupported WKB type {code}")
-
-
-def wkb_parts(blob: bytes) -> list:
-    """Coordinate sequences of a WKB/EWKB/GeoPackage blob (empty → [])."""
-    if blob is None or len(blob) == 0:
-        return []
-    parts: list = []
-    _read_geom(_strip_gpkg(bytes(blob)), 0, parts)
-    return parts
+    raw = np.frombuffer(bytes(blob or b""), np.uint8)
+    d = wkb.decode(raw, np.array([0, len(raw)]))
+    points = list(zip(d.x.tolist(), d.y.tolist(), strict=True))
+    ends = np.cumsum(d.size).tolist()
+    return [points[e - n:e] for e, n in zip(ends, d.size.tolist(), strict=True)]
 
 
 def wkb_segments(df: DataFrame, id_col: str, wkb_col: str) -> DataFrame:
     """(id, part, seq, x1, y1, x2, y2) for every segment; a one-point part
     gives one zero-length segment so points and lines share the table."""
-    import pandas as pd
-
-    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for gid, blob in zip(b[id_col], b[wkb_col]):
-                for p, pts in enumerate(wkb_parts(blob)):
-                    if len(pts) == 1:
-                        rows.append((gid, p, 0, pts[0][0], pts[0][1], pts[0][0], pts[0][1]))
-                    for s in range(len(pts) - 1):
-                        rows.append((gid, p, s, pts[s][0], pts[s][1], pts[s + 1][0], pts[s + 1][1]))
-            yield pd.DataFrame(rows, columns=["id", "part", "seq", "x1", "y1", "x2", "y2"])
-
-    return df.select(id_col, wkb_col).mapInPandas(decode, SEGMENT_SCHEMA)
+    return wkb.segments(df, id_col, wkb_col).drop("geom", "ring")

@@ -1,5 +1,5 @@
-"""Structured Streaming jobs: incremental file ingest, micro-batch
-aggregates and SCD 2 maintained per micro-batch.
+"""Structured Streaming jobs: incremental file ingest and micro-batch
+aggregates.
 
 All jobs use ``trigger(availableNow=True)``: process what has landed, then
 stop; the checkpoint records which files were read, so a rerun (or a
@@ -16,8 +16,6 @@ from pyspark.sql.types import StructType
 
 from sitewise.functions.clock import utc_instant, utc_wall_clock
 from sitewise.functions.money import cents, cents_to_double
-from sitewise.operators.history import scd2_from_changes
-from sitewise.session import materialize, path_exists
 from sitewise.sources.files import TS_OPTIONS, with_lineage
 
 
@@ -85,45 +83,3 @@ def read_windows(spark: SparkSession, target: str, group_cols: Sequence[str]) ->
 def read_daily(spark: SparkSession, target: str, group_cols: Sequence[str]) -> DataFrame:
     return (spark.read.parquet(target).groupBy("day", *group_cols)
             .agg(F.sum("n").alias("n"), cents_to_double(F.sum("value_cents")).alias("value_sum")))
-
-
-def scd2_stream(stream: DataFrame, bronze: str, silver: str, checkpoint: str,
-                keys: Sequence[str], order_cols: Sequence[str], tracked: Sequence[str],
-                untracked: Sequence[str], n_buckets: int = 16, seq_bucket=None) -> None:
-    """Keep an SCD 2 table current from a change stream.
-
-    Each micro-batch appends its rows to ``bronze`` (partitioned by a hash
-    bucket of the key), recomputes history only for the keys the batch
-    touched (from all their rows), keeps the other keys' versions of the
-    touched buckets as they are, and overwrites just those silver
-    partitions (dynamic partition overwrite, staged through the shared
-    folder).  Out-of-order and replayed deliveries are handled because a
-    touched key is recomputed from its whole feed, with exact replays
-    collapsed by :func:`scd2_from_changes`; a replayed batch id rewrites
-    the same partitions with the same content.
-    """
-    spark = stream.sparkSession
-    bucket = (F.abs(F.xxhash64(*[F.col(k) for k in keys])) % n_buckets).cast("int")
-    cols = list(dict.fromkeys([*keys, *order_cols, *tracked, *untracked]))
-
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        b = batch.select(*cols).withColumn("_bucket", bucket)
-        b.write.mode("append").partitionBy("_bucket").parquet(bronze)
-        touched_keys = b.select(*keys, "_bucket").distinct()
-        # history is recomputed for the touched keys only (their whole change feed)
-        rows = spark.read.parquet(bronze).join(touched_keys, [*keys, "_bucket"], "left_semi")
-        new_hist = (scd2_from_changes(rows.drop("_bucket"), keys, order_cols, tracked, untracked,
-                                      bucket=seq_bucket)
-                    .withColumn("_bucket", bucket))
-        out = new_hist
-        if path_exists(spark, silver):
-            kept = (spark.read.parquet(silver).join(touched_keys.select("_bucket").distinct(), "_bucket", "left_semi")
-                           .join(touched_keys, [*keys, "_bucket"], "left_anti"))
-            out = kept.unionByName(new_hist)
-        # stage first: the job must not read the partitions it overwrites
-        (materialize(out).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                         .partitionBy("_bucket").parquet(silver))
-
-    q = (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()

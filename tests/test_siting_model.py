@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sitewise.plans.siting_model import ModelRuleFailed, metric_specs, publish_model, run_model
+from sitewise.sources.publish import versions
 
 # Model parameters, strategies, variants and weights as published;
 # seat count, cap, step and default scaled down for six kommuner.
@@ -128,4 +129,23 @@ def test_a_missing_metric_value_fails_the_model_and_publishes_nothing(spark, tab
     broken["fleet"] = tables["fleet"].withColumn("antal", F.when(F.col("kommun_kod") == "0117", 0 * F.col("antal")).otherwise(F.col("antal")))
     with pytest.raises(ModelRuleFailed, match="n_components, value_present|n_components.*value_present"):
         publish_model(broken, str(tmp_path / "gold"))
-    assert not (tmp_path / "gold").exists()
+    assert versions(spark, str(tmp_path / "gold")) == []
+
+
+def test_a_missing_metric_row_fails_the_model(spark, tables, tmp_path):
+    """A place that the census does not know has no row for two metrics; the
+    version published before stays the one that readers see."""
+    target = str(tmp_path / "gold")
+    publish_model(tables, target)
+    broken = tables | {"population": tables["population"].where("kommun_kod <> '0117'")}
+    with pytest.raises(ModelRuleFailed, match="all_units_in_metric.*n_components"):
+        publish_model(broken, target)
+    assert versions(spark, target) == [1]
+    sc = run_model(broken)["score"].where("unit = '0117' AND scenario = 'P2' AND variant = 'base'").first()
+    assert sc.n_components < sc.n_expected == 5 and sc.attractiveness is None and sc.votes is None
+
+
+def test_places_listed_twice_fail_the_model(spark, tables, tmp_path):
+    twice = tables["dim_kommun"].unionByName(tables["dim_kommun"].limit(1).withColumn("lan_kod", F.lit("99")))
+    with pytest.raises(ModelRuleFailed, match="one_label"):
+        publish_model(tables | {"dim_kommun": twice}, str(tmp_path / "gold"))

@@ -6,7 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from sitewise.operators.history import scd2_from_changes
-from sitewise.operators.ranking import order_stats
+from sitewise.operators.ranking import order_stats, placed_by_range
 
 
 def test_hot_group_is_split_and_exact(spark):
@@ -14,10 +14,13 @@ def test_hot_group_is_split_and_exact(spark):
     rows = [("hot", float(rnd.randint(0, 5000))) for _ in range(6000)]
     rows += [(f"g{i}", float(rnd.randint(0, 50))) for i in range(600)]
     df = spark.createDataFrame(rows, "g string, v double")
-    st = order_stats(df, ["g"], "v")
-    # the hot group's values span several range partitions, each a window partition of its own
-    parts = df.groupBy("g", "v").count().repartitionByRange("g", "v").where("g = 'hot'").select(F.spark_partition_id()).distinct()
-    assert parts.count() >= 2
+    st = order_stats(df, ["g"], "v", rows_per_part=500)
+    # the hot group's values span several written ranges, each a window partition of its own
+    placed = placed_by_range(df.groupBy("g", "v").count(), ["g", "v"], rows_per_part=500)
+    sizes = [r["count"] for r in placed.groupBy("_part").count().collect()]
+    assert placed.where("g = 'hot'").select("_part").distinct().count() >= 4 and max(sizes) <= 1000
+    bounds = placed.where("g = 'hot'").groupBy("_part").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("_part").collect()
+    assert all(a.hi < b.lo for a, b in zip(bounds, bounds[1:]))
     got = {r.v: (r.n_before, r.n_ties) for r in st.where("g = 'hot'").collect()}
     vals = sorted(v for g, v in rows if g == "hot")
     for v in set(vals):

@@ -1,43 +1,8 @@
-import json
-import os
-
 import pytest
 from pyspark.sql import functions as F
 
-from sitewise.operators.history import scd2_from_changes
 from sitewise.operators.quality import DuplicateKeys, duplicate_audit, record_audit
 from sitewise.session import scratch_path
-from sitewise.streaming.ingest import json_stream, scd2_stream
-
-SCHEMA = "k string, seq long, v long, file string"
-
-
-def _land(path, name, rows):
-    os.makedirs(path, exist_ok=True)
-    with open(os.path.join(path, name), "w") as f:
-        for k, s, v, fl in rows:
-            f.write(json.dumps({"k": k, "seq": s, "v": v, "file": fl}) + "\n")
-
-
-def test_scd2_stream_out_of_order_and_replay(spark):
-    base = scratch_path(spark, "t-scd2")
-    land = f"{base}/landing"
-    schema = spark.createDataFrame([], SCHEMA).schema
-    # delivery 1: late part of key a, all of key b
-    _land(land, "p1.json", [("a", 3, 7, "c"), ("b", 1, 1, "x"), ("b", 2, 2, "y")])
-    scd2_stream(json_stream(spark, land, schema, max_files_per_trigger=1), f"{base}/bronze", f"{base}/silver",
-                f"{base}/ckpt", ["k"], ["seq"], ["v"], ["file"], n_buckets=4)
-    # delivery 2: early part of key a, one replayed row of b
-    _land(land, "p2.json", [("a", 1, 5, "a"), ("a", 2, 5, "b"), ("b", 2, 2, "y")])
-    scd2_stream(json_stream(spark, land, schema, max_files_per_trigger=1), f"{base}/bronze", f"{base}/silver",
-                f"{base}/ckpt", ["k"], ["seq"], ["v"], ["file"], n_buckets=4)
-    got = sorted((r.k, r.v, r.start_at, r.end_at, r.file) for r in spark.read.parquet(f"{base}/silver").collect())
-    rows = [("a", 3, 7, "c"), ("b", 1, 1, "x"), ("b", 2, 2, "y"), ("a", 1, 5, "a"), ("a", 2, 5, "b")]
-    batch = scd2_from_changes(spark.createDataFrame(rows, SCHEMA), ["k"], ["seq"], ["v"], ["file"])
-    want = sorted((r.k, r.v, r.start_at, r.end_at, r.file) for r in batch.collect())
-    assert got == want
-    assert ("a", 5, 1, 3, "b") in got and ("a", 7, 3, None, "c") in got
-
 
 def test_record_audit_appends_and_raises(spark):
     log = scratch_path(spark, "t-audit")
