@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
+import gc
 import math
+import pickle
 
 import numpy as np
 import pyarrow as pa
@@ -182,11 +185,12 @@ def crc_remainder(col: str, mod: int) -> "F.Column":
     return F.pmod(F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")), F.lit(mod))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, in_fold: "F.Column", per_class: int, max_chars: int):
-    """(texts, labels) of at most ``per_class`` labelled documents of each
-    class inside ``in_fold``, each text of at most ``max_chars`` once, in md5
-    order.  The choice is made on ids and digests; texts are read for the
-    chosen alone, through a join whose small side has 2 * per_class rows."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, in_fold: "F.Column", per_class: int, max_chars: int) -> DataFrame:
+    """(m, text, y) of at most ``per_class`` labelled documents of each
+    class inside ``in_fold``, each text of at most ``max_chars`` once, m its
+    md5, by which they are chosen.  The choice is made on ids and digests;
+    texts are read for the chosen alone, through a join whose small side has
+    2 * per_class rows."""
     lab = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).where(in_fold)
     lab = lab.groupBy("doc_id").agg(F.min(label).alias("y")).select(F.col("doc_id").alias("l_id"), "y")
     short = docs.where(F.length("text") <= max_chars).select(F.col("doc_id").alias("d"), F.md5("text").alias("m"), "text")
@@ -194,13 +198,38 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, in_fold: "F.
     known = materialize(known)
     chosen = known.where("y = 0").orderBy("m").limit(per_class).unionByName(known.where("y = 1").orderBy("m").limit(per_class))
     chosen = F.broadcast(chosen.select(F.col("m").alias("c_m"), "id", "y"))
-    found = short.join(chosen, (F.col("d") == F.col("id")) & (F.col("m") == F.col("c_m"))).groupBy("m").agg(F.first("text").alias("text"), F.first("y").alias("y"))
-    pdf = found.toPandas().sort_values("m", kind="stable")
-    return pdf["text"].tolist(), pdf["y"].to_numpy(float)
+    found = short.join(chosen, (F.col("d") == F.col("id")) & (F.col("m") == F.col("c_m")))
+    return found.groupBy("m").agg(F.first("text").alias("text"), F.first("y").cast("double").alias("y"))
+
+
+def _give_back() -> None:
+    """Memory of large arrays that are gone goes back to the machine: the process lives on."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def trained(sample: DataFrame, train) -> dict:
+    """``train(texts, labels)`` of a bounded ``labelled_sample``, in md5 order,
+    in one task; the model alone, a few arrays of fixed size, comes to the
+    driver."""
+    def run(batches):
+        rows = [r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("m", "text", "y")), strict=True)]
+        rows.sort(key=lambda r: r[0])
+        model = train([r[1] for r in rows], np.array([r[2] for r in rows], float))
+        del rows
+        out = pickle.dumps(model)
+        del model
+        _give_back()
+        yield pa.RecordBatch.from_arrays([pa.array([out], pa.binary())], names=["model"])
+
+    found = sample.repartition(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(found[0].model) if found else train([], np.zeros(0))
 
 
 def utf8(texts: list[str]) -> pa.Array:
     return pa.array(texts, pa.large_string())
 
 
-__all__ = ["Scratch", "WORD", "batches_of", "components", "crc_remainder", "documents", "in_small_batches", "labelled_sample", "load", "materialize", "n_words", "np", "order_key", "running_sums", "tasks_for", "utf8"]
+__all__ = ["Scratch", "WORD", "batches_of", "components", "crc_remainder", "documents", "in_small_batches", "labelled_sample", "load", "materialize", "n_words", "np", "order_key", "running_sums", "tasks_for", "trained", "utf8"]

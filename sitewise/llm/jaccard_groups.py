@@ -11,16 +11,21 @@ is known by its first tokens: two similar sets share NEED of them at least.
    tokens with, and the classes of a pivot are dealt out to groups.
 2. Each group is opened against itself and its pivot's group, which connects
    what is alike.
-3. The token-group matrix holds each group's token union.  Two groups are
-   opened to each other only if their unions share as many tokens as a link
-   needs, their sizes fit, and not all of their classes are connected yet;
-   for two groups of one class each, the places of the last shared token
-   also say how far the sets differ up to there.
-   a further link inside a component would change nothing.
-
-To open a pair of groups is to bring its texts together once; there a class
-is compared with a group's members only if its overlap with their token union
-reaches what any link needs.
+3. A group's classes that are connected by now form a cell, and the
+   token-group matrix holds each cell's token union.  A class queries the
+   cells of other components whose union shares as many tokens with it as a
+   link needs and whose sizes fit; for a cell of one class the places of the
+   last shared token also say how far the sets differ up to there.  Of two
+   cells the smaller one's classes ask.
+4. The queries run in two rounds: first one for each pair of components, the
+   one that shares most tokens, after which components are contracted; then
+   all those left between different components.  A link inside a component
+   would change nothing, so nothing is lost.
+
+To open a cell is to bring its texts together once for all its queries (for
+many queries, once for every QUERIES of them); there a query is compared with
+the members only if its overlap with their token union reaches what any link
+needs.
 """
 
 from __future__ import annotations
@@ -40,37 +45,39 @@ SHINGLE = 4
 THRESHOLD = 85
 NEED = 3
 GROUP_SIZE = 64
+QUERIES = 256  # to a cell that is opened once
 MAX_FREQUENT = 1 << 16  # tokens whose place in the order is by count; any order is exact, this one is short
 LOCAL_FREQUENT = 4  # documents of a chunk that make a token a candidate for it
 
 _SETS = "doc_id long, rk long, n int, d1 long, d2 long"
 _TOKENS = "n int, d1 long, d2 long, tokens array<long>"
-BITMAP_BITS = 1 << 26  # of fixed size: it only rules texts out, whatever number is asked for
 
 
-def shingle_sets(data: np.ndarray, offs: np.ndarray) -> Iterator[np.ndarray]:
+def shingle_sets(data: np.ndarray, offs: np.ndarray, shingle: int = SHINGLE) -> Iterator[np.ndarray]:
     """Sorted distinct shingle hashes of each row of a chunk."""
     low = LOWER[data]
     starts, ends, first = words(low, offs)
-    tok, at = shingles(word_hashes(low, starts, ends), first, SHINGLE)
+    tok, at = shingles(word_hashes(low, starts, ends), first, shingle)
     for lo, hi in zip(at[:-1], at[1:], strict=True):
         yield np.unique(tok[lo:hi])
 
 
-def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for _, _, data, offs in text_chunks(batch.column(0)):
-            tok = np.sort(np.concatenate([*shingle_sets(data, offs), np.zeros(0, np.uint64)]))
-            far = tok[LOCAL_FREQUENT - 1:]
-            hot = np.unique(far[far == tok[:len(far)]])  # equal to the one LOCAL_FREQUENT - 1 places before
-            if len(hot):
-                n = np.searchsorted(tok, hot, "right") - np.searchsorted(tok, hot, "left")
-                yield pa.RecordBatch.from_arrays([pa.array(hot.view(np.int64)), pa.array(n)], names=["token", "n"])
+def _frequent(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, data, offs in text_chunks(batch.column(0)):
+                tok = np.sort(np.concatenate([*shingle_sets(data, offs, shingle), np.zeros(0, np.uint64)]))
+                far = tok[LOCAL_FREQUENT - 1:]
+                hot = np.unique(far[far == tok[:len(far)]])  # equal to the one LOCAL_FREQUENT - 1 places before
+                if len(hot):
+                    n = np.searchsorted(tok, hot, "right") - np.searchsorted(tok, hot, "left")
+                    yield pa.RecordBatch.from_arrays([pa.array(hot.view(np.int64)), pa.array(n)], names=["token", "n"])
+    return run
 
 
-def frequent_tokens(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def frequent_tokens(texts: DataFrame, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """At most MAX_FREQUENT tokens, sorted, with their places in the order."""
-    found = texts.mapInArrow(_frequent, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    found = texts.mapInArrow(_frequent(shingle), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     top = found.orderBy(F.desc("n"), "token").limit(MAX_FREQUENT).toPandas()
     token = top["token"].to_numpy(np.int64).view(np.uint64)
     by = np.lexsort((token, top["n"].to_numpy(np.int64)))
@@ -80,16 +87,16 @@ def frequent_tokens(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return token[sort], place[sort]
 
 
-def least_overlap(n):
+def least_overlap(n, percent: int = THRESHOLD):
     """Shingles that a set of n shares with any set it links with."""
-    return -(-n * THRESHOLD // 100)
+    return -(-n * percent // 100)
 
 
-def prefix(tokens: np.ndarray, frequent: np.ndarray, place: np.ndarray) -> np.ndarray:
+def prefix(tokens: np.ndarray, frequent: np.ndarray, place: np.ndarray, percent: int = THRESHOLD) -> np.ndarray:
     """The first tokens in the global order: rare ones by hash, then the
     frequent ones from the least to the most frequent."""
     n = len(tokens)
-    t = int(least_overlap(n))
+    t = int(least_overlap(n, percent))
     keep = n - t + min(NEED, t)
     rank = mix(tokens.copy()) >> np.uint64(1)
     if len(frequent):
@@ -106,56 +113,60 @@ def _digests(sets: list[np.ndarray]) -> list[pa.Array]:
     return [pa.array([len(s) for s in sets], pa.int32()), *(pa.array(np.array(d, np.uint64).view(np.int64)) for d in (d1, d2))]
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for lo, hi, data, offs in text_chunks(batch.column(1)):
-            own = [batch.column(k).slice(lo, hi - lo) for k in (0, 2)]
-            yield pa.RecordBatch.from_arrays([*own, *_digests(list(shingle_sets(data, offs)))], names=["doc_id", "rk", "n", "d1", "d2"])
+def _sets(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, offs in text_chunks(batch.column(1)):
+                own = [batch.column(k).slice(lo, hi - lo) for k in (0, 2)]
+                yield pa.RecordBatch.from_arrays([*own, *_digests(list(shingle_sets(data, offs, shingle)))], names=["doc_id", "rk", "n", "d1", "d2"])
+    return run
 
 
-def _prefixes(frequent: np.ndarray, place: np.ndarray):
+def _prefixes(frequent: np.ndarray, place: np.ndarray, shingle: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, data, offs in text_chunks(batch.column(0)):
-                sets = [s for s in shingle_sets(data, offs) if len(s)]
+                sets = [s for s in shingle_sets(data, offs, shingle) if len(s)]
                 if not sets:
                     continue
-                parts = [prefix(s, frequent, place) for s in sets]
+                parts = [prefix(s, frequent, place, percent) for s in sets]
                 tokens = pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(p) for p in parts]), pa.int32()), pa.array(np.concatenate(parts).view(np.int64)))
                 yield pa.RecordBatch.from_arrays([*_digests(sets), tokens], names=["n", "d1", "d2", "tokens"])
     return run
 
 
-def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _postings(percent: int):
     """Rows sorted by (token, n, cid) with the token's place in the class's
     order, a stream of posting lists.  Lists of one class are dropped.  Kind
     0: (pivot, class, their places); kind 1: (class, n, token, place)."""
-    token = base = lone = None
-    out: list[tuple] = []
-    for batch in batches:
-        cols = [batch.column(k).to_numpy() for k in range(4)]
-        t = cols[0]
-        # only rows that share their token with a neighbour need a look; batch ends always do
-        near = np.ones(len(t), bool)
-        if len(t) > 2:
-            near[1:-1] = (t[1:-1] == t[:-2]) | (t[1:-1] == t[2:])
-        for tok, n, c, at in zip(*(x[near].tolist() for x in cols), strict=True):
-            if tok != token:
-                token, base, lone = tok, (n, c, at), (1, c, n, tok, at)
-                continue
-            if lone:
-                out.append(lone)
-                lone = None
-            out.append((1, c, n, tok, at))
-            if n * THRESHOLD > 100 * base[0]:
-                base = (n, c, at)
-            else:
-                out.append((0, base[1], c, base[2], at))
-        if len(out) > 100_000:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        token = base = lone = None
+        out: list[tuple] = []
+        for batch in batches:
+            cols = [batch.column(k).to_numpy() for k in range(4)]
+            t = cols[0]
+            # only rows that share their token with a neighbour need a look; batch ends always do
+            near = np.ones(len(t), bool)
+            if len(t) > 2:
+                near[1:-1] = (t[1:-1] == t[:-2]) | (t[1:-1] == t[2:])
+            for tok, n, c, at in zip(*(x[near].tolist() for x in cols), strict=True):
+                if tok != token:
+                    token, base, lone = tok, (n, c, at), (1, c, n, tok, at)
+                    continue
+                if lone:
+                    out.append(lone)
+                    lone = None
+                out.append((1, c, n, tok, at))
+                if n * percent > 100 * base[0]:
+                    base = (n, c, at)
+                else:
+                    out.append((0, base[1], c, base[2], at))
+            if len(out) > 100_000:
+                yield _rows(out)
+                out = []
+        if out:
             yield _rows(out)
-            out = []
-    if out:
-        yield _rows(out)
+    return run
 
 
 def _rows(out):
@@ -163,7 +174,7 @@ def _rows(out):
     return pa.RecordBatch.from_arrays([pa.array(a[:, k]) for k in range(5)], names=["kind", "x", "y", "t", "u"])
 
 
-def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> Iterator[tuple[int, int, int]]:
+def overlaps(left: list[np.ndarray], right: list[np.ndarray], percent: int = THRESHOLD) -> Iterator[tuple[int, int, int]]:
     """(i, j, shared tokens) of the pairs that link.  The right sets' token
     union bounds each left set's overlap; only those that can reach what a
     link needs are counted member by member."""
@@ -174,40 +185,47 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> Iterator[tuple[
     for i, x in enumerate(left):
         lo, hi = np.searchsorted(tokens, x, "left"), np.searchsorted(tokens, x, "right")
         held = hi > lo
-        if np.count_nonzero(held) < least_overlap(len(x)):
+        if np.count_nonzero(held) < least_overlap(len(x), percent):
             continue
         lo, n = lo[held], (hi - lo)[held]
         at = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
         both = np.bincount(owner[at], minlength=len(right))
-        for j in np.flatnonzero(100 * both >= THRESHOLD * (len(x) + size - both)):
+        for j in np.flatnonzero(100 * both >= percent * (len(x) + size - both)):
             yield i, int(j), int(both[j])
 
 
-def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _texts_of(packed: list[bytes], shingle: int) -> list[np.ndarray]:
+    sets: list[np.ndarray] = []
+    for _, _, data, offs in text_chunks(pa.array([zlib.decompress(p) for p in packed], pa.large_binary())):
+        sets += shingle_sets(data, offs, shingle)
+    return sets
+
+
+def _open(shingle: int, percent: int):
     """Rows sorted by pair of groups (a, b), with the group that a row's class
     is of: at most two groups at a time, their links as a spanning forest."""
-    held: dict[int, list[tuple[int, bytes]]] = {}
-    last = None
-    for batch in batches:
-        out: list[tuple[int, int]] = []
-        for a, b, g, cid, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if (a, b) != last:
-                out += _links(held)
-                held, last = {}, (a, b)
-            held.setdefault(g, []).append((cid, packed))
-        pa.default_memory_pool().release_unused()
-        yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
-    out = _links(held)
-    yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
-
-
-def _links(held: dict[int, list[tuple[int, bytes]]]) -> list[tuple[int, int]]:
-    groups = []
-    for members in held.values():
-        sets: list[np.ndarray] = []
-        for _, _, data, offs in text_chunks(pa.array([zlib.decompress(p) for _, p in members], pa.large_binary())):
-            sets += shingle_sets(data, offs)
-        groups.append(([c for c, _ in members], sets))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple[int, bytes]]] = {}
+        last = None
+        for batch in batches:
+            out: list[tuple[int, int]] = []
+            for a, b, g, cid, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (a, b) != last:
+                    out += _links(held, shingle, percent)
+                    held, last = {}, (a, b)
+                held.setdefault(g, []).append((cid, packed))
+            pa.default_memory_pool().release_unused()
+            yield _link_rows(out)
+        yield _link_rows(_links(held, shingle, percent))
+    return run
+
+
+def _link_rows(out: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+
+def _links(held: dict[int, list[tuple[int, bytes]]], shingle: int, percent: int) -> list[tuple[int, int]]:
+    groups = [([c for c, _ in members], _texts_of([p for _, p in members], shingle)) for members in held.values()]
     if not groups:
         return []
     (ca, sa), (cb, sb) = groups[0], groups[-1]
@@ -219,55 +237,119 @@ def _links(held: dict[int, list[tuple[int, bytes]]]) -> list[tuple[int, int]]:
             x = root[x]
         return x
 
-    for i, j, _ in overlaps(sa, sb):
+    for i, j, _ in overlaps(sa, sb, percent):
         p, q = find(ca[i]), find(cb[j])
         if p != q:
             root[max(p, q)] = min(p, q)
     return [(c, find(c)) for c in root if find(c) != c]
 
 
-def _bitmap(keys: DataFrame) -> np.ndarray:
-    """Bits of the long keys modulo BITMAP_BITS, gathered as 64-bit words."""
-    bit = keys.select(F.pmod(keys[0], F.lit(BITMAP_BITS)).alias("b"))
-    word = bit.groupBy(F.shiftright("b", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b & 63 AS int))")).alias("bits"))
-    got = word.toPandas()
-    out = np.zeros(BITMAP_BITS >> 6, np.uint64)
-    out[got["w"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64).view(np.uint64)
-    return out
-
-
-def _pack(bitmap: np.ndarray):
-    """Texts whose key the bitmap holds, compressed for the way."""
+def _answer(shingle: int, percent: int):
+    """Rows sorted by (cell, chunk, role): a cell's members, then its queries,
+    a few at a time; a query that links gets one link to the cell, whose
+    members are connected."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, members, sets, asked = None, [], None, []
+
+        def ask() -> list[tuple[int, int]]:
+            nonlocal sets, asked
+            if not asked or not members:
+                return []
+            sets = _texts_of([p for _, p in members], shingle) if sets is None else sets
+            found: dict[int, int] = {}
+            for i, j, _ in overlaps(_texts_of([p for _, p in asked], shingle), sets, percent):
+                found.setdefault(asked[i][0], members[j][0])
+            asked = []
+            return list(found.items())
+
         for batch in batches:
-            at = batch.column("rk").to_numpy() % BITMAP_BITS
-            batch = batch.filter(pa.array((bitmap[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1))
-            zipped = [zlib.compress((t.as_py() or "").encode(), 1) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("rk"), pa.array(zipped, pa.binary())], names=["doc_id", "rk", "packed"])
+            out: list[tuple[int, int]] = []
+            for g, k, chunk, role, cid, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (g, k, chunk) != last:
+                    out += ask()
+                    last, members, sets, asked = (g, k, chunk), [], None, []
+                (asked if role else members).append((cid, packed))
+                if len(asked) >= GROUP_SIZE:
+                    out += ask()
             pa.default_memory_pool().release_unused()
+            yield _link_rows(out)
+        yield _link_rows(ask())
     return run
 
 
-def opened(pairs: DataFrame, groups: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links (a, b) between the classes of each pair of groups (ga, gb), from
-    the whole texts of the classes' first documents."""
-    each = pairs.select("ga", "gb", F.explode(F.array_distinct(F.array("ga", "gb"))).alias("g"))
-    asked = each.join(groups.select("cid", "gid"), F.col("g") == F.col("gid")).join(classes.select("cid", "rep"), "cid")
-    asked = materialize(asked.select("ga", "gb", "g", "cid", F.col("rep.doc_id").alias("r_id"), F.col("rep.rk").alias("r_rk")))
-    texts = docs.select("doc_id", "rk", "text").mapInArrow(_pack(_bitmap(asked.select("r_rk"))), "doc_id long, rk long, packed binary")
-    texts = texts.groupBy("doc_id", "rk").agg(F.first("packed").alias("packed"))  # repeated rows travel once
-    rows = texts.join(asked, F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("rk") == F.col("r_rk"))).select("ga", "gb", "g", "cid", "packed")
-    return rows.repartition("ga", "gb").sortWithinPartitions("ga", "gb", "g").mapInArrow(_open, "a long, b long")
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        zipped = [zlib.compress((t.as_py() or "").encode(), 1) for t in batch.column("text")]
+        yield pa.RecordBatch.from_arrays([batch.column("cid"), pa.array(zipped, pa.binary())], names=["cid", "packed"])
+        pa.default_memory_pool().release_unused()
 
 
-def may_link(shared: "F.Column", n: "F.Column", m: "F.Column", place: "F.Column", o_place: "F.Column") -> "F.Column":
+def packed_texts(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(cid, packed): the compressed text of each class's first document.
+    Texts move once, after repeated rows have collapsed."""
+    def key(i: "F.Column", rk: "F.Column") -> list:  # a null id is an id; no null in the join's keys
+        return [F.coalesce(i, F.lit(0)).alias("k1"), i.isNull().alias("k2"), rk.alias("k3")]
+
+    texts = docs.select(*key(F.col("doc_id"), F.col("rk")), "text").groupBy("k1", "k2", "k3").agg(F.first("text").alias("text"))
+    wanted = classes.select("cid", *key(F.col("rep.doc_id"), F.col("rep.rk")))
+    return materialize(texts.join(wanted, ["k1", "k2", "k3"]).select("cid", "text").mapInArrow(_pack, "cid long, packed binary"))
+
+
+def opened(pairs: DataFrame, groups: DataFrame, packed: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links (a, b) between the classes of each pair of groups (ga, gb)."""
+    each = pairs.select("ga", "gb", F.explode(F.array_distinct(F.array("ga", "gb"))).alias("g"))
+    rows = each.join(groups.select("cid", "gid"), F.col("g") == F.col("gid")).join(packed, "cid").select("ga", "gb", "g", "cid", "packed")
+    return rows.repartition("ga", "gb").sortWithinPartitions("ga", "gb", "g").mapInArrow(_open(shingle, percent), "a long, b long")
+
+
+def answered(queries: DataFrame, member: DataFrame, packed: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links (a, b) of the classes ``q`` with the cells (gid, component) that they query."""
+    cell = ["gid", "component"]
+    load = queries.groupBy(*cell).agg(F.ceil(F.count("*") / QUERIES).cast("long").alias("chunks"))
+    ask = queries.join(load, cell).select(*cell, F.pmod(F.xxhash64("q"), "chunks").alias("chunk"), F.lit(1).alias("role"), F.col("q").alias("cid"))
+    held = member.join(load, cell).select(*cell, F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.lit(0).alias("role"), F.col("m").alias("cid"))
+    rows = ask.unionByName(held).join(packed, "cid").select(*cell, "chunk", "role", "cid", "packed")
+    return rows.repartition(*cell, "chunk").sortWithinPartitions(*cell, "chunk", "role").mapInArrow(_answer(shingle, percent), "a long, b long")
+
+
+def relabelled(rows: DataFrame, comp: DataFrame, *cols: str) -> DataFrame:
+    """``rows`` with the component columns brought up to date; a component is named by one of its classes."""
+    for c in cols:
+        now = comp.select(F.col("node").alias("__n"), F.col("component").alias("__c"))
+        rows = rows.join(now, F.col(c) == F.col("__n"), "left").withColumn(f"{c}_now", F.coalesce("__c", c)).drop("__n", "__c")
+    return rows
+
+
+def queries_of(shared: DataFrame, member: DataFrame, percent: int) -> DataFrame:
+    """(q, own, gid, component, c): the classes and the cells of other
+    components that they may link with, with the number of shared tokens."""
+    sizes = member.groupBy("gid", "component").agg(F.count("*").alias("size"))
+    sized = member.join(sizes, ["gid", "component"])
+    known = shared.join(sized, F.col("cid") == F.col("m")).select("token", "cid", "n", "place", "gid", "component", "size")
+    useful = known.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 < c2").select(F.col("token").alias("tk"))
+    known = materialize(known.join(useful, F.col("token") == F.col("tk"), "left_semi"))
+    matrix = known.groupBy("token", "gid", "component", "size").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("place").alias("o_place"))
+    ask = known.select("token", F.col("cid").alias("q"), "n", "place", F.col("gid").alias("q_gid"), F.col("component").alias("own"), F.col("size").alias("q_size"))
+    smaller = F.struct("q_size", "q_gid", "own") < F.struct(F.col("size").alias("q_size"), F.col("gid").alias("q_gid"), F.col("component").alias("own"))
+    fits = (F.col("n") * percent <= 100 * F.col("most")) & (F.col("least") * percent <= 100 * F.col("n"))
+    # a group was opened against itself: its own other cells hold no link
+    met = ask.join(matrix, "token").where((F.col("own") != F.col("component")) & (F.col("q_gid") != F.col("gid")) & smaller & fits)
+    met = met.groupBy("q", "own", "gid", "component").agg(
+        F.count("*").alias("c"), F.first("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most"), F.first("size").alias("size"), F.max("place").alias("px"), F.max("o_place").alias("py"))
+    need = F.least(F.lit(NEED), F.ceil(F.least("n", "least") * percent / 100))
+    # of a single class the size and the places are known as well
+    alone = may_link(F.col("c"), F.col("n"), F.col("most"), F.col("px"), F.col("py"), percent)
+    return met.where(F.col("c") >= need).where((F.col("size") > 1) | alone).select("q", "own", "gid", "component", "c")
+
+
+def may_link(shared: "F.Column", n: "F.Column", m: "F.Column", place: "F.Column", o_place: "F.Column", percent: int = THRESHOLD) -> "F.Column":
     """Whether sets of n and m that share so many prefix tokens, the last at
     these places, can link: up to it they differ by all else."""
-    least = F.ceil((n + m) * THRESHOLD / (100 + THRESHOLD))
+    least = F.ceil((n + m) * percent / (100 + percent))
     return (place + o_place + 2 - 2 * shared <= n + m - 2 * least) & (shared >= F.least(F.lit(NEED), least))
 
 
-def join(docs: DataFrame) -> DataFrame:
+def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = THRESHOLD) -> DataFrame:
     """(doc_id, rk, n_shingles, component_id, first) for ``keyed`` documents;
     first: the row is the one of its component that stays when one does (with
     repeated rows, each copy of that row).
@@ -277,15 +359,15 @@ def join(docs: DataFrame) -> DataFrame:
     never names a component that has another id.  An empty table gives an
     empty result.
     """
-    frequent, place = frequent_tokens(docs.select("text"))
-    sets = materialize(docs.select("doc_id", "text", "rk").mapInArrow(_sets, _SETS))
+    frequent, place = frequent_tokens(docs.select("text"), shingle)
+    sets = materialize(docs.select("doc_id", "text", "rk").mapInArrow(_sets(shingle), _SETS))
     key = ["n", "d1", "d2"]
     classes = sets.where("n > 0").groupBy(*key).agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "rk")).alias("rep"))
     classes = materialize(classes.withColumn("cid", F.monotonically_increasing_id()))
-    lists = docs.select("text").mapInArrow(_prefixes(frequent, place), _TOKENS).groupBy(*key).agg(F.first("tokens").alias("tokens"))
+    lists = docs.select("text").mapInArrow(_prefixes(frequent, place, shingle, percent), _TOKENS).groupBy(*key).agg(F.first("tokens").alias("tokens"))
     lists = lists.join(classes.select(*key, "cid"), key).select(F.posexplode("tokens").alias("place", "token"), F.col("n").cast("long").alias("n"), "cid")
     lists = lists.select("token", "n", "cid", F.col("place").cast("long").alias("place")).repartition("token").sortWithinPartitions("token", "n", "cid")
-    scan = materialize(lists.mapInArrow(_postings, "kind long, x long, y long, t long, u long"))
+    scan = materialize(lists.mapInArrow(_postings(percent), "kind long, x long, y long, t long, u long"))
 
     # 1. groups
     shared = scan.where("kind = 1").select(F.col("x").alias("cid"), F.col("y").alias("n"), F.col("t").alias("token"), F.col("u").alias("place"))
@@ -303,25 +385,21 @@ def join(docs: DataFrame) -> DataFrame:
     groups = materialize(pivoted.join(dealt, F.col("pivot") == F.col("p")).select("cid", of("cid").alias("gid"), of("pivot").alias("home"), (F.col("members") == 1).alias("single")))
     # 2. each group with itself and with its pivot's
     own = groups.where("not single").select(F.explode(F.array(F.struct(F.col("gid").alias("ga"), F.col("gid").alias("gb")), F.struct(F.least("gid", "home").alias("ga"), F.greatest("gid", "home").alias("gb")))).alias("s")).select("s.*").distinct()
-    links = materialize(opened(own, groups, classes, docs))
+    packed = packed_texts(docs, classes.join(shared.select("cid").distinct(), "cid", "left_semi"))
+    links = materialize(opened(own, groups, packed, shingle, percent))
     comp = materialize(components(links))
-    # 3. token-group matrix
-    member = groups.join(comp, F.col("cid") == F.col("node"), "left").select(F.col("cid").alias("m"), "gid", "single", F.coalesce("component", "cid").alias("component"))
-    matrix = shared.join(member, F.col("cid") == F.col("m")).groupBy("token", "gid").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("place").alias("place"), F.min("single").alias("single"))
-    matrix = materialize(matrix)
-    useful = matrix.groupBy("token").agg(F.min("gid").alias("g1"), F.max("gid").alias("g2"), F.min("lo").alias("c1"), F.max("hi").alias("c2")).where("g1 < g2 and c1 < c2").select(F.col("token").alias("tk"))
-    matrix = matrix.join(useful, F.col("token") == F.col("tk"), "left_semi")
-    other = matrix.select(*[F.col(c).alias(f"o_{c}") for c in matrix.columns])
-    fits = f"gid < o_gid and least * {THRESHOLD} <= 100 * o_most and o_least * {THRESHOLD} <= 100 * most and not (lo = hi and o_lo = o_hi and lo = o_lo)"
-    pairs = matrix.join(other, F.col("token") == F.col("o_token")).where(fits)
-    needed = F.least(F.lit(NEED), F.ceil(F.least("least", "o_least") * THRESHOLD / 100))
-    pairs = pairs.groupBy(F.col("gid").alias("ga"), F.col("o_gid").alias("gb")).agg(
-        F.count("*").alias("c"), F.min(needed).alias("t"), F.min(F.col("single") & F.col("o_single")).alias("both"),
-        F.max("place").alias("px"), F.max("o_place").alias("py"), F.max("most").alias("n"), F.max("o_most").alias("m"))
-    # of two single classes the places are known as well
-    pairs = pairs.where("c >= t").where(~F.col("both") | may_link(F.col("c"), F.col("n"), F.col("m"), F.col("px"), F.col("py"))).select("ga", "gb")
-    more = opened(materialize(pairs), groups, classes, docs)
-    comp = components(links.unionByName(more))
+    # 3. queries by the token-group matrix
+    member = materialize(groups.join(comp, F.col("cid") == F.col("node"), "left").select(F.col("cid").alias("m"), "gid", F.coalesce("component", "cid").alias("component")))
+    asked = materialize(queries_of(shared, member, percent))
+    # 4. the best query of each pair of components, then what is left between different ones
+    sides = F.least("own", "component").alias("s1"), F.greatest("own", "component").alias("s2")
+    best = materialize(asked.groupBy(*sides).agg(F.max_by(F.struct("q", "gid", "component"), "c").alias("b")).select("b.*"))
+    first = materialize(answered(best, member, packed, shingle, percent))
+    comp = materialize(components(links.unionByName(first)))
+    left = relabelled(asked, comp, "own", "component").where("own_now <> component_now").select("q", "gid", "component")
+    left = materialize(left.join(best, ["q", "gid", "component"], "left_anti"))
+    more = answered(left, member, packed, shingle, percent)
+    comp = components(links.unionByName(first).unionByName(more))
 
     # components named by their least document
     named = classes.select("cid", *key, "rep").join(comp, F.col("cid") == F.col("node"), "left")
@@ -344,13 +422,13 @@ def op8_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join(keyed(documents(spark, sf_dir))).select("doc_id", "n_shingles", "component_id")
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, percent: int = THRESHOLD) -> DataFrame:
     """The documents, all columns, one of each component; of repeated rows that
     agree in id and text one stays, with the first of their other columns."""
     def key(i: str, rk: "F.Column") -> list:  # a null id is an id; no null in the join's keys
         return [F.coalesce(F.col(i).cast("long"), F.lit(0)).alias("k1"), F.col(i).isNull().alias("k2"), rk.alias("k3")]
 
-    keep = join(keyed(docs)).where("first").select(*key("doc_id", F.col("rk"))).distinct()
+    keep = join(keyed(docs), shingle, percent).where("first").select(*key("doc_id", F.col("rk"))).distinct()
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     # texts move once: repeated rows collapse and the join finds them dealt out by its keys
     rows = rows.select("row", *key("row.doc_id", F.xxhash64("row.text"))).groupBy("k1", "k2", "k3").agg(F.first("row").alias("row"))

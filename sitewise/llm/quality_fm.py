@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import crc_remainder, documents, in_small_batches, labelled_sample, load
+from .common import crc_remainder, documents, in_small_batches, labelled_sample, load, trained
 from .textnp import LOWER, SPACE, mix, text_chunks, word_hashes, words
 
 HASH_BITS = 12
@@ -149,7 +149,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     """Trains on at most MAX_TRAIN documents of each class (each text once, in
     md5 order) among labelled rows outside the hold-out fold."""
     fold = crc_remainder("doc_id", 5) != 0
-    return train(*labelled_sample(docs, labels, "quality", fold, MAX_TRAIN, MAX_TRAIN_CHARS))
+    return trained(labelled_sample(docs, labels, "quality", fold, MAX_TRAIN, MAX_TRAIN_CHARS), train)
 
 
 def scorer(model: dict):

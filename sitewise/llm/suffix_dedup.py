@@ -80,19 +80,21 @@ def window_runs(data: np.ndarray, offs: np.ndarray, match: int = MIN_MATCH, gram
     return row, start - offs[row], stop - start, key, digest, inner
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids, rks = batch.column(0), batch.column(2)
-        for lo, hi, data, offs in text_chunks(batch.column(1)):
-            found = window_runs(data, offs)
-            if found is None:
-                continue
-            row, start, n, key, digest, inner = found
-            take = pa.array(row + lo)
-            yield pa.RecordBatch.from_arrays([
-                ids.take(take), rks.take(take), pa.array(key.view(np.int64)), pa.array(digest.view(np.int64)),
-                pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(inner)],
-                names=["doc_id", "rk", "key", "dig", "s0", "n", "inner"])
+def _runs(match: int, gram: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, rks = batch.column(0), batch.column(2)
+            for lo, _, data, offs in text_chunks(batch.column(1)):
+                found = window_runs(data, offs, match, gram)
+                if found is None:
+                    continue
+                row, start, n, key, digest, inner = found
+                take = pa.array(row + lo)
+                yield pa.RecordBatch.from_arrays([
+                    ids.take(take), rks.take(take), pa.array(key.view(np.int64)), pa.array(digest.view(np.int64)),
+                    pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(inner)],
+                    names=["doc_id", "rk", "key", "dig", "s0", "n", "inner"])
+    return run
 
 
 # -- 3. suffix arrays -------------------------------------------------------------------------
@@ -216,26 +218,28 @@ def _digests(ctx: bytes, starts: np.ndarray, match: int) -> np.ndarray:
     return out
 
 
-def _sort_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sort_shards(match: int):
     """Rows sorted by (key, sub); whole groups are gathered up to SHARD_BYTES
     and share one suffix array."""
-    held: list[dict] = []
-    size, last = 0, None
-    for batch in batches:
-        for r in batch.to_pylist():
-            k = (r["key"], r["sub"])
-            if k != last and size >= SHARD_BYTES:
-                yield from _sort_shard(held)
-                held, size = [], 0
-            last = k
-            held.append(r)
-            size += len(r["ctx"])
-    if held:
-        yield from _sort_shard(held)
-
-
-def _sort_shard(rows: list[dict]) -> Iterator[pa.RecordBatch]:
-    owner, start, hit = repeated_windows([r["ctx"] for r in rows])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
+        size, last = 0, None
+        for batch in batches:
+            for r in batch.to_pylist():
+                k = (r["key"], r["sub"])
+                if k != last and size >= SHARD_BYTES:
+                    yield from _sort_shard(held, match)
+                    held, size = [], 0
+                last = k
+                held.append(r)
+                size += len(r["ctx"])
+        if held:
+            yield from _sort_shard(held, match)
+    return run
+
+
+def _sort_shard(rows: list[dict], match: int = MIN_MATCH) -> Iterator[pa.RecordBatch]:
+    owner, start, hit = repeated_windows([r["ctx"] for r in rows], match)
     bound = np.searchsorted(owner, np.arange(len(rows) + 1))
     out: list[tuple] = []
     split: dict[tuple, list] = {}
@@ -243,9 +247,9 @@ def _sort_shard(rows: list[dict]) -> Iterator[pa.RecordBatch]:
         flags = hit[bound[i]:bound[i + 1]]
         if r["c"] == 1:
             for lo, hi in zip(*_intervals(flags), strict=True):
-                out.append((r["doc_id"], r["rk"], r["s0"] + int(lo), r["s0"] + int(hi) - 1 + MIN_MATCH, r["key"], 0, -1, None))
+                out.append((r["doc_id"], r["rk"], r["s0"] + int(lo), r["s0"] + int(hi) - 1 + match, r["key"], 0, -1, None))
         if r["nsub"] > 1:  # what other shards of this key must know
-            d = _digests(r["ctx"], np.arange(len(flags)), MIN_MATCH)
+            d = _digests(r["ctx"], np.arange(len(flags)), match)
             d["ref"] = np.where(flags | (r["c"] > 1), -1, i)
             parts = max(1, -(-r["windows"] // MERGE_WINDOWS))
             part = (d["a"] % np.uint64(parts)).astype(int)
@@ -298,24 +302,26 @@ def shared_classes(shards: list[np.ndarray]) -> list[np.ndarray]:
     return out
 
 
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _merge(match: int):
     """Finished spans pass; the shards of one (key, part) are merged."""
-    held: list[bytes] = []
-    last = None
-    for batch in batches:
-        subs = np.array(batch.column("sub").to_pylist())
-        done = batch.filter(pa.array(subs < 0))
-        if done.num_rows:
-            yield done.select(["doc_id", "rk", "lo", "hi"])
-        for r in batch.filter(pa.array(subs >= 0)).to_pylist():
-            if (r["key"], r["part"]) != last:
-                yield from _merge_key(held)
-                held, last = [], (r["key"], r["part"])
-            held.append(r["windows"])
-    yield from _merge_key(held)
-
-
-def _merge_key(packed: list[bytes]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[bytes] = []
+        last = None
+        for batch in batches:
+            subs = np.array(batch.column("sub").to_pylist())
+            done = batch.filter(pa.array(subs < 0))
+            if done.num_rows:
+                yield done.select(["doc_id", "rk", "lo", "hi"])
+            for r in batch.filter(pa.array(subs >= 0)).to_pylist():
+                if (r["key"], r["part"]) != last:
+                    yield from _merge_key(held, match)
+                    held, last = [], (r["key"], r["part"])
+                held.append(r["windows"])
+        yield from _merge_key(held, match)
+    return run
+
+
+def _merge_key(packed: list[bytes], match: int = MIN_MATCH) -> Iterator[pa.RecordBatch]:
     if len(packed) < 2:
         return
     refs, shards = zip(*map(_unpack, packed), strict=True)
@@ -326,7 +332,7 @@ def _merge_key(packed: list[bytes]) -> Iterator[pa.RecordBatch]:
             t, at = table[r], np.sort(s["start"][s["ref"] == r])
             cut = np.flatnonzero(np.diff(at) > 1)
             for lo, hi in zip(at[np.append(0, cut + 1)], at[np.append(cut, len(at) - 1)], strict=True):
-                out.append((None if t["null"] else int(t["doc_id"]), int(t["rk"]), int(t["s0"] + lo), int(t["s0"] + hi + MIN_MATCH)))
+                out.append((None if t["null"] else int(t["doc_id"]), int(t["rk"]), int(t["s0"] + lo), int(t["s0"] + hi + match)))
     if out:
         yield pa.RecordBatch.from_arrays([pa.array([o[j] for o in out], t) for j, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=["doc_id", "rk", "lo", "hi"])
 
@@ -338,27 +344,30 @@ def keyed(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFr
     return in_small_batches(docs).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), F.xxhash64(text).alias("rk"))
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, rk, lo, hi) byte ranges to remove from ``keyed`` documents, ranges may overlap."""
-    runs = materialize(docs.mapInArrow(_runs, _RUNS))
+def repeated_spans(docs: DataFrame, match: int = MIN_MATCH, gram: int = GRAM) -> DataFrame:
+    """(doc_id, rk, lo, hi) byte ranges to remove from ``keyed`` documents,
+    ranges may overlap: all that is covered by ``match``-byte strings that
+    stand twice.  ``gram``, at most ``match``, is the length of the strings
+    whose hashes key the windows; any length gives the same ranges."""
+    runs = materialize(docs.mapInArrow(_runs(match, gram), _RUNS))
     keys = runs.groupBy("key").agg(F.count("*").alias("n_key"), F.min("dig").alias("least"), F.max("dig").alias("most"), F.max("inner").alias("any_inner"))
     keys = keys.where("n_key > 1 or any_inner").select(F.col("key").alias("k"), (F.col("least") != F.col("most")).alias("mixed"), F.col("n_key"))
     met = materialize(runs.join(keys, F.col("key") == F.col("k")).drop("k"))
     whole = met.where("not mixed and n_key > 1")
     unsure = met.where("mixed or n_key = 1")
     contexts = unsure.groupBy("key", "dig").agg(F.count("*").alias("c"), F.min(F.struct("s0", "n", "rk", "doc_id")).alias("ref"))
-    sizes = contexts.groupBy("key").agg(F.sum(F.col("ref.n") + MIN_MATCH).alias("bytes"), F.sum(F.col("ref.n").cast("long")).alias("windows"), F.min("c").alias("rarest"))
+    sizes = contexts.groupBy("key").agg(F.sum(F.col("ref.n") + match).alias("bytes"), F.sum(F.col("ref.n").cast("long")).alias("windows"), F.min("c").alias("rarest"))
     sizes = sizes.where("rarest = 1").select(F.col("key").alias("k"), "windows", F.ceil(F.col("bytes") / SHARD_BYTES).cast("int").alias("nsub"))
     again = contexts.where("c > 1").select(F.col("key").alias("k"), F.col("dig").alias("g"))
     whole = whole.select("doc_id", "rk", "s0", "n").unionByName(unsure.join(again, (F.col("key") == F.col("k")) & (F.col("dig") == F.col("g"))).select("doc_id", "rk", "s0", "n"))
-    whole = whole.select("doc_id", "rk", F.col("s0").alias("lo"), (F.col("s0") + F.col("n") + F.lit(MIN_MATCH - 1)).alias("hi"))
+    whole = whole.select("doc_id", "rk", F.col("s0").alias("lo"), (F.col("s0") + F.col("n") + F.lit(match - 1)).alias("hi"))
     shard = contexts.join(sizes, F.col("key") == F.col("k")).select("key", F.pmod("dig", "nsub").cast("int").alias("sub"), "nsub", "windows", "c", F.col("ref.doc_id").alias("r_id"), F.col("ref.rk").alias("r_rk"), F.col("ref.s0").alias("s0"), F.col("ref.n").alias("n"))
     shard = docs.join(shard, F.col("doc_id").eqNullSafe(F.col("r_id")) & F.col("rk").eqNullSafe(F.col("r_rk")))
-    ctx = F.substring(F.col("text").cast("binary"), F.col("s0") + 1, F.col("n") + F.lit(MIN_MATCH - 1))
+    ctx = F.substring(F.col("text").cast("binary"), F.col("s0") + 1, F.col("n") + F.lit(match - 1))
     # repeated rows of one document bring its contexts again: once is enough
     shard = shard.select("key", "sub", "nsub", "windows", "c", "doc_id", "rk", "s0", ctx.alias("ctx")).dropDuplicates(["key", "sub", "doc_id", "rk", "s0"])
-    found = shard.repartition("key", "sub").sortWithinPartitions("key", "sub").mapInArrow(_sort_shards, _FOUND)
-    found = found.repartition("key", "part", F.when(F.col("sub") < 0, F.col("rk")).otherwise(0)).sortWithinPartitions("key", "part", "sub").mapInArrow(_merge, "doc_id long, rk long, lo int, hi int")
+    found = shard.repartition("key", "sub").sortWithinPartitions("key", "sub").mapInArrow(_sort_shards(match), _FOUND)
+    found = found.repartition("key", "part", F.when(F.col("sub") < 0, F.col("rk")).otherwise(0)).sortWithinPartitions("key", "part", "sub").mapInArrow(_merge(match), "doc_id long, rk long, lo int, hi int")
     return whole.unionByName(found)
 
 
@@ -415,29 +424,39 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "text", "spans").mapInArrow(_digest_rows, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def _cut_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        row, spans = batch.column(0), batch.column(1).to_pylist()
-        names = [f.name for f in row.type]
-        cols = dict(zip(names, row.flatten(), strict=True))
-        old = cols["text"].to_pylist()
-        # a range may begin or end inside a character; what is left of it goes too
-        new = [t if t is None or not s else cut(t.encode(), s)[0].decode("utf-8", "ignore") for t, s in zip(old, spans, strict=True)]
-        cols["text"] = pa.array(new, row.type.field("text").type)
-        if "n_chars" in cols:
-            sizes = [len(t) if s and t is not None else n for t, s, n in zip(new, spans, cols["n_chars"].to_pylist(), strict=True)]
-            cols["n_chars"] = pa.array(sizes, row.type.field("n_chars").type)
-        yield pa.RecordBatch.from_arrays([pa.StructArray.from_arrays([cols[n] for n in names], fields=list(row.type))], names=["row"])
-
-
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def long_ranges(raw: bytes, spans: list[dict] | None, min_words: int) -> list[dict]:
+    """The maximal ranges of ``spans`` that hold at least ``min_words`` words,
+    a word cut by an end counting as one."""
+    return [{"lo": lo, "hi": hi} for lo, hi in cut(raw, spans)[1] if len(raw[lo:hi].split()) >= min_words]
+
+
+def _cut_text(min_words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, spans = batch.column(0), batch.column(1).to_pylist()
+            names = [f.name for f in row.type]
+            cols = dict(zip(names, row.flatten(), strict=True))
+            old = cols["text"].to_pylist()
+            spans = [s if t is None or not s else long_ranges(t.encode(), s, min_words) for t, s in zip(old, spans, strict=True)]
+            # a range may begin or end inside a character; what is left of it goes too
+            new = [t if t is None or not s else cut(t.encode(), s)[0].decode("utf-8", "ignore") for t, s in zip(old, spans, strict=True)]
+            cols["text"] = pa.array(new, row.type.field("text").type)
+            if "n_chars" in cols:
+                sizes = [len(t) if s and t is not None else n for t, s, n in zip(new, spans, cols["n_chars"].to_pylist(), strict=True)]
+                cols["n_chars"] = pa.array(sizes, row.type.field("n_chars").type)
+            yield pa.RecordBatch.from_arrays([pa.StructArray.from_arrays([cols[n] for n in names], fields=list(row.type))], names=["row"])
+    return run
+
+
+def remove_repeats(docs: DataFrame, match: int = MIN_MATCH, gram: int = GRAM, min_words: int = 0) -> DataFrame:
     """The documents, all columns, with repeated byte ranges cut from ``text``
-    (and ``n_chars``, where there is one, brought up to date)."""
-    spans = merged_spans(repeated_spans(keyed(docs)))
+    (and ``n_chars``, where there is one, brought up to date).  Ranges under
+    ``min_words`` words stay."""
+    spans = merged_spans(repeated_spans(keyed(docs), match, gram))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     same = F.col("row.doc_id").cast("long").eqNullSafe(F.col("s_id")) & F.xxhash64("row.text").eqNullSafe(F.col("s_rk"))
     rows = rows.join(spans, same, "left").select("row", "spans")
-    return rows.mapInArrow(_cut_text, StructType([rows.schema["row"]])).select("row.*")
+    return rows.mapInArrow(_cut_text(min_words), StructType([rows.schema["row"]])).select("row.*")
 
 
 __all__ = ["CHUNK_BYTES", "op2_suffix_dedup", "remove_repeats", "repeated_windows", "suffix_array", "with_spans"]

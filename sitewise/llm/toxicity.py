@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import crc_remainder, documents, in_small_batches, labelled_sample, load
+from .common import crc_remainder, documents, in_small_batches, labelled_sample, load, trained
 from .textnp import LOWER, SPACE, mix, prefix_hash, span_hash, text_chunks, words
 
 DECAY = 0.5
@@ -290,7 +290,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     """Trains on at most MAX_TRAIN documents of each class (in md5 order of
     their text, each text once) among labelled rows outside the hold-out fold."""
     fold = crc_remainder("doc_id", 3) != 1
-    return train(*labelled_sample(docs, labels, "toxic", fold, MAX_TRAIN, MAX_TRAIN_CHARS))
+    return trained(labelled_sample(docs, labels, "toxic", fold, MAX_TRAIN, MAX_TRAIN_CHARS), train)
 
 
 def document_scores(col: pa.Array, model: dict) -> np.ndarray:
