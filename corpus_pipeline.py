@@ -20,13 +20,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of the n-gram Jaccard join stays."""
-    return jaccard_groups.one_of_each(docs)
+    """One document of each group of the n-gram Jaccard join stays: five-word
+    shingles, a similarity of 0.8."""
+    return jaccard_groups.one_of_each(docs, shingle=5, percent=80)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that stand anywhere else are cut from the texts."""
-    return suffix_dedup.remove_repeats(docs)
+    """Passages of at least 50 words that stand anywhere else are cut from the
+    texts.  Strings of 200 bytes are matched, which 50 words of three letters
+    and a blank reach."""
+    return suffix_dedup.remove_repeats(docs, match=200, gram=100, min_words=50)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
