@@ -1,9 +1,13 @@
-r"""License scan as an exact set-similarity join of text blocks with templates.
+r"""License scan as an exact set-similarity join of text windows with templates.
 
-A block is a line of a document, a template the text of a licence notice;
-a block meets a template when it holds at least CONTAINMENT percent of the
-template's distinct words.  Words have one global order, from the rarest in
-the corpus, and three filters leave few pairs to verify:
+A template is the text of a licence notice.  A document meets it where some
+window of running words, as long as the template's words over CONTAINMENT
+percent, holds at least that share of its distinct words; lines do not matter.
+Every text is taken into words once.  A text that holds too few of every
+template's words anywhere is done with; the words of the others are cut into
+overlapping blocks, so that every window lies in one.  Words have one global
+order, from the rarest in the corpus, and three filters leave few pairs of a
+block and a template to verify window by window:
 
 * prefix: a qualifying block holds one of the template's first
   size - need + 1 words in that order;
@@ -11,20 +15,17 @@ the corpus, and three filters leave few pairs to verify:
 * position: words that the block lacks ahead of the rarest one it has count
   against the template, the rest must still reach need.
 
-Before it, the plain phrases of PHRASES are located.  DataFrame expressions only.
-
-That is the rule of the query's SQL.  It misses notices wrapped over lines and
-takes near relatives for each other, so ``notices`` finds a notice anywhere in
-the running words: a window little longer than the template must hold the
-share of its words and, together, the words of MARKS that tell it from its
-relatives.  The same join, on overlapping blocks of words, gives the candidates.
+The join alone decides what is found.  Licences of a family share most of
+their words, so a find is named by its MARK, words that only this template has
+among its relatives: with the mark in a qualifying window it has the
+template's label; without one in the family, neither found nor a base phrase,
+it is named as like the family (``bsd-like``); beside a named relative it is
+that relative's text.  DataFrame expressions only.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,7 +53,7 @@ TEMPLATES = [
     ("cc-by-sa", "Licensed under CC BY-SA 4.0."),
 ]
 
-# what a template's window must hold besides, in words joined by a blank; one a template
+# what tells a template from its relatives, in words joined by a blank; one a template
 MARKS = [
     "gnu general public license", "gnu general public license", "gnu lesser general public license",
     "apache license", "except in compliance with the license", "mit", "associated documentation files",
@@ -60,6 +61,9 @@ MARKS = [
     "creative commons attribution (?:[0-9]+|international|license)", "cc by nc", "cc by (?:nc )?sa",
 ]
 
+# labels whose texts are near each other; any other label is a family of its own
+FAMILIES = {"gpl": "gpl", "lgpl": "gpl", "cc-by": "cc", "cc-by-nc": "cc", "cc-by-sa": "cc"}
+
 _SEP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 _IN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -89,25 +93,18 @@ def _label(place: "F.Column") -> "F.Column":
     return out
 
 
-def phrase_places(docs: DataFrame) -> DataFrame:
-    """doc_id, rk, n_words, n_base, first_word, last_word and phrase_labels of
-    ``keyed`` documents.  Phrases cannot overlap: none begins with a word
-    that another ends with."""
+def phrase_places(text: "F.Column", n_words: "F.Column") -> list["F.Column"]:
+    """n_base, first_word, last_word and phrase_labels of a text.  Phrases
+    cannot overlap: none begins with a word that another ends with."""
     pattern = _any_of(list(PHRASES))
     # a cheap test decides which texts the pattern runs on; each phrase has one of these
-    may = F.col("text").rlike(r"[Ll][Ii][Cc][Ee][Nn][Ss][Ee]|[Cc][Cc]" + _SEP + "+[Bb][Yy]")
-    rows = docs.select("doc_id", "rk", count_words(F.col("text")).alias("n_words"), F.when(may, F.col("text")).alias("t"))
-    rows = rows.withColumn("found", F.when(F.col("t").isNotNull(), F.regexp_extract_all("t", F.lit(f"({pattern})"), 1)))
-    rows = rows.withColumn("n_base", F.coalesce(F.size("found"), F.lit(0)).cast("long")).withColumn("n_base", F.greatest("n_base", F.lit(0).cast("long")))
-    hit = F.col("n_base") > 0
-    parts = F.when(hit, F.split("t", pattern, -1))
-    rows = rows.withColumn("parts", parts)
-    final = count_words(F.element_at("parts", -1)) + count_words(F.element_at("found", -1))
-    return rows.select(
-        "doc_id", "rk", "n_words", "n_base",
-        F.when(hit, count_words(F.element_at("parts", 1))).alias("first_word"),
-        F.when(hit, F.col("n_words") - final).alias("last_word"),
-        F.when(hit, F.array_distinct(F.transform("found", _label))).otherwise(F.array().cast("array<string>")).alias("phrase_labels"))
+    may = text.rlike(r"[Ll][Ii][Cc][Ee][Nn][Ss][Ee]|[Cc][Cc]" + _SEP + "+[Bb][Yy]")
+    found = F.when(may, F.regexp_extract_all(text, F.lit(f"({pattern})"), 1))
+    hit = F.coalesce(F.size(found) > 0, F.lit(False))
+    parts = F.when(hit, F.split(text, pattern, -1))
+    final = count_words(F.element_at(parts, -1)) + count_words(F.element_at(found, -1))
+    return [F.when(hit, F.size(found)).otherwise(0).cast("long").alias("n_base"), F.when(hit, count_words(F.element_at(parts, 1))).alias("first_word"),
+            F.when(hit, n_words - final).alias("last_word"), F.when(hit, F.array_distinct(F.transform(found, _label))).otherwise(F.array().cast("array<string>")).alias("phrase_labels")]
 
 
 def window_words(template: str) -> int:
@@ -115,97 +112,104 @@ def window_words(template: str) -> int:
     return -(-len(_words(template)) * 100 // CONTAINMENT)
 
 
-def template_order(docs: DataFrame) -> dict[str, int]:
-    """Place of each template word in the order of document frequency, counted
-    over all documents; as many rows as the templates have words."""
-    known = sorted({w for _, t in TEMPLATES for w in _words(t)})
-    each = docs.select(F.explode(F.array_intersect(word_list(F.col("text")), F.array(*map(F.lit, known)))).alias("w"))
-    count = {r["w"]: r["n"] for r in each.groupBy("w").agg(F.count("*").alias("n")).collect()}
-    return {w: k for k, w in enumerate(sorted(known, key=lambda w: (count.get(w, 0), w)))}
+def needs() -> list[tuple[list[str], int]]:
+    """Distinct words of each template and how many of them a window must hold."""
+    out = []
+    for _, t in TEMPLATES:
+        words = sorted(set(_words(t)))
+        out.append((words, -(-len(words) * CONTAINMENT // 100)))
+    return out
 
 
-def template_matches(docs: DataFrame) -> DataFrame:
-    """doc_id, rk, found (labels of the templates that some line meets) and
-    best (greatest containment), for documents with a match."""
-    lines = F.explode(F.split("text", "\n", -1)).alias("line")
-    pairs = _candidates(docs, lambda rows: rows.select("doc_id", "rk", lines).select("doc_id", "rk", word_list(F.col("line")).alias("words")))
-    return _found(pairs)
+def _list(words: list[str]) -> "F.Column":
+    return F.array(*map(F.lit, words))
 
 
-def notice_matches(docs: DataFrame) -> DataFrame:
-    """As ``template_matches``, of the notices that stand in some window of
-    ``window_words`` running words with their mark, whatever lines they are on.
+def taken_apart(docs: DataFrame) -> DataFrame:
+    """A written table: doc_id, rk, n_words, the phrase columns, known (the
+    template words in the text) and, where the whole text holds enough words
+    of some template, its words in order."""
+    every = sorted({w for words, _ in needs() for w in words})
+    rows = docs.select("doc_id", "rk", "text", F.coalesce(word_list(F.col("text")), F.array().cast("array<string>")).alias("all"))
+    rows = rows.select("*", F.size("all").cast("long").alias("n_words"), F.array_intersect("all", _list(every)).alias("known"))
+    reach = F.lit(False)
+    for words, need in needs():
+        reach = reach | (F.size(F.array_intersect("known", _list(words))) >= need)
+    return materialize(rows.select("doc_id", "rk", "n_words", *phrase_places(F.col("text"), F.col("n_words")), "known", F.when(reach, F.col("all")).alias("words")))
 
-    Blocks of twice the longest window begin every such length, so each
-    window lies in one; the candidate step runs on blocks, the windows of
-    their few candidates are verified one by one.  Texts without any mark
-    are left out first; they cannot match."""
-    docs = docs.where(F.col("text").rlike(_any_of(MARKS)))
-    stride = max(window_words(t) for _, t in TEMPLATES)
 
-    def blocks(rows: DataFrame) -> DataFrame:
-        rows = rows.select("doc_id", "rk", word_list(F.col("text")).alias("all"))
-        begins = F.sequence(F.lit(1), F.greatest(F.size("all") - stride, F.lit(1)), F.lit(stride))
-        return rows.select("doc_id", "rk", F.explode(F.transform(begins, lambda b: F.slice("all", b, F.lit(2 * stride)))).alias("words"))
+def template_order(rows: DataFrame) -> dict[str, int]:
+    """Place of each template word in the order of document frequency, counted
+    over all documents; as many rows as the templates have words."""
+    count = {r["w"]: r["n"] for r in rows.select(F.explode("known").alias("w")).groupBy("w").agg(F.count("*").alias("n")).collect()}
+    known = sorted({w for words, _ in needs() for w in words})
+    return {w: k for k, w in enumerate(sorted(known, key=lambda w: (count.get(w, 0), w)))}
 
-    pairs = _candidates(docs, blocks)
-    size = F.element_at(F.array(*[F.lit(window_words(t)) for _, t in TEMPLATES]), F.col("template") + 1)
-    mark = F.element_at(F.array(*[F.lit(f" (?:{m}) ") for m in MARKS]), F.col("template") + 1)
-    pairs = pairs.withColumn("size", size).withColumn("mark", mark)
 
-    def marked(words: "F.Column") -> "F.Column":
-        return F.regexp_like(F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" ")), F.col("mark"))
+def template_matches(rows: DataFrame) -> DataFrame:
+    """doc_id, rk, template, share (words of the template that the best window
+    holds) and marked (its mark stands in a window that holds enough), for
+    every template that a text of ``taken_apart`` meets."""
+    stride = max(window_words(t) for _, t in TEMPLATES)
+    begins = F.sequence(F.lit(1), F.greatest(F.size("words") - stride, F.lit(1)), F.lit(stride))
+    blocks = rows.where("words IS NOT NULL").select("doc_id", "rk", F.explode(F.transform(begins, lambda b: F.slice("words", b, F.lit(2 * stride)))).alias("block"))
+    pairs = _candidates(blocks, template_order(rows))
+    pairs = pairs.withColumn("size", F.element_at(F.array(*[F.lit(window_words(t)) for _, t in TEMPLATES]), F.col("template") + 1))
+    pairs = pairs.withColumn("mark", F.element_at(F.array(*[F.lit(f" (?:{m}) ") for m in MARKS]), F.col("template") + 1))
 
     def held(begin: "F.Column") -> "F.Column":
+        return F.size(F.array_intersect("words", F.slice("block", begin, F.col("size"))))
+
+    def marked(begin: "F.Column") -> "F.Column":
         window = F.slice("block", begin, F.col("size"))
-        return F.when(marked(window), F.size(F.array_intersect("words", window)))
+        return F.regexp_like(F.concat(F.lit(" "), F.array_join(window, " "), F.lit(" ")), F.col("mark"))
 
-    pairs = pairs.where(marked(F.col("block")))
-    begins = F.sequence(F.lit(1), F.greatest(F.size("block") - F.col("size") + 1, F.lit(1)))
-    pairs = pairs.withColumn("share", F.array_max(F.transform(begins, held)))
-    return _found(pairs.where(F.col("share") >= F.col("need")))
+    starts = F.sequence(F.lit(1), F.greatest(F.size("block") - F.col("size") + 1, F.lit(1)))
+    pairs = pairs.withColumn("at", F.filter(F.transform(starts, lambda b: F.struct(b.alias("b"), held(b).alias("share"))), lambda x: x["share"] >= F.col("need"))).where(F.size("at") > 0)
+    return pairs.select("doc_id", "rk", "template", F.array_max(F.transform("at", lambda x: x["share"])).alias("share"), F.exists("at", lambda x: marked(x["b"])).alias("marked")).groupBy(
+        "doc_id", "rk", "template").agg(F.max("share").alias("share"), F.max("marked").alias("marked"))
 
 
-def _candidates(docs: DataFrame, cut) -> DataFrame:
-    """Pairs of a block and a template whose words it holds in the share
-    needed; ``cut`` makes blocks (doc_id, rk, words in order) of documents."""
-    order = template_order(docs)
+def _candidates(blocks: DataFrame, order: dict[str, int]) -> DataFrame:
+    """Pairs of a block (doc_id, rk, block: words in order) and a template whose words it holds in the share needed."""
     index, prefixes = [], set()
-    for k, (label, text) in enumerate(TEMPLATES):
-        words = sorted(set(_words(text)), key=order.__getitem__)
-        need = -(-len(words) * CONTAINMENT // 100)
+    for k, (known, need) in enumerate(needs()):
+        words = sorted(known, key=order.__getitem__)
         for place, w in enumerate(words[:len(words) - need + 1]):
-            index.append(F.struct(
-                F.lit(w).alias("word"), F.lit(k).alias("template"), F.lit(label).alias("label"),
-                F.array(*map(F.lit, words)).alias("words"), F.lit(need).alias("need"), F.lit(place).alias("place")))
+            index.append(F.struct(F.lit(w).alias("word"), F.lit(k).alias("template"), _list(words).alias("words"), F.lit(need).alias("need"), F.lit(place).alias("place")))
             prefixes.add(w)
-    inverted = docs.sparkSession.range(1).select(F.inline(F.array(*index)))  # a few rows a template
-    first = F.array(*map(F.lit, sorted(prefixes)))
-    lines = cut(docs.where(F.arrays_overlap(word_list(F.col("text")), first))).withColumnRenamed("words", "block")
-    lines = lines.withColumn("tokens", F.array_distinct("block"))
-    lines = lines.withColumn("hit", F.array_intersect("tokens", first)).where(F.size("hit") > 0)
-    pairs = lines.withColumn("token", F.explode("hit")).join(inverted, F.col("token") == F.col("word"))
+    inverted = blocks.sparkSession.range(1).select(F.inline(F.array(*index)))  # a few rows a template
+    blocks = blocks.withColumn("tokens", F.array_distinct("block"))
+    blocks = blocks.withColumn("hit", F.array_intersect("tokens", _list(sorted(prefixes)))).where(F.size("hit") > 0)
+    pairs = blocks.withColumn("token", F.explode("hit")).join(inverted, F.col("token") == F.col("word"))
     pairs = pairs.where(F.size("tokens") >= F.col("need"))  # length
     # position: this is the block's rarest word of the template, and what follows it is enough
     rarest = F.size(F.array_intersect(F.slice("words", F.lit(1), F.col("place")), "tokens")) == 0
     pairs = pairs.where(rarest & (F.size("words") - F.col("place") >= F.col("need")))
-    share = F.size(F.array_intersect("words", "tokens"))
-    return pairs.withColumn("share", share).where(F.col("share") >= F.col("need"))
+    return pairs.where(F.size(F.array_intersect("words", "tokens")) >= F.col("need"))
 
 
-def _found(pairs: DataFrame) -> DataFrame:
-    return pairs.groupBy("doc_id", "rk").agg(F.collect_set("label").alias("found_labels"), F.max(F.col("share") / F.size("words")).alias("best")).select(F.col("doc_id").alias("m_id"), F.col("rk").alias("m_rk"), "found_labels", "best")
+def _family(label: str) -> str:
+    return FAMILIES.get(label, label)
 
 
-def scan(docs: DataFrame, matches: Callable[[DataFrame], DataFrame] = template_matches) -> DataFrame:
+def scan(docs: DataFrame) -> DataFrame:
     """One row per document with the contract's columns.  Null counts as an
     empty text: no words, no places, empty labels, score 0.  Repeated rows get
     the same values; the score is the best containment, 1 where a phrase stands."""
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("rk"))
-    rows, found = phrase_places(keyed), matches(keyed)
-    rows = rows.join(found, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("rk") == F.col("m_rk")), "left")
+    rows = taken_apart(keyed)
+    of = lambda values: F.element_at(F.array(*map(F.lit, values)), F.col("template") + 1)
+    found = template_matches(rows).select("doc_id", "rk", of([label for label, _ in TEMPLATES]).alias("label"), of([_family(label) for label, _ in TEMPLATES]).alias("family"),
+                                          "marked", (F.col("share") / of([len(w) for w, _ in needs()])).alias("best"))
+    found = found.groupBy("doc_id", "rk").agg(
+        F.collect_set(F.when(F.col("marked"), F.col("label"))).alias("named"), F.collect_set(F.when(F.col("marked"), F.col("family"))).alias("told"), F.collect_set("family").alias("met"), F.max("best").alias("best"))
+    found = found.select(F.col("doc_id").alias("m_id"), F.col("rk").alias("m_rk"), "named", "told", "met", "best")
+    rows = rows.drop("known", "words").join(found, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("rk") == F.col("m_rk")), "left")
     none = F.array().cast("array<string>")
-    every = F.array_sort(F.array_union("phrase_labels", F.coalesce("found_labels", none)))
+    base_family = F.transform("phrase_labels", lambda x: F.coalesce(*[F.when(x == label, fam) for label, fam in FAMILIES.items()], x))
+    like = F.transform(F.array_except("met", F.array_union("told", base_family)), lambda f: F.concat(f, F.lit("-like")))
+    every = F.array_sort(F.array_union("phrase_labels", F.coalesce(F.array_union("named", like), none)))
     return rows.select(
         "doc_id", "n_words", "n_base", "first_word", "last_word",
         F.array_join(F.array_sort("phrase_labels"), ",").alias("base_labels"), F.array_join(every, ",").alias("labels"),
@@ -213,42 +217,37 @@ def scan(docs: DataFrame, matches: Callable[[DataFrame], DataFrame] = template_m
 
 
 def op7_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """By the line rule, as its SQL has it; op7_license_notices finds more and errs less."""
     return scan(documents(spark, sf_dir))
 
 
-def notices(docs: DataFrame) -> DataFrame:
-    """``scan`` with notices found over line ends, told apart by their marks."""
-    return scan(docs, notice_matches)
-
-
-def op7_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return notices(documents(spark, sf_dir))
-
-
 def _oracle() -> str:
-    """Brute force over word lists: every line against every template, every start against every phrase."""
-    templates = " UNION ALL ".join(f"SELECT '{label}' AS label, {sorted(set(_words(t)))} AS t" for label, t in TEMPLATES)
+    """Brute force over word lists: every window against every template, every start against every phrase."""
+    templates = " UNION ALL ".join(
+        f"SELECT {k} AS tk, '{label}' AS label, '{_family(label)}' AS fam, {words} AS t, {window_words(text)} AS size, {need} AS need, ' (?:{mark}) ' AS mark"
+        for k, ((label, text), (words, need), mark) in enumerate(zip(TEMPLATES, needs(), MARKS, strict=True)))
     starts = " UNION ALL ".join(
-        f"SELECT doc_id, k, i, '{label}' AS label FROM p WHERE " + " AND ".join(f"w[i + {j}] = '{x}'" for j, x in enumerate(phrase.split()))
+        f"SELECT k, i, '{label}' AS label, '{_family(label)}' AS fam FROM p WHERE " + " AND ".join(f"w[i + {j}] = '{x}'" for j, x in enumerate(phrase.split()))
         for phrase, label in PHRASES.items())
     sep = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     return rf"""
-WITH d AS (SELECT row_number() OVER () AS k, doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents),
-w AS (SELECT doc_id, k, regexp_extract_all(t, '{sep}') AS w FROM d),
-p AS (SELECT doc_id, k, w, unnest(range(1, len(w) + 1)) AS i FROM w WHERE list_has_any(w, ['gnu', 'apache', 'cc', 'mit'])),
+WITH w AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{sep}') AS w FROM documents),
+p AS (SELECT k, w, unnest(range(1, len(w) + 1)) AS i FROM w WHERE list_has_any(w, ['gnu', 'apache', 'cc', 'mit'])),
 s AS ({starts}),
-b AS (SELECT k, count(*) AS n_base, min(i) - 1 AS first_word, max(i) - 1 AS last_word, list_distinct(list(label)) AS l FROM s GROUP BY k),
-x AS (SELECT k, list_distinct(regexp_extract_all(line, '{sep}')) AS g FROM (SELECT k, unnest(string_split(t, chr(10))) AS line FROM d)),
-m AS (
-  SELECT k, list(DISTINCT label) AS l, max(len(list_intersect(t, g)) / len(t)) AS best
-  FROM x JOIN ({templates}) tt ON list_has_any(g, t)
-  WHERE 100 * len(list_intersect(t, g)) >= {CONTAINMENT} * len(t) GROUP BY k)
-SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(coalesce(b.n_base, 0) AS BIGINT) AS n_base, first_word, last_word,
-  coalesce(array_to_string(list_sort(b.l), ','), '') AS base_labels,
-  coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(b.l, []), coalesce(m.l, [])))), ','), '') AS labels,
-  CASE WHEN b.n_base > 0 THEN 1.0 ELSE coalesce(m.best, 0.0) END AS score
-FROM w LEFT JOIN b USING (k) LEFT JOIN m USING (k)
+b AS (SELECT k, count(*) AS n_base, min(i) - 1 AS first_word, max(i) - 1 AS last_word, list(DISTINCT label) AS l, list(DISTINCT fam) AS f FROM s GROUP BY k),
+tt AS ({templates}),
+c AS (SELECT w.k, w.w, tt.* FROM w JOIN tt ON len(list_intersect(t, w.w)) >= need),
+v AS (SELECT *, unnest(range(1, greatest(len(w) - size + 2, 2))) AS i FROM c),
+x AS (SELECT *, len(list_intersect(t, w[i:i + size - 1])) AS share FROM v),
+m AS (SELECT k, tk, label, fam, max(share) / max(len(t)) AS best, bool_or(regexp_matches(concat(' ', array_to_string(w[i:i + size - 1], ' '), ' '), mark)) AS marked
+  FROM x WHERE share >= need GROUP BY ALL),
+g AS (SELECT k, max(best) AS best, coalesce(list(DISTINCT label) FILTER (WHERE marked), []) AS named, coalesce(list(DISTINCT fam) FILTER (WHERE marked), []) AS told, list(DISTINCT fam) AS met FROM m GROUP BY k),
+e AS (SELECT w.doc_id, len(w.w) AS n_words, b.*, g.named, g.best, [f || '-like' FOR f IN coalesce(g.met, []) IF NOT list_contains(g.told, f) AND NOT list_contains(coalesce(b.f, []), f)] AS alike
+  FROM w LEFT JOIN b ON b.k = w.k LEFT JOIN g ON g.k = w.k)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, first_word, last_word,
+  coalesce(array_to_string(list_sort(l), ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(l, []), coalesce(named, []), alike))), ','), '') AS labels,
+  CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(best, 0.0) END AS score
+FROM e
 """
 
 
