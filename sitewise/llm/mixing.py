@@ -110,7 +110,8 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = mix(documents(spark, sf_dir))
+    """In training order, over range partitions; documents that are not read come last."""
+    out = mix(documents(spark, sf_dir)).orderBy(F.col("position").asc_nulls_last(), "row_key")
     return out.select("doc_id", "size", "source_size", "target", "taken", F.round("position", 6).alias("position"))
 
 
