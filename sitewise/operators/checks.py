@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sitewise.session import materialize
+
 TRUE_WORDS = ("true", "t", "1", "yes", "y", "ja", "j")
 FALSE_WORDS = ("false", "f", "0", "no", "n", "nej")
 
@@ -70,10 +72,13 @@ def retired_code_check(df: DataFrame, code_col: str, codes: Sequence[str], value
 def hierarchy_gap(df: DataFrame, value: Column, levels: Mapping[str, Sequence[str]]) -> DataFrame:
     """Total vs the sum over each grouping level: one row per level with the
     number of groups and the gap to the grand total (exact for decimals)."""
-    total = df.agg(F.sum(value).alias("t")).scalar()
+    # one read of the rows: the sums of the finest groups, from which every level follows
+    finest = list(dict.fromkeys(c for cols in levels.values() for c in cols))
+    sums = materialize(df.groupBy(*finest).agg(F.sum(value).alias("s")))
+    total = sums.agg(F.sum("s")).scalar()
     out = None
     for name, cols in levels.items():
-        per = df.groupBy(*cols).agg(F.sum(value).alias("s"))
+        per = sums.groupBy(*cols).agg(F.sum("s").alias("s"))
         row = per.agg(F.lit(name).alias("level"), F.count(F.lit(1)).alias("n_groups"),
                       F.sum("s").alias("sum_groups"))
         row = row.withColumn("total", total).withColumn("gap", F.col("sum_groups") - F.col("total"))
@@ -81,6 +86,39 @@ def hierarchy_gap(df: DataFrame, value: Column, levels: Mapping[str, Sequence[st
     return out
 
 
+def with_counters(df: DataFrame, counters: Mapping[str, Sequence[str]]) -> DataFrame:
+    """``df`` with, for each named counter, how many rows share a row's values
+    of the columns (NULL equals NULL).  The counts are aggregated first and
+    joined back, so a value that most rows share is not one task."""
+    out = df
+    for name, cols in counters.items():
+        same = [F.col(c) for c in cols]
+        per = df.groupBy(*[c.alias(f"_k{i}") for i, c in enumerate(same)]).agg(F.count(F.lit(1)).alias(name))
+        on = F.lit(True)
+        for i, c in enumerate(cols):
+            on = on & out[c].eqNullSafe(per[f"_k{i}"])
+        out = out.join(per, on).drop(*[f"_k{i}" for i in range(len(cols))])
+    return out
+
+
+def label_mismatch(a: DataFrame, b: DataFrame, code: str, label: str) -> DataFrame:
+    """Codes of two seeds whose labels differ, or that one seed lacks: code,
+    label_a, label_b, kind (only_a, only_b, label, spelling).  ``spelling``:
+    alike but for letters' case, blanks around and runs of blanks."""
+    x = a.select(F.col(code).alias("code"), F.col(label).alias("label_a"), F.lit(True).alias("_a"))
+    y = b.select(F.col(code).alias("code"), F.col(label).alias("label_b"), F.lit(True).alias("_b"))
+    both = x.join(y, "code", "full")
+    plain = lambda c: F.lower(F.trim(F.regexp_replace(c, r"\s+", " ")))
+    kind = (F.when(F.col("_b").isNull(), "only_a").when(F.col("_a").isNull(), "only_b").when(F.col("label_a").eqNullSafe(F.col("label_b")), None)
+            .when(plain(F.col("label_a")).eqNullSafe(plain(F.col("label_b"))), "spelling").otherwise("label"))
+    return both.withColumn("kind", kind).where("kind IS NOT NULL").select("code", "label_a", "label_b", "kind")
+
+
+def either_timestamp(c: Column, *formats: str) -> Column:
+    """The first of the formats that reads the text, as wall clock; NULL if none does."""
+    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)).cast("timestamp_ntz") for f in formats])
+
+
 def set_difference(a: DataFrame, b: DataFrame, a_key: str, b_key: str, a_name: str, b_name: str) -> DataFrame:
     """Two-sided difference of key sets (null-safe ``NOT IN`` both ways as
     anti joins): side, n_keys."""

@@ -141,21 +141,24 @@ def duplicate_audit(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> Da
     return out
 
 
-def column_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Per column: rows, NULLs, distinct non-null values — one aggregate,
-    unpivoted by a generator."""
-    cols = list(cols or df.columns)
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for c in cols:
-        aggs.append(F.count_if(F.col(c).isNull()).alias(f"_null_{c}"))
-        aggs.append(F.count_distinct(F.col(c)).alias(f"_dist_{c}"))
-    one = df.agg(*aggs)
-    stack = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"),
-                                         F.col(f"_null_{c}").cast("long").alias("n_null"),
-                                         F.col(f"_dist_{c}").cast("long").alias("n_distinct"))
-                                for c in cols]))
-    return one.select(F.col("_rows").cast("long").alias("n_rows"), stack.alias("s")).select(
-        "s.column_name", "n_rows", "s.n_null", "s.n_distinct")
+def column_profile(df: DataFrame, cols: Sequence[str] | None = None, max_set: int = 0) -> DataFrame:
+    """Per column: rows, NULLs, distinct non-null values, and values that are
+    no integer (texts and fractions; of a number or text column).  With
+    ``max_set`` also the values themselves, sorted, where they are as few.
+
+    Each column is read and aggregated by its values on its own, so a scan
+    reads that column alone and no row is multiplied."""
+    out = None
+    for c in cols or df.columns:
+        per = df.select(F.col(c).alias("v")).groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+        text = F.col("v").cast("string")
+        odd = F.col("v").isNotNull() & ~F.coalesce(text.try_cast("double") == F.floor(text.try_cast("double")), F.lit(False))
+        few = F.when(F.count("v") <= max_set, F.concat_ws("|", F.array_sort(F.collect_set(F.when(F.lit(max_set > 0), text))))) if max_set else F.lit(None).cast("string")
+        one = per.agg(F.lit(c).alias("column_name"), F.sum("n").alias("n_rows"), F.sum(F.when(F.col("v").isNull(), F.col("n")).otherwise(0)).alias("n_null"),
+                      F.count("v").alias("n_distinct"), F.sum(F.when(odd, F.col("n")).otherwise(0)).alias("n_not_integer"), few.alias("value_set"))
+        one = one.select("column_name", *[F.coalesce(F.col(k), F.lit(0)).cast("long").alias(k) for k in ("n_rows", "n_null", "n_distinct", "n_not_integer")], "value_set")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 class DuplicateKeys(Exception):

@@ -14,3 +14,4 @@ from sitewise.plans import q_checks  # noqa: F401
 from sitewise.plans import q_profile  # noqa: F401
 from sitewise.plans import q_ingest  # noqa: F401
 from sitewise.plans import q_layers  # noqa: F401
+from sitewise.plans import q_warehouse  # noqa: F401

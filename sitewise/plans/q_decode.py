@@ -9,7 +9,7 @@ from sitewise.sources.decode import (cube_complete, decode_cells, decode_cube, d
                                      variant_fields)
 from sitewise.sources.files import rescued_data
 from sitewise.plans.registry import query
-from sitewise.session import load
+from sitewise.session import load, materialize
 
 MATRIX_SIDE = 8  # embeddings are 64 floats, read as an 8 × 8 row-major matrix
 
@@ -110,24 +110,29 @@ def attribute_inventory_q(spark, sf):
 
 @query("decode_cube_json", """
 SELECT y AS year, s AS status, p AS priority, count(o_orderkey) AS n_orders
-FROM (SELECT DISTINCT CAST(year(o_orderdate) AS BIGINT) AS y FROM orders) CROSS JOIN unnest(['F', 'O', 'P']) a(s)
-  CROSS JOIN unnest(['1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW']) b(p)
-  LEFT JOIN orders ON year(o_orderdate) = y AND o_orderstatus = s AND o_orderpriority = p
+FROM (SELECT DISTINCT CAST(year(o_orderdate) AS BIGINT) AS y FROM orders) CROSS JOIN (SELECT DISTINCT coalesce(o_orderstatus, '?') AS s FROM orders)
+  CROSS JOIN (SELECT DISTINCT coalesce(o_orderpriority, '?') AS p FROM orders)
+  LEFT JOIN orders ON year(o_orderdate) = y AND coalesce(o_orderstatus, '?') = s AND coalesce(o_orderpriority, '?') = p
 GROUP BY 1, 2, 3
 """)
 def decode_cube_json_q(spark, sf):
     """Orders per status and priority landed as one json-stat2 document a
     year (status categories as an object, priorities as a list) and decoded
-    back, zero cells included."""
-    status, priority = ["F", "O", "P"], ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
-    at = (F.array_position(F.array(*map(F.lit, status)), F.col("o_orderstatus")) - 1) * len(priority) + F.array_position(
-        F.array(*map(F.lit, priority)), F.col("o_orderpriority"))
-    cells = load(spark, sf, "orders").groupBy(F.year("o_orderdate").alias("year"), at.alias("at")).agg(F.count(F.lit(1)).alias("n"))
-    per = cells.groupBy("year").agg(F.map_from_entries(F.collect_list(F.struct("at", "n"))).alias("m"))
-    values = F.transform(F.sequence(F.lit(1).cast("long"), F.lit(len(status) * len(priority)).cast("long")), lambda i: F.coalesce(F.col("m")[i], F.lit(0)))
+    back, zero cells included.  The categories are those of the data."""
+    o = load(spark, sf, "orders").groupBy(
+        F.year("o_orderdate").alias("year"), F.coalesce("o_orderstatus", F.lit("?")).alias("status"), F.coalesce("o_orderpriority", F.lit("?")).alias("priority")).agg(F.count(F.lit(1)).alias("n"))
+    o = materialize(o)
+    # a dimension of a cube is a list in its document
+    status, priority = (o.agg(F.array_sort(F.collect_set(c))).scalar() for c in ("status", "priority"))
+    at = (F.array_position(status, F.col("status")) - 1) * F.size(priority) + F.array_position(priority, F.col("priority"))
+    per = o.select("year", at.alias("at"), "n").groupBy("year").agg(F.map_from_entries(F.collect_list(F.struct("at", "n"))).alias("m"))
+    per = per.select("*", status.alias("status"), priority.alias("priority"))
+    status, priority = F.col("status"), F.col("priority")
+    values = F.transform(F.sequence(F.lit(1).cast("long"), (F.size(status) * F.size(priority)).cast("long")), lambda i: F.coalesce(F.col("m")[i], F.lit(0)))
+    index = F.map_from_entries(F.transform(status, lambda s, i: F.struct(s.alias("k"), i.alias("v"))))
     dims = F.struct(
-        F.struct(F.lit("status").alias("label"), F.struct(F.struct(*[F.lit(i).alias(c) for i, c in enumerate(status)]).alias("index")).alias("category")).alias("status"),
-        F.struct(F.lit("priority").alias("label"), F.struct(F.array(*map(F.lit, priority)).alias("index")).alias("category")).alias("priority"))
+        F.struct(F.lit("status").alias("label"), F.struct(index.alias("index")).alias("category")).alias("status"),
+        F.struct(F.lit("priority").alias("label"), F.struct(priority.alias("index")).alias("category")).alias("priority"))
     landed = per.select("year", F.to_json(F.struct(F.array(F.lit("status"), F.lit("priority")).alias("id"), dims.alias("dimension"), values.alias("value"))).alias("value"))
     c = decode_cube(landed, keep=["year"])
     return c.select(F.col("year").cast("long").alias("year"), F.col("cell")["status"].alias("status"), F.col("cell")["priority"].alias("priority"),

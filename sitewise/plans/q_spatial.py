@@ -66,10 +66,9 @@ def sections(spark, sf):
     o = load(spark, sf, "orders").select(F.col("o_orderkey").alias("line_id"),
                                          (F.col("o_orderstatus") == "F").alias("measured"),
                                          F.year("o_orderdate").cast("long").alias("year"))
-    return materialize(mid.join(o, "line_id")
-                       .select("line_id", F.round("length", 3).cast("decimal(18,3)").alias("length_m"),
-                               F.round("mx", 3).alias("x"), F.round("my", 3).alias("y"),
-                               "adt", "adt_heavy", "measured", "year"))
+    return mid.join(o, "line_id").select(
+        "line_id", F.round("length", 3).cast("decimal(18,3)").alias("length_m"), F.round("mx", 3).alias("x"), F.round("my", 3).alias("y"),
+        "adt", "adt_heavy", "measured", "year")
 
 
 _GEOM_SQL = """
@@ -168,7 +167,7 @@ def line_midpoint_q(spark, sf):
 
 
 def _traffic(spark, sf):
-    sec = sections(spark, sf)
+    sec = materialize(sections(spark, sf))  # read by the points, the edges' fallback and the join back
     a = assign_points(sec.select(F.col("line_id").alias("pid"), "x", "y"), tile_edges(spark, sf),
                       CELL, BAND, MAX_DIST)
     return sec, materialize(sec.join(a.select(F.col("pid").alias("line_id"), "area"), "line_id"))
@@ -241,3 +240,25 @@ def road_km_by_band_q(spark, sf):
     s = sections(spark, sf)
     return s.groupBy(F.floor(F.col("y") / 500).cast("long").alias("band")).agg(
         F.count(F.lit(1)).alias("n_sections"), (F.sum("length_m") / 1000).cast("double").alias("road_km"))
+
+
+@query("road_traffic_gaps", "WITH " + _GEOM_SQL + "," + _SECTIONS_SQL + "," + _assign_sql(
+    "p AS (SELECT line_id AS pid, x, y FROM sec)") + """,
+-- what a source leaves out: no flow for every seventh section, no year for every fifth, flows of a third kind unmeasured
+j AS (SELECT a.area, CAST(length_m AS DOUBLE) / 1000 AS km, CASE WHEN line_id % 7 <> 0 THEN adt END AS flow, CASE WHEN line_id % 5 <> 0 THEN year END AS y, measured FROM sec JOIN assigned a ON a.pid = line_id),
+kept AS (SELECT area, list({'km': km, 'flow': flow, 'y': y, 'm': measured}) AS rows FROM j GROUP BY area)
+SELECT t.area, CAST(coalesce(len(rows), 0) AS BIGINT) AS n_sections, round(coalesce(list_sum([r.km FOR r IN rows]), 0), 3) AS road_km,
+  round(coalesce(list_sum([r.km * r.flow FOR r IN rows IF r.flow IS NOT NULL]), 0), 3) AS vkm, CAST(coalesce(len([1 FOR r IN rows IF r.flow IS NULL]), 0) AS BIGINT) AS n_no_adt,
+  round(coalesce(list_sum([r.km * r.flow FOR r IN rows IF r.m AND r.flow IS NOT NULL]) / nullif(list_sum([r.km * r.flow FOR r IN rows IF r.flow IS NOT NULL]), 0), 0), 9) AS measured_share,
+  -- the mean of the known years, each by the traffic whose year it is
+  round(coalesce(list_sum([r.km * r.flow * (r.y - 1990) FOR r IN rows IF r.y IS NOT NULL AND r.flow IS NOT NULL]) / nullif(list_sum([r.km * r.flow FOR r IN rows IF r.y IS NOT NULL AND r.flow IS NOT NULL]), 0) + 1990, 0), 6) AS weighted_year
+FROM t LEFT JOIN kept ON kept.area = t.area
+""")
+def road_traffic_gaps_q(spark, sf):
+    """Traffic per nation tile where flows and years are missing: sums skip
+    them, the weighted year is of the sections whose year is known."""
+    _, j = _traffic(spark, sf)
+    gaps = j.select("area", F.col("length_m").cast("double").alias("length_m"), F.when(F.col("line_id") % 7 != 0, F.col("adt")).alias("adt"), "adt_heavy", "measured",
+                    F.when(F.col("line_id") % 5 != 0, F.col("year")).alias("year"))
+    t = area_traffic(gaps, tile_edges(spark, sf).select("area").distinct())
+    return t.select("area", "n_sections", F.round("road_km", 3).alias("road_km"), F.round("vkm", 3).alias("vkm"), "n_no_adt", F.round("measured_share", 9).alias("measured_share"), F.round("weighted_year", 6).alias("weighted_year"))

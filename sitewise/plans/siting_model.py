@@ -62,27 +62,40 @@ class Metric:
     prior: str | None = None
     k: str | None = None
     as_of: str | None = None
+    detail: Column | None = None
 
 
 def _share(a: str, b: str) -> Column:
     return F.try_divide(F.col(a), F.col(b))
 
 
+def _says(pattern: str, *cols: str | Column) -> Column:
+    """A text from the columns; NULL where one of them is, not the word null."""
+    values = [F.col(c) if isinstance(c, str) else c for c in cols]
+    known = F.lit(True)
+    for v in values:
+        known = known & v.isNotNull()
+    return F.when(known, F.format_string(pattern, *values))
+
+
 def metric_specs() -> tuple[Metric, ...]:
     served, idle = F.lit(float("inf")), F.lit(0.0)  # no traffic: fully served; no road: no intensity
     return (
-        Metric("ev_demand", "fleet", "higher", F.col("chargeable"), as_of="fleet_year"),
-        Metric("growth_stock", "fleet", "higher", _share("electric", "cars") - _share("electric_then", "cars_then"), "electric", "cars", as_of="fleet_year"),
-        Metric("growth", "sales", "higher", F.col("value"), "x", "n", "p_c", "k", "last_month"),
-        Metric("growth_raw", "sales", "higher", F.col("raw"), "x", "n", as_of="last_month"),
-        Metric("price", "power", "lower", F.col("zone_price"), as_of="last_day"),
-        Metric("price_zone_alt", "power", "lower", F.col("second_zone_price"), as_of="last_day"),
-        Metric("supply", "chargers", "lower", _share("kw", "chargeable"), "kw", "chargeable", as_of="fleet_year"),
-        Metric("supply_county", "chargers", "lower", _share("county_kw", "county_chargeable"), "county_kw", "county_chargeable", as_of="fleet_year"),
-        Metric("supply_traffic", "roads", "lower", F.when(F.col("vkm") > 0, F.col("kw") / (F.col("vkm") / 1000)).otherwise(served), "kw", "vkm"),
-        Metric("through_traffic", "roads", "higher", _share("vkm", "people"), "vkm", "people", as_of="census_year"),
-        Metric("traffic", "roads", "higher", F.col("vkm")),
-        Metric("traffic_intensity", "roads", "higher", F.when(F.col("road_km") > 0, F.col("vkm") / F.col("road_km")).otherwise(idle), "vkm", "road_km"),
+        Metric("ev_demand", "fleet", "higher", F.col("chargeable"), as_of="fleet_year",
+               detail=_says("%d electric cars and %d plug-in hybrids weighted to %.1f", F.col("electric").cast("long"), F.col("hybrid").cast("long"), "chargeable")),
+        Metric("growth_stock", "fleet", "higher", _share("electric", "cars") - _share("electric_then", "cars_then"), "electric", "cars", as_of="fleet_year",
+               detail=_says("%.1f %% of all cars, two years before %.1f %%", 100 * _share("electric", "cars"), 100 * _share("electric_then", "cars_then"))),
+        Metric("growth", "sales", "higher", F.col("value"), "x", "n", "p_c", "k", "last_month",
+               detail=_says("%d of %d new cars, county %.1f %%, prior weight %s", F.col("x").cast("long"), F.col("n").cast("long"), 100 * F.col("p_c"), F.coalesce(F.format_number("k", 0), F.lit("all")))),
+        Metric("growth_raw", "sales", "higher", F.col("raw"), "x", "n", as_of="last_month", detail=_says("%d of %d new cars", F.col("x").cast("long"), F.col("n").cast("long"))),
+        Metric("price", "power", "lower", F.col("zone_price"), as_of="last_day", detail=_says("zone mean %.3f", "zone_price")),
+        Metric("price_zone_alt", "power", "lower", F.col("second_zone_price"), as_of="last_day", detail=_says("second zone mean %.3f, own %.3f", "second_zone_price", "zone_price")),
+        Metric("supply", "chargers", "lower", _share("kw", "chargeable"), "kw", "chargeable", as_of="fleet_year", detail=_says("%.0f kW for %.1f cars", "kw", "chargeable")),
+        Metric("supply_county", "chargers", "lower", _share("county_kw", "county_chargeable"), "county_kw", "county_chargeable", as_of="fleet_year", detail=_says("county: %.0f kW for %.1f cars", "county_kw", "county_chargeable")),
+        Metric("supply_traffic", "roads", "lower", F.when(F.col("vkm") > 0, F.col("kw") / (F.col("vkm") / 1000)).otherwise(served), "kw", "vkm", detail=_says("%.0f kW for %.0f vehicle km a day", "kw", "vkm")),
+        Metric("through_traffic", "roads", "higher", _share("vkm", "people"), "vkm", "people", as_of="census_year", detail=_says("%.0f vehicle km a day by %.0f people", "vkm", "people")),
+        Metric("traffic", "roads", "higher", F.col("vkm"), detail=_says("%.0f vehicle km a day", "vkm")),
+        Metric("traffic_intensity", "roads", "higher", F.when(F.col("road_km") > 0, F.col("vkm") / F.col("road_km")).otherwise(idle), "vkm", "road_km", detail=_says("%.0f vehicle km a day on %.1f km", "vkm", "road_km")),
     )
 
 
@@ -142,7 +155,7 @@ def _roads(chargers: DataFrame, traffic: DataFrame, population: DataFrame) -> Da
 
 def metrics(dim_kommun, fleet, registrations, price_days, stations, traffic, population, p) -> DataFrame:
     """Long metric table: kommun_kod, metric, better, value, the documenting
-    columns numerator, denominator, prior, k and as_of, and pct_rank.  Each
+    columns numerator, denominator, prior, k, as_of and detail (in words), and pct_rank.  Each
     source is read once; its metrics are rows of a generator."""
     cars = _fleet(fleet, p["phev_weight"])
     chargers = _chargers(dim_kommun, cars, stations)
@@ -156,6 +169,7 @@ def metrics(dim_kommun, fleet, registrations, price_days, stations, traffic, pop
     long = None
     for name, df in sources.items():
         rows = [F.struct(F.lit(m.name).alias("metric"), F.lit(m.better).alias("better"), m.value.cast("double").alias("value"),
+                         (F.lit(None).cast("string") if m.detail is None else m.detail).alias("detail"),
                          *[(F.col(c) if (c := getattr(m, f)) else F.lit(None)).cast("string" if f == "as_of" else "double").alias(f)
                            for f in ("numerator", "denominator", "prior", "k", "as_of")])
                 for m in metric_specs() if m.source == name]

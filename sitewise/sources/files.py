@@ -108,6 +108,25 @@ def read_seed_csv(spark: SparkSession, path: str) -> DataFrame:
     return df.toDF(*names)
 
 
+def folder_of(path: Column) -> Column:
+    return F.regexp_replace(path, "/[^/]*$", "")
+
+
+def complete_folders(listing: DataFrame, marker: str) -> DataFrame:
+    """(folder, completed_at) of the folders of a ``list_files`` listing that
+    hold the marker, a file that a delivery writes last (not an empty one,
+    which listings leave out)."""
+    done = listing.where(F.element_at(F.split("path", "/"), -1) == marker)
+    return done.groupBy(folder_of(listed_path(F.col("path"))).alias("folder")).agg(F.min("modificationTime").alias("completed_at"))
+
+
+def rows_of_complete_folders(df: DataFrame, listing: DataFrame, marker: str, file_col: str = "_file") -> DataFrame:
+    """Rows of files in complete folders; a folder whose delivery is still
+    under way gives none.  A semi join on the folder, no listing on the driver."""
+    folders = complete_folders(listing, marker).select("folder")
+    return df.join(folders, folder_of(plain_path(F.col(file_col))) == F.col("folder"), "left_semi")
+
+
 def missing_file_plan(expected: DataFrame, present: DataFrame, keys: Sequence[str],
                       day_col: str, today: Column) -> DataFrame:
     """Every expected (day, key…) without a landed file: a gap in the past
