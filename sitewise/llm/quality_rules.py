@@ -145,8 +145,9 @@ def rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFram
     kept and the signals.
 
     Null and blank texts have no words and fail the base rules; null is a
-    stratum of its own; a document whose labels disagree counts as bad; rows
-    that repeat an id are judged each by its own text.  There are as many
+    stratum of its own; a document whose labels disagree counts as bad, and so
+    does a text whose copies' labels do; rows that repeat an id are judged each
+    by its own text.  There are as many
     strata on the driver as languages.
     """
     rows = in_small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("rk"), F.col(stratum).cast("string").alias("stratum"))
@@ -155,7 +156,9 @@ def rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFram
     stats = stats.withColumn("base_failed", failed).withColumn("stratum", F.concat(F.lit("="), "stratum")).fillna({"stratum": "null"})
     lab = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     held = stats.where(~F.col("base_failed")).join(lab.withColumnRenamed("doc_id", "l_id"), F.col("doc_id") == F.col("l_id"))
-    held = materialize(held.withColumn("fold", crc_remainder("doc_id", 2)))
+    # the bound counts independent trials: one a distinct text, its copies in one fold with it
+    held = held.groupBy("stratum", "rk").agg(F.min("quality").alias("quality"), *[F.first(s).alias(s) for s in SIGNALS])
+    held = materialize(held.withColumn("fold", crc_remainder("rk", 2)))
     levels = sorted({q for q, _ in LADDER})
     good = held.where("fold = 0 and quality = 1").agg(*[F.percentile_approx(s, levels, 100_000).alias(s) for s in SIGNALS]).first()
     if good[0] is None:  # no labelled good documents to lay the ladder through
