@@ -46,8 +46,10 @@ THRESHOLD = 85
 NEED = 3
 GROUP_SIZE = 64
 QUERIES = 256  # to a cell that is opened once
-MAX_FREQUENT = 1 << 16  # tokens whose place in the order is by count; any order is exact, this one is short
-LOCAL_FREQUENT = 4  # documents of a chunk that make a token a candidate for it
+MAX_FREQUENT = 1 << 17  # tokens whose place in the order is by count; any order is exact, this one is short
+LOCAL_FREQUENT = 4  # documents among those counted together that make a token a candidate for it
+COUNTED_TOKENS = 1 << 22
+LISTED = 1 << 14  # classes of a posting list that is held to be named by them
 
 _SETS = "doc_id long, rk long, n int, d1 long, d2 long"
 _TOKENS = "n int, d1 long, d2 long, tokens array<long>"
@@ -63,15 +65,25 @@ def shingle_sets(data: np.ndarray, offs: np.ndarray, shingle: int = SHINGLE) ->
 
 
 def _frequent(shingle: int):
+    """Tokens met LOCAL_FREQUENT times among some COUNTED_TOKENS of a task, with their counts."""
+    def often(held: list[np.ndarray]) -> pa.RecordBatch:
+        tok = np.sort(np.concatenate([*held, np.zeros(0, np.uint64)]))
+        far = tok[LOCAL_FREQUENT - 1:]
+        hot = np.unique(far[far == tok[:len(far)]])  # equal to the one LOCAL_FREQUENT - 1 places before
+        n = np.searchsorted(tok, hot, "right") - np.searchsorted(tok, hot, "left")
+        return pa.RecordBatch.from_arrays([pa.array(hot.view(np.int64)), pa.array(n)], names=["token", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        size = 0
         for batch in batches:
             for _, _, data, offs in text_chunks(batch.column(0)):
-                tok = np.sort(np.concatenate([*shingle_sets(data, offs, shingle), np.zeros(0, np.uint64)]))
-                far = tok[LOCAL_FREQUENT - 1:]
-                hot = np.unique(far[far == tok[:len(far)]])  # equal to the one LOCAL_FREQUENT - 1 places before
-                if len(hot):
-                    n = np.searchsorted(tok, hot, "right") - np.searchsorted(tok, hot, "left")
-                    yield pa.RecordBatch.from_arrays([pa.array(hot.view(np.int64)), pa.array(n)], names=["token", "n"])
+                held.append(np.concatenate([*shingle_sets(data, offs, shingle), np.zeros(0, np.uint64)]))
+                size += len(held[-1])
+                if size >= COUNTED_TOKENS:
+                    yield often(held)
+                    held, size = [], 0
+        yield often(held)
     return run
 
 
@@ -138,10 +150,25 @@ def _prefixes(frequent: np.ndarray, place: np.ndarray, shingle: int, percent: in
 def _postings(percent: int):
     """Rows sorted by (token, n, cid) with the token's place in the class's
     order, a stream of posting lists.  Lists of one class are dropped.  Kind
-    0: (pivot, class, their places); kind 1: (class, n, token, place)."""
+    0: (pivot, class, their places); kind 1: (class, n, key, place).
+
+    Tokens of one list (those of a passage that some classes share) get one
+    key, a hash of its classes, so that they are met once and not each by
+    itself.  A list longer than LISTED is passed on as it comes, under a key
+    of its own; which tokens share a key changes only how they are counted.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = base = lone = None
+        token = base = own = None
+        held: list[tuple[int, int, int]] = []  # (class, n, place) of the list at hand
         out: list[tuple] = []
+
+        def close() -> None:
+            """The list at hand has ended, or is too long to be held."""
+            if own is None and len(held) > 1:
+                key = int(mix(np.add.reduce(mix(np.array([h[0] for h in held], np.int64).view(np.uint64) + np.uint64(1)))[None]).view(np.int64)[0])
+                out.extend((1, c, n, key, at) for c, n, at in held)
+            held.clear()
+
         for batch in batches:
             cols = [batch.column(k).to_numpy() for k in range(4)]
             t = cols[0]
@@ -151,12 +178,17 @@ def _postings(percent: int):
                 near[1:-1] = (t[1:-1] == t[:-2]) | (t[1:-1] == t[2:])
             for tok, n, c, at in zip(*(x[near].tolist() for x in cols), strict=True):
                 if tok != token:
-                    token, base, lone = tok, (n, c, at), (1, c, n, tok, at)
+                    close()
+                    token, base, own = tok, (n, c, at), None
+                    held.append((c, n, at))
                     continue
-                if lone:
-                    out.append(lone)
-                    lone = None
-                out.append((1, c, n, tok, at))
+                if own is None:
+                    held.append((c, n, at))
+                    if len(held) > LISTED:
+                        out.extend((1, hc, hn, tok, hat) for hc, hn, hat in held)
+                        own = tok
+                else:
+                    out.append((1, c, n, own, at))
                 if n * percent > 100 * base[0]:
                     base = (n, c, at)
                 else:
@@ -164,6 +196,7 @@ def _postings(percent: int):
             if len(out) > 100_000:
                 yield _rows(out)
                 out = []
+        close()
         if out:
             yield _rows(out)
     return run
@@ -325,17 +358,17 @@ def queries_of(shared: DataFrame, member: DataFrame, percent: int) -> DataFrame:
     components that they may link with, with the number of shared tokens."""
     sizes = member.groupBy("gid", "component").agg(F.count("*").alias("size"))
     sized = member.join(sizes, ["gid", "component"])
-    known = shared.join(sized, F.col("cid") == F.col("m")).select("token", "cid", "n", "place", "gid", "component", "size")
-    useful = known.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 < c2").select(F.col("token").alias("tk"))
-    known = materialize(known.join(useful, F.col("token") == F.col("tk"), "left_semi"))
-    matrix = known.groupBy("token", "gid", "component", "size").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("place").alias("o_place"))
-    ask = known.select("token", F.col("cid").alias("q"), "n", "place", F.col("gid").alias("q_gid"), F.col("component").alias("own"), F.col("size").alias("q_size"))
+    known = shared.join(sized, F.col("cid") == F.col("m")).select("key", "cid", "n", "w", "place", "gid", "component", "size")
+    useful = known.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 < c2").select(F.col("key").alias("uk"))
+    known = materialize(known.join(useful, F.col("key") == F.col("uk"), "left_semi"))
+    matrix = known.groupBy("key", "gid", "component", "size").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("w").alias("o_w"), F.max("place").alias("o_place"))
+    ask = known.select("key", F.col("cid").alias("q"), "n", "w", "place", F.col("gid").alias("q_gid"), F.col("component").alias("own"), F.col("size").alias("q_size"))
     smaller = F.struct("q_size", "q_gid", "own") < F.struct(F.col("size").alias("q_size"), F.col("gid").alias("q_gid"), F.col("component").alias("own"))
     fits = (F.col("n") * percent <= 100 * F.col("most")) & (F.col("least") * percent <= 100 * F.col("n"))
     # a group was opened against itself: its own other cells hold no link
-    met = ask.join(matrix, "token").where((F.col("own") != F.col("component")) & (F.col("q_gid") != F.col("gid")) & smaller & fits)
+    met = ask.join(matrix, "key").where((F.col("own") != F.col("component")) & (F.col("q_gid") != F.col("gid")) & smaller & fits)
     met = met.groupBy("q", "own", "gid", "component").agg(
-        F.count("*").alias("c"), F.first("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most"), F.first("size").alias("size"), F.max("place").alias("px"), F.max("o_place").alias("py"))
+        F.sum(F.least("w", "o_w")).alias("c"), F.first("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most"), F.first("size").alias("size"), F.max("place").alias("px"), F.max("o_place").alias("py"))
     need = F.least(F.lit(NEED), F.ceil(F.least("n", "least") * percent / 100))
     # of a single class the size and the places are known as well
     alone = may_link(F.col("c"), F.col("n"), F.col("most"), F.col("px"), F.col("py"), percent)
@@ -370,7 +403,8 @@ def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = THRESHOLD) -> D
     scan = materialize(lists.mapInArrow(_postings(percent), "kind long, x long, y long, t long, u long"))
 
     # 1. groups
-    shared = scan.where("kind = 1").select(F.col("x").alias("cid"), F.col("y").alias("n"), F.col("t").alias("token"), F.col("u").alias("place"))
+    shared = scan.where("kind = 1").groupBy(F.col("x").alias("cid"), F.col("t").alias("key")).agg(F.first("y").alias("n"), F.count("*").alias("w"), F.max("u").alias("place"))
+    shared = materialize(shared)
     near = scan.where("kind = 0").groupBy("x", "y").agg(F.count("*").alias("c"), F.max("t").alias("px"), F.max("u").alias("py"))
     # only lists that offered this very pivot are counted, so a third of the places is taken as alike;
     # groups of any make-up are exact, those of similar classes are few
