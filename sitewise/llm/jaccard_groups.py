@@ -2,27 +2,27 @@
 
 Documents are sets of distinct SHINGLE-word shingles; two link at a Jaccard
 similarity of THRESHOLD percent or more.  Identical sets are one class from
-the start.  Tokens have one global order, the frequent ones last, and a class
-is known by its first tokens: two similar sets share NEED of them at least.
-
-1. Classes are partitioned into groups of at most GROUP_SIZE similar ones:
-   each token's posting list, in order of set size, offers its classes the
-   first of fitting size as a pivot, a class joins the pivot it shares most
-   tokens with, and the classes of a pivot are dealt out to groups.
+the start.  A class's tokens are dealt by hash into parts, a few more than
+tokens that two linked sets of its size can differ in, so that at least NEED
+parts of two linked classes are equal, token for token.
+
+1. Classes are partitioned into groups of some GROUP_SIZE similar ones: the
+   classes of each part, in order of set size, are offered the first of
+   fitting size as a pivot, a class joins the pivot it shares most parts with,
+   pivots of few classes gather by their most frequent part, and what has
+   gathered is dealt out to groups.
 2. Each group is opened against itself and its pivot's group, which connects
    what is alike.
-3. A group's classes that are connected by now form a cell, and the
-   token-group matrix holds each cell's token union.  A class queries the
-   cells of other components whose union shares as many tokens with it as a
-   link needs and whose sizes fit; for a cell of one class the places of the
-   last shared token also say how far the sets differ up to there.  Of two
-   cells the smaller one's classes ask.
-4. The queries run in two rounds: first one for each pair of components, the
-   one that shares most tokens, after which components are contracted; then
-   all those left between different components.  A link inside a component
+3. The token-group matrix holds the union of each group's parts.  A class
+   queries the groups, not of its own component alone, whose union shares as
+   many parts with it as a link needs, given its size and theirs.  Of two
+   groups the smaller one's classes ask.
+4. The queries run in two rounds: first one for each pair of components (or
+   component and mixed group), the one that shares most parts, after which
+   components are contracted; then all those left.  A link inside a component
    would change nothing, so nothing is lost.
 
-To open a cell is to bring its texts together once for all its queries (for
+To open a group is to bring its texts together once for all its queries (for
 many queries, once for every QUERIES of them); there a query is compared with
 the members only if its overlap with their token union reaches what any link
 needs.
@@ -30,6 +30,7 @@ needs.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -43,16 +44,13 @@ from .textnp import LOWER, mix, shingles, text_chunks, word_hashes, words
 
 SHINGLE = 4
 THRESHOLD = 85
-NEED = 3
+NEED = 2  # equal parts that a link has at least
 GROUP_SIZE = 64
-QUERIES = 256  # to a cell that is opened once
-MAX_FREQUENT = 1 << 17  # tokens whose place in the order is by count; any order is exact, this one is short
-LOCAL_FREQUENT = 4  # documents among those counted together that make a token a candidate for it
-COUNTED_TOKENS = 1 << 22
+QUERIES = 256  # to a group that is opened once
 LISTED = 1 << 14  # classes of a posting list that is held to be named by them
 
 _SETS = "doc_id long, rk long, n int, d1 long, d2 long"
-_TOKENS = "n int, d1 long, d2 long, tokens array<long>"
+_PARTS = "n int, d1 long, d2 long, tokens array<long>, top long"
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, shingle: int = SHINGLE) -> Iterator[np.ndarray]:
@@ -64,58 +62,67 @@ def shingle_sets(data: np.ndarray, offs: np.ndarray, shingle: int = SHINGLE) ->
         yield np.unique(tok[lo:hi])
 
 
-def _frequent(shingle: int):
-    """Tokens met LOCAL_FREQUENT times among some COUNTED_TOKENS of a task, with their counts."""
-    def often(held: list[np.ndarray]) -> pa.RecordBatch:
-        tok = np.sort(np.concatenate([*held, np.zeros(0, np.uint64)]))
-        far = tok[LOCAL_FREQUENT - 1:]
-        hot = np.unique(far[far == tok[:len(far)]])  # equal to the one LOCAL_FREQUENT - 1 places before
-        n = np.searchsorted(tok, hot, "right") - np.searchsorted(tok, hot, "left")
-        return pa.RecordBatch.from_arrays([pa.array(hot.view(np.int64)), pa.array(n)], names=["token", "n"])
+def least_overlap(n, percent: int = THRESHOLD):
+    """Shingles that a set of n shares with any set it links with."""
+    return -(-n * percent // 100)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        size = 0
-        for batch in batches:
-            for _, _, data, offs in text_chunks(batch.column(0)):
-                held.append(np.concatenate([*shingle_sets(data, offs, shingle), np.zeros(0, np.uint64)]))
-                size += len(held[-1])
-                if size >= COUNTED_TOKENS:
-                    yield often(held)
-                    held, size = [], 0
-        yield often(held)
-    return run
 
+def most_apart(n: int, m: int, percent: int) -> int:
+    """Shingles that stand in one only of two sets of n and m that link, at most."""
+    return (n + m) * (100 - percent) // (100 + percent)
 
-def frequent_tokens(texts: DataFrame, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """At most MAX_FREQUENT tokens, sorted, with their places in the order."""
-    found = texts.mapInArrow(_frequent(shingle), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    top = found.orderBy(F.desc("n"), "token").limit(MAX_FREQUENT).toPandas()
-    token = top["token"].to_numpy(np.int64).view(np.uint64)
-    by = np.lexsort((token, top["n"].to_numpy(np.int64)))
-    place = np.empty(len(token), np.int64)
-    place[by] = np.arange(len(token))
-    sort = np.argsort(token)
-    return token[sort], place[sort]
 
+def next_size(hi: int, percent: int) -> int:
+    """The largest size of the next size class."""
+    return max(hi + 1, 100 * hi // percent)
 
-def least_overlap(n, percent: int = THRESHOLD):
-    """Shingles that a set of n shares with any set it links with."""
-    return -(-n * percent // 100)
 
+def size_class(n: int, percent: int) -> tuple[int, int]:
+    """(number, largest size) of the size class of n: sets that link are of
+    one class or of neighbours."""
+    k, hi = 0, 1
+    while n > hi:
+        k, hi = k + 1, next_size(hi, percent)
+    return k, hi
 
-def prefix(tokens: np.ndarray, frequent: np.ndarray, place: np.ndarray, percent: int = THRESHOLD) -> np.ndarray:
-    """The first tokens in the global order: rare ones by hash, then the
-    frequent ones from the least to the most frequent."""
-    n = len(tokens)
-    t = int(least_overlap(n, percent))
-    keep = n - t + min(NEED, t)
-    rank = mix(tokens.copy()) >> np.uint64(1)
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
-        hot = frequent[at] == tokens
-        rank[hot] = np.uint64(1 << 63) + place[at[hot]].astype(np.uint64)
-    return tokens[np.argsort(rank)[:keep]]
+
+def dealt_parts(lo: int, hi: int, percent: int) -> tuple[int, int]:
+    """(parts, empty parts allowed for) into which sets of lo to hi shingles
+    are dealt: of two that link all but ``most_apart`` parts are equal."""
+    need = most_apart(hi, hi, percent) + NEED
+    empty = need * math.exp(-lo / need)
+    spare = math.ceil(empty + 3 * math.sqrt(empty))
+    return need + spare, spare
+
+
+def parts_of(tokens: np.ndarray, percent: int = THRESHOLD) -> tuple[np.ndarray, int]:
+    """Hashes of the parts of a set, and the largest size of its size class.
+
+    The tokens are dealt by hash into the parts of the set's own size class and
+    of the next, where larger partners are.  Sets that link differ in few
+    tokens, so NEED parts at least that are not empty are equal.  A set with
+    more empty parts than allowed for shows them too.
+    """
+    out = []
+    k, top = size_class(len(tokens), percent)
+    for k, hi in ((k, top), (k + 1, next_size(top, percent))):
+        if not most_apart(hi, hi, percent):
+            continue  # only equal sets link, and they are one class
+        parts, spare = dealt_parts(max(1, hi * percent * percent // 10_000), hi, percent)
+        salt = mix(np.array([2 * k + 1], np.uint64))[0]
+        part = (mix(tokens ^ salt) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        at = part[order]
+        head = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+        got = np.zeros(parts, np.uint64)
+        got[at[head]] = np.add.reduceat(mix(tokens[order] + salt), head)
+        held = np.zeros(parts, bool)
+        held[at[head]] = True
+        if parts - len(head) > spare:
+            held[:] = True
+        own = np.flatnonzero(held)
+        out.append(mix(got[own] ^ mix(own.astype(np.uint64) + salt)))
+    return np.concatenate([*out, np.zeros(0, np.uint64)]), top
 
 
 def _digests(sets: list[np.ndarray]) -> list[pa.Array]:
@@ -134,32 +141,32 @@ def _sets(shingle: int):
     return run
 
 
-def _prefixes(frequent: np.ndarray, place: np.ndarray, shingle: int, percent: int):
+def _parts(shingle: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, data, offs in text_chunks(batch.column(0)):
                 sets = [s for s in shingle_sets(data, offs, shingle) if len(s)]
                 if not sets:
                     continue
-                parts = [prefix(s, frequent, place, percent) for s in sets]
+                parts, tops = zip(*(parts_of(s, percent) for s in sets), strict=True)
                 tokens = pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(p) for p in parts]), pa.int32()), pa.array(np.concatenate(parts).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([*_digests(sets), tokens], names=["n", "d1", "d2", "tokens"])
+                yield pa.RecordBatch.from_arrays([*_digests(sets), tokens, pa.array(tops, pa.int64())], names=["n", "d1", "d2", "tokens", "top"])
     return run
 
 
 def _postings(percent: int):
-    """Rows sorted by (token, n, cid) with the token's place in the class's
-    order, a stream of posting lists.  Lists of one class are dropped.  Kind
-    0: (pivot, class, their places); kind 1: (class, n, key, place).
+    """Rows sorted by (part, n, cid) with the class's largest size, a stream
+    of posting lists.  Lists of one class are dropped.  Kind 0: (pivot, class,
+    their largest sizes); kind 1: (class, n, key, largest size).
 
-    Tokens of one list (those of a passage that some classes share) get one
+    Parts of one list (those of a passage that some classes share) get one
     key, a hash of its classes, so that they are met once and not each by
     itself.  A list longer than LISTED is passed on as it comes, under a key
-    of its own; which tokens share a key changes only how they are counted.
+    of its own; which parts share a key changes only how they are counted.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = base = own = None
-        held: list[tuple[int, int, int]] = []  # (class, n, place) of the list at hand
+        held: list[tuple[int, int, int]] = []  # (class, n, largest size) of the list at hand
         out: list[tuple] = []
 
         def close() -> None:
@@ -278,9 +285,9 @@ def _links(held: dict[int, list[tuple[int, bytes]]], shingle: int, percent: int)
 
 
 def _answer(shingle: int, percent: int):
-    """Rows sorted by (cell, chunk, role): a cell's members, then its queries,
-    a few at a time; a query that links gets one link to the cell, whose
-    members are connected."""
+    """Rows sorted by (group, chunk, role): a group's members, then its
+    queries, a few at a time; a query gets one link to each component of the
+    group that it links with."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, members, sets, asked = None, [], None, []
 
@@ -288,20 +295,23 @@ def _answer(shingle: int, percent: int):
             nonlocal sets, asked
             if not asked or not members:
                 return []
-            sets = _texts_of([p for _, p in members], shingle) if sets is None else sets
-            found: dict[int, int] = {}
+            sets = _texts_of([m[2] for m in members], shingle) if sets is None else sets
+            found: dict[tuple[int, int], int] = {}
             for i, j, _ in overlaps(_texts_of([p for _, p in asked], shingle), sets, percent):
-                found.setdefault(asked[i][0], members[j][0])
+                found.setdefault((asked[i][0], members[j][1]), members[j][0])
             asked = []
-            return list(found.items())
+            return [(q, m) for (q, _), m in found.items()]
 
         for batch in batches:
             out: list[tuple[int, int]] = []
-            for g, k, chunk, role, cid, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (g, k, chunk) != last:
+            for g, chunk, role, cid, component, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (g, chunk) != last:
                     out += ask()
-                    last, members, sets, asked = (g, k, chunk), [], None, []
-                (asked if role else members).append((cid, packed))
+                    last, members, sets, asked = (g, chunk), [], None, []
+                if role:
+                    asked.append((cid, packed))
+                else:
+                    members.append((cid, component, packed))
                 if len(asked) >= GROUP_SIZE:
                     out += ask()
             pa.default_memory_pool().release_unused()
@@ -336,50 +346,57 @@ def opened(pairs: DataFrame, groups: DataFrame, packed: DataFrame, shingle: int,
 
 
 def answered(queries: DataFrame, member: DataFrame, packed: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Links (a, b) of the classes ``q`` with the cells (gid, component) that they query."""
-    cell = ["gid", "component"]
-    load = queries.groupBy(*cell).agg(F.ceil(F.count("*") / QUERIES).cast("long").alias("chunks"))
-    ask = queries.join(load, cell).select(*cell, F.pmod(F.xxhash64("q"), "chunks").alias("chunk"), F.lit(1).alias("role"), F.col("q").alias("cid"))
-    held = member.join(load, cell).select(*cell, F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.lit(0).alias("role"), F.col("m").alias("cid"))
-    rows = ask.unionByName(held).join(packed, "cid").select(*cell, "chunk", "role", "cid", "packed")
-    return rows.repartition(*cell, "chunk").sortWithinPartitions(*cell, "chunk", "role").mapInArrow(_answer(shingle, percent), "a long, b long")
+    """Links (a, b) of the classes ``q`` with the groups ``gid`` that they query."""
+    load = queries.groupBy("gid").agg(F.ceil(F.count("*") / QUERIES).cast("long").alias("chunks"))
+    ask = queries.join(load, "gid").select("gid", F.pmod(F.xxhash64("q"), "chunks").alias("chunk"), F.lit(1).alias("role"), F.col("q").alias("cid"), F.lit(0).cast("long").alias("component"))
+    held = member.join(load, "gid").select("gid", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.lit(0).alias("role"), F.col("m").alias("cid"), "component")
+    rows = ask.unionByName(held).join(packed, "cid").select("gid", "chunk", "role", "cid", "component", "packed")
+    return rows.repartition("gid", "chunk").sortWithinPartitions("gid", "chunk", "role").mapInArrow(_answer(shingle, percent), "a long, b long")
+
+
+def relabelled(rows: DataFrame, comp: DataFrame, col: str) -> DataFrame:
+    """``rows`` with the component column brought up to date; a component is named by one of its classes."""
+    now = comp.select(F.col("node").alias("__n"), F.col("component").alias("__c"))
+    return rows.join(now, F.col(col) == F.col("__n"), "left").withColumn(col, F.coalesce("__c", col)).drop("__n", "__c")
 
 
-def relabelled(rows: DataFrame, comp: DataFrame, *cols: str) -> DataFrame:
-    """``rows`` with the component columns brought up to date; a component is named by one of its classes."""
-    for c in cols:
-        now = comp.select(F.col("node").alias("__n"), F.col("component").alias("__c"))
-        rows = rows.join(now, F.col(c) == F.col("__n"), "left").withColumn(f"{c}_now", F.coalesce("__c", c)).drop("__n", "__c")
-    return rows
+def group_sizes(member: DataFrame) -> DataFrame:
+    """(gid, size, c1, c2): classes and least and greatest component of each group."""
+    return member.groupBy("gid").agg(F.count("*").alias("size"), F.min("component").alias("c1"), F.max("component").alias("c2"))
 
 
 def queries_of(shared: DataFrame, member: DataFrame, percent: int) -> DataFrame:
-    """(q, own, gid, component, c): the classes and the cells of other
-    components that they may link with, with the number of shared tokens."""
-    sizes = member.groupBy("gid", "component").agg(F.count("*").alias("size"))
-    sized = member.join(sizes, ["gid", "component"])
-    known = shared.join(sized, F.col("cid") == F.col("m")).select("key", "cid", "n", "w", "place", "gid", "component", "size")
-    useful = known.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 < c2").select(F.col("key").alias("uk"))
+    """(q, own, gid, c1, c2, c): the classes and the groups, not of their own
+    component alone, that they may link with, with the number of equal parts."""
+    known = shared.join(member.join(group_sizes(member), "gid"), F.col("cid") == F.col("m")).select("key", "cid", "n", "w", "top", "gid", "component", "size", "c1", "c2")
+    useful = known.groupBy("key").agg(F.min("component").alias("k1"), F.max("component").alias("k2")).where("k1 < k2").select(F.col("key").alias("uk"))
     known = materialize(known.join(useful, F.col("key") == F.col("uk"), "left_semi"))
-    matrix = known.groupBy("key", "gid", "component", "size").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("w").alias("o_w"), F.max("place").alias("o_place"))
-    ask = known.select("key", F.col("cid").alias("q"), "n", "w", "place", F.col("gid").alias("q_gid"), F.col("component").alias("own"), F.col("size").alias("q_size"))
-    smaller = F.struct("q_size", "q_gid", "own") < F.struct(F.col("size").alias("q_size"), F.col("gid").alias("q_gid"), F.col("component").alias("own"))
+    matrix = known.groupBy("key", "gid", "size", "c1", "c2").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.max("w").alias("o_w"), F.min("top").alias("low"), F.max("top").alias("high"))
+    ask = known.select("key", F.col("cid").alias("q"), "n", "w", "top", F.col("gid").alias("q_gid"), F.col("component").alias("own"), F.col("size").alias("q_size"))
+    smaller = F.struct("q_size", "q_gid") < F.struct(F.col("size").alias("q_size"), F.col("gid").alias("q_gid"))
     fits = (F.col("n") * percent <= 100 * F.col("most")) & (F.col("least") * percent <= 100 * F.col("n"))
-    # a group was opened against itself: its own other cells hold no link
-    met = ask.join(matrix, "key").where((F.col("own") != F.col("component")) & (F.col("q_gid") != F.col("gid")) & smaller & fits)
-    met = met.groupBy("q", "own", "gid", "component").agg(
-        F.sum(F.least("w", "o_w")).alias("c"), F.first("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most"), F.first("size").alias("size"), F.max("place").alias("px"), F.max("o_place").alias("py"))
-    need = F.least(F.lit(NEED), F.ceil(F.least("n", "least") * percent / 100))
-    # of a single class the size and the places are known as well
-    alone = may_link(F.col("c"), F.col("n"), F.col("most"), F.col("px"), F.col("py"), percent)
-    return met.where(F.col("c") >= need).where((F.col("size") > 1) | alone).select("q", "own", "gid", "component", "c")
+    # a group was opened against itself; one of a component alone tells that component nothing
+    met = ask.join(matrix, "key").where(((F.col("own") != F.col("c1")) | (F.col("own") != F.col("c2"))) & smaller & fits)
+    met = met.groupBy("q", "own", "gid", "c1", "c2").agg(
+        F.sum(F.least("w", "o_w")).alias("c"), F.first("n").alias("n"), F.first("top").alias("top"), F.max("most").alias("most"), F.min("low").alias("low"), F.max("high").alias("high"))
+    most = F.least("most", F.floor(100 * F.col("n") / percent + 1e-9))
+    return met.where(F.col("c") >= least_equal(F.col("n"), F.col("top"), most, F.col("low"), F.col("high"), percent)).select("q", "own", "gid", "c1", "c2", "c")
+
+
+def apart(n: "F.Column", m: "F.Column", percent: int) -> "F.Column":
+    """``most_apart`` of columns."""
+    return F.floor((n + m) * (100 - percent) / (100 + percent) + 1e-9)
 
 
-def may_link(shared: "F.Column", n: "F.Column", m: "F.Column", place: "F.Column", o_place: "F.Column", percent: int = THRESHOLD) -> "F.Column":
-    """Whether sets of n and m that share so many prefix tokens, the last at
-    these places, can link: up to it they differ by all else."""
-    least = F.ceil((n + m) * percent / (100 + percent))
-    return (place + o_place + 2 - 2 * shared <= n + m - 2 * least) & (shared >= F.least(F.lit(NEED), least))
+def least_equal(n: "F.Column", top: "F.Column", most: "F.Column", low: "F.Column", high: "F.Column", percent: int) -> "F.Column":
+    """Equal parts of a set of n, in the size class up to ``top``, and any that
+    it links with among sets up to ``most``, in size classes up to ``low`` to
+    ``high``: sets of one class also meet in the next."""
+    hi, differ = F.greatest(top, low), apart(n, most, percent)
+    after = F.greatest(hi + 1, F.floor(100 * hi / percent + 1e-9))
+    again = F.when((top == low) & (top == high), apart(after, after, percent) + NEED - differ).otherwise(0)
+    return F.greatest(F.lit(NEED), apart(hi, hi, percent) + NEED - differ + again)
 
 
 def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = THRESHOLD) -> DataFrame:
@@ -392,46 +409,53 @@ def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = THRESHOLD) -> D
     never names a component that has another id.  An empty table gives an
     empty result.
     """
-    frequent, place = frequent_tokens(docs.select("text"), shingle)
     sets = materialize(docs.select("doc_id", "text", "rk").mapInArrow(_sets(shingle), _SETS))
     key = ["n", "d1", "d2"]
     classes = sets.where("n > 0").groupBy(*key).agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "rk")).alias("rep"))
     classes = materialize(classes.withColumn("cid", F.monotonically_increasing_id()))
-    lists = docs.select("text").mapInArrow(_prefixes(frequent, place, shingle, percent), _TOKENS).groupBy(*key).agg(F.first("tokens").alias("tokens"))
-    lists = lists.join(classes.select(*key, "cid"), key).select(F.posexplode("tokens").alias("place", "token"), F.col("n").cast("long").alias("n"), "cid")
-    lists = lists.select("token", "n", "cid", F.col("place").cast("long").alias("place")).repartition("token").sortWithinPartitions("token", "n", "cid")
+    lists = docs.select("text").mapInArrow(_parts(shingle, percent), _PARTS).groupBy(*key).agg(F.first("tokens").alias("tokens"), F.first("top").alias("top"))
+    lists = lists.join(classes.select(*key, "cid"), key).select(F.explode("tokens").alias("token"), F.col("n").cast("long").alias("n"), "cid", "top")
+    lists = lists.repartition("token").sortWithinPartitions("token", "n", "cid")
     scan = materialize(lists.mapInArrow(_postings(percent), "kind long, x long, y long, t long, u long"))
 
     # 1. groups
-    shared = scan.where("kind = 1").groupBy(F.col("x").alias("cid"), F.col("t").alias("key")).agg(F.first("y").alias("n"), F.count("*").alias("w"), F.max("u").alias("place"))
+    shared = scan.where("kind = 1").groupBy(F.col("x").alias("cid"), F.col("t").alias("key")).agg(F.first("y").alias("n"), F.count("*").alias("w"), F.first("u").alias("top"))
     shared = materialize(shared)
     near = scan.where("kind = 0").groupBy("x", "y").agg(F.count("*").alias("c"), F.max("t").alias("px"), F.max("u").alias("py"))
-    # only lists that offered this very pivot are counted, so a third of the places is taken as alike;
-    # groups of any make-up are exact, those of similar classes are few
-    near = near.where(3 * F.col("c") >= F.greatest("px", "py") + 1)
+    # a quarter of the parts is taken as alike; groups of any make-up are exact, those of similar classes are few
+    near = near.where(4 * F.col("c") >= apart(F.greatest("px", "py"), F.greatest("px", "py"), percent))
     best = near.groupBy("y").agg(F.max(F.struct("c", (-F.col("x")).alias("p"))).alias("best"))
     best = materialize(best.select(F.col("y").alias("cid"), (-F.col("best.p")).alias("pivot")))
     pivots = best.select(F.col("pivot").alias("cid")).distinct()
     pivoted = best.join(pivots, "cid", "left_anti").unionByName(pivots.withColumn("pivot", F.col("cid")))
     pivoted = shared.select("cid").distinct().join(pivoted, "cid", "left").select("cid", F.coalesce("pivot", "cid").alias("pivot"))
-    dealt = pivoted.groupBy("pivot").agg(F.ceil(F.count("*") / GROUP_SIZE).alias("k"), F.count("*").alias("members")).withColumnRenamed("pivot", "p")
-    of = (lambda c: F.xxhash64("pivot", F.pmod(F.xxhash64(c), "k")))
-    groups = materialize(pivoted.join(dealt, F.col("pivot") == F.col("p")).select("cid", of("cid").alias("gid"), of("pivot").alias("home"), (F.col("members") == 1).alias("single")))
+    # a pivot of few classes goes with the others that hold its most frequent part
+    count = shared.groupBy(F.col("key").alias("k")).agg(F.count("*").alias("l"))
+    common = shared.join(count, F.col("key") == F.col("k")).groupBy(F.col("cid").alias("p")).agg(F.max(F.struct("l", "key"))["key"].alias("common"))
+    few = F.col("members") < GROUP_SIZE
+    sized = pivoted.groupBy(F.col("pivot").alias("p")).agg(F.count("*").alias("members")).join(common, "p").select("p", few.alias("few"), F.when(few, F.col("common")).otherwise(F.col("p")).alias("base"), "members")
+    dealt = sized.groupBy("few", "base").agg(F.ceil(F.sum("members") / GROUP_SIZE).alias("k"))
+    sized = sized.join(dealt, ["few", "base"])
+    of = (lambda c: F.xxhash64("few", "base", F.pmod(F.xxhash64(c), "k")))
+    groups = materialize(pivoted.join(sized, F.col("pivot") == F.col("p")).select("cid", of(F.when(F.col("few"), F.col("pivot")).otherwise(F.col("cid"))).alias("gid"), of("pivot").alias("home")))
     # 2. each group with itself and with its pivot's
-    own = groups.where("not single").select(F.explode(F.array(F.struct(F.col("gid").alias("ga"), F.col("gid").alias("gb")), F.struct(F.least("gid", "home").alias("ga"), F.greatest("gid", "home").alias("gb")))).alias("s")).select("s.*").distinct()
+    own = groups.join(groups.groupBy(F.col("gid").alias("g")).agg(F.count("*").alias("size")).where("size > 1"), F.col("gid") == F.col("g")).select(F.explode(F.array(F.struct(F.col("gid").alias("ga"), F.col("gid").alias("gb")), F.struct(F.least("gid", "home").alias("ga"), F.greatest("gid", "home").alias("gb")))).alias("s")).select("s.*").distinct()
     packed = packed_texts(docs, classes.join(shared.select("cid").distinct(), "cid", "left_semi"))
     links = materialize(opened(own, groups, packed, shingle, percent))
     comp = materialize(components(links))
-    # 3. queries by the token-group matrix
+    # 3. queries by the matrix
     member = materialize(groups.join(comp, F.col("cid") == F.col("node"), "left").select(F.col("cid").alias("m"), "gid", F.coalesce("component", "cid").alias("component")))
     asked = materialize(queries_of(shared, member, percent))
-    # 4. the best query of each pair of components, then what is left between different ones
-    sides = F.least("own", "component").alias("s1"), F.greatest("own", "component").alias("s2")
-    best = materialize(asked.groupBy(*sides).agg(F.max_by(F.struct("q", "gid", "component"), "c").alias("b")).select("b.*"))
+    # 4. the best query of each component to another, or to a mixed group; then what is left between different ones
+    whom = F.when(F.col("c1") == F.col("c2"), F.struct(F.least("own", "c1").alias("s1"), F.greatest("own", "c1").alias("s2"), F.lit(False).alias("mixed"))).otherwise(
+        F.struct(F.col("own").alias("s1"), F.col("gid").alias("s2"), F.lit(True).alias("mixed")))
+    best = materialize(asked.groupBy(whom.alias("whom")).agg(F.max_by(F.struct("q", "gid"), "c").alias("b")).select("b.*"))
     first = materialize(answered(best, member, packed, shingle, percent))
     comp = materialize(components(links.unionByName(first)))
-    left = relabelled(asked, comp, "own", "component").where("own_now <> component_now").select("q", "gid", "component")
-    left = materialize(left.join(best, ["q", "gid", "component"], "left_anti"))
+    member = materialize(relabelled(member, comp, "component"))
+    now = group_sizes(member).select(F.col("gid").alias("g"), F.col("c1").alias("n1"), F.col("c2").alias("n2"))
+    left = relabelled(asked, comp, "own").join(now, F.col("gid") == F.col("g")).where("own <> n1 or own <> n2").select("q", "gid")
+    left = materialize(left.join(best, ["q", "gid"], "left_anti"))
     more = answered(left, member, packed, shingle, percent)
     comp = components(links.unionByName(first).unionByName(more))
 

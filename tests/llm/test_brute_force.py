@@ -232,3 +232,27 @@ def test_cap_filters_find_links(spark):
     got = {r["vec_id"]: r["n_links"] for r in cap_filters.link(df).collect()}
     assert all(got[i] <= links[i].sum() for i in got)
     assert sum(got.values()) >= 0.98 * links.sum() > 0
+
+
+def test_parts_that_linked_sets_share():
+    """Two sets that link agree in as many parts as their sizes ask for, at any threshold."""
+    rng = np.random.default_rng(5)
+    linked = 0
+    for percent in (50, 80, 85, 95):
+        for _ in range(600):
+            x = np.unique(rng.integers(0, 2**63, int(rng.integers(1, 600)), dtype=np.uint64))
+            differ = jaccard_groups.most_apart(len(x), len(x), percent) + 2
+            kept = rng.permutation(x)[:max(1, len(x) - int(rng.integers(0, differ)))]
+            y = np.unique(np.concatenate([kept, rng.integers(0, 2**63, int(rng.integers(0, differ)), dtype=np.uint64)]))
+            both = len(np.intersect1d(x, y))
+            if 100 * both < percent * (len(x) + len(y) - both) or np.array_equal(x, y):
+                continue
+            linked += 1
+            (a, top_a), (b, top_b) = (jaccard_groups.parts_of(s, percent) for s in (x, y))
+            top, apart = max(top_a, top_b), jaccard_groups.most_apart(len(x), len(y), percent)
+            need = jaccard_groups.most_apart(top, top, percent) + jaccard_groups.NEED - apart
+            if top_a == top_b:
+                after = jaccard_groups.next_size(top, percent)
+                need += jaccard_groups.most_apart(after, after, percent) + jaccard_groups.NEED - apart
+            assert len(np.intersect1d(a, b)) >= need >= jaccard_groups.NEED
+    assert linked > 500
