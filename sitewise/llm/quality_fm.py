@@ -75,16 +75,17 @@ def features(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def fm_scores(prow, pslot, weight, stats, model: dict) -> np.ndarray:
-    """Margins by the sum-of-squares identity."""
+    """Margins by the sum-of-squares identity, each row summed by itself: equal
+    texts score alike wherever they stand in a batch."""
     n = len(stats)
     x = (stats - model["mean"]) / model["scale"]
     w, v = model["w"], model["v"]
     k = 1 << HASH_BITS
-    linear = model["w0"] + np.bincount(prow, w[:k][pslot] * weight, n) + x @ w[k:]
+    linear = model["w0"] + np.bincount(prow, w[:k][pslot] * weight, n) + (x * w[k:]).sum(1)
     total = np.zeros(n)
     for f in range(v.shape[1]):
-        s = np.bincount(prow, v[:k, f][pslot] * weight, n) + x @ v[k:, f]
-        q = np.bincount(prow, (v[:k, f][pslot] * weight) ** 2, n) + (x ** 2) @ (v[k:, f] ** 2)
+        s = np.bincount(prow, v[:k, f][pslot] * weight, n) + (x * v[k:, f]).sum(1)
+        q = np.bincount(prow, (v[:k, f][pslot] * weight) ** 2, n) + (x ** 2 * v[k:, f] ** 2).sum(1)
         total += s * s - q
     return linear + 0.5 * total
 

@@ -300,7 +300,7 @@ def document_scores(col: pa.Array, model: dict) -> np.ndarray:
     for lo, hi, data, offs in text_chunks(col):
         letters, bounds, first = instances(data, offs)
         x = bag_features(word_scores(letters, bounds, model["table"], model["bias"]), first)
-        out[lo:hi] = 1 / (1 + np.exp(-np.clip(x @ model["doc"][:-1] + model["doc"][-1], -30, 30)))
+        out[lo:hi] = 1 / (1 + np.exp(-np.clip((x * model["doc"][:-1]).sum(1) + model["doc"][-1], -30, 30)))
     return out
 
 
