@@ -3,6 +3,8 @@ differences, code decoding, missing-file plans, markers, enrichment."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from sitewise.operators.checks import (decode_codes, hierarchy_gap, in_box, retired_code_check,
@@ -156,6 +158,7 @@ def marker_semi_q(spark, sf):
 LINE_SCHEMA = ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
                "l_linestatus string, l_shipdate timestamp_ntz")
+LINES_PER_FILE = 500_000
 
 
 @query("stream_enrich", """
@@ -164,12 +167,16 @@ FROM lineitem l LEFT JOIN orders o ON o.o_orderkey = l.l_orderkey GROUP BY 1, 2
 """)
 def stream_enrich_q(spark, sf):
     """Line items arriving as a file stream, enriched by a stream–static
-    left join with orders, aggregated per micro-batch and summed."""
+    left join with orders, aggregated per micro-batch and summed.  Files
+    land compressed, in two micro-batches whatever their number."""
     base = scratch_path(spark, "stream-enrich")
-    land_files(load(spark, sf, "lineitem"), f"{base}/landing", 8)
+    lines = load(spark, sf, "lineitem")
+    per_batch = max(4, math.ceil(lines.count() / (2 * LINES_PER_FILE)))
+    land_files(lines, f"{base}/landing", 2 * per_batch, compression="gzip")
     schema = spark.createDataFrame([], LINE_SCHEMA).schema
     orders = load(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus")
-    s = json_stream(spark, f"{base}/landing", schema, max_files_per_trigger=4).join(orders, "l_orderkey", "left")
+    s = json_stream(spark, f"{base}/landing", schema, max_files_per_trigger=per_batch)
+    s = s.select("l_orderkey", "l_returnflag", "l_quantity").join(orders, "l_orderkey", "left").drop("l_orderkey")
 
     def write(batch, batch_id):
         (batch.groupBy("o_orderstatus", "l_returnflag")

@@ -19,11 +19,12 @@ from sitewise.functions.money import cents, cents_to_double
 from sitewise.sources.files import TS_OPTIONS, with_lineage
 
 
-def land_files(df: DataFrame, path: str, n_files: int, order: str | None = None) -> None:
+def land_files(df: DataFrame, path: str, n_files: int, order: str | None = None, compression: str = "none") -> None:
     """Write ``df`` as ``n_files`` JSON-lines files (a landing zone).
-    ``order`` = a column to spread rows by, so files arrive out of order."""
+    ``order`` = a column to spread rows by, so files arrive out of order.
+    A gzip file is read by one task: give as many as the rows ask for."""
     out = df.repartition(n_files, F.col(order)) if order else df.repartition(n_files)
-    out.write.mode("overwrite").options(**TS_OPTIONS).json(path)
+    out.write.mode("overwrite").options(**TS_OPTIONS).json(path, compression=compression)
 
 
 def json_stream(spark: SparkSession, path: str, schema: StructType,
