@@ -3,8 +3,8 @@
 Documents are sets of distinct SHINGLE-word shingles; two link at a Jaccard
 similarity of THRESHOLD percent or more.  Identical sets are one class from
 the start.  A class's tokens are dealt by hash into parts, a few more than
-tokens that two linked sets of its size can differ in, so that at least NEED
-parts of two linked classes are equal, token for token.
+tokens that two linked sets of its size can differ in, so that at least
+``equal_parts`` of two linked classes are equal, token for token.
 
 1. Classes are partitioned into groups of some GROUP_SIZE similar ones: the
    classes of each part, in order of set size, are offered the first of
@@ -16,7 +16,10 @@ parts of two linked classes are equal, token for token.
 3. The token-group matrix holds the union of each group's parts.  A class
    queries the groups, not of its own component alone, whose union shares as
    many parts with it as a link needs, given its size and theirs.  Of two
-   groups the smaller one's classes ask.
+   groups the smaller one's classes ask.  Classes and groups meet on all but
+   the most frequent parts of a class, one fewer than a link needs (prefix
+   filter): two classes that link share another one, and a passage that many
+   unlike texts share need not bring all of them together.
 4. The queries run in two rounds: first one for each pair of components (or
    component and mixed group), the one that shares most parts, after which
    components are contracted; then all those left.  A link inside a component
@@ -36,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import components, documents, in_small_batches, materialize
@@ -44,13 +47,14 @@ from .textnp import LOWER, mix, shingles, text_chunks, word_hashes, words
 
 SHINGLE = 4
 THRESHOLD = 85
-NEED = 2  # equal parts that a link has at least
+NEED = 2  # equal parts that a link has at least; most sets are dealt into more parts
 GROUP_SIZE = 64
 QUERIES = 256  # to a group that is opened once
 LISTED = 1 << 14  # classes of a posting list that is held to be named by them
 
 _SETS = "doc_id long, rk long, n int, d1 long, d2 long"
 _PARTS = "n int, d1 long, d2 long, tokens array<long>, top long"
+_COUNTS = "q long, own long, gid long, c long, n long, top long, most long, low long, high long"
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, shingle: int = SHINGLE) -> Iterator[np.ndarray]:
@@ -86,10 +90,23 @@ def size_class(n: int, percent: int) -> tuple[int, int]:
     return k, hi
 
 
+def smallest(hi: int, percent: int) -> int:
+    """Least size of the sets that are dealt by the size class up to ``hi``."""
+    return max(1, hi * percent * percent // 10_000)
+
+
+def equal_parts(hi: int, percent: int) -> int:
+    """Parts of the size class up to ``hi``, at least, that two linked sets
+    have equal: the more, the more frequent parts a class need not be met on.
+    A part is to hold two tokens of the smallest sets."""
+    differ = most_apart(hi, hi, percent)
+    return max(NEED, min(6 + differ // 4, smallest(hi, percent) // 2 - differ))
+
+
 def dealt_parts(lo: int, hi: int, percent: int) -> tuple[int, int]:
     """(parts, empty parts allowed for) into which sets of lo to hi shingles
     are dealt: of two that link all but ``most_apart`` parts are equal."""
-    need = most_apart(hi, hi, percent) + NEED
+    need = most_apart(hi, hi, percent) + equal_parts(hi, percent)
     empty = need * math.exp(-lo / need)
     spare = math.ceil(empty + 3 * math.sqrt(empty))
     return need + spare, spare
@@ -100,15 +117,16 @@ def parts_of(tokens: np.ndarray, percent: int = THRESHOLD) -> tuple[np.ndarray,
 
     The tokens are dealt by hash into the parts of the set's own size class and
     of the next, where larger partners are.  Sets that link differ in few
-    tokens, so NEED parts at least that are not empty are equal.  A set with
-    more empty parts than allowed for shows them too.
+    tokens, so ``equal_parts`` at least that are not empty are equal.  A set
+    with more empty parts than allowed for shows them too.  The last bit of a
+    part's hash tells its size class from the neighbours.
     """
     out = []
     k, top = size_class(len(tokens), percent)
     for k, hi in ((k, top), (k + 1, next_size(top, percent))):
         if not most_apart(hi, hi, percent):
             continue  # only equal sets link, and they are one class
-        parts, spare = dealt_parts(max(1, hi * percent * percent // 10_000), hi, percent)
+        parts, spare = dealt_parts(smallest(hi, percent), hi, percent)
         salt = mix(np.array([2 * k + 1], np.uint64))[0]
         part = (mix(tokens ^ salt) % np.uint64(parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
@@ -121,7 +139,7 @@ def parts_of(tokens: np.ndarray, percent: int = THRESHOLD) -> tuple[np.ndarray,
         if parts - len(head) > spare:
             held[:] = True
         own = np.flatnonzero(held)
-        out.append(mix(got[own] ^ mix(own.astype(np.uint64) + salt)))
+        out.append(mix(got[own] ^ mix(own.astype(np.uint64) + salt)) >> np.uint64(1) << np.uint64(1) | np.uint64(k & 1))
     return np.concatenate([*out, np.zeros(0, np.uint64)]), top
 
 
@@ -160,8 +178,8 @@ def _postings(percent: int):
     their largest sizes); kind 1: (class, n, key, largest size).
 
     Parts of one list (those of a passage that some classes share) get one
-    key, a hash of its classes, so that they are met once and not each by
-    itself.  A list longer than LISTED is passed on as it comes, under a key
+    key, a hash of its classes with the parts' last bit, so that they are met
+    once and not each by itself.  A list longer than LISTED is passed on as it comes, under a key
     of its own; which parts share a key changes only how they are counted.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,7 +190,7 @@ def _postings(percent: int):
         def close() -> None:
             """The list at hand has ended, or is too long to be held."""
             if own is None and len(held) > 1:
-                key = int(mix(np.add.reduce(mix(np.array([h[0] for h in held], np.int64).view(np.uint64) + np.uint64(1)))[None]).view(np.int64)[0])
+                key = int(mix(np.add.reduce(mix(np.array([h[0] for h in held], np.int64).view(np.uint64) + np.uint64(1)))[None]).view(np.int64)[0]) & ~1 | token & 1
                 out.extend((1, c, n, key, at) for c, n, at in held)
             held.clear()
 
@@ -365,21 +383,89 @@ def group_sizes(member: DataFrame) -> DataFrame:
     return member.groupBy("gid").agg(F.count("*").alias("size"), F.min("component").alias("c1"), F.max("component").alias("c2"))
 
 
+def meeting(shared: DataFrame, percent: int) -> DataFrame:
+    """``shared`` with the flag ``met``: of each class and size class all but
+    the most frequent parts, one fewer than a link needs.  The order of parts
+    is the same for all classes, so the rarest part that two linked classes
+    share is flagged for both."""
+    count = shared.groupBy(F.col("key").alias("k")).agg(F.count("*").alias("l"))
+    after = F.greatest(F.col("top") + 1, F.floor(100 * F.col("top") / percent + 1e-9))
+    need = F.least(least_parts(F.col("top"), percent), least_parts(after, percent))
+    often = Window.partitionBy("cid", F.col("key").bitwiseAND(1)).orderBy(F.desc("l"), F.desc("key")).rowsBetween(Window.unboundedPreceding, 0)
+    rows = shared.join(count, F.col("key") == F.col("k"))
+    return rows.withColumn("met", F.sum("w").over(often) >= need).drop("k", "l")
+
+
+def _union(held: list[tuple]) -> tuple[np.ndarray, ...]:
+    """(key, weight, least n, most n, least top, most top) of the parts of a group's classes."""
+    keys, order = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
+    order = np.argsort(order, kind="stable")
+    at = np.searchsorted(np.concatenate([h[0] for h in held])[order], keys)
+    w = np.concatenate([h[1] for h in held])[order]
+    n, top = (np.repeat([h[k] for h in held], [len(h[0]) for h in held])[order] for k in (2, 3))
+    return keys, np.maximum.reduceat(w, at), np.minimum.reduceat(n, at), np.maximum.reduceat(n, at), np.minimum.reduceat(top, at), np.maximum.reduceat(top, at)
+
+
+def _counts(percent: int):
+    """Rows sorted by (group, chunk, role): a group's members with their
+    parts, then those of its queries.  Counts the parts of a query that the
+    members' union holds for a size that it may link with."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held, union = None, [], None
+        for batch in batches:
+            out: list[tuple[int, ...]] = []
+            keys, ws = batch.column(7), batch.column(8)
+            ends, keys, ws = keys.offsets.to_numpy(), keys.values.to_numpy(), ws.values.to_numpy()
+            for i, (g, chunk, role, cid, component, n, top) in enumerate(zip(*(batch.column(k).to_pylist() for k in range(7)), strict=True)):
+                if (g, chunk) != last:
+                    last, held, union = (g, chunk), [], None
+                k, w = keys[ends[i]:ends[i + 1]], ws[ends[i]:ends[i + 1]]
+                if not role:
+                    held.append((k.copy(), w.copy(), n, top))
+                    continue
+                union = _union(held) if union is None else union
+                at = np.minimum(np.searchsorted(union[0], k), len(union[0]) - 1)
+                met = (union[0][at] == k) & (n * percent <= 100 * union[3][at]) & (union[2][at] * percent <= 100 * n)
+                if met.any():
+                    at = at[met]
+                    out.append((cid, component, g, int(np.minimum(w[met], union[1][at]).sum()), n, top, int(union[3][at].max()), int(union[4][at].min()), int(union[5][at].max())))
+            names = [c.split()[0] for c in _COUNTS.split(", ")]
+            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in range(len(names))], names=names)
+    return run
+
+
+def counted(pairs: DataFrame, known: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """(q, own, gid, c, ...): the equal parts of the classes of group ``ga``
+    and the union of group ``gb``, for each pair of groups."""
+    lists = known.groupBy("cid", "component", "n", "top", "gid").agg(F.collect_list(F.struct("key", "w")).alias("l"))
+    lists = materialize(lists.select("gid", "cid", "component", "n", "top", F.col("l.key").alias("keys"), F.col("l.w").alias("ws")))
+    rest = ["component", "n", "top", "keys", "ws"]
+    ask = pairs.join(lists, F.col("ga") == F.col("gid")).drop("gid").join(sizes, F.col("gb") == F.col("gid"))
+    ask = ask.where((F.col("component") != F.col("c1")) | (F.col("component") != F.col("c2")))
+    load = ask.groupBy("gid").agg(F.ceil(F.count("*") / LISTED).cast("long").alias("chunks"))
+    held = lists.join(load, "gid").select("gid", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.lit(0).alias("role"), "cid", *rest)
+    ask = ask.join(load, "gid").select("gid", F.pmod(F.xxhash64("cid"), "chunks").alias("chunk"), F.lit(1).alias("role"), "cid", *rest)
+    rows = ask.unionByName(held).repartition("gid", "chunk").sortWithinPartitions("gid", "chunk", "role")
+    return rows.mapInArrow(_counts(percent), _COUNTS)
+
+
 def queries_of(shared: DataFrame, member: DataFrame, percent: int) -> DataFrame:
     """(q, own, gid, c1, c2, c): the classes and the groups, not of their own
-    component alone, that they may link with, with the number of equal parts."""
-    known = shared.join(member.join(group_sizes(member), "gid"), F.col("cid") == F.col("m")).select("key", "cid", "n", "w", "top", "gid", "component", "size", "c1", "c2")
+    component alone, that they may link with, with the number of equal parts.
+    Groups meet first, each key once a group; then the classes of the smaller
+    one of two are counted."""
+    sizes = materialize(group_sizes(member))
+    known = meeting(shared, percent).join(member.join(sizes, "gid"), F.col("cid") == F.col("m")).select("key", "cid", "n", "w", "top", "met", "gid", "component", "size", "c1", "c2")
     useful = known.groupBy("key").agg(F.min("component").alias("k1"), F.max("component").alias("k2")).where("k1 < k2").select(F.col("key").alias("uk"))
     known = materialize(known.join(useful, F.col("key") == F.col("uk"), "left_semi"))
-    matrix = known.groupBy("key", "gid", "size", "c1", "c2").agg(
-        F.min("n").alias("least"), F.max("n").alias("most"), F.max("w").alias("o_w"), F.min("top").alias("low"), F.max("top").alias("high"))
-    ask = known.select("key", F.col("cid").alias("q"), "n", "w", "top", F.col("gid").alias("q_gid"), F.col("component").alias("own"), F.col("size").alias("q_size"))
-    smaller = F.struct("q_size", "q_gid") < F.struct(F.col("size").alias("q_size"), F.col("gid").alias("q_gid"))
-    fits = (F.col("n") * percent <= 100 * F.col("most")) & (F.col("least") * percent <= 100 * F.col("n"))
-    # a group was opened against itself; one of a component alone tells that component nothing
-    met = ask.join(matrix, "key").where(((F.col("own") != F.col("c1")) | (F.col("own") != F.col("c2"))) & smaller & fits)
-    met = met.groupBy("q", "own", "gid", "c1", "c2").agg(
-        F.sum(F.least("w", "o_w")).alias("c"), F.first("n").alias("n"), F.first("top").alias("top"), F.max("most").alias("most"), F.min("low").alias("low"), F.max("high").alias("high"))
+    cells = known.where("met").groupBy("key", "gid", "size", "c1", "c2").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    a, b = (cells.select("key", *[F.col(c).alias(f"{side}_{c}") for c in cells.columns[1:]]) for side in "ab")
+    smaller = F.struct(F.col("a_size").alias("s"), F.col("a_gid").alias("g")) < F.struct(F.col("b_size").alias("s"), F.col("b_gid").alias("g"))
+    fits = (F.col("a_least") * percent <= 100 * F.col("b_most")) & (F.col("b_least") * percent <= 100 * F.col("a_most"))
+    # two groups of one component alone tell it nothing; a group was opened against itself
+    other = (F.col("a_c1") != F.col("b_c1")) | (F.col("a_c1") != F.col("a_c2")) | (F.col("b_c1") != F.col("b_c2"))
+    pairs = materialize(a.join(b, "key").where(smaller & fits & other).select(F.col("a_gid").alias("ga"), F.col("b_gid").alias("gb")).distinct())
+    met = counted(pairs, known, sizes.select("gid", "c1", "c2"), percent).join(sizes.select("gid", "c1", "c2"), "gid")
     most = F.least("most", F.floor(100 * F.col("n") / percent + 1e-9))
     return met.where(F.col("c") >= least_equal(F.col("n"), F.col("top"), most, F.col("low"), F.col("high"), percent)).select("q", "own", "gid", "c1", "c2", "c")
 
@@ -395,8 +481,15 @@ def least_equal(n: "F.Column", top: "F.Column", most: "F.Column", low: "F.Column
     ``high``: sets of one class also meet in the next."""
     hi, differ = F.greatest(top, low), apart(n, most, percent)
     after = F.greatest(hi + 1, F.floor(100 * hi / percent + 1e-9))
-    again = F.when((top == low) & (top == high), apart(after, after, percent) + NEED - differ).otherwise(0)
-    return F.greatest(F.lit(NEED), apart(hi, hi, percent) + NEED - differ + again)
+    again = F.when((top == low) & (top == high), apart(after, after, percent) + least_parts(after, percent) - differ).otherwise(0)
+    return F.greatest(F.lit(NEED), apart(hi, hi, percent) + least_parts(hi, percent) - differ + again)
+
+
+def least_parts(hi: "F.Column", percent: int) -> "F.Column":
+    """``equal_parts`` of a column."""
+    differ = apart(hi, hi, percent)
+    smallest = F.greatest(F.lit(1), F.floor(hi * percent * percent / 10_000 + 1e-9))
+    return F.greatest(F.lit(NEED), F.least(6 + F.floor(differ / 4), F.floor(smallest / 2) - differ))
 
 
 def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = THRESHOLD) -> DataFrame:
@@ -423,7 +516,8 @@ def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = THRESHOLD) -> D
     shared = materialize(shared)
     near = scan.where("kind = 0").groupBy("x", "y").agg(F.count("*").alias("c"), F.max("t").alias("px"), F.max("u").alias("py"))
     # a quarter of the parts is taken as alike; groups of any make-up are exact, those of similar classes are few
-    near = near.where(4 * F.col("c") >= apart(F.greatest("px", "py"), F.greatest("px", "py"), percent))
+    larger = F.greatest("px", "py")
+    near = near.where(4 * F.col("c") >= apart(larger, larger, percent) + least_parts(larger, percent))
     best = near.groupBy("y").agg(F.max(F.struct("c", (-F.col("x")).alias("p"))).alias("best"))
     best = materialize(best.select(F.col("y").alias("cid"), (-F.col("best.p")).alias("pivot")))
     pivots = best.select(F.col("pivot").alias("cid")).distinct()
