@@ -19,7 +19,9 @@ tokens that two linked sets of its size can differ in, so that at least
    groups the smaller one's classes ask.  Classes and groups meet on all but
    the most frequent parts of a class, one fewer than a link needs (prefix
    filter): two classes that link share another one, and a passage that many
-   unlike texts share need not bring all of them together.
+   unlike texts share need not bring all of them together.  Parts that nearly
+   the same groups hold are joined to one, on which these groups meet once;
+   then only the classes that hold one of the parts met on ask.
 4. The queries run in two rounds: first one for each pair of components (or
    component and mixed group), the one that shares most parts, after which
    components are contracted; then all those left.  A link inside a component
@@ -51,6 +53,7 @@ NEED = 2  # equal parts that a link has at least; most sets are dealt into more
 GROUP_SIZE = 64
 QUERIES = 256  # to a group that is opened once
 LISTED = 1 << 14  # classes of a posting list that is held to be named by them
+FEW = 16  # groups that hold a key, which only keys of the same groups are joined with
 
 _SETS = "doc_id long, rk long, n int, d1 long, d2 long"
 _PARTS = "n int, d1 long, d2 long, tokens array<long>, top long"
@@ -434,38 +437,59 @@ def _counts(percent: int):
     return run
 
 
-def counted(pairs: DataFrame, known: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+def joint_keys(cells: DataFrame) -> DataFrame:
+    """(k, joint) of the keys that several groups hold: keys held by the same
+    groups have one joint key, of those held by more than FEW groups also keys
+    that agree in two min-hashes of them.  Where a joint key stands for lists
+    that differ, groups that share none of its keys are compared in vain."""
+    least = (lambda seed: F.min(F.xxhash64(F.lit(seed), "gid")))
+    keys = cells.groupBy(F.col("key").alias("k")).agg(F.count("*").alias("held"), least(1).alias("h1"), least(2).alias("h2"), F.bit_xor(F.xxhash64("gid")).alias("all"))
+    return keys.where("held > 1").select("k", F.when(F.col("held") > FEW, F.xxhash64("h1", "h2")).otherwise(F.xxhash64("held", "all")).alias("joint"))
+
+
+def group_pairs(cells: DataFrame, joints: DataFrame, percent: int) -> DataFrame:
+    """(ga, gb, a_size, b_c1, b_c2, joints): the pairs of groups, the smaller
+    one first, that meet, with the joint keys that they meet on."""
+    cells = cells.join(joints, F.col("key") == F.col("k")).groupBy("joint", "gid", "size", "c1", "c2").agg(F.min("least").alias("least"), F.max("most").alias("most"))
+    a, b = (cells.select("joint", *[F.col(c).alias(f"{side}_{c}") for c in cells.columns[1:]]) for side in "ab")
+    smaller = F.struct(F.col("a_size").alias("s"), F.col("a_gid").alias("g")) < F.struct(F.col("b_size").alias("s"), F.col("b_gid").alias("g"))
+    fits = (F.col("a_least") * percent <= 100 * F.col("b_most")) & (F.col("b_least") * percent <= 100 * F.col("a_most"))
+    # two groups of one component alone tell it nothing; a group was opened against itself
+    other = (F.col("a_c1") != F.col("b_c1")) | (F.col("a_c1") != F.col("a_c2")) | (F.col("b_c1") != F.col("b_c2"))
+    met = a.join(b, "joint").where(smaller & fits & other)
+    return met.groupBy(F.col("a_gid").alias("ga"), F.col("b_gid").alias("gb"), "a_size", "b_c1", "b_c2").agg(F.collect_set("joint").alias("joints"))
+
+
+def counted(pairs: DataFrame, known: DataFrame, joints: DataFrame, percent: int) -> DataFrame:
     """(q, own, gid, c, ...): the equal parts of the classes of group ``ga``
-    and the union of group ``gb``, for each pair of groups."""
-    lists = known.groupBy("cid", "component", "n", "top", "gid").agg(F.collect_list(F.struct("key", "w")).alias("l"))
-    lists = materialize(lists.select("gid", "cid", "component", "n", "top", F.col("l.key").alias("keys"), F.col("l.w").alias("ws")))
-    rest = ["component", "n", "top", "keys", "ws"]
-    ask = pairs.join(lists, F.col("ga") == F.col("gid")).drop("gid").join(sizes, F.col("gb") == F.col("gid"))
-    ask = ask.where((F.col("component") != F.col("c1")) | (F.col("component") != F.col("c2")))
-    load = ask.groupBy("gid").agg(F.ceil(F.count("*") / LISTED).cast("long").alias("chunks"))
-    held = lists.join(load, "gid").select("gid", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.lit(0).alias("role"), "cid", *rest)
-    ask = ask.join(load, "gid").select("gid", F.pmod(F.xxhash64("cid"), "chunks").alias("chunk"), F.lit(1).alias("role"), "cid", *rest)
-    rows = ask.unionByName(held).repartition("gid", "chunk").sortWithinPartitions("gid", "chunk", "role")
-    return rows.mapInArrow(_counts(percent), _COUNTS)
+    that hold a joint key on which it meets group ``gb``, and the union of
+    ``gb``, for each pair of groups.  A group's classes move in one row."""
+    lists = known.join(joints, F.col("key") == F.col("k"), "left").repartition("gid").groupBy("gid", "cid", "component", "n", "top").agg(
+        F.collect_list(F.struct("key", "w")).alias("l"), F.collect_set(F.when(F.col("met"), F.col("joint"))).alias("on"))
+    one = F.struct("cid", "component", "n", "top", F.col("l.key").alias("keys"), F.col("l.w").alias("ws"), "on")
+    lists = materialize(lists.groupBy("gid").agg(F.collect_list(one).alias("classes")))
+    load = pairs.groupBy(F.col("gb").alias("g")).agg(F.ceil(F.sum("a_size") / LISTED).cast("long").alias("chunks"))
+    ask = pairs.join(load, F.col("gb") == F.col("g")).join(lists, F.col("ga") == F.col("gid"))
+    asks = F.filter("classes", lambda c: F.arrays_overlap(c["on"], "joints") & ((c["component"] != F.col("b_c1")) | (c["component"] != F.col("b_c2"))))
+    ask = ask.select(F.col("gb").alias("gid"), F.pmod(F.xxhash64("ga"), "chunks").alias("chunk"), F.lit(1).alias("role"), F.transform(asks, lambda c: c.dropFields("on")).alias("classes"))
+    held = lists.join(load, F.col("gid") == F.col("g")).select("gid", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.lit(0).alias("role"), F.transform("classes", lambda c: c.dropFields("on")).alias("classes"))
+    rows = ask.where(F.size("classes") > 0).unionByName(held).repartition("gid", "chunk").sortWithinPartitions("gid", "chunk", "role")
+    return rows.select("gid", "chunk", "role", F.inline("classes")).mapInArrow(_counts(percent), _COUNTS)
 
 
 def queries_of(shared: DataFrame, member: DataFrame, percent: int) -> DataFrame:
     """(q, own, gid, c1, c2, c): the classes and the groups, not of their own
     component alone, that they may link with, with the number of equal parts.
-    Groups meet first, each key once a group; then the classes of the smaller
-    one of two are counted."""
+    Groups meet first, each joint key once a group; then the classes of the
+    smaller one of two that hold what they met on are counted."""
     sizes = materialize(group_sizes(member))
     known = meeting(shared, percent).join(member.join(sizes, "gid"), F.col("cid") == F.col("m")).select("key", "cid", "n", "w", "top", "met", "gid", "component", "size", "c1", "c2")
     useful = known.groupBy("key").agg(F.min("component").alias("k1"), F.max("component").alias("k2")).where("k1 < k2").select(F.col("key").alias("uk"))
     known = materialize(known.join(useful, F.col("key") == F.col("uk"), "left_semi"))
-    cells = known.where("met").groupBy("key", "gid", "size", "c1", "c2").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    a, b = (cells.select("key", *[F.col(c).alias(f"{side}_{c}") for c in cells.columns[1:]]) for side in "ab")
-    smaller = F.struct(F.col("a_size").alias("s"), F.col("a_gid").alias("g")) < F.struct(F.col("b_size").alias("s"), F.col("b_gid").alias("g"))
-    fits = (F.col("a_least") * percent <= 100 * F.col("b_most")) & (F.col("b_least") * percent <= 100 * F.col("a_most"))
-    # two groups of one component alone tell it nothing; a group was opened against itself
-    other = (F.col("a_c1") != F.col("b_c1")) | (F.col("a_c1") != F.col("a_c2")) | (F.col("b_c1") != F.col("b_c2"))
-    pairs = materialize(a.join(b, "key").where(smaller & fits & other).select(F.col("a_gid").alias("ga"), F.col("b_gid").alias("gb")).distinct())
-    met = counted(pairs, known, sizes.select("gid", "c1", "c2"), percent).join(sizes.select("gid", "c1", "c2"), "gid")
+    cells = materialize(known.where("met").groupBy("key", "gid", "size", "c1", "c2").agg(F.min("n").alias("least"), F.max("n").alias("most")))
+    joints = materialize(joint_keys(cells))
+    pairs = materialize(group_pairs(cells, joints, percent))
+    met = counted(pairs, known, joints, percent).join(sizes.select("gid", "c1", "c2"), "gid")
     most = F.least("most", F.floor(100 * F.col("n") / percent + 1e-9))
     return met.where(F.col("c") >= least_equal(F.col("n"), F.col("top"), most, F.col("low"), F.col("high"), percent)).select("q", "own", "gid", "c1", "c2", "c")
 

@@ -66,3 +66,34 @@ def test_counts_of_equal_parts():
         if seen:
             r = got[q]
             assert (r["c"], r["most"], r["low"], r["high"]) == (c, max(s[0] for s in seen), min(s[1] for s in seen), max(s[1] for s in seen))
+
+
+def test_keys_of_the_same_groups_meet_once(spark):
+    """Keys that nearly all of 40 groups hold bring each two together a few
+    times, not once a key; no two groups that share a key are lost."""
+    rng, F = np.random.default_rng(5), jg.F
+    rows = [(k, g) for k in range(200) for g in range(40) if (k, g) not in {(0, 3), (1, 7), (2, 3)}]
+    rows += [(1000 + i, 100 + g) for i in range(60) for g in rng.choice(30, int(rng.integers(1, 25)), replace=False).tolist()]
+    cells = spark.createDataFrame([(k, g, 9, g, g + 1000, 100, 100) for k, g in rows], "key long, gid long, size long, c1 long, c2 long, least long, most long")
+    joints = jg.joint_keys(cells)
+    pairs = jg.group_pairs(cells, joints, 85)
+    got = {(r["ga"], r["gb"]): r["joints"] for r in pairs.collect()}
+    of = {r["k"]: r["joint"] for r in joints.collect()}
+    held = {}
+    for k, g in rows:
+        held.setdefault(k, []).append(g)
+    for k, groups in held.items():
+        assert all(of[k] in got[a, b] for a in groups for b in groups if a < b)
+    assert sum(len(j) for (a, b), j in got.items() if b < 40) <= 4 * (40 * 39 // 2)
+
+
+def test_only_classes_of_the_met_parts_ask(spark):
+    """Of the classes of a group those ask another one that hold a part on which the two meet."""
+    top, n = jg.size_class(30, 85)[1], 30
+    rows = [(c, 2 * (100 * (c % 20) + p), n, 1, top) for c in range(40) for p in range(30)]
+    shared = spark.createDataFrame(rows, "cid long, key long, n long, w long, top long")
+    member = spark.createDataFrame([(c, c // 20, c) for c in range(40)], "m long, gid long, component long")
+    # classes c and c + 20 have all parts in common; 5 classes of group 0 lose theirs
+    shared = shared.where(~jg.F.col("cid").isin(0, 1, 2, 3, 4))
+    asked = {(r["q"], r["gid"]) for r in jg.queries_of(shared, member, 85).collect()}
+    assert asked == {(c, 1) for c in range(5, 20)}
